@@ -47,22 +47,30 @@ def in_partition_window(df: DataFrame, start: datetime, end: datetime) -> DataFr
     return df.where((day >= F.lit(start.date())) & (day <= F.lit(last)))
 
 
+# The common forms, which need no look at an offset.
+ISO_UTC = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?Z?)?$"
+# Any other form: the wall clock, and after it nothing, a UTC mark, or an offset in hours.
+WITH_OFFSET = r"(?i)^(.*?\d)\s*(?:z|utc|gmt)?(?:(?<=:\d\d|\.\d{1,9}|utc|gmt|\s)([+-])(\d{1,2}):?(\d{2})?)?$"
+
+
 def parse_utc(text: Column) -> Column:
     """Text to a zone-free UTC timestamp; text without an offset is taken as UTC.
 
-    Anything that does not parse, or ends in another kind of zone name, becomes null.
+    Text that does not parse, or names its zone in another way, becomes null. The session
+    time zone plays no part.
     """
     trimmed = F.trim(text)
-    offset = r"(?i)^(.*\d:\d{2}(?::\d{2}(?:\.\d+)?)?)\s*([+-])(\d{1,2}):?(\d{2})?$"
-    zulu = r"(?i)\s*(z|utc|gmt)$"
-    plain = F.regexp_replace(trimmed, zulu, "")
-    sign = F.when(F.regexp_extract(plain, offset, 2) == "-", -1).otherwise(1)
-    hours = F.regexp_extract(plain, offset, 3).try_cast("int")
-    minutes = F.coalesce(F.regexp_extract(plain, offset, 4).try_cast("int"), F.lit(0))
-    wall_clock = F.when(plain.rlike(offset), F.regexp_extract(plain, offset, 1)).otherwise(plain)
-    local = F.when(~wall_clock.rlike(r"(?i)\d\s*[a-z_]+(/|$)"), wall_clock).try_cast("timestamp_ntz")
-    shift = F.coalesce(sign * (hours * 60 + minutes), F.lit(0))
-    return local - F.make_dt_interval(mins=shift)
+
+    def group(i: int) -> Column:
+        return F.regexp_extract(trimmed, WITH_OFFSET, i)
+
+    minutes = F.coalesce(group(3).try_cast("int"), F.lit(0)) * 60 + F.coalesce(
+        group(4).try_cast("int"), F.lit(0)
+    )
+    shift = F.make_dt_interval(mins=F.when(group(2) == "-", -minutes).otherwise(minutes))
+    return F.when(trimmed.rlike(ISO_UTC), trimmed.try_cast("timestamp_ntz")).when(
+        trimmed.rlike(WITH_OFFSET), group(1).try_cast("timestamp_ntz") - shift
+    )
 
 
 @lru_cache(maxsize=1)

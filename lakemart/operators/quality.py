@@ -65,15 +65,37 @@ def null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def require_keys(df: DataFrame, unique: Sequence[str], not_null: Sequence[str] = ()) -> None:
-    """Raise when the `unique` columns repeat, or one of `not_null` is null."""
-    if not_null:
-        nulls = null_keys(df, not_null).drop("row_count").first().asDict()
-        if any(nulls.values()):
-            raise QualityError(f"null keys: {nulls}")
-    example = duplicate_keys(df, unique).first()
-    if example is not None:
-        raise QualityError(f"more than one row for a key, such as {example.asDict()}")
+def key_summary(
+    df: DataFrame, unique: Sequence[str], not_null: Sequence[str] = ()
+) -> dict[str, int]:
+    """Rows, most rows of one key, and rows in which each of `not_null` is null; one job."""
+    per_key = df.groupBy(*(F.col(key).alias(key.replace(".", "_")) for key in unique)).agg(
+        F.count(F.lit(1)).alias("_rows"),
+        *(F.count_if(F.col(key).isNull()).alias(f"_null_{i}") for i, key in enumerate(not_null)),
+    )
+    return (
+        per_key.agg(
+            F.coalesce(F.sum("_rows"), F.lit(0)).alias("row_count"),
+            F.coalesce(F.max("_rows"), F.lit(0)).alias("max_rows_per_key"),
+            *(
+                F.coalesce(F.sum(f"_null_{i}"), F.lit(0)).alias(f"null {key}")
+                for i, key in enumerate(not_null)
+            ),
+        )
+        .first()
+        .asDict()
+    )
+
+
+def require_keys(df: DataFrame, unique: Sequence[str], not_null: Sequence[str] = ()) -> int:
+    """Raise when the `unique` columns repeat, or one of `not_null` is null; else the row count."""
+    summary = key_summary(df, unique, not_null)
+    row_count, most = summary.pop("row_count"), summary.pop("max_rows_per_key")
+    if any(summary.values()):
+        raise QualityError(f"null keys: {summary}")
+    if most > 1:
+        raise QualityError(f"{list(unique)} is not unique: one key has {most} rows")
+    return row_count
 
 
 def partition_counts(df: DataFrame, partitions: Sequence[str] = DATE_PARTITIONS) -> DataFrame:

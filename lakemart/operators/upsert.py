@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.operators.quality import QualityError, duplicate_keys
+from lakemart.operators.quality import QualityError, require_keys
 from lakemart.schemas import DATE_PARTITIONS
 from lakemart.sources.tables import (
     exists,
@@ -187,14 +187,9 @@ def stage(
     if replaced is not None:
         replaced.select(*match).distinct().write.mode("overwrite").parquet(staging.replaced)
         gone = spark.read.parquet(staging.replaced)
-    if batch.isEmpty() and (replaced is None or gone.isEmpty()):
+    if require_keys(batch, unique=keys) == 0 and (replaced is None or gone.isEmpty()):
         return None
 
-    flat = batch.select(*(F.col(key).alias(key.replace(".", "_")) for key in keys))
-    example = duplicate_keys(flat, flat.columns).first()
-    if example is not None:
-        raise QualityError(f"the batch has more than one row for a key: {example.asDict()}")
-
     if not table_exists(spark, path):
         write_table(batch, staging.data, partitions)
         return {"create": True}

@@ -24,9 +24,9 @@ from lakemart.plans.marts import (
     orders_mart,
 )
 from lakemart.schemas import DATASETS, Dataset
-from lakemart.session import configure, scratch_path
+from lakemart.session import job_settings, scratch_path
 from lakemart.sources.files import read_rejected, read_source
-from lakemart.sources.tables import read_table, table_exists
+from lakemart.sources.tables import read_table, table_exists, write_table
 
 
 def raw_path(lake: str, name: str) -> str:
@@ -42,58 +42,76 @@ def _dataset(dataset: Dataset | str) -> Dataset:
 
 
 def batch_of(
-    spark: SparkSession, dataset: Dataset, source: str, start: datetime, end: datetime, **options
+    spark: SparkSession,
+    dataset: Dataset,
+    source: str | DataFrame,
+    start: datetime,
+    end: datetime,
+    **options,
 ) -> DataFrame:
     """The typed source rows of one interval with their date partitions."""
-    rows = read_source(spark, dataset, source, **options)
-    return with_date_partitions(in_interval(rows, dataset.time, start, end), dataset.time)
+    if isinstance(source, DataFrame):
+        rows = in_partition_window(source, start, end)
+    else:
+        rows = with_date_partitions(read_source(spark, dataset, source, **options), dataset.time)
+    return in_interval(rows, dataset.time, start, end)
 
 
 def ingest(
     spark: SparkSession,
     dataset: Dataset | str,
-    source: str,
+    source: str | DataFrame,
     lake: str,
     start: datetime,
     end: datetime,
     keep_rejected: bool = False,
     **options,
 ) -> None:
-    """Upsert one interval of a source into its raw table, the newest row of each key."""
-    configure(spark)
+    """Upsert one interval of a source into its raw table, the newest row of each key.
+
+    `source` is the path of the source files, or their typed rows as `land` gives them.
+    """
     dataset = _dataset(dataset)
-    batch = batch_of(spark, dataset, source, start, end, **options)
-    batch = dedup(batch, dataset.keys, [dataset.time])
-    upsert(
-        spark,
-        raw_path(lake, dataset.name),
-        batch,
-        dataset.keys,
-        key_fixes_partition=dataset.key_fixes_partition,
-    )
-    if keep_rejected:
-        # A row without a readable time belongs to no interval, so this is the whole source.
-        rows = read_rejected(spark, dataset, source, **options)
-        rows.write.mode("overwrite").parquet(f"{lake}/rejected/{dataset.name}")
+    with job_settings(spark):
+        batch = batch_of(spark, dataset, source, start, end, **options)
+        upsert(
+            spark,
+            raw_path(lake, dataset.name),
+            dedup(batch, dataset.keys, [dataset.time]),
+            dataset.keys,
+            key_fixes_partition=dataset.key_fixes_partition,
+        )
+        if keep_rejected:
+            # A row without a readable time is of no interval, so this is the whole source.
+            rows = read_rejected(spark, dataset, source, **options)
+            rows.write.mode("overwrite").parquet(f"{lake}/rejected/{dataset.name}")
+
+
+def land(spark: SparkSession, dataset: Dataset | str, source: str, path: str) -> DataFrame:
+    """Type a whole source once and keep it by date, so that intervals read only their days."""
+    dataset = _dataset(dataset)
+    with job_settings(spark):
+        write_table(with_date_partitions(read_source(spark, dataset, source), dataset.time), path)
+        return read_table(spark, path)
 
 
 def check_ingest(
     spark: SparkSession,
     dataset: Dataset | str,
-    source: str,
+    source: str | DataFrame,
     lake: str,
     start: datetime,
     end: datetime,
     **options,
 ) -> None:
     """Raise when a key of the interval is in the source but not in the raw table."""
-    configure(spark)
     dataset = _dataset(dataset)
-    table = read_raw(spark, lake, dataset.name)
-    if dataset.key_fixes_partition:
-        table = in_partition_window(table, start, end)
-    batch = batch_of(spark, dataset, source, start, end, **options)
-    require_complete(batch, table, dataset.keys)
+    with job_settings(spark):
+        table = read_raw(spark, lake, dataset.name)
+        if dataset.key_fixes_partition:
+            table = in_partition_window(table, start, end)
+        batch = batch_of(spark, dataset, source, start, end, **options)
+        require_complete(batch, table, dataset.keys)
 
 
 def read_raw(spark: SparkSession, lake: str, name: str) -> DataFrame:
@@ -105,12 +123,9 @@ def read_raw(spark: SparkSession, lake: str, name: str) -> DataFrame:
     return with_date_partitions(spark.createDataFrame([], dataset.schema), dataset.time)
 
 
-def rows_of_interval(
-    spark: SparkSession, lake: str, name: str, start: datetime, end: datetime
-) -> DataFrame:
+def _rows_of_interval(raw: DataFrame, name: str, start: datetime, end: datetime) -> DataFrame:
     """Raw rows of [start, end); the partition filter prunes, the time filter is exact."""
-    rows = in_partition_window(read_raw(spark, lake, name), start, end)
-    return in_interval(rows, DATASETS[name].time, start, end)
+    return in_interval(in_partition_window(raw, start, end), DATASETS[name].time, start, end)
 
 
 def build_marts(
@@ -128,68 +143,69 @@ def build_marts(
     how far before the interval the history is read; set it only where no order lives
     longer, since an older event would be missed.
     """
-    configure(spark)
-    new_orders = rows_of_interval(spark, lake, "orders", start, end)
-    new_statuses = rows_of_interval(spark, lake, "order_statuses", start, end)
-
-    # The touched ids are used by every mart, so they are written once and read back.
-    scratch = scratch_path(spark, "touched")
-    ids = (
-        new_orders.select("order_id", F.lit(1).alias("by_order"), F.lit(0).alias("by_status"))
-        .unionAll(
-            new_statuses.select("order_id", F.lit(0).alias("by_order"), F.lit(1).alias("by_status"))
+    with job_settings(spark):
+        raw = {name: read_raw(spark, lake, name) for name in DATASETS}
+        new = {
+            name: _rows_of_interval(raw[name], name, start, end)
+            for name in ("orders", "order_statuses")
+        }
+        # The touched ids serve every mart, so they are written once and read back.
+        scratch = scratch_path(spark, "touched")
+        ids = [
+            rows.select("order_id", F.lit(name == "orders").alias("by_order"))
+            for name, rows in new.items()
+        ]
+        ids[0].unionAll(ids[1]).groupBy("order_id").agg(
+            F.bool_or("by_order").alias("by_order"),
+            F.bool_or(~F.col("by_order")).alias("by_status"),
+        ).write.parquet(scratch)
+        ids = spark.read.parquet(scratch)
+        touched = ids.select("order_id")
+        by_order = ids.where("by_order").select("order_id")
+        by_status = ids.where("by_status").select("order_id")
+
+        def history(name: str, of: DataFrame) -> DataFrame:
+            rows = raw[name]
+            if lookback is not None:
+                rows = in_partition_window(rows, start - lookback, datetime.max)
+            return rows.join(of, "order_id", "left_semi")
+
+        orders = orders_mart(
+            history("orders", touched),
+            history("order_statuses", touched),
+            raw["consumers"],
+            raw["restaurants"],
+            salt=salt,
+            heavy_customers=heavy_keys(new["orders"], "customer_id"),
+            heavy_merchants=heavy_keys(new["orders"], "merchant_id"),
         )
-        .groupBy("order_id")
-        .agg(F.max("by_order").alias("by_order"), F.max("by_status").alias("by_status"))
-    )
-    ids.write.parquet(scratch)
-    touched = spark.read.parquet(scratch)
-    by_order = touched.where("by_order = 1").select("order_id")
-    by_status = touched.where("by_status = 1").select("order_id")
-    touched = touched.select("order_id")
-
-    def history(name: str, of: DataFrame) -> DataFrame:
-        rows = read_raw(spark, lake, name)
-        if lookback is not None:
-            rows = in_partition_window(rows, start - lookback, datetime.max)
-        return rows.join(of, "order_id", "left_semi")
-
-    orders = orders_mart(
-        history("orders", touched),
-        history("order_statuses", touched),
-        read_raw(spark, lake, "consumers"),
-        read_raw(spark, lake, "restaurants"),
-        salt=salt,
-        heavy_customers=heavy_keys(new_orders, "customer_id"),
-        heavy_merchants=heavy_keys(new_orders, "merchant_id"),
-    )
-    items = order_items_mart(history("orders", by_order))
-    statuses = order_statuses_mart(history("order_statuses", by_status))
-    times = order_status_times_mart(history("order_statuses", by_status))
-
-    for name, mart, keys, replaced in (
-        ("orders", orders, ["order_id"], touched),
-        ("order_items", items, ["order_id", "item.sequence"], by_order),
-        ("order_statuses", statuses, ["order_id", "part"], by_status),
-        ("order_status_times", times, ["order_id"], by_status),
-    ):
-        path = trusted_path(lake, name)
-        # Old rows go by order: an item that a newer version no longer has goes with them.
-        upsert(spark, path, mart, keys, replaced=replaced, replaced_keys=["order_id"])
-        if validate and table_exists(spark, path):
-            written = read_table(spark, path).join(replaced, "order_id", "left_semi")
-            require_keys(written, unique=keys, not_null=["order_id"])
+        items = order_items_mart(history("orders", by_order))
+        statuses = order_statuses_mart(history("order_statuses", by_status))
+        times = order_status_times_mart(history("order_statuses", by_status))
+
+        for name, mart, keys, replaced in (
+            ("orders", orders, ["order_id"], touched),
+            ("order_items", items, ["order_id", "item.sequence"], by_order),
+            ("order_statuses", statuses, ["order_id", "part"], by_status),
+            ("order_status_times", times, ["order_id"], by_status),
+        ):
+            path = trusted_path(lake, name)
+            # Old rows go by order: an item a newer version no longer has goes with them.
+            upsert(spark, path, mart, keys, replaced=replaced, replaced_keys=["order_id"])
+            if validate and table_exists(spark, path):
+                written = read_table(spark, path).join(replaced, "order_id", "left_semi")
+                require_keys(written, unique=keys, not_null=["order_id"])
 
 
 def run_interval(
     spark: SparkSession,
-    sources: Mapping[str, str],
+    sources: Mapping[str, str | DataFrame],
     lake: str,
     start: datetime,
     end: datetime,
     **mart_options,
 ) -> None:
-    """Ingest and check every dataset, then build the marts, for one interval."""
+    """Ingest every dataset, check each against its source, and build the marts."""
     for name, source in sources.items():
         ingest(spark, name, source, lake, start, end)
         check_ingest(spark, name, source, lake, start, end)
@@ -205,6 +221,16 @@ def backfill(
     step: str | timedelta = "year",
     **mart_options,
 ) -> None:
-    """Run consecutive half-open intervals in order; the same tables as one long interval."""
+    """Run consecutive half-open intervals in order; the same tables as one long interval.
+
+    The source files are read twice in all, however many intervals there are: once to land
+    their rows by date, and once more for the check of the whole span against the files.
+    """
+    scratch = scratch_path(spark, "landed")
+    landed = {name: land(spark, name, path, f"{scratch}/{name}") for name, path in sources.items()}
     for interval_start, interval_end in intervals(start, stop, step):
-        run_interval(spark, sources, lake, interval_start, interval_end, **mart_options)
+        for name, rows in landed.items():
+            ingest(spark, name, rows, lake, interval_start, interval_end)
+        build_marts(spark, lake, interval_start, interval_end, **mart_options)
+    for name, path in sources.items():
+        check_ingest(spark, name, path, lake, start, stop)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -15,19 +17,34 @@ SKEW_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+# Partition values are strings: without inference a table is listed once, not twice.
 JOB_SETTINGS = {
     **SKEW_SETTINGS,
-    "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }
 
 
-def configure(spark: SparkSession, settings: dict[str, str] = JOB_SETTINGS) -> SparkSession:
+def configure(spark: SparkSession, settings: dict[str, str] = SKEW_SETTINGS) -> SparkSession:
     for key, value in settings.items():
         spark.conf.set(key, value)
     return spark
 
 
+@contextmanager
+def job_settings(spark: SparkSession) -> Iterator[None]:
+    """The settings of a job while it runs; the session gets its own back afterwards."""
+    before = {key: spark.conf.get(key, None) for key in JOB_SETTINGS}
+    configure(spark, JOB_SETTINGS)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors see; a local temporary one only on a local master."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
