@@ -38,7 +38,8 @@ def latest(
             for field in df.schema
             if field.name not in {*keys, *order} and not isinstance(field.dataType, UNORDERED)
         ]
-    newest_first = [F.col(name).desc_nulls_last() for name in [*order, *tie_breakers]]
+    # A frame of nothing but keys has equal rows per key, so any order will do.
+    newest_first = [F.col(name).desc_nulls_last() for name in [*order, *tie_breakers] or keys]
     window = W.partitionBy(*keys).orderBy(*newest_first)
     return (
         df.withColumn("_place", F.row_number().over(window)).where("_place = 1").drop("_place")

@@ -15,18 +15,23 @@ class QualityError(Exception):
     """A table does not hold what it should."""
 
 
-def missing_keys(source: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Distinct source keys the table does not have; null equals null.
+def _sides(source: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Every key once, with whether the source and the table have it.
 
-    Both sides are reduced to distinct keys first, so a key with many rows costs one row
-    per task, and the join reuses the partitioning of the two distincts.
+    Grouping takes null as equal to null, needs one shuffle for both sides, and a key with
+    many rows sends one row per task.
     """
-    wanted = source.select(*keys).distinct()
-    present = table.select(*(F.col(k).alias(f"_has_{i}") for i, k in enumerate(keys))).distinct()
-    same = F.lit(True)
-    for i, key in enumerate(keys):
-        same = same & F.col(key).eqNullSafe(F.col(f"_has_{i}"))
-    return wanted.join(present, same, "left_anti")
+    both = source.select(*keys, F.lit(True).alias("in_source")).unionAll(
+        table.select(*keys, F.lit(False).alias("in_source"))
+    )
+    return both.groupBy(*keys).agg(
+        F.bool_or("in_source").alias("in_source"), F.bool_or(~F.col("in_source")).alias("in_table")
+    )
+
+
+def missing_keys(source: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Distinct source keys the table does not have: an anti join of the keys, null safe."""
+    return _sides(source, table, keys).where("in_source AND NOT in_table").select(*keys)
 
 
 def require_complete(source: DataFrame, table: DataFrame, keys: Sequence[str]) -> None:
@@ -37,16 +42,12 @@ def require_complete(source: DataFrame, table: DataFrame, keys: Sequence[str]) -
 
 def id_counts(source: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row: distinct keys in the source, in the table, in both, and in only one of them."""
-    sides = source.select(*keys, F.lit(1).alias("_s"), F.lit(0).alias("_t")).unionAll(
-        table.select(*keys, F.lit(0).alias("_s"), F.lit(1).alias("_t"))
-    )
-    per_key = sides.groupBy(*keys).agg(F.max("_s").alias("_s"), F.max("_t").alias("_t"))
-    return per_key.agg(
-        F.count_if(F.col("_s") == 1).alias("source_ids"),
-        F.count_if(F.col("_t") == 1).alias("table_ids"),
-        F.count_if((F.col("_s") == 1) & (F.col("_t") == 1)).alias("common_ids"),
-        F.count_if(F.col("_t") == 0).alias("missing_ids"),
-        F.count_if(F.col("_s") == 0).alias("unexpected_ids"),
+    return _sides(source, table, keys).agg(
+        F.count_if("in_source").alias("source_ids"),
+        F.count_if("in_table").alias("table_ids"),
+        F.count_if(F.expr("in_source AND in_table")).alias("common_ids"),
+        F.count_if(F.expr("NOT in_table")).alias("missing_ids"),
+        F.count_if(F.expr("NOT in_source")).alias("unexpected_ids"),
     )
 
 

@@ -67,10 +67,12 @@ def status_pivot(
     time: str = "created_at",
     events: Sequence[str] = STATUS_EVENTS,
 ) -> DataFrame:
-    """One row per order with the last time of each event, null where it never happened.
+    """One row per order with the last time of each event, null where it never happened,
+    and the first instant of any event as `date_partition`.
 
     A fixed set of maxima is a partial aggregate, so a busy order costs one row per task.
     """
     return statuses.groupBy(key).agg(
-        *(F.max(F.when(F.col(event) == name, F.col(time))).alias(name.lower()) for name in events)
+        *(F.max(F.when(F.col(event) == name, F.col(time))).alias(name.lower()) for name in events),
+        F.min(time).alias("date_partition"),
     )

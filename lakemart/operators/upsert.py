@@ -12,7 +12,7 @@ import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemart.operators.quality import QualityError, require_keys
@@ -28,20 +28,17 @@ from lakemart.sources.tables import (
 )
 
 
-def _same(left: Sequence[Column], right: Sequence[Column]) -> Column:
-    condition = F.lit(True)
-    for a, b in zip(left, right, strict=True):
-        condition = condition & a.eqNullSafe(b)
-    return condition
+def _by_keys(df: DataFrame, of: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Semi or anti join of `df` with the keys of `of`; null matches null.
 
-
-def _key_frame(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Distinct keys under neutral names; a key may be a nested field such as item.sequence."""
-    return df.select(*(F.col(key).alias(f"_key_{i}") for i, key in enumerate(keys))).distinct()
-
-
-def _on_keys(keys: Sequence[str]) -> Column:
-    return _same([F.col(key) for key in keys], [F.col(f"_key_{i}") for i in range(len(keys))])
+    A key may be a nested field such as item.sequence. Nothing sits between the shuffles
+    and this join, so the adaptive skew split can work on a key with many rows in `df`.
+    """
+    same = F.lit(True)
+    for i, key in enumerate(keys):
+        same = same & F.col(key).eqNullSafe(F.col(f"_key_{i}"))
+    listed = of.select(*(F.col(key).alias(f"_key_{i}") for i, key in enumerate(keys)))
+    return df.join(listed, same, how)
 
 
 def merged(
@@ -55,8 +52,8 @@ def merged(
     `replaced` names the keys whose old rows go; by default those of the source. Nulls in
     a key match each other.
     """
-    gone = _key_frame(source if replaced is None else replaced, keys)
-    return target.join(gone, _on_keys(keys), "left_anti").unionByName(source)
+    gone = source if replaced is None else replaced
+    return _by_keys(target, gone, keys, "left_anti").unionByName(source)
 
 
 @dataclass(frozen=True)
@@ -184,9 +181,11 @@ def stage(
     source.write.mode("overwrite").parquet(staging.source)
     batch = spark.read.schema(source.schema).parquet(staging.source)
     gone = batch
-    if replaced is not None:
-        replaced.select(*match).distinct().write.mode("overwrite").parquet(staging.replaced)
-        gone = spark.read.parquet(staging.replaced)
+    if replaced is not None or match != list(keys):
+        # Fewer key columns than the unique ones repeat; one row per key is kept on disk.
+        ids = (batch if replaced is None else replaced).select(*match).distinct()
+        ids.write.mode("overwrite").parquet(staging.replaced)
+        gone = spark.read.schema(ids.schema).parquet(staging.replaced)
     if require_keys(batch, unique=keys) == 0 and (replaced is None or gone.isEmpty()):
         return None
 
@@ -200,7 +199,7 @@ def stage(
         raise QualityError(f"table and batch differ in columns: {differing}")
     touched = batch.select(*partitions)
     if not (key_fixes_partition and replaced is None):
-        hit = target.join(_key_frame(gone, match), _on_keys(match), "left_semi")
+        hit = _by_keys(target, gone, match, "left_semi")
         touched = touched.unionByName(hit.select(*partitions))
     # At most one row per partition folder of the table, a list the scan itself plans with.
     folders = [partition_path(row, partitions) for row in touched.distinct().collect()]
@@ -221,7 +220,7 @@ def upsert(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str
     keys                 unique in the source, may name nested fields
     partitions           partition columns of the table
     replaced             frame of keys whose old rows go (default: those of the source)
-    replaced_keys        the key columns of `replaced`, when fewer than `keys`
+    replaced_keys        the key columns of `replaced`, when fewer than `keys` (no nested fields)
     key_fixes_partition  a key never changes partition, so the table need not be searched
 
     An empty source leaves the table alone. Running the same upsert again changes nothing.

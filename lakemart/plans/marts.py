@@ -89,6 +89,4 @@ def order_status_times_mart(
     statuses: DataFrame, events: Sequence[str] = STATUS_EVENTS
 ) -> DataFrame:
     """One row per order with one time column per event, on the date of the first one."""
-    first = statuses.groupBy("order_id").agg(F.min("created_at").alias("date_partition"))
-    times = status_pivot(statuses, events=events)
-    return with_date_partitions(times.join(first, "order_id"), "date_partition")
+    return with_date_partitions(status_pivot(statuses, events=events), "date_partition")

@@ -12,8 +12,8 @@ from lakemart.operators.joins import heavy_keys
 from lakemart.plans import marts
 from lakemart.registry import adapters
 from lakemart.registry.catalog import query
-from lakemart.registry.transforms import ITEMS_TYPE, TIMELINE_TEXT_SQL, ZONE_SQL, timeline_text
-from lakemart.schemas import DATE_PARTITIONS
+from lakemart.registry.transforms import TIMELINE_TEXT_SQL, ZONE_SQL, timeline_text
+from lakemart.schemas import DATE_PARTITIONS, ITEMS
 
 DATE_SQL = """strftime({t}, '%Y') AS year_partition, strftime({t}, '%m') AS month_partition,
            strftime({t}, '%d') AS day_partition"""
@@ -101,7 +101,7 @@ def orders_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def order_items_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = adapters.item_orders(spark, sf_dir).select(
-        "order_id", "order_created_at", F.from_json("items", ITEMS_TYPE).alias("items")
+        "order_id", "order_created_at", F.from_json("items", ITEMS).alias("items")
     )
     return marts.order_items_mart(orders).select(
         "order_id",

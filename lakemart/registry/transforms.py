@@ -30,9 +30,7 @@ from lakemart.operators.upsert import merged
 from lakemart.registry import adapters
 from lakemart.registry.adapters import table, text
 from lakemart.registry.catalog import query
-from lakemart.schemas import ORDERS_DDL
-
-ITEMS_TYPE = T.StructType.fromDDL(ORDERS_DDL)["items"].dataType
+from lakemart.schemas import ITEMS
 
 
 @query(
@@ -102,7 +100,7 @@ def dedup_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def dedup_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = adapters.item_orders(spark, sf_dir).select(
-        "order_id", F.from_json("items", ITEMS_TYPE).alias("items")
+        "order_id", F.from_json("items", ITEMS).alias("items")
     )
     items = explode_items(orders).withColumn("item_sequence", F.col("item.sequence"))
     return dedup(items, ["order_id", "item_sequence"]).select(
@@ -198,7 +196,7 @@ def json_items_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line 7 of an order is cut short, so its text is no JSON any more and gives null."""
     raw = adapters.item_orders(spark, sf_dir)
     cut = F.when(F.col("line") == 7, F.expr("substr(items, 1, 1)")).otherwise(F.col("items"))
-    schema = T.StructType([T.StructField("items", ITEMS_TYPE)])
+    schema = T.StructType([T.StructField("items", ITEMS)])
     orders = enforce(raw.withColumn("items", cut), schema)
     first = F.get("items", F.lit(0))
     return orders.select(
@@ -221,7 +219,7 @@ def json_items_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def explode_items_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = adapters.item_orders(spark, sf_dir).select(
-        "order_id", "order_created_at", F.from_json("items", ITEMS_TYPE).alias("items")
+        "order_id", "order_created_at", F.from_json("items", ITEMS).alias("items")
     )
     return explode_items(orders).select(
         "order_id",
@@ -251,7 +249,7 @@ def explode_items_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def explode_garnish_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = adapters.item_orders(spark, sf_dir).select(
-        "order_id", F.from_json("items", ITEMS_TYPE).alias("items")
+        "order_id", F.from_json("items", ITEMS).alias("items")
     )
     return explode_garnish(explode_items(orders)).select(
         "order_id",
@@ -340,7 +338,8 @@ def status_timeline_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
            max(ts) FILTER (WHERE event_type = 'view') AS view,
            max(ts) FILTER (WHERE event_type = 'click') AS click,
            max(ts) FILTER (WHERE event_type = 'purchase') AS purchase,
-           max(ts) FILTER (WHERE event_type = 'never') AS never
+           max(ts) FILTER (WHERE event_type = 'never') AS never,
+           min(ts) AS date_partition
     FROM events GROUP BY user_id
     """
 )

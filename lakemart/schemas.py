@@ -8,98 +8,108 @@ from pyspark.sql import types as T
 
 DATE_PARTITIONS = ("year_partition", "month_partition", "day_partition")
 
+STRING, NUMBER, INTEGER = T.StringType(), T.DoubleType(), T.IntegerType()
+BOOLEAN, TIME = T.BooleanType(), T.TimestampNTZType()
+
+
+def columns(*named: tuple[str, T.DataType]) -> T.StructType:
+    return T.StructType([T.StructField(name, dtype) for name, dtype in named])
+
+
 # The names and types of the source files, the status events and the
-# partition columns are given by the data, so they are stated here as they are.
-
-MONEY = "struct<value: string, currency: string>"
-
-GARNISH_ITEM = f"""struct<
-    name: string,
-    addition: {MONEY},
-    discount: {MONEY},
-    quantity: double,
-    sequence: int,
-    unitPrice: {MONEY},
-    categoryId: string,
-    externalId: string,
-    totalValue: {MONEY},
-    categoryName: string,
-    integrationId: string
->"""
-
-ITEM = f"""struct<
-    name: string,
-    addition: {MONEY},
-    discount: {MONEY},
-    quantity: double,
-    sequence: int,
-    unitPrice: {MONEY},
-    externalId: string,
-    totalValue: {MONEY},
-    customerNote: string,
-    garnishItems: array<{GARNISH_ITEM}>,
-    integrationId: string,
-    totalAddition: {MONEY},
-    totalDiscount: {MONEY}
->"""
+# sensitive columns are given by the data, so they are stated here as they are.
+
+MONEY = columns(("value", STRING), ("currency", STRING))
+
+GARNISH_ITEM = columns(
+    ("name", STRING),
+    ("addition", MONEY),
+    ("discount", MONEY),
+    ("quantity", NUMBER),
+    ("sequence", INTEGER),
+    ("unitPrice", MONEY),
+    ("categoryId", STRING),
+    ("externalId", STRING),
+    ("totalValue", MONEY),
+    ("categoryName", STRING),
+    ("integrationId", STRING),
+)
+
+ITEM = columns(
+    ("name", STRING),
+    ("addition", MONEY),
+    ("discount", MONEY),
+    ("quantity", NUMBER),
+    ("sequence", INTEGER),
+    ("unitPrice", MONEY),
+    ("externalId", STRING),
+    ("totalValue", MONEY),
+    ("customerNote", STRING),
+    ("garnishItems", T.ArrayType(GARNISH_ITEM)),
+    ("integrationId", STRING),
+    ("totalAddition", MONEY),
+    ("totalDiscount", MONEY),
+)
+
+ITEMS = T.ArrayType(ITEM)
 
 # Coordinates are double: typed as long they would lose their decimals.
-ORDERS_DDL = f"""
-    cpf string,
-    customer_id string,
-    customer_name string,
-    delivery_address_city string,
-    delivery_address_country string,
-    delivery_address_district string,
-    delivery_address_external_id string,
-    delivery_address_latitude double,
-    delivery_address_longitude double,
-    delivery_address_state string,
-    delivery_address_zip_code string,
-    items array<{ITEM}>,
-    merchant_id string,
-    merchant_latitude double,
-    merchant_longitude double,
-    merchant_timezone string,
-    order_created_at timestamp_ntz,
-    order_id string,
-    order_scheduled boolean,
-    order_scheduled_date timestamp_ntz,
-    order_total_amount double,
-    origin_platform string
-"""
-
-ORDER_STATUSES_DDL = """
-    created_at timestamp_ntz,
-    order_id string,
-    status_id string,
-    value string
-"""
-
-RESTAURANTS_DDL = """
-    id string,
-    created_at timestamp_ntz,
-    enabled boolean,
-    price_range string,
-    average_ticket double,
-    takeout_time string,
-    delivery_time string,
-    minimum_order_value double,
-    merchant_zip_code string,
-    merchant_city string,
-    merchant_state string,
-    merchant_country string
-"""
-
-CONSUMERS_DDL = """
-    customer_id string,
-    language string,
-    created_at timestamp_ntz,
-    active boolean,
-    customer_name string,
-    customer_phone_area string,
-    customer_phone_number string
-"""
+ORDERS = columns(
+    ("cpf", STRING),
+    ("customer_id", STRING),
+    ("customer_name", STRING),
+    ("delivery_address_city", STRING),
+    ("delivery_address_country", STRING),
+    ("delivery_address_district", STRING),
+    ("delivery_address_external_id", STRING),
+    ("delivery_address_latitude", NUMBER),
+    ("delivery_address_longitude", NUMBER),
+    ("delivery_address_state", STRING),
+    ("delivery_address_zip_code", STRING),
+    ("items", ITEMS),
+    ("merchant_id", STRING),
+    ("merchant_latitude", NUMBER),
+    ("merchant_longitude", NUMBER),
+    ("merchant_timezone", STRING),
+    ("order_created_at", TIME),
+    ("order_id", STRING),
+    ("order_scheduled", BOOLEAN),
+    ("order_scheduled_date", TIME),
+    ("order_total_amount", NUMBER),
+    ("origin_platform", STRING),
+)
+
+ORDER_STATUSES = columns(
+    ("created_at", TIME),
+    ("order_id", STRING),
+    ("status_id", STRING),
+    ("value", STRING),
+)
+
+RESTAURANTS = columns(
+    ("id", STRING),
+    ("created_at", TIME),
+    ("enabled", BOOLEAN),
+    ("price_range", STRING),
+    ("average_ticket", NUMBER),
+    ("takeout_time", STRING),
+    ("delivery_time", STRING),
+    ("minimum_order_value", NUMBER),
+    ("merchant_zip_code", STRING),
+    ("merchant_city", STRING),
+    ("merchant_state", STRING),
+    ("merchant_country", STRING),
+)
+
+CONSUMERS = columns(
+    ("customer_id", STRING),
+    ("language", STRING),
+    ("created_at", TIME),
+    ("active", BOOLEAN),
+    ("customer_name", STRING),
+    ("customer_phone_area", STRING),
+    ("customer_phone_number", STRING),
+)
 
 STATUS_EVENTS = ("CONCLUDED", "REGISTERED", "CANCELLED", "PLACED")
 
@@ -118,14 +128,10 @@ class Dataset:
 
     name: str
     format: str
-    ddl: str
+    schema: T.StructType
     keys: tuple[str, ...]
     time: str
 
-    @property
-    def schema(self) -> T.StructType:
-        return T.StructType.fromDDL(self.ddl)
-
     @property
     def key_fixes_partition(self) -> bool:
         """A key that holds the time column can never move to another date partition."""
@@ -135,15 +141,15 @@ class Dataset:
 DATASETS = {
     dataset.name: dataset
     for dataset in (
-        Dataset("orders", "json", ORDERS_DDL, ("order_id", "order_created_at"), "order_created_at"),
+        Dataset("orders", "json", ORDERS, ("order_id", "order_created_at"), "order_created_at"),
         Dataset(
             "order_statuses",
             "json",
-            ORDER_STATUSES_DDL,
+            ORDER_STATUSES,
             ("order_id", "status_id", "created_at"),
             "created_at",
         ),
-        Dataset("restaurants", "csv", RESTAURANTS_DDL, ("id",), "created_at"),
-        Dataset("consumers", "csv", CONSUMERS_DDL, ("customer_id",), "created_at"),
+        Dataset("restaurants", "csv", RESTAURANTS, ("id",), "created_at"),
+        Dataset("consumers", "csv", CONSUMERS, ("customer_id",), "created_at"),
     )
 }
