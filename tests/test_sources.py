@@ -1,0 +1,167 @@
+import gzip
+import json
+import os
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import plan_of
+from lakemart.functions.dates import in_partition_window, with_date_partitions
+from lakemart.schemas import DATASETS, Dataset
+from lakemart.session import scratch_path, shared_dir
+from lakemart.sources.files import read_rejected, read_source, read_text
+from lakemart.sources.tables import read_table, table_exists, table_files, write_table
+
+STATUSES = DATASETS["order_statuses"]
+CONSUMERS = DATASETS["consumers"]
+HEADER = "language,customer_id,created_at,active,customer_name,customer_phone_area,customer_phone_number"
+
+
+def write(path, *lines):
+    path.parent.mkdir(parents=True, exist_ok=True)
+    text = "".join(f"{line}\n" for line in lines)
+    if path.suffix == ".gz":
+        path.write_bytes(gzip.compress(text.encode()))
+    else:
+        path.write_text(text)
+    return str(path)
+
+
+def status(**values):
+    return json.dumps({"order_id": "o", "status_id": "s", "value": "PLACED", "created_at": "2018-01-01T00:00:00Z", **values})
+
+
+@pytest.mark.parametrize("name", ["s.json", "s.json.gz"])
+def test_json_lines(spark, tmp_path, rows, name):
+    path = write(
+        tmp_path / name,
+        status(),
+        status(order_id=7, extra=1),
+        status(created_at="soon"),
+        status(status_id=None),
+        "{not json",
+    )
+    good = read_source(spark, STATUSES, path)
+    assert good.schema.names == STATUSES.schema.names
+    assert [f.dataType for f in good.schema] == [f.dataType for f in STATUSES.schema]
+    assert rows(good, "order_id") == [("7",), ("o",)]
+    bad = read_rejected(spark, STATUSES, path).orderBy("reject_reasons").collect()
+    assert [row.reject_reasons for row in bad] == [
+        "created_at:unreadable",
+        "order_id:null,status_id:null,created_at:null",
+        "status_id:null",
+    ]
+    assert bad[1]._corrupt_record == "{not json" and bad[0].created_at == "soon"
+
+
+def test_undeclared_json_columns_pass_on_request(spark, tmp_path, rows):
+    path = write(tmp_path / "s.json", status(extra=1), status(order_id="p"))
+    assert "extra" not in read_text(spark, STATUSES, path).columns
+    assert rows(read_source(spark, STATUSES, path, undeclared=True), "order_id", "extra") == [
+        ("o", "1"), ("p", None)
+    ]
+
+
+def test_nested_items_come_as_text_or_as_json(spark, tmp_path):
+    items = [{"sequence": 1, "unitPrice": {"value": "5", "currency": "BRL"}, "garnishItems": [{"name": "g"}]}]
+    order = {"order_id": "1", "order_created_at": "2018-01-01T00:00:00Z", "delivery_address_latitude": "-23.56"}
+    path = write(
+        tmp_path / "o.json",
+        json.dumps({**order, "items": json.dumps(items)}),
+        json.dumps({**order, "items": items}),
+    )
+    for row in read_source(spark, DATASETS["orders"], path).collect():
+        item = row["items"][0]
+        assert (item.sequence, item.unitPrice.value, item.garnishItems[0].name) == (1, "5", "g")
+        assert row.delivery_address_latitude == -23.56
+
+
+def test_csv_files_each_with_a_header(spark, tmp_path, rows):
+    for i, name in enumerate(["a.csv.gz", "b.csv.gz"]):
+        write(
+            tmp_path / "c" / name,
+            HEADER,
+            f'pt,{i},2018-01-01T10:00:00Z,true,"Silva, ""Ana""",11,99',
+            f"pt,{i}9,never,true,x,11,99",
+        )
+    path = str(tmp_path / "c")
+    good = read_source(spark, CONSUMERS, path)
+    assert good.schema.names == CONSUMERS.schema.names
+    assert rows(good, "customer_id", "customer_name", "active") == [
+        ("0", 'Silva, "Ana"', True), ("1", 'Silva, "Ana"', True)
+    ]
+    assert rows(read_rejected(spark, CONSUMERS, path), "customer_id") == [("09",), ("19",)]
+
+
+def test_csv_with_line_breaks_and_other_columns(spark, tmp_path, rows):
+    path = write(tmp_path / "c.csv", f"{HEADER},extra", 'pt,1,2018-01-01,true,"two\nlines",11,99,more')
+    people = read_source(spark, CONSUMERS, path, multiline=True, undeclared=True)
+    assert rows(people, "customer_name", "extra") == [("two\nlines", "more")]
+
+
+def test_empty_csv(spark, tmp_path):
+    people = read_source(spark, CONSUMERS, write(tmp_path / "c.csv"))
+    assert people.schema.names == CONSUMERS.schema.names and people.isEmpty()
+    assert read_source(spark, CONSUMERS, write(tmp_path / "d.csv", HEADER)).isEmpty()
+
+
+def test_unknown_format(spark):
+    odd = Dataset("x", "xml", STATUSES.schema, ("order_id",), "created_at")
+    with pytest.raises(ValueError, match="xml"):
+        read_text(spark, odd, "nowhere")
+
+
+def test_registry():
+    assert {name: (d.format, d.keys, d.time) for name, d in DATASETS.items()} == {
+        "orders": ("json", ("order_id", "order_created_at"), "order_created_at"),
+        "order_statuses": ("json", ("order_id", "status_id", "created_at"), "created_at"),
+        "restaurants": ("csv", ("id",), "created_at"),
+        "consumers": ("csv", ("customer_id",), "created_at"),
+    }
+    assert [len(d.schema) for d in DATASETS.values()] == [22, 4, 12, 7]
+    assert [d.key_fixes_partition for d in DATASETS.values()] == [True, True, False, False]
+
+
+def days(spark, n=4000):
+    df = spark.range(0, n, 1, 8).select(
+        "id",
+        F.timestamp_add("HOUR", (F.col("id") % 72).cast("int"), F.lit("2018-01-01").cast("timestamp_ntz")).alias("t"),
+    )
+    return with_date_partitions(df, "t")
+
+
+@pytest.mark.parametrize("inference", ["true", "false"])
+def test_table_roundtrip_keeps_partition_strings(spark, tmp_path, conf, rows, inference):
+    conf(spark__sql__sources__partitionColumnTypeInference__enabled=inference)
+    conf(spark__sql__maxMetadataStringLength="10000")
+    path = str(tmp_path / "t")
+    assert not table_exists(spark, path)
+    write_table(days(spark), path)
+    assert table_exists(spark, path)
+    table = read_table(spark, path)
+    assert rows(table.select("year_partition", "month_partition", "day_partition").distinct()) == [
+        ("2018", "01", "01"), ("2018", "01", "02"), ("2018", "01", "03")
+    ]
+    assert rows(table, *days(spark).columns) == rows(days(spark))
+    window = in_partition_window(table, datetime(2018, 1, 2), datetime(2018, 1, 3))
+    scan = [line for line in plan_of(window).splitlines() if "FileScan" in line][0]
+    assert "make_date" in scan.split("PartitionFilters: ")[1].split("PushedFilters")[0]
+    assert window.count() == days(spark).where("day_partition = '02'").count() > 0
+
+
+def test_few_files_per_partition(spark, tmp_path):
+    path = str(tmp_path / "t")
+    days(spark).write.partitionBy("day_partition").parquet(str(tmp_path / "plain"))
+    plain = sum(len(files) for _, _, files in os.walk(tmp_path / "plain"))
+    write_table(days(spark), path)
+    files = table_files(read_table(spark, path)).collect()
+    assert len(files) == 3 and all(row.files == 1 for row in files) and plain > 24
+    assert sum(row.row_count for row in files) == 4000 and all(row.bytes > 0 for row in files)
+
+
+def test_scratch_is_below_the_configured_folder(spark, conf):
+    configured = spark.conf.get("spark.checkpoint.dir")
+    assert shared_dir(spark) == configured
+    one, two = scratch_path(spark, "x"), scratch_path(spark, "x")
+    assert one != two and one.startswith(configured)
