@@ -47,29 +47,26 @@ def in_partition_window(df: DataFrame, start: datetime, end: datetime) -> DataFr
     return df.where((day >= F.lit(start.date())) & (day <= F.lit(last)))
 
 
-# The common forms, which need no look at an offset.
-ISO_UTC = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?Z?)?$"
-# Any other form: the wall clock, and after it nothing, a UTC mark, or an offset in hours.
-WITH_OFFSET = r"(?i)^(.*?\d)\s*(?:z|utc|gmt)?(?:(?<=:\d\d|\.\d{1,9}|utc|gmt|\s)([+-])(\d{1,2}):?(\d{2})?)?$"
+# A date with perhaps a time of day, and nothing after it that could name a zone.
+WITHOUT_ZONE = r"^\d{4}-[\d-]*([T ][\d:.]*)?$"
+# Text of a time of day alone would be read as of today; it has to start with a date.
+STARTS_WITH_DATE = r"^\d{4}-\d"
 
 
 def parse_utc(text: Column) -> Column:
-    """Text to a zone-free UTC timestamp; text without an offset is taken as UTC.
+    """Text to a zone-free UTC timestamp; text that names no zone is taken as UTC.
 
-    Text that does not parse, or names its zone in another way, becomes null. The session
-    time zone plays no part.
+    Text that does not parse becomes null. The session time zone plays no part: it is only
+    asked for when the text has no zone of its own, and then the zone-free type is used.
     """
     trimmed = F.trim(text)
-
-    def group(i: int) -> Column:
-        return F.regexp_extract(trimmed, WITH_OFFSET, i)
-
-    minutes = F.coalesce(group(3).try_cast("int"), F.lit(0)) * 60 + F.coalesce(
-        group(4).try_cast("int"), F.lit(0)
-    )
-    shift = F.make_dt_interval(mins=F.when(group(2) == "-", -minutes).otherwise(minutes))
-    return F.when(trimmed.rlike(ISO_UTC), trimmed.try_cast("timestamp_ntz")).when(
-        trimmed.rlike(WITH_OFFSET), group(1).try_cast("timestamp_ntz") - shift
+    epoch = F.lit("1970-01-01").cast("timestamp_ntz")
+    marked = F.when(
+        trimmed.endswith("z"), F.regexp_replace(trimmed, r"(\d)z$", "$1Z")
+    ).otherwise(trimmed)
+    instant = F.when(trimmed.rlike(STARTS_WITH_DATE), marked).try_cast("timestamp")
+    return F.when(trimmed.rlike(WITHOUT_ZONE), trimmed.try_cast("timestamp_ntz")).otherwise(
+        F.timestamp_add("MICROSECOND", F.unix_micros(instant), epoch)
     )
 
 

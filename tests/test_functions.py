@@ -92,8 +92,11 @@ def test_parse_utc(spark, conf, zone):
         "2019-01-17 22:50:06 -0330": at + timedelta(hours=3, minutes=30),
         "2019-01-17T22:50:06-03": at + timedelta(hours=3),
         "2019-01-17": datetime(2019, 1, 17),
-        "2019-01-17 22:50:06 America/Sao_Paulo": None,
-        "2019-01-17 22:50:06 PST": None,
+        "2019-01-17 22:50:06 America/Sao_Paulo": at + timedelta(hours=2),
+        "2019-01-17 22:50:06 Not/AZone": None,
+        "1919-01-17T22:50:06Z": at.replace(year=1919),
+        "22:50:06Z": None,
+        "22:50:06": None,
         "2019-13-17": None,
         "yesterday": None,
         "": None,
