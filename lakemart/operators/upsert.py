@@ -41,6 +41,17 @@ def _by_keys(df: DataFrame, of: DataFrame, keys: Sequence[str], how: str) -> Dat
     return df.join(listed, same, how)
 
 
+def _not_older(batch: DataFrame, target: DataFrame, keys: Sequence[str], time: str) -> DataFrame:
+    """The batch rows for whose key the target holds nothing newer."""
+    newer = F.col("_time") > F.col(time)
+    for i, key in enumerate(keys):
+        newer = newer & F.col(key).eqNullSafe(F.col(f"_key_{i}"))
+    held = target.select(
+        F.col(time).alias("_time"), *(F.col(key).alias(f"_key_{i}") for i, key in enumerate(keys))
+    )
+    return batch.join(held, newer, "left_anti")
+
+
 def merged(
     target: DataFrame,
     source: DataFrame,
@@ -168,6 +179,7 @@ def stage(
     replaced: DataFrame | None = None,
     replaced_keys: Sequence[str] | None = None,
     key_fixes_partition: bool = False,
+    newest_by: str | None = None,
 ) -> dict | None:
     """Write the next state of the touched partitions; the table itself stays as it is.
 
@@ -197,6 +209,9 @@ def stage(
     if set(target.columns) != set(source.columns):
         differing = sorted(set(target.columns) ^ set(source.columns))
         raise QualityError(f"table and batch differ in columns: {differing}")
+    if newest_by is not None:
+        batch = _not_older(batch, target, keys, newest_by)
+        gone = batch if replaced is None and match == list(keys) else gone
     touched = batch.select(*partitions)
     if not (key_fixes_partition and replaced is None):
         hit = _by_keys(target, gone, match, "left_semi")
@@ -222,6 +237,7 @@ def upsert(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str
     replaced             frame of keys whose old rows go (default: those of the source)
     replaced_keys        the key columns of `replaced`, when fewer than `keys` (no nested fields)
     key_fixes_partition  a key never changes partition, so the table need not be searched
+    newest_by            time column; a row does not replace one that is newer in the table
 
     An empty source leaves the table alone. Running the same upsert again changes nothing.
     """

@@ -6,9 +6,12 @@ Every job can be run again for the same interval and leaves the same tables.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timedelta
+from functools import partial
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,7 +29,7 @@ from lakemart.plans.marts import (
 from lakemart.schemas import DATASETS, Dataset
 from lakemart.session import job_settings, scratch_path
 from lakemart.sources.files import read_rejected, read_source
-from lakemart.sources.tables import read_table, table_exists, write_table
+from lakemart.sources.tables import drop, read_table, table_exists, write_table
 
 
 def raw_path(lake: str, name: str) -> str:
@@ -41,6 +44,15 @@ def _dataset(dataset: Dataset | str) -> Dataset:
     return DATASETS[dataset] if isinstance(dataset, str) else dataset
 
 
+def _together(spark: SparkSession, steps: Iterable[Callable[[], None]]) -> None:
+    """Run steps that write different tables side by side, so none waits for a free cluster."""
+    steps = list(steps)
+    with ThreadPoolExecutor(max_workers=len(steps)) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]
+    for step in running:
+        step.result()
+
+
 def batch_of(
     spark: SparkSession,
     dataset: Dataset,
@@ -69,6 +81,7 @@ def ingest(
 ) -> None:
     """Upsert one interval of a source into its raw table, the newest row of each key.
 
+    Intervals may come in any order, and again: a newer row of the table is not replaced.
     `source` is the path of the source files, or their typed rows as `land` gives them.
     """
     dataset = _dataset(dataset)
@@ -80,6 +93,8 @@ def ingest(
             dedup(batch, dataset.keys, [dataset.time]),
             dataset.keys,
             key_fixes_partition=dataset.key_fixes_partition,
+            # With the time in the key there is no older version that could come back.
+            newest_by=None if dataset.key_fixes_partition else dataset.time,
         )
         if keep_rejected:
             # A row without a readable time is of no interval, so this is the whole source.
@@ -183,12 +198,7 @@ def build_marts(
         statuses = order_statuses_mart(history("order_statuses", by_status))
         times = order_status_times_mart(history("order_statuses", by_status))
 
-        for name, mart, keys, replaced in (
-            ("orders", orders, ["order_id"], touched),
-            ("order_items", items, ["order_id", "item.sequence"], by_order),
-            ("order_statuses", statuses, ["order_id", "part"], by_status),
-            ("order_status_times", times, ["order_id"], by_status),
-        ):
+        def write(name: str, mart: DataFrame, keys: list[str], replaced: DataFrame) -> None:
             path = trusted_path(lake, name)
             # Old rows go by order: an item a newer version no longer has goes with them.
             upsert(spark, path, mart, keys, replaced=replaced, replaced_keys=["order_id"])
@@ -196,6 +206,17 @@ def build_marts(
                 written = read_table(spark, path).join(replaced, "order_id", "left_semi")
                 require_keys(written, unique=keys, not_null=["order_id"])
 
+        _together(
+            spark,
+            (
+                partial(write, "orders", orders, ["order_id"], touched),
+                partial(write, "order_items", items, ["order_id", "item.sequence"], by_order),
+                partial(write, "order_statuses", statuses, ["order_id", "part"], by_status),
+                partial(write, "order_status_times", times, ["order_id"], by_status),
+            ),
+        )
+        drop(spark, scratch)
+
 
 def run_interval(
     spark: SparkSession,
@@ -206,10 +227,14 @@ def run_interval(
     **mart_options,
 ) -> None:
     """Ingest every dataset, check each against its source, and build the marts."""
-    for name, source in sources.items():
-        ingest(spark, name, source, lake, start, end)
-        check_ingest(spark, name, source, lake, start, end)
-    build_marts(spark, lake, start, end, **mart_options)
+
+    def load(name: str) -> None:
+        ingest(spark, name, sources[name], lake, start, end)
+        check_ingest(spark, name, sources[name], lake, start, end)
+
+    with job_settings(spark):
+        _together(spark, (partial(load, name) for name in sources))
+        build_marts(spark, lake, start, end, **mart_options)
 
 
 def backfill(
@@ -227,10 +252,24 @@ def backfill(
     their rows by date, and once more for the check of the whole span against the files.
     """
     scratch = scratch_path(spark, "landed")
-    landed = {name: land(spark, name, path, f"{scratch}/{name}") for name, path in sources.items()}
-    for interval_start, interval_end in intervals(start, stop, step):
-        for name, rows in landed.items():
-            ingest(spark, name, rows, lake, interval_start, interval_end)
-        build_marts(spark, lake, interval_start, interval_end, **mart_options)
-    for name, path in sources.items():
-        check_ingest(spark, name, path, lake, start, stop)
+    landed: dict[str, DataFrame] = {}
+
+    def load(name: str) -> None:
+        landed[name] = land(spark, name, sources[name], f"{scratch}/{name}")
+
+    with job_settings(spark):
+        _together(spark, (partial(load, name) for name in sources))
+        for interval in intervals(start, stop, step):
+            _together(
+                spark,
+                (partial(ingest, spark, name, rows, lake, *interval) for name, rows in landed.items()),
+            )
+            build_marts(spark, lake, *interval, **mart_options)
+        _together(
+            spark,
+            (
+                partial(check_ingest, spark, name, path, lake, start, stop)
+                for name, path in sources.items()
+            ),
+        )
+        drop(spark, scratch)

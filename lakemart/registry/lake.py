@@ -23,6 +23,7 @@ from lakemart.registry.transforms import ZONE_SQL
 from lakemart.schemas import DATASETS
 from lakemart.session import scratch_path
 from lakemart.sources.tables import read_table, table_files, write_table
+from lakemart.streaming.landing import land_new_files
 
 JANUARY = datetime(2024, 1, 1), datetime(2024, 2, 1)
 
@@ -52,6 +53,25 @@ def ingest_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, jobs.raw_path(path, "order_statuses"))
 
 
+@query(
+    f"""
+    SELECT cast(event_id AS VARCHAR) AS status_id, event_type AS value, ts AS created_at,
+           {DATE_SQL.format(t="ts")}
+    FROM events
+    """
+)
+def land_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Status events as JSON files that arrive in two lots, landed after each."""
+    path = scratch_path(spark, "land_stream")
+    events = adapters.event_statuses(spark, sf_dir)
+    lines = events.withColumn("created_at", utc_text("created_at"))
+    odd = F.col("status_id").cast("long") % 2 == 1
+    for lot in (lines.where(odd), lines.where(~odd)):
+        lot.write.mode("append").json(f"{path}/source")
+        landed = land_new_files(spark, "order_statuses", f"{path}/source", f"{path}/landed")
+    return landed.drop("order_id")
+
+
 CREATED_SQL = "TIMESTAMP '2018-01-01 10:00:00' + to_days(CAST(c_custkey % 40 AS INTEGER))"
 
 

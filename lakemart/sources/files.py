@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakemart.functions.typing import CORRUPT, accepted, rejected
 from lakemart.schemas import Dataset
 
 
-def _text_schema(names: list[str]) -> T.StructType:
+def _text_schema(names: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(name, T.StringType()) for name in [*names, CORRUPT]])
 
 
@@ -19,32 +20,13 @@ def _spread_gzip(df: DataFrame, path: str) -> DataFrame:
     return df.hint("rebalance") if path.endswith(".gz") else df
 
 
-def _json_text(spark: SparkSession, dataset: Dataset, path: str, undeclared: bool) -> DataFrame:
+def _json_names(spark: SparkSession, dataset: Dataset, path: str, undeclared: bool) -> list[str]:
     names = list(dataset.schema.names)
     if undeclared:
         # Costs one more pass over the files: only they know their other columns.
         found = spark.read.option("primitivesAsString", "true").json(path).columns
         names += [name for name in found if name not in names and name != CORRUPT]
-    reader = spark.read.schema(_text_schema(names)).option("columnNameOfCorruptRecord", CORRUPT)
-    return reader.json(path)
-
-
-def _csv_text(
-    spark: SparkSession, dataset: Dataset, path: str, undeclared: bool, multiline: bool
-) -> DataFrame:
-    options = {"header": "true", "escape": '"', "multiLine": str(multiline).lower()}
-    header = spark.read.options(**options).csv(path).columns
-    if not header:
-        return spark.createDataFrame([], _text_schema(list(dataset.schema.names)))
-    # enforceSchema=false makes every file prove that its header is the same.
-    text = (
-        spark.read.schema(_text_schema(header))
-        .options(**options, enforceSchema="false", columnNameOfCorruptRecord=CORRUPT)
-        .csv(path)
-    )
-    declared = [name for name in dataset.schema.names if name in header]
-    others = [name for name in header if name not in declared] if undeclared else []
-    return text.select(*declared, *others, CORRUPT)
+    return names
 
 
 def read_text(
@@ -53,15 +35,35 @@ def read_text(
     path: str,
     undeclared: bool = False,
     multiline: bool = False,
+    stream: bool = False,
 ) -> DataFrame:
-    """The source with every column as text, plus the raw line where it could not be split."""
+    """The source with every column as text, plus the raw line where it could not be split.
+
+    With `stream` the rows of files not seen before, to be run by a streaming query.
+    """
+    reader = spark.readStream if stream else spark.read
     if dataset.format == "json":
-        text = _json_text(spark, dataset, path, undeclared)
+        names = _json_names(spark, dataset, path, undeclared)
+        options = {}
     elif dataset.format == "csv":
-        text = _csv_text(spark, dataset, path, undeclared, multiline)
+        options = {"header": "true", "escape": '"', "multiLine": str(multiline).lower()}
+        names = spark.read.options(**options).csv(path).columns
+        if not names:
+            return spark.createDataFrame([], _text_schema(dataset.schema.names))
+        # Every file has to prove that its header is the same as that of the first.
+        options["enforceSchema"] = "false"
     else:
         raise ValueError(f"unknown source format {dataset.format!r}")
-    return _spread_gzip(text, path)
+    text = (
+        reader.format(dataset.format)
+        .schema(_text_schema(names))
+        .options(**options, columnNameOfCorruptRecord=CORRUPT)
+        .load(path)
+    )
+    declared = [name for name in dataset.schema.names if name in names]
+    others = [name for name in names if name not in declared] if undeclared else []
+    text = text.select(*declared, *others, CORRUPT)
+    return text if stream else _spread_gzip(text, path)
 
 
 def required(dataset: Dataset) -> list[str]:
@@ -76,10 +78,3 @@ def read_source(spark: SparkSession, dataset: Dataset, path: str, **options) ->
 def read_rejected(spark: SparkSession, dataset: Dataset, path: str, **options) -> DataFrame:
     """The source rows `read_source` leaves out, as text, with the reasons."""
     return rejected(read_text(spark, dataset, path, **options), dataset.schema, required(dataset))
-
-
-def count_by_source_file(df: DataFrame) -> DataFrame:
-    """Rows per file of a scan."""
-    return df.groupBy(F.col("_metadata.file_path").alias("file")).agg(
-        F.count(F.lit(1)).alias("row_count")
-    )

@@ -53,6 +53,12 @@ def write_table(
     df.hint("rebalance", *partitions).write.mode(mode).partitionBy(*partitions).parquet(path)
 
 
+def drop(spark: SparkSession, path: str) -> None:
+    """Remove a scratch folder of our own."""
+    fs, hadoop_path = file_system(spark, path)
+    fs.delete(hadoop_path, True)
+
+
 def partition_path(row, partitions: Sequence[str]) -> str:
     """`a=1/b=2` as Spark names the folder; only values that need no escaping are allowed."""
     parts = []

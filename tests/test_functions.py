@@ -79,6 +79,17 @@ def test_local_time(spark, conf, rows, zone):
     }
 
 
+def test_no_zone_name_fails_the_job(spark):
+    names = ["", " ", "UTC", " UTC ", "Z", "+03", "-03:30", "+3", "10", ".5", "PST", "GMT+2", "UTC+25", "-", "a b",
+             "America/Sao_Paulo", "america/sao_paulo", "America/", "T00:00", "+99:00", "Etc/GMT-14", "\u00e9"]
+    df = spark.createDataFrame([(n, datetime(2018, 6, 1, 12)) for n in names], "zone string, t timestamp_ntz")
+    hours = {r.zone: r.x and (r.x - r.t).total_seconds() / 3600 for r in df.withColumn("x", to_local("t", "zone")).collect()}
+    assert hours["UTC"] == hours[" UTC "] == hours["Z"] == 0
+    assert (hours["+03"], hours["-03:30"], hours["GMT+2"], hours["Etc/GMT-14"]) == (3, -3.5, 2, 14)
+    assert hours["America/Sao_Paulo"] == -3
+    assert [n for n in ("", " ", "10", ".5", "-", "a b", "America/", "+99:00", "UTC+25") if hours[n] is not None] == []
+
+
 @pytest.mark.parametrize("zone", ZONES)
 def test_parse_utc(spark, conf, zone):
     conf(spark__sql__session__timeZone=zone)

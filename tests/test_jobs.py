@@ -159,6 +159,15 @@ def test_newest_row_of_a_merge_key(spark, sources, lake, rows):
     assert rows(table, "id", "merchant_city", "month_partition") == [("m1", "SAO PAULO", "06")]
 
 
+def test_intervals_may_come_in_any_order(spark, sources, lake, rows):
+    spring, summer = (datetime(2018, 1, 1), datetime(2018, 5, 1)), (datetime(2018, 5, 1), Y2019)
+    for interval in (summer, spring, summer, spring):
+        jobs.ingest(spark, "restaurants", sources["restaurants"], lake, *interval)
+        jobs.check_ingest(spark, "restaurants", sources["restaurants"], lake, *interval)
+    table = read_table(spark, jobs.raw_path(lake, "restaurants"))
+    assert rows(table, "id", "merchant_city") == [("m1", "SAO PAULO")]
+
+
 def test_interval_without_rows_changes_nothing(spark, sources, lake):
     jobs.ingest(spark, "orders", sources["orders"], lake, datetime(2010, 1, 1), datetime(2011, 1, 1))
     assert not table_exists(spark, jobs.raw_path(lake, "orders"))

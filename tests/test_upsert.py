@@ -97,6 +97,17 @@ def test_key_that_fixes_its_partition(spark, path, frame, rows):
     assert content(spark, path, rows) == sorted(expected, key=repr)
 
 
+def test_newer_rows_of_the_table_stay(spark, path, frame, rows):
+    put(spark, path, frame(FIRST), newest_by="v")
+    older_and_newer = [("a", 1, 9, "02"), ("b", None, 29, "02"), ("c", 1, 41, "03"), ("d", 1, 1, "01")]
+    put(spark, path, frame(older_and_newer), newest_by="v")
+    assert content(spark, path, rows) == sorted(
+        [FIRST[0], FIRST[1], FIRST[2], ("c", 1, 41, "03"), ("d", 1, 1, "01")], key=repr
+    )
+    put(spark, path, frame([("a", 1, 9, "02")]), newest_by="v")
+    assert FIRST[0] in content(spark, path, rows)
+
+
 def test_null_partition(spark, path, frame, rows):
     put(spark, path, frame([("a", 1, 1, None), ("b", 1, 2, "01")]))
     put(spark, path, frame([("a", 1, 5, None), ("c", 1, 3, None)]))
