@@ -40,6 +40,19 @@ def heavy_keys(
     )
 
 
+def matching(left: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """Left semi join: the rows whose `key` is in `ids`, a frame with that column.
+
+    Joined by the key and its hash, so Spark does not take the result as partitioned by the
+    key alone. A window or aggregate on the key then first reduces the rows in each task
+    and shuffles what is left, and the adaptive split of a key with many rows stays free to
+    act; partitioned by the key, all its rows would go into one task.
+    """
+    listed = ids.select(F.col(key).alias("_id"), F.xxhash64(key).alias("_id_hash"))
+    same = (F.col(key) == F.col("_id")) & (F.xxhash64(key) == F.col("_id_hash"))
+    return left.join(listed, same, "left_semi")
+
+
 def lookup(
     left: DataFrame,
     right: DataFrame,

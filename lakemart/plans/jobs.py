@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemart.functions.dates import in_interval, in_partition_window, intervals, with_date_partitions
-from lakemart.operators.joins import heavy_keys
+from lakemart.operators.joins import heavy_keys, matching
 from lakemart.operators.latest import dedup
 from lakemart.operators.quality import require_complete, require_keys
 from lakemart.operators.upsert import recover, upsert
@@ -151,12 +151,14 @@ def build_marts(
     lookback: timedelta | None = None,
     salt: str | None = None,
     validate: bool = True,
+    keep_dropped_items: bool = False,
 ) -> None:
     """Rebuild in every mart the orders touched in the interval, from their whole history.
 
     An order is touched by a version or a status event in the interval. `lookback` bounds
     how far before the interval the history is read; set it only where no order lives
-    longer, since an older event would be missed.
+    longer, since an older event would be missed. `keep_dropped_items` leaves items in the
+    mart that the newest version of their order no longer has.
     """
     with job_settings(spark):
         raw = {name: read_raw(spark, lake, name) for name in DATASETS}
@@ -183,7 +185,7 @@ def build_marts(
             rows = raw[name]
             if lookback is not None:
                 rows = in_partition_window(rows, start - lookback, datetime.max)
-            return rows.join(of, "order_id", "left_semi")
+            return matching(rows, of, "order_id")
 
         orders = orders_mart(
             history("orders", touched),
@@ -200,8 +202,11 @@ def build_marts(
 
         def write(name: str, mart: DataFrame, keys: list[str], replaced: DataFrame) -> None:
             path = trusted_path(lake, name)
-            # Old rows go by order: an item a newer version no longer has goes with them.
-            upsert(spark, path, mart, keys, replaced=replaced, replaced_keys=["order_id"])
+            if name == "order_items" and keep_dropped_items:
+                upsert(spark, path, mart, keys)
+            else:
+                # Old rows go by order: an item a newer version no longer has goes too.
+                upsert(spark, path, mart, keys, replaced=replaced, replaced_keys=["order_id"])
             if validate and table_exists(spark, path):
                 written = read_table(spark, path).join(replaced, "order_id", "left_semi")
                 require_keys(written, unique=keys, not_null=["order_id"])

@@ -25,15 +25,18 @@ def orders_mart(
     salt: str | None = None,
     heavy_customers: DataFrame | None = None,
     heavy_merchants: DataFrame | None = None,
+    ties: str = "one",
 ) -> DataFrame:
     """One row per order with its consumer, restaurant and last status, masked.
 
     `order_created_at` becomes the wall clock of the restaurant's zone and gives the date
     partition; the instant stays in `order_created_at_utc`. `consumers` and `restaurants`
     are unique by their ids. `heavy_*` list the ids with very many orders, if known.
+    ties="all" keeps every version and every status that shares the newest instant, and
+    with them more than one row for such an order.
     """
-    orders = latest(orders.drop(*DATE_PARTITIONS), ["order_id"], ["order_created_at"])
-    status = latest(statuses.drop(*DATE_PARTITIONS), ["order_id"], ["created_at"])
+    orders = latest(orders.drop(*DATE_PARTITIONS), ["order_id"], ["order_created_at"], ties)
+    status = latest(statuses.drop(*DATE_PARTITIONS), ["order_id"], ["created_at"], ties)
     # Masking goes before the joins: only then do all sensitive columns stay, and masked.
     orders = mask(orders, sensitive, salt)
     consumers = mask(consumers.drop(*DATE_PARTITIONS), sensitive, salt)
@@ -65,12 +68,13 @@ def orders_mart(
     return with_date_partitions(local.select(*plain, *packed), "order_created_at")
 
 
-def order_items_mart(orders: DataFrame) -> DataFrame:
+def order_items_mart(orders: DataFrame, ties: str = "one") -> DataFrame:
     """One row per order and item sequence, from the newest version of each order."""
     newest = latest(
         orders.select("order_id", "order_created_at", "items"),
         ["order_id"],
         ["order_created_at"],
+        ties,
     )
     items = explode_items(newest).withColumn("_sequence", F.col("item.sequence"))
     # All items of an order are in one task already, so this needs no further shuffle.

@@ -9,13 +9,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.session import SKEW_SETTINGS, configure
-
 ZONES = ("America/Sao_Paulo", "America/New_York", "Asia/Tokyo", "Europe/Lisbon", None)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    configure(spark, SKEW_SETTINGS)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -12,13 +12,14 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(sql: str | None = None) -> Callable[[Query], Query]:
-    """Register a query under its function name."""
+def query(sql: str | None = None, name: str | None = None) -> Callable[[Query], Query]:
+    """Register a query under the given name, or that of its function."""
 
     def register(run: Query) -> Query:
-        QUERIES[run.__name__] = run
+        key = name or run.__name__
+        QUERIES[key] = run
         if sql is not None:
-            ORACLES[run.__name__] = sql
+            ORACLES[key] = sql
         return run
 
     return register

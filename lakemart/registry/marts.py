@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemart.functions.dates import in_interval
-from lakemart.operators.joins import heavy_keys
+from lakemart.operators.joins import heavy_keys, matching
 from lakemart.plans import marts
 from lakemart.registry import adapters
 from lakemart.registry.catalog import query
@@ -124,7 +124,7 @@ def touched_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
     statuses = adapters.event_statuses(spark, sf_dir)
     interval = datetime(2024, 1, 10), datetime(2024, 1, 11, 12)
     touched = in_interval(statuses, "created_at", *interval).select("order_id").distinct()
-    return statuses.join(touched, "order_id", "left_semi")
+    return matching(statuses, touched, "order_id")
 
 
 @query(

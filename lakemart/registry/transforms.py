@@ -215,7 +215,8 @@ def json_items_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
            cast(l_extendedprice AS VARCHAR) AS unit_price, 'BRL' AS currency,
            cast(l_suppkey AS VARCHAR) AS external_id
     FROM lineitem WHERE l_quantity > 1
-    """
+    """,
+    name="explode_items",
 )
 def explode_items_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = adapters.item_orders(spark, sf_dir).select(
@@ -245,7 +246,8 @@ def explode_items_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     UNION ALL
     SELECT cast(l_orderkey AS VARCHAR), l_linenumber, NULL, NULL, NULL
     FROM items WHERE l_tax = 0 AND l_discount = 0
-    """
+    """,
+    name="explode_garnish",
 )
 def explode_garnish_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = adapters.item_orders(spark, sf_dir).select(
@@ -319,7 +321,8 @@ def timeline_text(column: str = "status"):
     SELECT cast(user_id AS VARCHAR) AS order_id, 0 AS part, {TIMELINE_TEXT_SQL} AS status,
            count(*) AS n_events, min(ts) AS date_partition
     FROM events GROUP BY user_id
-    """
+    """,
+    name="status_timeline",
 )
 def status_timeline_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     timeline = status_timeline(adapters.event_statuses(spark, sf_dir))
@@ -341,7 +344,8 @@ def status_timeline_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
            max(ts) FILTER (WHERE event_type = 'never') AS never,
            min(ts) AS date_partition
     FROM events GROUP BY user_id
-    """
+    """,
+    name="status_pivot",
 )
 def status_pivot_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     statuses = adapters.event_statuses(spark, sf_dir)
@@ -470,7 +474,8 @@ def key_uniqueness(spark: SparkSession, sf_dir: str) -> DataFrame:
            count(*) FILTER (WHERE o_orderkey % 8 = 0) AS null_merchant_id,
            count(*) FILTER (WHERE o_orderkey % 5 = 4) AS null_merchant_timezone
     FROM orders
-    """
+    """,
+    name="null_keys",
 )
 def null_key_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return null_keys(
@@ -485,7 +490,8 @@ def null_key_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT count(*) AS partitions, sum(n)::BIGINT AS total_rows, avg(n) AS mean_rows,
            median(n) AS median_rows, max(n) AS max_rows, max(n) / avg(n) AS max_over_mean
     FROM parts
-    """
+    """,
+    name="partition_skew",
 )
 def partition_skew_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = with_date_partitions(table(spark, sf_dir, "lineitem"), "l_shipdate")

@@ -9,32 +9,22 @@ from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
-# forceOptimizeSkewedJoin: an adaptive skew split is otherwise given up when the next
-# operator wants the same keys, and one hot key would then stay in one task.
-SKEW_SETTINGS = {
+# The adaptive settings are Spark's defaults, named because the joins count on them to split
+# a partition that one key has made too large. Partition values are strings: without type
+# inference a table is listed once, not twice.
+JOB_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-}
-
-# Partition values are strings: without inference a table is listed once, not twice.
-JOB_SETTINGS = {
-    **SKEW_SETTINGS,
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }
 
 
-def configure(spark: SparkSession, settings: dict[str, str] = SKEW_SETTINGS) -> SparkSession:
-    for key, value in settings.items():
-        spark.conf.set(key, value)
-    return spark
-
-
 @contextmanager
 def job_settings(spark: SparkSession) -> Iterator[None]:
     """The settings of a job while it runs; the session gets its own back afterwards."""
     before = {key: spark.conf.get(key, None) for key in JOB_SETTINGS}
-    configure(spark, JOB_SETTINGS)
+    for key, value in JOB_SETTINGS.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:

@@ -216,6 +216,25 @@ def test_marts_do_not_depend_on_session_zone_or_row_order(spark, conf, rows, zon
     ] == expected
 
 
+def test_ties_give_more_rows_when_asked_for(spark, rows):
+    made = frames(spark)
+    one, every = mart_of(made), mart_of(made, ties="all")
+    assert rows(one, "order_id") == [("1",), ("2",), ("3",)]
+    # Order 2 has events s3 and s4, the latter twice, at one instant; order 3 came twice.
+    assert rows(every, "order_id", "status.status_id") == [
+        ("1", "s2"), ("2", "s3"), ("2", "s4"), ("2", "s4"), ("3", None), ("3", None)
+    ]
+
+
+def test_dropped_items_stay_when_asked_for(spark, sources, lake, rows):
+    for interval in ((Y2018, Y2019), (Y2019, Y2020)):
+        jobs.run_interval(spark, sources, lake, *interval, keep_dropped_items=True)
+    items = read_table(spark, jobs.trusted_path(lake, "order_items"))
+    assert [r for r in rows(items, "order_id", "item.sequence") if r[0] == "2"] == [
+        ("2", 1), ("2", 2), ("2", 3)
+    ]
+
+
 def test_sensitive_columns_stay_and_are_masked(spark):
     made = frames(spark)
     mart = mart_of(made)

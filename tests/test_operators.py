@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from conftest import plan_of
 from lakemart.operators.items import explode_garnish, explode_items, flatten_struct
-from lakemart.operators.joins import heavy_keys, lookup
+from lakemart.operators.joins import heavy_keys, lookup, matching
 from lakemart.operators.latest import dedup, latest
 from lakemart.operators.quality import (
     QualityError,
@@ -120,7 +120,6 @@ def test_adaptive_skew_split_keeps_all_rows(spark, conf, rows):
         spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="1KB",
         spark__sql__adaptive__advisoryPartitionSizeInBytes="1KB",
         spark__sql__adaptive__skewJoin__skewedPartitionFactor="1.1",
-        spark__sql__adaptive__forceOptimizeSkewedJoin="true",
     )
     left = skewed(spark, 20000).repartition(8)
     found = lookup(left, people(spark), ("customer_id", "customer_id"), "person", ["order_id"])
@@ -129,6 +128,21 @@ def test_adaptive_skew_split_keeps_all_rows(spark, conf, rows):
     assert latest(ties, ["k"], ["t"], ties="all").count() == 20000
 
 
+@pytest.mark.parametrize("broadcast", ["-1", "10MB"])
+def test_matching_is_a_semi_join_that_lets_a_window_reduce_first(spark, conf, rows, broadcast):
+    conf(spark__sql__autoBroadcastJoinThreshold=broadcast)
+    left = skewed(spark)
+    ids = people(spark).select("customer_id").where("customer_id <> '1'").unionAll(
+        spark.createDataFrame([("hot",), (None,)], "customer_id string")
+    )
+    found = matching(left, ids, "customer_id")
+    assert rows(found) == rows(left.join(ids, "customer_id", "left_semi").select(*left.columns))
+    newest = latest(found, ["customer_id"], ["order_id"])
+    plan = plan_of(newest)
+    assert plan.count("row_number(), 1, Partial") == plan.count("row_number(), 1, Final") == 1
+    assert newest.count() == found.select("customer_id").distinct().count()
+
+
 def test_heavy_keys_limit_and_aggregates(spark, rows):
     df = spark.createDataFrame([("a", 1)] * 5 + [("b", 2)] * 4 + [("c", 0)] * 2 + [(None, 9)] * 9, "k string, v int")
     assert rows(heavy_keys(df, "k", min_rows=2, low=F.min("v"))) == [("a", 5, 1), ("b", 4, 2)]
