@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -150,10 +151,9 @@ class _Staging:
                 if not fs.rename(self._path(self.data), self._path(self.table)):
                     raise OSError(f"could not move {self.data} to {self.table}")
         else:
-            for folder in swaps["written"]:
-                self.move(folder)
-            for folder in swaps["vacated"]:
-                self.delete(f"{self.table}/{folder}")
+            with ThreadPoolExecutor(max_workers=16) as pool:
+                list(pool.map(self.move, swaps["written"]))
+                list(pool.map(self.delete, [f"{self.table}/{f}" for f in swaps["vacated"]]))
         self.spark.catalog.refreshByPath(self.table)
         self.drop()
 
@@ -187,6 +187,13 @@ def stage(
     """
     staging = _Staging(spark, path)
     match = list(replaced_keys or keys)
+    if newest_by is not None and (replaced is not None or match != list(keys)):
+        raise ValueError("newest_by compares rows of one key, so it takes no replaced keys")
+
+    if not table_exists(spark, path):
+        write_table(source, staging.data, partitions)
+        written = spark.read.schema(source.schema).parquet(staging.data)
+        return {"create": True} if require_keys(written, unique=keys) else None
 
     # The batch is written once and read back: it is used several times below, and what
     # was written survives the loss of any executor.
@@ -201,17 +208,12 @@ def stage(
     if require_keys(batch, unique=keys) == 0 and (replaced is None or gone.isEmpty()):
         return None
 
-    if not table_exists(spark, path):
-        write_table(batch, staging.data, partitions)
-        return {"create": True}
-
     target = read_table(spark, path, partitions)
     if set(target.columns) != set(source.columns):
         differing = sorted(set(target.columns) ^ set(source.columns))
         raise QualityError(f"table and batch differ in columns: {differing}")
     if newest_by is not None:
-        batch = _not_older(batch, target, keys, newest_by)
-        gone = batch if replaced is None and match == list(keys) else gone
+        gone = batch = _not_older(batch, target, keys, newest_by)
     touched = batch.select(*partitions)
     if not (key_fixes_partition and replaced is None):
         hit = _by_keys(target, gone, match, "left_semi")

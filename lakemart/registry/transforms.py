@@ -470,7 +470,7 @@ def key_uniqueness(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """
-    SELECT count(*) AS row_count, 0 AS null_order_id,
+    SELECT count(*) AS row_count, 0::BIGINT AS null_order_id,
            count(*) FILTER (WHERE o_orderkey % 8 = 0) AS null_merchant_id,
            count(*) FILTER (WHERE o_orderkey % 5 = 4) AS null_merchant_timezone
     FROM orders
