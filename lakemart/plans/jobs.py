@@ -85,6 +85,8 @@ def ingest(
     `source` is the path of the source files, or their typed rows as `land` gives them.
     """
     dataset = _dataset(dataset)
+    if keep_rejected and isinstance(source, DataFrame):
+        raise ValueError("rejected rows can only be found in the source files")
     with job_settings(spark):
         batch = batch_of(spark, dataset, source, start, end, **options)
         upsert(
