@@ -110,7 +110,7 @@ def order_items_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
         "item.quantity",
         "item.sequence",
         F.col("item.unitPrice.value").alias("unit_price"),
-        F.size("item.garnishItems").alias("n_garnish"),
+        F.array_size("item.garnishItems").alias("n_garnish"),
         *DATE_PARTITIONS,
     )
 

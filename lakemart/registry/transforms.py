@@ -202,9 +202,9 @@ def json_items_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.select(
         "order_id",
         "line",
-        F.size(F.col("items")).alias("n_items"),
+        F.array_size(F.col("items")).alias("n_items"),
         first["quantity"].alias("quantity"),
-        F.size(first["garnishItems"]).alias("n_garnish"),
+        F.array_size(first["garnishItems"]).alias("n_garnish"),
     )
 
 
@@ -330,7 +330,7 @@ def status_timeline_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         "order_id",
         "part",
         timeline_text().alias("status"),
-        F.size("status").cast("long").alias("n_events"),
+        F.array_size("status").cast("long").alias("n_events"),
         "date_partition",
     )
 
