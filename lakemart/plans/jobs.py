@@ -27,9 +27,9 @@ from lakemart.plans.marts import (
     orders_mart,
 )
 from lakemart.schemas import DATASETS, Dataset
-from lakemart.session import job_settings, scratch_path
+from lakemart.session import job_settings
 from lakemart.sources.files import read_rejected, read_source
-from lakemart.sources.tables import drop, read_table, table_exists, write_table
+from lakemart.sources.tables import read_table, scratch_folder, table_exists, write_table
 
 
 def raw_path(lake: str, name: str) -> str:
@@ -162,14 +162,13 @@ def build_marts(
     longer, since an older event would be missed. `keep_dropped_items` leaves items in the
     mart that the newest version of their order no longer has.
     """
-    with job_settings(spark):
+    with job_settings(spark), scratch_folder(spark, "marts") as scratch:
         raw = {name: read_raw(spark, lake, name) for name in DATASETS}
         new = {
             name: _rows_of_interval(raw[name], name, start, end)
             for name in ("orders", "order_statuses")
         }
         # The touched ids serve every mart, so they are written once and read back.
-        scratch = scratch_path(spark, "touched")
         ids = [
             rows.select("order_id", F.lit(name == "orders").alias("by_order"))
             for name, rows in new.items()
@@ -177,30 +176,35 @@ def build_marts(
         ids[0].unionAll(ids[1]).groupBy("order_id").agg(
             F.bool_or("by_order").alias("by_order"),
             F.bool_or(~F.col("by_order")).alias("by_status"),
-        ).write.parquet(scratch)
-        ids = spark.read.parquet(scratch)
+        ).write.parquet(f"{scratch}/ids")
+        ids = spark.read.parquet(f"{scratch}/ids")
         touched = ids.select("order_id")
         by_order = ids.where("by_order").select("order_id")
         by_status = ids.where("by_status").select("order_id")
 
-        def history(name: str, of: DataFrame) -> DataFrame:
+        # So does their history: the raw tables are searched for it once, not per mart.
+        def collect_history(name: str) -> None:
             rows = raw[name]
             if lookback is not None:
                 rows = in_partition_window(rows, start - lookback, datetime.max)
-            return matching(rows, of, "order_id")
+            matching(rows, touched, "order_id").write.parquet(f"{scratch}/{name}")
 
+        _together(spark, (partial(collect_history, name) for name in new))
+        history = {
+            name: spark.read.schema(raw[name].schema).parquet(f"{scratch}/{name}") for name in new
+        }
         orders = orders_mart(
-            history("orders", touched),
-            history("order_statuses", touched),
+            history["orders"],
+            history["order_statuses"],
             raw["consumers"],
             raw["restaurants"],
             salt=salt,
-            heavy_customers=heavy_keys(new["orders"], "customer_id"),
-            heavy_merchants=heavy_keys(new["orders"], "merchant_id"),
+            heavy_customers=heavy_keys(history["orders"], "customer_id"),
+            heavy_merchants=heavy_keys(history["orders"], "merchant_id"),
         )
-        items = order_items_mart(history("orders", by_order))
-        statuses = order_statuses_mart(history("order_statuses", by_status))
-        times = order_status_times_mart(history("order_statuses", by_status))
+        items = order_items_mart(matching(history["orders"], by_order, "order_id"))
+        events = matching(history["order_statuses"], by_status, "order_id")
+        statuses, times = order_statuses_mart(events), order_status_times_mart(events)
 
         def write(name: str, mart: DataFrame, keys: list[str], replaced: DataFrame) -> None:
             path = trusted_path(lake, name)
@@ -222,7 +226,6 @@ def build_marts(
                 partial(write, "order_status_times", times, ["order_id"], by_status),
             ),
         )
-        drop(spark, scratch)
 
 
 def run_interval(
@@ -258,13 +261,13 @@ def backfill(
     The source files are read twice in all, however many intervals there are: once to land
     their rows by date, and once more for the check of the whole span against the files.
     """
-    scratch = scratch_path(spark, "landed")
     landed: dict[str, DataFrame] = {}
 
-    def load(name: str) -> None:
-        landed[name] = land(spark, name, sources[name], f"{scratch}/{name}")
+    with job_settings(spark), scratch_folder(spark, "landed") as scratch:
+
+        def load(name: str) -> None:
+            landed[name] = land(spark, name, sources[name], f"{scratch}/{name}")
 
-    with job_settings(spark):
         _together(spark, (partial(load, name) for name in sources))
         for interval in intervals(start, stop, step):
             _together(
@@ -279,4 +282,3 @@ def backfill(
                 for name, path in sources.items()
             ),
         )
-        drop(spark, scratch)

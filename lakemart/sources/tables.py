@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakemart.schemas import DATE_PARTITIONS
+from lakemart.session import scratch_path
 
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
@@ -53,10 +55,15 @@ def write_table(
     df.hint("rebalance", *partitions).write.mode(mode).partitionBy(*partitions).parquet(path)
 
 
-def drop(spark: SparkSession, path: str) -> None:
-    """Remove a scratch folder of our own."""
-    fs, hadoop_path = file_system(spark, path)
-    fs.delete(hadoop_path, True)
+@contextmanager
+def scratch_folder(spark: SparkSession, name: str) -> Iterator[str]:
+    """A fresh folder in shared storage that goes when the block ends, however it ends."""
+    path = scratch_path(spark, name)
+    try:
+        yield path
+    finally:
+        fs, hadoop_path = file_system(spark, path)
+        fs.delete(hadoop_path, True)
 
 
 def partition_path(row, partitions: Sequence[str]) -> str:

@@ -11,7 +11,14 @@ from lakemart.functions.dates import in_partition_window, with_date_partitions
 from lakemart.schemas import DATASETS, Dataset
 from lakemart.session import scratch_path, shared_dir
 from lakemart.sources.files import read_rejected, read_source, read_text
-from lakemart.sources.tables import read_table, table_exists, table_files, write_table
+from lakemart.sources.tables import (
+    exists,
+    read_table,
+    scratch_folder,
+    table_exists,
+    table_files,
+    write_table,
+)
 
 STATUSES = DATASETS["order_statuses"]
 CONSUMERS = DATASETS["consumers"]
@@ -160,6 +167,14 @@ def test_few_files_per_partition(spark, tmp_path):
     assert sum(row.row_count for row in files) == 4000 and all(row.bytes > 0 for row in files)
 
 
+def test_scratch_folder_goes_even_when_the_job_fails(spark):
+    with pytest.raises(RuntimeError), scratch_folder(spark, "x") as path:
+        spark.range(3).write.parquet(path)
+        assert exists(spark, path)
+        raise RuntimeError
+    assert not exists(spark, path)
+
+
 def test_scratch_is_below_the_configured_folder(spark, conf):
     configured = spark.conf.get("spark.checkpoint.dir")
     assert shared_dir(spark) == configured
