@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.llm import substring_dedup
+from lakemart.llm import simhash, substring_dedup
 
 QUERIES = {}
 ORACLES = {}
@@ -59,3 +59,9 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(
         "doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")
     )
+
+
+@query()
+def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and the components of those at most 2 bits apart."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=2)
