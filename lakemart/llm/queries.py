@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.llm import simhash, substring_dedup
+from lakemart.llm import decontaminate, simhash, substring_dedup
 
 QUERIES = {}
 ORACLES = {}
@@ -65,3 +65,54 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all documents and the components of those at most 2 bits apart."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=2)
+
+
+OP7_SQL = r"""
+WITH docs AS (
+  SELECT doc_id, row_number() OVER () AS row_key,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM documents
+), items AS (
+  SELECT item_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM benchmark
+), item_windows AS (
+  SELECT DISTINCT item_id, least(10, len(words)) AS n,
+         array_to_string(words[p:p + least(10, len(words)) - 1], ' ') AS w
+  FROM (SELECT *, unnest(range(1, greatest(len(words) - 8, 2))) AS p FROM items WHERE len(words) > 0)
+), doc_windows AS (
+  SELECT row_key, p, n, array_to_string(words[p:p + n - 1], ' ') AS w
+  FROM (SELECT row_key, words, n, unnest(range(1, len(words) - n + 2)) AS p
+        FROM docs, (SELECT DISTINCT n FROM item_windows) WHERE len(words) >= n)
+), found AS (
+  SELECT row_key, p, d.n, item_id FROM doc_windows d JOIN item_windows i ON d.n = i.n AND d.w = i.w
+), hit AS (
+  SELECT row_key, count(DISTINCT q) AS n_hit
+  FROM (SELECT row_key, unnest(range(p, p + n)) AS q FROM found) GROUP BY row_key
+), owners AS (
+  SELECT row_key, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT row_key, CAST(item_id AS VARCHAR) AS id FROM found) GROUP BY row_key
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+       coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hit USING (row_key) LEFT JOIN owners USING (row_key)
+"""
+
+
+@query(OP7_SQL)
+def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of documents that occurrences of 10-word windows of the benchmark cover."""
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    out = decontaminate.contamination(docs, items, window=10)
+    listed = F.array_join("items", ",").cast("binary")
+    return out.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(listed, 256).alias("items_sha256"),
+        "contaminated",
+    )
