@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.llm import decontaminate, simhash, substring_dedup
+from lakemart.llm import decontaminate, secrets, simhash, substring_dedup
 
 QUERIES = {}
 ORACLES = {}
@@ -116,3 +116,72 @@ def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
         F.sha2(listed, 256).alias("items_sha256"),
         "contaminated",
     )
+
+
+def op8_sql() -> str:
+    """The scan in DuckDB: pieces between matches give places, window functions the nearest parts."""
+    kinds = secrets.STRONG | secrets.WEAK
+    parts = "\nUNION ALL\n".join(
+        f"""SELECT row_key, '{kind}' AS kind, {rank} AS rank, unnest(range(1, len(sizes) + 1)) AS i,
+       gaps, sizes, tests FROM (SELECT row_key,
+       list_transform(string_split_regex(body, {p}), lambda x: length(x)) AS gaps,
+       list_transform(regexp_extract_all(body, {p}, 0), lambda x: length(x)) AS sizes,
+       list_transform(regexp_extract_all(body, {p}, {group}), lambda x: length(x)) AS tests FROM docs)"""
+        for rank, (kind, (pattern, group, _)) in enumerate(kinds.items())
+        for p in ["'" + pattern.replace("'", "''") + "'"]
+    )
+    cases = lambda values: " ".join(f"WHEN kind = '{k}' THEN {v}" for k, v in values.items())
+    strong = "kind IN (" + ", ".join(f"'{k}'" for k in secrets.STRONG) + ")"
+    tests = {"identifier": "role = 'identifier'", "secret": "role = 'secret'", "strong": strong}
+    nearest = ",\n".join(
+        f"max(CASE WHEN {t} THEN stop END) OVER before AS {n}_end, min(CASE WHEN {t} THEN start END) OVER after AS {n}_start"
+        for n, t in tests.items()
+    )
+    within = lambda n, d: f"(coalesce(start - {n}_end <= {d}, false) OR coalesce({n}_start - stop <= {d}, false))"
+    scope = secrets.SCOPE
+    text = "string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank, stop)"
+    return rf"""
+WITH docs AS (SELECT doc_id, row_number() OVER () AS row_key, coalesce(text, '') AS body FROM documents),
+parts AS ({parts}),
+placed AS (
+  SELECT row_key, kind, rank, list_sum(gaps[:i]) + coalesce(list_sum(sizes[:i - 1]), 0) AS start,
+         list_sum(gaps[:i]) + list_sum(sizes[:i]) AS stop, tests[i] AS tested FROM parts
+), fit AS (
+  SELECT *, CASE {cases({k: f"'{r}'" for k, r in secrets.ROLES.items()})} END AS role FROM placed
+  WHERE tested >= CASE {cases({k: v[2] for k, v in kinds.items()})} END AND (kind <> 'value' OR tested <= 40)
+    AND (kind IN ('assign', 'access', 'hex') OR row_key IN (
+      SELECT row_key FROM docs WHERE contains(body, 'AKIA') OR regexp_matches(body, '{secrets.WEAK["identifier"][0]}')))
+), near AS (
+  SELECT *, {nearest} FROM fit WINDOW
+    before AS (PARTITION BY row_key ORDER BY start, rank, stop ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+    after AS (PARTITION BY row_key ORDER BY start DESC, rank DESC, stop DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), kept AS (
+  SELECT * FROM near WHERE {strong} OR (NOT {within("strong", -1)} AND CASE role
+    WHEN 'identifier' THEN {within("secret", scope)} WHEN 'secret' THEN {within("identifier", scope)}
+    ELSE {within("identifier", scope)} AND {within("secret", scope)} END)
+), lists AS (
+  SELECT row_key, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+         count(*) FILTER (kind = 'hex') AS n_hex, {text} FILTER ({strong}) AS base, {text} AS spans
+  FROM kept GROUP BY row_key
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM docs LEFT JOIN lists USING (row_key)
+"""
+
+
+@query(op8_sql())
+def op8_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secret spans of all documents, and weak parts linked within the scope."""
+    out = secrets.secret_spans(table(spark, sf_dir, "documents"))
+
+    def number(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+    base = F.filter("spans", lambda s: s["kind"].isin(*secrets.STRONG))
+    return out.select(
+        "doc_id",
+        *[number(kind).alias(f"n_{kind}") for kind in secrets.STRONG],
+        F.sha2(secrets.listed(base).cast("binary"), 256).alias("base_sha256"),
+        secrets.listed(F.col("spans")).alias("spans"),
+    )
