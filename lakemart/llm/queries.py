@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.llm import decontaminate, secrets, simhash, substring_dedup
+from lakemart.llm import decontaminate, packing, secrets, simhash, substring_dedup
 
 QUERIES = {}
 ORACLES = {}
@@ -185,3 +186,11 @@ def op8_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(secrets.listed(base).cast("binary"), 256).alias("base_sha256"),
         secrets.listed(F.col("spans")).alias("spans"),
     )
+
+
+@query()
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as token ids in sequences of at most 4096."""
+    docs = table(spark, sf_dir, "documents")
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack_documents(docs, path, length=4096, end_id=2, ids=False)
