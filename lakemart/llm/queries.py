@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.llm import decontaminate, packing, secrets, simhash, substring_dedup
+from lakemart.llm import decontaminate, packing, quality, secrets, simhash, substring_dedup
 
 QUERIES = {}
 ORACLES = {}
@@ -194,3 +194,9 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     path = public_tokenizers.path("word_bpe_49k.json")
     return packing.pack_documents(docs, path, length=4096, end_id=2, ids=False)
+
+
+@query()
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probability of being good, and whether to keep it, for every document."""
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
