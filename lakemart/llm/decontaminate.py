@@ -84,7 +84,7 @@ def occurrences(words: Words, items: Items):
         yield size, at[hit], hashes[hit]
 
 
-def document_counts(docs: DataFrame, items, text: str) -> dict[int, int]:
+def document_counts(docs: DataFrame, items) -> dict[int, int]:
     """Number of documents that have each wanted shingle; at most one count per shingle of the
     block comes back."""
 
@@ -102,8 +102,7 @@ def document_counts(docs: DataFrame, items, text: str) -> dict[int, int]:
                 [pa.array(hashes.view(np.int64)), pa.array(n, pa.int64())], names=["hash", "n"]
             )
 
-    sent = docs.select(F.col(text).cast("string").alias("body"))
-    rows = sent.mapInArrow(count, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
+    rows = docs.select("body").mapInArrow(count, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
     return {r["hash"]: r["n"] for r in rows.toLocalIterator()}
 
 
@@ -141,33 +140,17 @@ def item_blocks(items: DataFrame, key: str, text: str, window: int, block_bytes:
         yield Items(ids, lines, window)
 
 
-def contamination(
-    docs: DataFrame,
-    items: DataFrame,
-    window: int = 10,
-    key: str = "doc_id",
-    text: str = "text",
-    item_key: str = "item_id",
-    item_text: str = "text",
-    block_bytes: int = BLOCK_BYTES,
-    carry: bool = False,
-) -> DataFrame:
-    """Per input row: key, n_words, n_hit, items (the ids of items with an occurring window,
-    sorted as strings, each once), contaminated. carry: with all columns of docs before them.
-
-    A word is a run of ASCII letters, digits and any non-ASCII characters, lower-cased in A-Z; hit
-    if an occurrence of any window covers it. Items of fewer words than the window are one window;
-    items without words, or null, have none; an item without an id hits words but is not listed. Null texts have no words; rows that are equal get
-    equal results; keys may be null. No items: nothing is hit. Any number of items is handled, in
-    blocks: each block is one more pass over the documents, adding to what the last one found.
-    """
-    spark = docs.sparkSession
-    names = docs.columns if carry else [key]
+def marked(
+    docs: DataFrame, items: DataFrame, window: int, names: list[str], text: str, item_key: str,
+    item_text: str, block_bytes: int,
+) -> DataFrame:
+    """The named columns as c0, c1, ..., then n_words, n_hit, found (sorted ids as strings)."""
+    context = docs.sparkSession.sparkContext
     plain_docs = docs.select(
         *[F.col(c).alias(f"c{i}") for i, c in enumerate(names)],
         F.col(text).cast("string").alias("body"),
     )
-    marked = plain_docs.select(
+    out = plain_docs.select(
         "*",
         F.lit(0).cast("long").alias("n_words"),
         F.lit(0).cast("long").alias("n_hit"),
@@ -178,15 +161,38 @@ def contamination(
     block = next(blocks, Items([], [], window))
     while block:
         following = next(blocks, None)
-        counts = document_counts(plain_docs, spark.sparkContext.broadcast(block), "body")
-        block.rarest(counts)
+        block.rarest(document_counts(plain_docs, context.broadcast(block)))
         # The text goes on to the next block; after the last one it is dropped.
-        passed = marked.columns if following else [c for c in marked.columns if c not in ("body", "mask")]
-        schema = marked.select(*passed).schema
-        marked = marked.mapInArrow(marker(spark.sparkContext.broadcast(block), passed), schema)
+        passed = out.columns if following else [c for c in out.columns if c not in ("body", "mask")]
+        schema = out.select(*passed).schema
+        out = out.mapInArrow(marker(context.broadcast(block), passed), schema)
         block = following
-    return marked.select(
-        *[F.col(f"c{i}").alias(c) for i, c in enumerate(names)],
+    return out
+
+
+def contamination(
+    docs: DataFrame,
+    items: DataFrame,
+    window: int = 10,
+    key: str = "doc_id",
+    text: str = "text",
+    item_key: str = "item_id",
+    item_text: str = "text",
+    block_bytes: int = BLOCK_BYTES,
+) -> DataFrame:
+    """Per input row: key, n_words, n_hit, items (the ids of items with an occurring window,
+    sorted as strings, each once), contaminated.
+
+    A word is a run of ASCII letters, digits and any non-ASCII characters, lower-cased in A-Z; hit
+    if an occurrence of any window covers it. Items of fewer words than the window are one window;
+    items without words, or null, have none; an item without an id hits words but is not listed.
+    Null texts have no words; rows that are equal get equal results; keys may be null. No items:
+    nothing is hit. Any number of items is handled, in blocks: each block is one more pass over the
+    documents, adding to what the last one found.
+    """
+    out = marked(docs, items, window, [key], text, item_key, item_text, block_bytes)
+    return out.select(
+        F.col("c0").alias(key),
         "n_words",
         "n_hit",
         F.col("found").alias("items"),
@@ -194,6 +200,21 @@ def contamination(
     )
 
 
+def uncontaminated(
+    docs: DataFrame,
+    items: DataFrame,
+    window: int = 10,
+    text: str = "text",
+    item_key: str = "item_id",
+    item_text: str = "text",
+    block_bytes: int = BLOCK_BYTES,
+) -> DataFrame:
+    """The rows of docs that no window occurs in, all columns."""
+    out = marked(docs, items, window, docs.columns, text, item_key, item_text, block_bytes)
+    out = out.where("n_hit = 0")
+    return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
+
+
 def marker(sent, passed):
     """Task function: adds what the windows of one block hit to the columns n_hit, mask, found."""
 

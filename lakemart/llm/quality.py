@@ -19,6 +19,7 @@ from lakemart.llm.common import RangeHash, Words, as_bytes, slices
 
 FEATURE_BITS = 20
 PREFIXES = (4, 6)  # bytes of a word's beginning that are features, beside the whole word
+SCORES = ("text_score", "meta_score", "score")
 METADATA = ("lang", "source", "n_chars")
 PLAIN = bytes(
     c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32
@@ -277,29 +278,14 @@ def train(
     )
 
 
-def score(
-    docs: DataFrame,
-    model: Model,
-    key: str = "doc_id",
-    text: str = "text",
-    columns=METADATA,
-    threshold: float = 0.5,
-    carry: bool = False,
-) -> DataFrame:
-    """Per input row: key, text_score, meta_score, score (probabilities of being good), keep.
-    carry: with all columns of docs in place of the key.
-
-    A null or empty text is scored by its emptiness; missing metadata is a value of its own;
-    equal rows get equal scores; a null key is kept; an empty table gives an empty result.
-    """
+def rated(docs: DataFrame, model: Model, names: list[str], text: str, columns) -> DataFrame:
+    """The named columns as c0, c1, ..., then text_score, meta_score, score."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    names = docs.columns if carry else [key]
     taken = docs.select(
         *[F.col(c).alias(f"c{i}") for i, c in enumerate(names)],
         F.col(text).cast("string").alias("body"),
         metadata(docs, columns).alias("meta"),
     )
-    scores = ("text_score", "meta_score", "score")
 
     def rate(batches):
         model = sent.value
@@ -307,7 +293,8 @@ def score(
             texts = [x or b"" for x in as_bytes(batch.column("body"))]
             out = np.ones((3, len(texts)))
             if model.text is not None:
-                meta = model.meta.logit(len(texts), metadata_features(batch.column("meta").to_pylist()))
+                words = batch.column("meta").to_pylist()
+                meta = model.meta.logit(len(texts), metadata_features(words))
                 said = np.zeros(len(texts))
                 for a, b in slices(texts):
                     said[a:b] = model.text.logit(b - a, text_features(texts[a:b]))
@@ -315,18 +302,39 @@ def score(
                 out = sigmoid(np.stack((said, meta, both)))
             kept = [c for c in batch.schema.names if c not in ("body", "meta")]
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in kept], *[pa.array(x) for x in out]], names=[*kept, *scores]
+                [*[batch.column(c) for c in kept], *[pa.array(x) for x in out]],
+                names=[*kept, *SCORES],
             )
 
     schema = taken.drop("body", "meta").schema
-    for name in scores:
+    for name in SCORES:
         schema = schema.add(name, "double")
-    rated = taken.mapInArrow(rate, schema)
-    return rated.select(
-        *[F.col(f"c{i}").alias(c) for i, c in enumerate(names)],
-        *[F.col(c) for c in scores],
-        (F.col("score") >= threshold).alias("keep"),
-    )
+    return taken.mapInArrow(rate, schema)
+
+
+def score(
+    docs: DataFrame,
+    model: Model,
+    key: str = "doc_id",
+    text: str = "text",
+    columns=METADATA,
+    threshold: float = 0.5,
+) -> DataFrame:
+    """Per input row: key, text_score, meta_score, score (probabilities of being good), keep.
+
+    A null or empty text is scored by its emptiness; missing metadata is a value of its own;
+    equal rows get equal scores; a null key is kept; an empty table gives an empty result.
+    """
+    out = rated(docs, model, [key], text, columns)
+    return out.select(F.col("c0").alias(key), *SCORES, (F.col("score") >= threshold).alias("keep"))
+
+
+def keep_good(
+    docs: DataFrame, model: Model, text: str = "text", columns=METADATA, threshold: float = 0.5
+) -> DataFrame:
+    """The rows of docs whose score reaches the threshold, all columns."""
+    out = rated(docs, model, docs.columns, text, columns).where(F.col("score") >= threshold)
+    return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
 
 
 def classify(docs: DataFrame, labels: DataFrame, options: Settings | None = None, **names) -> DataFrame:

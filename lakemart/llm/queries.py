@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -200,3 +201,9 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Probability of being good, and whether to keep it, for every document."""
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query(corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality, near copies, benchmark leaks, secrets, packing: one after another."""
+    return corpus_pipeline.run(spark, sf_dir)

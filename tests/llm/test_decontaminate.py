@@ -41,12 +41,12 @@ def test_equals_brute_force_in_one_block_or_many(spark, block_bytes):
     assert got == {i if i else None: brute(t, items) for i, t in enumerate(texts)}
 
 
-def test_no_items_no_documents_and_carried_columns(spark, rows):
+def test_no_items_no_documents_and_whole_rows(spark, rows):
     docs = spark.createDataFrame([(1, "a b c", "s"), (1, "a b c", "s"), (None, None, None)], "doc_id long, text string, found string")
     none = spark.createDataFrame([], "item_id long, text string")
     assert rows(decontaminate.contamination(docs, none), "doc_id", "n_hit") == [(1, 0), (1, 0), (None, 0)]
     items = spark.createDataFrame([(None, "b c")], "item_id long, text string")
-    out = decontaminate.contamination(docs, items, carry=True)
-    assert out.columns[:3] == docs.columns
-    assert rows(out, "found", "n_hit", "items") == [("s", 2, []), ("s", 2, []), (None, 0, [])]
+    assert rows(decontaminate.contamination(docs, items), "n_hit", "items") == [(0, []), (2, []), (2, [])]
+    clean = decontaminate.uncontaminated(docs, items)
+    assert clean.columns == docs.columns and rows(clean) == [(None, None, None)]
     assert decontaminate.contamination(docs.limit(0), items).count() == 0

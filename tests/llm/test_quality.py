@@ -1,0 +1,78 @@
+import os
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from lakemart.llm import quality
+
+DATA = "/root/testdata/sf0.1"
+
+
+@pytest.mark.skipif(not os.path.isdir(DATA), reason="needs the test tables")
+def test_held_out_labels_are_predicted(spark):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    labels = spark.read.parquet(f"{DATA}/labels.parquet")
+    third = F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(3)) == 0
+    out = quality.classify(docs, labels.where(~third))
+    held = out.join(labels.where(third), "doc_id")
+    good = (F.col("quality") == 1) & (F.col("toxic") == 0)
+    shares = {r["good"]: r["kept"] for r in held.groupBy(good.alias("good")).agg(F.avg(F.col("keep").cast("int")).alias("kept")).collect()}
+    assert shares[True] > 0.98
+    assert shares[False] < 0.1
+
+
+def make(n, seed=0):
+    rng = np.random.default_rng(seed)
+    words = [f"w{i}" for i in range(200)]
+    rows, labels = [], []
+    for i in range(n):
+        text = list(rng.choice(words, 40))
+        bad = i % 4 == 0
+        if bad:
+            text[3] = "nasty"
+        rows.append((i, " ".join(text), "en", "forum" if bad else "book", 1))
+        labels.append((i, 1, int(bad)))
+    return rows, labels
+
+
+SCHEMA = "doc_id long, text string, lang string, source string, keep int"
+
+
+def test_views_agree_and_odd_rows_are_scored(spark):
+    rows, labels = make(400)
+    extra = [(None, None, None, None, None), (900, "", "", "", 0), (900, "", "", "", 0), (901, "nasty w1", "en", "forum", 0), (902, "w1 " * 100_000, None, "book", 0)]
+    docs = spark.createDataFrame(rows + extra, SCHEMA)
+    table = spark.createDataFrame(labels[:200] + [(None, 1, 1), (7, None, None)], "doc_id long, quality int, toxic int")
+    options = quality.Settings(pool=500)
+    got = {}
+    for r in quality.classify(docs, table, options).collect():
+        got.setdefault(r["doc_id"], []).append(r)
+    assert all(got[i][0]["keep"] == (i % 4 != 0) for i in range(400))
+    assert got[900][0] == got[900][1]
+    assert not got[901][0]["keep"]
+    assert got[None][0]["score"] is not None and 902 in got
+    meta = {i: r[0]["meta_score"] > 0.5 for i, r in got.items() if i is not None and i < 400}
+    assert all(meta[i] == (i % 4 != 0) for i in meta)
+
+
+def test_confident_rows_teach_the_other_view():
+    """The text view knows nothing of the labelled rows; metadata labels the pool for it."""
+    rows, _ = make(600, seed=3)
+    texts = [r[1].encode() for r in rows]
+    meta = [[f"source={r[3]}"] for r in rows]
+    label = np.full(600, -1)
+    label[:80] = [int(i % 4 != 0) for i in range(80)]
+    texts[:80] = [b"plain words"] * 80
+    taught = quality.co_train(texts, meta, label, quality.Settings(sure=0.9))
+    alone = quality.co_train(texts, meta, label, quality.Settings(sure=0.9, rounds=0))
+    assert len(taught.text.weights) and taught.text.column[quality.text_features([b"nasty"])[1]].max() >= 0
+    assert len(alone.text.weights) == 0
+
+
+def test_without_labels_all_is_kept(spark):
+    docs = spark.createDataFrame(make(5)[0], SCHEMA)
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert [r["keep"] for r in quality.classify(docs, none).collect()] == [True] * 5
+    assert quality.classify(docs.limit(0), none).count() == 0
+    assert quality.keep_good(docs, quality.Model()).columns == docs.columns
