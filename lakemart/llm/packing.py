@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakemart.llm.common import as_bytes, slices
-from lakemart.llm.tokens import WordEncoder
+from lakemart.llm.tokens import SharedEncoder
 
 LENGTH = 4096
 END_ID = 2
@@ -33,7 +33,7 @@ def pieces(
     doc_tokens); ids are little-endian unsigned 32-bit numbers. Every document ends with end_id, so
     a null or empty text is one piece of one id."""
     with open(tokenizer_path, encoding="utf-8") as f:
-        tokenizer = docs.sparkSession.sparkContext.broadcast(f.read())
+        shared = docs.sparkSession.sparkContext.broadcast(SharedEncoder(f.read()))
     taken = docs.select(
         F.monotonically_increasing_id().alias("row"),
         F.col(key).alias("id"),
@@ -41,7 +41,7 @@ def pieces(
     )
 
     def cut(batches):
-        encoder = WordEncoder(tokenizer.value)
+        encoder = shared.value.get()
         for batch in batches:
             texts = [x or b"" for x in as_bytes(batch.column("body"))]
             for a, b in slices(texts):

@@ -6,6 +6,7 @@ drops white space, so ids(text) are the ids of its words, one after another.
 
 from __future__ import annotations
 
+import os
 import re
 from itertools import chain
 
@@ -17,7 +18,7 @@ from lakemart.llm.common import LOWER
 # Signs that end a word of letters are a word of their own for the tokenizer.
 TAIL = re.compile(rb"(?<=[a-z])([!-/:-@\[-`{-~]+)(?![^\x20\x09-\x0D])")
 SPECIAL = b"<|"  # begins the names of special ids; texts that have it are taken as they are
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 400_000
 WORD_END = "</w>"
 # Below this character no letter is changed by composition, and case is simple.
 AFTER_LATIN = "\u0250"
@@ -42,6 +43,8 @@ class WordEncoder:
     """
 
     def __init__(self, tokenizer_json: str):
+        # A task has one core; threads of the library would only hold memory of their own.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.plain = Tokenizer.from_str(tokenizer_json)
         self.plain.normalizer = None
@@ -107,3 +110,20 @@ class WordEncoder:
         ids = self.flat[np.arange(ends[-1]) + np.repeat(self.start[words] - ends[:-1], size)]
         counts = np.cumsum([0, *map(len, split)])
         return ids, np.diff(ends[counts])
+
+
+class SharedEncoder:
+    """Sent to the workers by broadcast: a worker process builds one encoder and keeps it for all
+    its tasks."""
+
+    def __init__(self, tokenizer_json: str):
+        self.tokenizer_json = tokenizer_json
+        self.built: WordEncoder | None = None
+
+    def __getstate__(self) -> dict:
+        return {"tokenizer_json": self.tokenizer_json, "built": None}
+
+    def get(self) -> WordEncoder:
+        if self.built is None:
+            self.built = WordEncoder(self.tokenizer_json)
+        return self.built
