@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.llm import decontaminate, kdtree, packing, quality, secrets, simhash, substring_dedup
+from lakemart.llm import decontaminate, kdtree, packing, quality, secrets, simhash, substring_dedup, warc
 
 QUERIES = {}
 ORACLES = {}
@@ -230,3 +230,20 @@ FROM scored QUALIFY rank <= 20
 def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 largest inner products of every twentieth vector with all others."""
     return kdtree.top_k(table(spark, sf_dir, "embeddings"), k=20, every=20, scale=64.0)
+
+
+OP6_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+firsts AS (SELECT html, max(page_id) AS first FROM p WHERE strlen(html) >= 1000 GROUP BY html)
+SELECT page_id, CAST(strlen(p.html) AS BIGINT) AS payload_bytes, sha1(p.html) AS payload_digest,
+       CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first <> page_id THEN first END AS refers_to
+FROM p LEFT JOIN firsts ON p.html = firsts.html
+"""
+
+
+@query(OP6_SQL)
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages, written as compressed archives and read back."""
+    out = warc.round_trip(table(spark, sf_dir, "pages"))
+    return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
