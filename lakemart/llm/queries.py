@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.llm import decontaminate, kdtree, packing, quality, secrets, simhash, substring_dedup, warc
+from lakemart.llm import decontaminate, kdtree, language_model, packing, quality, secrets, simhash, substring_dedup, warc
 
 QUERIES = {}
 ORACLES = {}
@@ -247,3 +247,13 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages, written as compressed archives and read back."""
     out = warc.round_trip(table(spark, sf_dir, "pages"))
     return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query()
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents scored by a model of those not held out."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10 == 0
+    model = language_model.count(docs.where(~F.coalesce(held_out, F.lit(False))))
+    scored = language_model.score(docs, model)
+    return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), *scored.columns[1:])
