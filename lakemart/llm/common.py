@@ -251,6 +251,45 @@ def send(chunk: int, buckets: int, keys: np.ndarray, more: np.ndarray, places: n
     )
 
 
+def count_repeats(rows: list[dict], but_first: bool = False) -> tuple[list[int], list[bytes]]:
+    """Of the rows of one bucket, as sent: chunks, and places whose hash occurs more than once.
+    but_first: without the first place of each hash, by chunk and place."""
+    chunks = [r["chunk"] for r in rows if r["keys"] is None]
+    out = [r["places"] for r in rows if r["keys"] is None]
+    rows = sorted((r for r in rows if r["keys"] is not None), key=lambda r: r["chunk"])
+    if not rows:
+        return chunks, out
+    keys = np.concatenate([np.frombuffer(r["keys"], np.uint64) for r in rows])
+    more = np.concatenate([np.frombuffer(r["more"], np.uint32) for r in rows])
+    sizes = [len(r["keys"]) // 8 for r in rows]
+    many = np.concatenate(
+        [
+            np.unpackbits(np.frombuffer(r["many"], np.uint8), count=n)
+            for r, n in zip(rows, sizes, strict=True)
+        ]
+    )
+    order = np.lexsort((more, keys))  # stable: by chunk within a hash
+    k, m = keys[order], more[order]
+    new = np.ones(len(k), bool)
+    new[1:] = (k[1:] != k[:-1]) | (m[1:] != m[:-1])
+    firsts = np.flatnonzero(new)
+    total = np.add.reduceat(1 + many[order].astype(np.int64), firsts)
+    again = np.repeat(total > 1, np.diff(np.append(firsts, len(k))))
+    hit = np.empty(len(k), bool)
+    hit[order] = again & ~new if but_first else again
+    at = 0
+    for r, n in zip(rows, sizes, strict=True):
+        if hit[at : at + n].any():
+            chunks.append(r["chunk"])
+            out.append(squeeze(unsqueeze(r["places"])[hit[at : at + n]]))
+        at += n
+    return chunks, out
+
+
+def places_table(chunks: list[int], places: list[bytes]) -> pa.Table:
+    return pa.table({"chunk": pa.array(chunks, pa.int64()), "places": pa.array(places, pa.binary())})
+
+
 def repeated(sent: DataFrame) -> DataFrame:
     """Of the windows sent, those whose hash occurs more than once: (chunk, places).
 
@@ -258,33 +297,6 @@ def repeated(sent: DataFrame) -> DataFrame:
     """
 
     def count(table: pa.Table) -> pa.Table:
-        rows = [r for r in table.to_pylist() if r["keys"] is not None]
-        chunks = [r["chunk"] for r in table.to_pylist() if r["keys"] is None]
-        out = [r["places"] for r in table.to_pylist() if r["keys"] is None]
-        if rows:
-            keys = np.concatenate([np.frombuffer(r["keys"], np.uint64) for r in rows])
-            more = np.concatenate([np.frombuffer(r["more"], np.uint32) for r in rows])
-            sizes = [len(r["keys"]) // 8 for r in rows]
-            many = np.concatenate(
-                [
-                    np.unpackbits(np.frombuffer(r["many"], np.uint8), count=n)
-                    for r, n in zip(rows, sizes, strict=True)
-                ]
-            )
-            order = np.lexsort((more, keys))
-            k, m = keys[order], more[order]
-            new = np.ones(len(k), bool)
-            new[1:] = (k[1:] != k[:-1]) | (m[1:] != m[:-1])
-            firsts = np.flatnonzero(new)
-            total = np.add.reduceat(1 + many[order].astype(np.int64), firsts)
-            hit = np.empty(len(k), bool)
-            hit[order] = np.repeat(total > 1, np.diff(np.append(firsts, len(k))))
-            at = 0
-            for r, n in zip(rows, sizes, strict=True):
-                if hit[at : at + n].any():
-                    chunks.append(r["chunk"])
-                    out.append(squeeze(unsqueeze(r["places"])[hit[at : at + n]]))
-                at += n
-        return pa.table({"chunk": pa.array(chunks, pa.int64()), "places": pa.array(out, pa.binary())})
+        return places_table(*count_repeats(table.to_pylist()))
 
     return sent.groupBy("bucket").applyInArrow(count, "chunk long, places binary")

@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.llm import decontaminate, kdtree, language_model, packing, quality, secrets, simhash, substring_dedup, warc
+from lakemart.llm import decontaminate, kdtree, language_model, packing, quality, secrets, simhash, substring_dedup, suffix_dedup, warc
 
 QUERIES = {}
 ORACLES = {}
@@ -257,3 +257,13 @@ def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = language_model.count(docs.where(~F.coalesce(held_out, F.lit(False))))
     scored = language_model.score(docs, model)
     return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), *scored.columns[1:])
+
+
+@query()
+def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of documents that no repeated string of 400 bytes covers."""
+    docs = table(spark, sf_dir, "documents")
+    out = suffix_dedup.remove_copies(docs, window=400, keep_first=False)
+    return out.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
