@@ -33,8 +33,8 @@ class Settings:
     key. The rest are usual values: rounds of exchange, how sure a pseudo-label has to be, how
     clearly a feature must go with the label, and the most features of a view."""
 
-    labelled: int = 8000
-    pool: int = 4000
+    labelled: int = 6000
+    pool: int = 2000
     rounds: int = 3
     sure: float = 0.97
     least_z: float = 4.0
@@ -124,20 +124,16 @@ class View:
     slope: float = 1.0
     shift: float = 0.0
 
-    def matrix(self, n: int, triples) -> np.ndarray:
+    def entries(self, triples):
+        """Row, column and value of the chosen features."""
         docs, feature, counts = triples
         at = self.column[feature]
         keep = at >= 0
-        out = np.zeros((n, len(self.weights)), np.float32)
-        out[docs[keep], at[keep]] = np.log1p(counts[keep])
-        return out
+        return docs[keep], at[keep], np.log1p(counts[keep])
 
     def raw(self, n: int, triples) -> np.ndarray:
-        docs, feature, counts = triples
-        at = self.column[feature]
-        keep = at >= 0
-        parts = self.weights[at[keep]] * np.log1p(counts[keep])
-        return np.bincount(docs[keep], parts, minlength=n) + self.bias
+        docs, at, values = self.entries(triples)
+        return np.bincount(docs, self.weights[at] * values, minlength=n) + self.bias
 
     def logit(self, n: int, triples) -> np.ndarray:
         return self.slope * self.raw(n, triples) + self.shift
@@ -147,13 +143,18 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def logistic(x: np.ndarray, y: np.ndarray, decay: float, steps: int = 300) -> tuple[np.ndarray, float]:
-    """Weights and bias by gradient steps with momentum and scaling."""
-    x = np.hstack((x, np.ones((len(x), 1), x.dtype)))
-    w = np.zeros(x.shape[1])
+def logistic(entries, columns: int, y: np.ndarray, decay: float = 1e-3, steps: int = 200):
+    """Weights and bias of a logistic model, by gradient steps with momentum and scaling.
+
+    entries: row, column and value of what is not zero; y: the label of each row.
+    """
+    rows, cols, values = entries
+    w = np.zeros(columns + 1)
     first, second = np.zeros_like(w), np.zeros_like(w)
     for i in range(1, steps + 1):
-        gradient = x.T @ (sigmoid(x @ w) - y) / len(y)
+        raw = np.bincount(rows, w[cols] * values, minlength=len(y)) + w[-1]
+        error = (sigmoid(raw) - y) / len(y)
+        gradient = np.append(np.bincount(cols, error[rows] * values, minlength=columns), error.sum())
         gradient[:-1] += decay * w[:-1]
         first = 0.9 * first + 0.1 * gradient
         second = 0.99 * second + 0.01 * gradient**2
@@ -161,10 +162,16 @@ def logistic(x: np.ndarray, y: np.ndarray, decay: float, steps: int = 300) -> tu
     return w[:-1], float(w[-1])
 
 
+def dense(x: np.ndarray):
+    """All entries of a small matrix."""
+    rows, cols = np.indices(x.shape)
+    return rows.ravel(), cols.ravel(), x.ravel()
+
+
 def fit_view(n: int, triples, rows: np.ndarray, y: np.ndarray, options: Settings) -> View:
     """Choose features that go with the label beyond chance, then fit on the given rows."""
     docs, feature, _ = triples
-    label = np.full(n, -1)
+    label = np.full(n, -1, np.int8)
     label[rows] = y
     total = [max(int((y == k).sum()), 1) for k in (0, 1)]
     have = [np.bincount(feature[label[docs] == k], minlength=1 << FEATURE_BITS) for k in (0, 1)]
@@ -177,13 +184,18 @@ def fit_view(n: int, triples, rows: np.ndarray, y: np.ndarray, options: Settings
     column = np.full(1 << FEATURE_BITS, -1, np.int32)
     column[chosen] = np.arange(len(chosen))
     view = View(column, np.zeros(len(chosen)))
-    view.weights, view.bias = logistic(view.matrix(n, triples)[rows], y.astype(float), 1e-3)
+    at, cols, values = view.entries(triples)
+    place = np.full(n, -1)
+    place[rows] = np.arange(len(rows))
+    keep = place[at] >= 0
+    entries = place[at[keep]], cols[keep], values[keep]
+    view.weights, view.bias = logistic(entries, len(chosen), y.astype(float))
     return view
 
 
 def calibrate(view: View, n: int, triples, rows: np.ndarray, y: np.ndarray) -> None:
     """Slope and shift that make the view's logits probabilities on rows it was not fitted on."""
-    slope, shift = logistic(view.raw(n, triples)[rows, None], y.astype(float), 1e-3)
+    slope, shift = logistic(dense(view.raw(n, triples)[rows, None]), 1, y.astype(float))
     view.slope, view.shift = max(float(slope[0]), 0.0), shift
 
 
@@ -197,17 +209,13 @@ class Model:
     bias: float = 30.0
 
 
-def co_train(texts: list[bytes], meta: list, label: np.ndarray, options: Settings) -> Model:
-    """label: 1 good, 0 bad, -1 unknown, one per row; without rows of both classes, all is good."""
-    n = len(texts)
+def co_train(triples: list, label: np.ndarray, options: Settings) -> Model:
+    """triples: of the text and of the metadata; label: 1 good, 0 bad, -1 unknown, one per row;
+    without rows of both classes, all is good."""
+    n = len(label)
     known = np.flatnonzero(label >= 0)
     if len(np.unique(label[known])) < 2:
         return Model()
-    parts = []
-    for a, b in slices(texts):
-        docs, feature, counts = text_features(texts[a:b])
-        parts.append((docs + a, feature, counts))
-    triples = [tuple(map(np.concatenate, zip(*parts, strict=True))), metadata_features(meta)]
     # Every fourth known row is kept apart for calibration, by class, so both have some.
     apart = np.zeros(n, bool)
     every = max(round(1 / options.held_out), 2)
@@ -235,7 +243,7 @@ def co_train(texts: list[bytes], meta: list, label: np.ndarray, options: Setting
                 for i in rows.tolist():
                     lessons[1 - k].setdefault(i, y)
     logits = np.stack([v.logit(n, t) for v, t in zip(views, triples, strict=True)], 1)
-    blend, bias = logistic(logits[held], label[held].astype(float), 1e-3)
+    blend, bias = logistic(dense(logits[held]), 2, label[held].astype(float))
     return Model(views[0], views[1], np.maximum(blend, 0), bias)
 
 
@@ -264,18 +272,42 @@ def train(
     chosen = chosen.union(rest.where(place < share).select(key, F.lit(-1).alias("label")))
     rows = docs.select(
         key,
-        F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary").alias("body"),
+        F.col(text).cast("string").alias("body"),
         metadata(docs, columns).alias("meta"),
     )
     # The chosen keys are bounded by the settings, whatever the tables hold.
-    rows = rows.join(F.broadcast(chosen), key).dropDuplicates([key]).orderBy(key)
-    table = rows.select("body", "meta", "label").toArrow()
-    return co_train(
-        table.column("body").to_pylist(),
-        table.column("meta").to_pylist(),
-        table.column("label").to_numpy().astype(int),
-        options,
-    )
+    rows = rows.join(F.broadcast(chosen), key).dropDuplicates([key])
+
+    def extract(batches):
+        for batch in batches:
+            texts = [x or b"" for x in as_bytes(batch.column("body"))]
+            for a, b in slices(texts):
+                docs, feature, counts = text_features(texts[a:b])
+                bounds = np.searchsorted(docs, np.arange(b - a + 1))
+                feature, counts = feature.astype("<i4"), np.minimum(counts, 255).astype(np.uint8)
+                pairs = list(zip(bounds, bounds[1:], strict=False))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("id")[a:b],
+                        batch.column("label")[a:b],
+                        batch.column("meta")[a:b],
+                        pa.array([feature[i:j].tobytes() for i, j in pairs], pa.binary()),
+                        pa.array([counts[i:j].tobytes() for i, j in pairs], pa.binary()),
+                    ],
+                    names=["id", "label", "meta", "feature", "counts"],
+                )
+
+    found = rows.select(F.col(key).alias("id"), "label", "meta", F.col("body").alias("body"))
+    id_sql = docs.schema[key].dataType.simpleString()
+    schema = f"id {id_sql}, label int, meta array<string>, feature binary, counts binary"
+    table = found.mapInArrow(extract, schema).toArrow().sort_by("id")
+    words = [np.frombuffer(x, "<i4") for x in table.column("feature").to_pylist()]
+    counts = [np.frombuffer(x, np.uint8) for x in table.column("counts").to_pylist()]
+    of = np.repeat(np.arange(len(words), dtype=np.int32), [len(x) for x in words])
+    none = np.zeros(0, np.int32)
+    text_triples = of, np.concatenate([none, *words]), np.concatenate([none, *counts]).astype(np.uint8)
+    triples = [text_triples, metadata_features(table.column("meta").to_pylist())]
+    return co_train(triples, table.column("label").to_numpy().astype(int), options)
 
 
 def rated(docs: DataFrame, model: Model, names: list[str], text: str, columns) -> DataFrame:

@@ -64,8 +64,9 @@ def test_confident_rows_teach_the_other_view():
     label = np.full(600, -1)
     label[:80] = [int(i % 4 != 0) for i in range(80)]
     texts[:80] = [b"plain words"] * 80
-    taught = quality.co_train(texts, meta, label, quality.Settings(sure=0.9))
-    alone = quality.co_train(texts, meta, label, quality.Settings(sure=0.9, rounds=0))
+    triples = [quality.text_features(texts), quality.metadata_features(meta)]
+    taught = quality.co_train(triples, label, quality.Settings(sure=0.9))
+    alone = quality.co_train(triples, label, quality.Settings(sure=0.9, rounds=0))
     assert len(taught.text.weights) and taught.text.column[quality.text_features([b"nasty"])[1]].max() >= 0
     assert len(alone.text.weights) == 0
 
