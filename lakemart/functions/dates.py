@@ -21,9 +21,10 @@ def in_interval(df: DataFrame, time: str, start: datetime, end: datetime) -> Dat
     return df.where((F.col(time) >= utc_literal(start)) & (F.col(time) < utc_literal(end)))
 
 
-def with_date_partitions(df: DataFrame, time: str) -> DataFrame:
+def with_date_partitions(df: DataFrame, time: str | Column) -> DataFrame:
     """Add the year, month and day of `time` as the strings yyyy, MM and dd."""
-    text = F.col(time).cast("date").cast("string")
+    moment = F.col(time) if isinstance(time, str) else time
+    text = moment.cast("date").cast("string")
     year, month, day = DATE_PARTITIONS
     return df.withColumns(
         {year: text.substr(1, 4), month: text.substr(6, 2), day: text.substr(9, 2)}

@@ -39,9 +39,15 @@ def enforce(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def reject_reasons(df: DataFrame, schema: T.StructType, required: Iterable[str]) -> Column:
-    """Comma-separated names of what is wrong with a text row; empty text when it is good."""
+    """Comma-separated names of what is wrong with a text row; empty text when it is good.
+
+    A line that could not be split into its columns is wrong as a whole: its parts may stand under
+    each other's names.
+    """
     types = {field.name: field.dataType for field in schema}
     reasons = []
+    if CORRUPT in df.columns:
+        reasons.append(F.when(F.col(CORRUPT).isNotNull(), "line:malformed"))
     for name in required:
         value = F.col(name)
         reasons.append(
@@ -53,8 +59,9 @@ def reject_reasons(df: DataFrame, schema: T.StructType, required: Iterable[str])
 
 
 def accepted(df: DataFrame, schema: T.StructType, required: Iterable[str]) -> DataFrame:
-    """Typed rows in which every required column could be read."""
-    good = enforce(df, schema)
+    """Typed rows of sound lines in which every required column could be read."""
+    sound = df.where(F.col(CORRUPT).isNull()) if CORRUPT in df.columns else df
+    good = enforce(sound, schema)
     for name in required:
         good = good.where(F.col(name).isNotNull())
     return good

@@ -3,42 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A key with fewer rows than this is no burden for one task.
-HEAVY_ROWS = 1_000_000
-# At most this many keys are treated apart, which bounds what gets broadcast. A key beyond
-# them holds less than 1/10,000 of the rows; it goes the ordinary way and stays exact.
-HEAVY_KEYS = 10_000
-
-
-def heavy_keys(
-    df: DataFrame,
-    keys: str | Sequence[str],
-    min_rows: int = HEAVY_ROWS,
-    limit: int = HEAVY_KEYS,
-    **aggregates: Column,
-) -> DataFrame:
-    """The keys with more than `min_rows` rows, largest first, at most `limit` of them.
-
-    Counts are combined before the shuffle, so a heavy key sends one row per task.
-    """
-    keys = [keys] if isinstance(keys, str) else list(keys)
-    present = reduce(lambda a, b: a & b, [F.col(key).isNotNull() for key in keys])
-    counted = (
-        df.where(present)
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("key_rows"), *(c.alias(n) for n, c in aggregates.items()))
-    )
-    return (
-        counted.where(F.col("key_rows") > min_rows)
-        .orderBy(F.col("key_rows").desc(), *keys)
-        .limit(limit)
-    )
-
 
 def matching(left: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     """Left semi join: the rows whose `key` is in `ids`, a frame with that column.
@@ -59,42 +27,25 @@ def lookup(
     on: tuple[str, str],
     name: str,
     spread_by: Sequence[str],
-    heavy: DataFrame | None = None,
 ) -> DataFrame:
     """Left join `right`, unique by its key, as one struct column; null where there is no match.
 
-    Rows of a `heavy` key (at most HEAVY_KEYS of them) find their match in a broadcast of
-    just those right rows. They, and the rows without a key, then travel by a hash of
-    `spread_by` instead of by the key, so neither piles up in one task.
+    Rows without a key travel by a hash of `spread_by`, so they do not pile up in one task. A key
+    with very many rows goes into one partition of the shuffle, which the adaptive skew split
+    cuts: nothing stands between the shuffles and the join.
     """
     left_key, right_key = on
     packed = right.select(
-        F.col(right_key).alias("_key"), F.struct(*(F.col(c) for c in right.columns)).alias("_row")
+        F.col(right_key).alias("_key"),
+        F.struct(*(F.col(c) for c in right.columns)).alias(name),
+        F.xxhash64(right_key).alias("_key_hash"),
     )
-    own = F.xxhash64(left_key)
     away = F.xxhash64(F.lit(name), *(F.col(c) for c in spread_by))
-    if heavy is None:
-        left = left.withColumn("_spread", F.when(F.col(left_key).isNull(), away).otherwise(own))
-    else:
-        listed = heavy.select(F.col(heavy.columns[0]).alias("_key")).limit(HEAVY_KEYS)
-        heavy_rows = packed.join(F.broadcast(listed), "_key", "left_semi")
-        heavy_rows = heavy_rows.select(
-            F.col("_key").alias("_heavy_key"), F.col("_row").alias("_heavy_row")
-        )
-        left = left.join(
-            F.broadcast(heavy_rows), F.col(left_key) == F.col("_heavy_key"), "left"
-        ).withColumn(
-            "_spread",
-            F.when(F.col(left_key).isNull() | F.col("_heavy_key").isNotNull(), away).otherwise(own),
-        )
-    # The hash on the right is that of the key: rows sent elsewhere meet nothing, and if two
-    # hashes ever agree the match is the same single right row.
-    packed = packed.withColumn("_key_hash", F.xxhash64("_key"))
+    spread = F.when(F.col(left_key).isNull(), away).otherwise(F.xxhash64(left_key))
+    left = left.withColumn("_spread", spread)
     joined = left.join(
         packed,
         (F.col(left_key) == F.col("_key")) & (F.col("_spread") == F.col("_key_hash")),
         "left",
     )
-    found = F.col("_row") if heavy is None else F.coalesce("_heavy_row", "_row")
-    helpers = ["_spread", "_key", "_row", "_key_hash", "_heavy_key", "_heavy_row"]
-    return joined.withColumn(name, found).drop(*helpers)
+    return joined.drop("_spread", "_key", "_key_hash")

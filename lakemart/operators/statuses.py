@@ -7,57 +7,34 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.operators.joins import heavy_keys
 from lakemart.schemas import STATUS_EVENTS
 
-# About the longest list one row should hold. An order with more events gets several rows.
-MAX_EVENTS = 10_000
-# Orders that may get several rows; this many (key, count, time) rows are a few MB to
-# broadcast. An order beyond them holds less than 1/100,000 of the events and stays one row.
-LONG_ORDERS = 100_000
-
 
 def status_timeline(
     statuses: DataFrame,
     key: str = "order_id",
     event: str = "value",
     time: str = "created_at",
-    max_events: int = MAX_EVENTS,
+    grain: str | None = None,
 ) -> DataFrame:
     """One row per order: its events as a list sorted by time, and the first instant.
 
-    An order with more than `max_events` events continues in rows with part 1, 2, ...,
-    each a sorted list of about `max_events` of its events; nothing is left out and no
-    task has to hold an unbounded list. `date_partition` is the first instant of the
-    whole order in every part.
+    grain: where a key's events go on for years, a unit of time ("day", "month", "year"); then
+    there is one row per order and period, its start in the column `period`, for every order
+    alike. What comes out never depends on how many events there are. A row holds its list, so
+    choose a grain in which one order has a list of bearable length.
     """
-    heavy = heavy_keys(
-        statuses, key, min_rows=max_events, limit=LONG_ORDERS, _first=F.min(time)
-    ).select(
-        key,
-        F.ceil(F.col("key_rows") / F.lit(max_events)).alias("_parts"),
-        "_first",
+    by = [F.col(key)]
+    if grain is not None:
+        by.append(F.date_trunc(grain, time).cast("timestamp_ntz").alias("period"))
+    events = F.struct(F.col(time).alias("created_at"), F.col(event).alias("event"))
+    grouped = statuses.groupBy(*by).agg(
+        F.sort_array(F.collect_list(events)).alias("status"), F.min(time).alias("date_partition")
     )
-    part = F.pmod(F.xxhash64(*statuses.columns), F.col("_parts"))
-    return (
-        statuses.join(F.broadcast(heavy), key, "left")
-        .groupBy(key, F.coalesce(part, F.lit(0)).cast("int").alias("part"))
-        .agg(
-            F.sort_array(
-                F.collect_list(F.struct(F.col(time).alias("created_at"), F.col(event).alias("event")))
-            ).alias("_sorted"),
-            F.coalesce(F.min("_first"), F.min(time)).alias("date_partition"),
-        )
-        .select(
-            key,
-            "part",
-            F.transform(
-                "_sorted",
-                lambda s: F.struct(s["event"].alias("event"), s["created_at"].alias("created_at")),
-            ).alias("status"),
-            "date_partition",
-        )
+    turned = F.transform(
+        "status", lambda s: F.struct(s["event"].alias("event"), s["created_at"].alias("created_at"))
     )
+    return grouped.withColumn("status", turned)
 
 
 def status_pivot(

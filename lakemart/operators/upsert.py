@@ -1,30 +1,38 @@
 """Update-or-insert by key into a date-partitioned Parquet table.
 
-Plain files have no MERGE, so the touched partitions are written anew beside the table and
-then swapped in. A list of the swaps is stored before the first one, so a run that stops
-anywhere is finished, or undone, by the next run. One writer per table; a reader may see
-old and new partitions side by side during the swap.
+Plain files have no MERGE. The touched partitions are written anew as additional files into the
+folders of the table, by the executors; then the files they replace are deleted. A small record
+beside the table, stored before anything is written, lists the old files; a second one, stored
+when the new files are complete, says that they hold. Nothing is moved, and every step can be
+repeated: a run that stops before the second record is undone by deleting what it wrote, one that
+stops after it is finished by deleting what is old. One writer per table; a reader may see old and
+new files of a partition together until the old ones are gone.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakemart.operators.quality import QualityError, require_keys
 from lakemart.schemas import DATE_PARTITIONS
 from lakemart.sources.tables import (
+    SCHEMA_FILE,
     exists,
     file_system,
+    list_files,
     partition_folder,
     partition_path,
+    read_file,
     read_table,
     table_exists,
+    write_file,
     write_table,
 )
 
@@ -62,15 +70,24 @@ def merged(
     """The target after the upsert: target rows whose key is not replaced, and the source rows.
 
     `replaced` names the keys whose old rows go; by default those of the source. Nulls in
-    a key match each other.
+    a key match each other. A column that only one side has is null in the other's rows.
     """
     gone = source if replaced is None else replaced
-    return _by_keys(target, gone, keys, "left_anti").unionByName(source)
+    return _by_keys(target, gone, keys, "left_anti").unionByName(source, allowMissingColumns=True)
+
+
+def joint_schema(table: T.StructType, batch: T.StructType) -> T.StructType:
+    """The table's columns, then those that only the batch has."""
+    types = {field.name: field.dataType for field in table}
+    differing = [f.name for f in batch if types.get(f.name, f.dataType) != f.dataType]
+    if differing:
+        raise QualityError(f"table and batch differ in the types of columns: {differing}")
+    return T.StructType([*table, *(f for f in batch if f.name not in types)])
 
 
 @dataclass(frozen=True)
-class _Staging:
-    """The folder beside the table where the next state of the touched partitions is built."""
+class _Run:
+    """The records of one upsert, and scratch tables, in a folder beside the table."""
 
     spark: SparkSession
     table: str
@@ -83,94 +100,109 @@ class _Staging:
     def source(self) -> str:
         return f"{self.root}/source"
 
+    @property
+    def kept(self) -> str:
+        return f"{self.root}/kept"
+
     @property
     def replaced(self) -> str:
         return f"{self.root}/replaced"
 
     @property
-    def data(self) -> str:
-        return f"{self.root}/data"
+    def begun(self) -> str:
+        return f"{self.root}/begun.json"
 
     @property
-    def swaps(self) -> str:
-        return f"{self.root}/swaps.json"
+    def holds(self) -> str:
+        return f"{self.root}/holds.json"
 
     def _fs(self):
         return file_system(self.spark, self.root)[0]
 
-    def _path(self, path: str):
-        return self.spark._jvm.org.apache.hadoop.fs.Path(path)
-
     def delete(self, path: str) -> None:
-        self._fs().delete(self._path(path), True)
+        """The only step that takes anything away; done already if the path is not there."""
+        self._fs().delete(self.spark._jvm.org.apache.hadoop.fs.Path(path), True)
+
+    def save(self, path: str, record: dict) -> None:
+        """A record counts only with its last character, so a torn one is no record."""
+        write_file(self.spark, path, json.dumps(record) + "\n")
+
+    def load(self, path: str) -> dict | None:
+        text = read_file(self.spark, path)
+        return json.loads(text) if text is not None and text.endswith("\n") else None
+
+    def files(self, folders: Iterable[str]) -> dict[str, list[str]]:
+        with ThreadPoolExecutor(max_workers=16) as pool:
+            paths = {folder: f"{self.table}/{folder}" for folder in folders}
+            found = pool.map(lambda path: list_files(self.spark, path), paths.values())
+            return dict(zip(paths, found, strict=True))
+
+    def delete_all(self, paths: Iterable[str]) -> None:
+        with ThreadPoolExecutor(max_workers=16) as pool:
+            list(pool.map(self.delete, paths))
+
+    def undo(self, record: dict) -> None:
+        """Take away what the run wrote: whatever was not there before."""
+        if record["create"]:
+            self.delete(self.table)
+            return
+        self.delete(f"{self.table}/_temporary")
+        now = self.files(record["old"])
+        self.delete_all(
+            f"{self.table}/{folder}/{name}"
+            for folder, names in now.items()
+            for name in names
+            if name not in set(record["old"][folder])
+        )
+        self.remove_empty(record)
+
+    def finish(self, record: dict) -> None:
+        """Take away what the run replaced."""
+        self.delete_all(
+            f"{self.table}/{folder}/{name}"
+            for folder, names in record["old"].items()
+            for name in names
+        )
+        self.remove_empty(record)
+
+    def remove_empty(self, record: dict) -> None:
+        left = self.files(record["old"])
+        self.delete_all(f"{self.table}/{folder}" for folder, names in left.items() if not names)
 
     def drop(self) -> None:
-        """The list goes first: a half-deleted folder must not look like a finished one."""
-        self.delete(self.swaps)
+        """The record that the run holds goes last: without it a repeated undo would take the new
+        files for leftovers, so the list of old files goes first."""
+        self.delete(self.begun)
         self.delete(self.root)
 
-    def save_swaps(self, swaps: dict) -> None:
-        draft = f"{self.swaps}.draft"
-        stream = self._fs().create(self._path(draft), True)
-        stream.write(json.dumps(swaps).encode())
-        stream.close()
-        self._fs().rename(self._path(draft), self._path(self.swaps))
-
-    def load_swaps(self) -> dict | None:
-        if not exists(self.spark, self.swaps):
-            return None
-        lines = self.spark.read.text(self.swaps, wholetext=True).first()
-        return json.loads(lines[0])
-
-    def partition_folders(self, depth: int) -> list[str]:
-        """Relative partition folders of the staged data."""
-        pattern = self._path("/".join([self.data, *["*=*"] * depth]))
-        found = self._fs().globStatus(pattern) or []
-        return [
-            "/".join(str(status.getPath().toString()).split("/")[-depth:]) for status in found
-        ]
-
-    def move(self, folder: str) -> None:
-        """Put a staged folder in place of the table's; done already if it is not there."""
-        staged, final = self._path(f"{self.data}/{folder}"), self._path(f"{self.table}/{folder}")
-        fs = self._fs()
-        if not fs.exists(staged):
-            return
-        fs.delete(final, True)
-        fs.mkdirs(final.getParent())
-        if not fs.rename(staged, final):
-            raise OSError(f"could not move {staged.toString()} to {final.toString()}")
-
-    def apply(self, swaps: dict) -> None:
-        """Repeating any number of these steps ends in the same table."""
-        fs = self._fs()
-        if swaps["create"]:
-            if fs.exists(self._path(self.data)):
-                fs.delete(self._path(self.table), True)
-                fs.mkdirs(self._path(self.table).getParent())
-                if not fs.rename(self._path(self.data), self._path(self.table)):
-                    raise OSError(f"could not move {self.data} to {self.table}")
-        else:
-            with ThreadPoolExecutor(max_workers=16) as pool:
-                list(pool.map(self.move, swaps["written"]))
-                list(pool.map(self.delete, [f"{self.table}/{f}" for f in swaps["vacated"]]))
-        self.spark.catalog.refreshByPath(self.table)
-        self.drop()
-
 
 def recover(spark: SparkSession, path: str) -> None:
-    """Finish an interrupted upsert whose swaps were listed; forget one that got less far."""
-    staging = _Staging(spark, path)
-    if not exists(spark, staging.root):
+    """Finish an interrupted upsert whose new files are complete; undo one that got less far."""
+    run = _Run(spark, path)
+    if not exists(spark, run.root):
         return
-    swaps = staging.load_swaps()
-    if swaps is None:
-        staging.drop()
-    else:
-        staging.apply(swaps)
+    record = run.load(run.begun)
+    if record is not None:
+        if run.load(run.holds) is None:
+            run.undo(record)
+        else:
+            run.finish(record)
+        spark.catalog.refreshByPath(path)
+    run.drop()
 
 
-def stage(
+def _write(run: _Run, rows: DataFrame, record: dict, partitions: Sequence[str]) -> None:
+    """Record, write, record, delete; each can be repeated."""
+    run.save(run.begun, record)
+    write_table(rows, run.table, partitions, mode="append")
+    if record.get("schema"):
+        write_file(run.spark, f"{run.table}/{SCHEMA_FILE}", record["schema"])
+    run.save(run.holds, {"holds": True})
+    run.finish(record)
+    run.spark.catalog.refreshByPath(run.table)
+
+
+def upsert(
     spark: SparkSession,
     path: str,
     source: DataFrame,
@@ -180,74 +212,104 @@ def stage(
     replaced_keys: Sequence[str] | None = None,
     key_fixes_partition: bool = False,
     newest_by: str | None = None,
-) -> dict | None:
-    """Write the next state of the touched partitions; the table itself stays as it is.
+    candidates: DataFrame | None = None,
+    not_null: Sequence[str] = (),
+) -> None:
+    """Create the table from the source, or update it by key.
+
+    keys                 unique in the source, may name nested fields
+    partitions           partition columns of the table
+    replaced             frame of keys whose old rows go (default: those of the source)
+    replaced_keys        the key columns of `replaced`, when fewer than `keys` (no nested fields)
+    key_fixes_partition  a key never changes partition, so the table need not be searched
+    newest_by            time column; a row does not replace one that is newer in the table
+    candidates           frame of partition values outside which no old row of a replaced key can
+                         stand; only those partitions are searched
+    not_null             columns that must not be null in the source
 
-    Returns the list of swaps, or None when there is nothing to do.
+    An empty source leaves the table alone. Running the same upsert again changes nothing. Columns
+    that the table lacks are added to it; those that the source lacks are null in its rows. The
+    source is checked before anything of the table changes.
     """
-    staging = _Staging(spark, path)
+    recover(spark, path)
+    run = _Run(spark, path)
     match = list(replaced_keys or keys)
     if newest_by is not None and (replaced is not None or match != list(keys)):
         raise ValueError("newest_by compares rows of one key, so it takes no replaced keys")
-
-    if not table_exists(spark, path):
-        write_table(source, staging.data, partitions)
-        written = spark.read.schema(source.schema).parquet(staging.data)
-        return {"create": True} if require_keys(written, unique=keys) else None
-
+    try:
+        _upsert(
+            run, source, list(keys), match, list(partitions), replaced, key_fixes_partition,
+            newest_by, candidates, not_null,
+        )
+    except QualityError:
+        run.drop()
+        raise
+    run.drop()
+
+
+def _upsert(
+    run: _Run,
+    source: DataFrame,
+    keys: list[str],
+    match: list[str],
+    partitions: list[str],
+    replaced: DataFrame | None,
+    key_fixes_partition: bool,
+    newest_by: str | None,
+    candidates: DataFrame | None,
+    not_null: Sequence[str],
+) -> None:
+    spark = run.spark
     # The batch is written once and read back: it is used several times below, and what
     # was written survives the loss of any executor.
-    source.write.mode("overwrite").parquet(staging.source)
-    batch = spark.read.schema(source.schema).parquet(staging.source)
+    source.write.mode("overwrite").parquet(run.source)
+    batch = spark.read.schema(source.schema).parquet(run.source)
+    rows = require_keys(batch, unique=keys, not_null=not_null)
+    if not table_exists(spark, run.table):
+        if rows:
+            _folders(batch, partitions)
+            _write(run, batch, {"create": True, "old": {}}, partitions)
+        return
     gone = batch
-    if replaced is not None or match != list(keys):
+    if replaced is not None or match != keys:
         # Fewer key columns than the unique ones repeat; one row per key is kept on disk.
         ids = (batch if replaced is None else replaced).select(*match).distinct()
-        ids.write.mode("overwrite").parquet(staging.replaced)
-        gone = spark.read.schema(ids.schema).parquet(staging.replaced)
-    if require_keys(batch, unique=keys) == 0 and (replaced is None or gone.isEmpty()):
-        return None
-
-    target = read_table(spark, path, partitions)
-    if set(target.columns) != set(source.columns):
-        differing = sorted(set(target.columns) ^ set(source.columns))
-        raise QualityError(f"table and batch differ in columns: {differing}")
+        ids.write.mode("overwrite").parquet(run.replaced)
+        gone = spark.read.schema(ids.schema).parquet(run.replaced)
+    if rows == 0 and (replaced is None or gone.isEmpty()):
+        return
+
+    target = read_table(spark, run.table, partitions)
+    schema = joint_schema(target.schema, batch.schema)
+    searched = target
+    if candidates is not None:
+        listed = _folders(candidates, partitions)
+        searched = target.where(partition_folder(partitions).isin(listed))
     if newest_by is not None:
-        gone = batch = _not_older(batch, target, keys, newest_by)
+        _not_older(batch, searched, keys, newest_by).write.mode("overwrite").parquet(run.kept)
+        gone = batch = spark.read.schema(source.schema).parquet(run.kept)
+        if batch.isEmpty():
+            return
     touched = batch.select(*partitions)
     if not (key_fixes_partition and replaced is None):
-        hit = _by_keys(target, gone, match, "left_semi")
+        hit = _by_keys(searched, gone, match, "left_semi")
         touched = touched.unionByName(hit.select(*partitions))
-    # At most one row per partition folder of the table, a list the scan itself plans with.
-    folders = [partition_path(row, partitions) for row in touched.distinct().collect()]
-
+    folders = _folders(touched, partitions)
     kept_side = target.where(partition_folder(partitions).isin(folders))
-    write_table(merged(kept_side, batch, match, gone), staging.data, partitions)
-    written = staging.partition_folders(len(partitions))
-    return {
-        "create": False,
-        "written": sorted(written),
-        "vacated": sorted(set(folders) - set(written)),
-    }
+    record = {"create": False, "old": run.files(folders)}
+    if schema != target.schema:
+        record["schema"] = _plain(schema).json()
+    result = merged(kept_side, batch, match, gone)
+    _write(run, result.select(*schema.names), record, partitions)
 
 
-def upsert(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str], **options):
-    """Create the table from the source, or update it by key; see `stage` for the options.
+def _plain(schema: T.StructType) -> T.StructType:
+    """A schema to read files of any age with: every column may be missing."""
+    return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema])
 
-    keys                 unique in the source, may name nested fields
-    partitions           partition columns of the table
-    replaced             frame of keys whose old rows go (default: those of the source)
-    replaced_keys        the key columns of `replaced`, when fewer than `keys` (no nested fields)
-    key_fixes_partition  a key never changes partition, so the table need not be searched
-    newest_by            time column; a row does not replace one that is newer in the table
 
-    An empty source leaves the table alone. Running the same upsert again changes nothing.
-    """
-    recover(spark, path)
-    staging = _Staging(spark, path)
-    swaps = stage(spark, path, source, keys, **options)
-    if swaps is None:
-        staging.drop()
-        return
-    staging.save_swaps(swaps)
-    staging.apply(swaps)
+def _folders(rows: DataFrame, partitions: Sequence[str]) -> list[str]:
+    """The partition folders of some rows: at most one per folder of the table, a list the scan
+    itself plans with."""
+    found = rows.select(*partitions).distinct().collect()
+    return sorted(partition_path(row, partitions) for row in found)

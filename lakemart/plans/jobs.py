@@ -6,30 +6,48 @@ Every job can be run again for the same interval and leaves the same tables.
 
 from __future__ import annotations
 
+import hashlib
+import uuid
 from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timedelta
-from functools import partial
+from functools import partial, reduce
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemart.functions.dates import in_interval, in_partition_window, intervals, with_date_partitions
-from lakemart.operators.joins import heavy_keys, matching
+from lakemart.operators.joins import matching
 from lakemart.operators.latest import dedup
-from lakemart.operators.quality import require_complete, require_keys
+from lakemart.operators.quality import (
+    QualityError,
+    partition_skew,
+    require_complete,
+    unknown_zones,
+)
 from lakemart.operators.upsert import recover, upsert
 from lakemart.plans.marts import (
     order_items_mart,
     order_status_times_mart,
     order_statuses_mart,
     orders_mart,
+    orders_partitions,
 )
-from lakemart.schemas import DATASETS, Dataset
+from lakemart.schemas import DATASETS, DATE_PARTITIONS, Dataset
 from lakemart.session import job_settings
-from lakemart.sources.files import read_rejected, read_source
-from lakemart.sources.tables import read_table, scratch_folder, table_exists, write_table
+from lakemart.sources.files import read_rejected, read_source, source_counts
+from lakemart.sources.tables import (
+    delete_paths,
+    exists,
+    list_folders,
+    partition_folder,
+    partition_path,
+    read_table,
+    scratch_folder,
+    table_exists,
+    write_table,
+)
 
 
 def raw_path(lake: str, name: str) -> str:
@@ -76,17 +94,15 @@ def ingest(
     lake: str,
     start: datetime,
     end: datetime,
-    keep_rejected: bool = False,
     **options,
 ) -> None:
     """Upsert one interval of a source into its raw table, the newest row of each key.
 
     Intervals may come in any order, and again: a newer row of the table is not replaced.
-    `source` is the path of the source files, or their typed rows as `land` gives them.
+    `source` is the path of the source files, or their typed rows as `land` gives them. Of files,
+    the rows that cannot be taken are written to `rejected/<dataset>`, with the reasons.
     """
     dataset = _dataset(dataset)
-    if keep_rejected and isinstance(source, DataFrame):
-        raise ValueError("rejected rows can only be found in the source files")
     with job_settings(spark):
         batch = batch_of(spark, dataset, source, start, end, **options)
         upsert(
@@ -98,17 +114,56 @@ def ingest(
             # With the time in the key there is no older version that could come back.
             newest_by=None if dataset.key_fixes_partition else dataset.time,
         )
-        if keep_rejected:
-            # A row without a readable time is of no interval, so this is the whole source.
-            rows = read_rejected(spark, dataset, source, **options)
-            rows.write.mode("overwrite").parquet(f"{lake}/rejected/{dataset.name}")
+        if not isinstance(source, DataFrame):
+            _keep_rejected(spark, dataset, source, lake, **options)
+
+
+def rejected_path(lake: str, name: str) -> str:
+    return f"{lake}/rejected/{name}"
+
+
+def _keep_rejected(
+    spark: SparkSession, dataset: Dataset, source: str, lake: str, **options
+) -> None:
+    """The rejected rows of a source, in a folder of its own; the last reading of a source counts.
+
+    A row without a readable time is of no interval, so these are the rows of the whole source. The
+    new rows are complete before the old ones go.
+    """
+    of_source = hashlib.sha256(source.encode()).hexdigest()[:12]
+    folder = f"{rejected_path(lake, dataset.name)}/source={of_source}"
+    before = list_folders(spark, folder)
+    rows = read_rejected(spark, dataset, source, **options)
+    rows.write.parquet(f"{folder}/run={uuid.uuid4().hex}")
+    delete_paths(spark, [f"{folder}/{name}" for name in before])
+
 
+def read_rejected_rows(spark: SparkSession, lake: str, name: str) -> DataFrame | None:
+    """All rejected rows kept for a dataset, or None."""
+    path = rejected_path(lake, name)
+    if not exists(spark, path):
+        return None
+    return spark.read.option("mergeSchema", "true").parquet(path)
 
-def land(spark: SparkSession, dataset: Dataset | str, source: str, path: str) -> DataFrame:
-    """Type a whole source once and keep it by date, so that intervals read only their days."""
+
+def land(
+    spark: SparkSession,
+    dataset: Dataset | str,
+    source: str,
+    path: str,
+    lake: str | None = None,
+    **options,
+) -> DataFrame:
+    """Type a whole source once and keep it by date, so that intervals read only their days.
+
+    With a lake, the rows that cannot be taken are kept there.
+    """
     dataset = _dataset(dataset)
     with job_settings(spark):
-        write_table(with_date_partitions(read_source(spark, dataset, source), dataset.time), path)
+        rows = read_source(spark, dataset, source, **options)
+        write_table(with_date_partitions(rows, dataset.time), path)
+        if lake is not None:
+            _keep_rejected(spark, dataset, source, lake, **options)
         return read_table(spark, path)
 
 
@@ -121,7 +176,8 @@ def check_ingest(
     end: datetime,
     **options,
 ) -> None:
-    """Raise when a key of the interval is in the source but not in the raw table."""
+    """Raise when a key of the interval is in the source but not in the raw table, or when some
+    line of the source files is neither taken nor among the rejected rows."""
     dataset = _dataset(dataset)
     with job_settings(spark):
         table = read_raw(spark, lake, dataset.name)
@@ -129,6 +185,13 @@ def check_ingest(
             table = in_partition_window(table, start, end)
         batch = batch_of(spark, dataset, source, start, end, **options)
         require_complete(batch, table, dataset.keys)
+        if not isinstance(source, DataFrame):
+            counts = source_counts(spark, dataset, source, **options)
+            of_source = hashlib.sha256(source.encode()).hexdigest()[:12]
+            folder = f"{rejected_path(lake, dataset.name)}/source={of_source}"
+            kept = spark.read.parquet(folder).count() if exists(spark, folder) else 0
+            if counts["read"] != counts["accepted"] + kept:
+                raise QualityError(f"{dataset.name}: {counts} lines, but {kept} rejected rows kept")
 
 
 def read_raw(spark: SparkSession, lake: str, name: str) -> DataFrame:
@@ -145,38 +208,67 @@ def _rows_of_interval(raw: DataFrame, name: str, start: datetime, end: datetime)
     return in_interval(in_partition_window(raw, start, end), DATASETS[name].time, start, end)
 
 
+def touched_orders(
+    raw: Mapping[str, DataFrame], start: datetime, end: datetime
+) -> DataFrame:
+    """(order_id, by_order, by_status): orders that a version or status event of the interval
+    touches, and those whose consumer or restaurant has a row of the interval.
+
+    The latter are found in the order tables by two narrow columns.
+    """
+    parts = []
+    for name in ("orders", "order_statuses"):
+        rows = _rows_of_interval(raw[name], name, start, end)
+        parts.append(rows.select("order_id", F.lit(name).alias("by")))
+    for name, key, column in (
+        ("consumers", "customer_id", "customer_id"),
+        ("restaurants", "id", "merchant_id"),
+    ):
+        changed = _rows_of_interval(raw[name], name, start, end).select(F.col(key).alias(column))
+        parts.append(
+            matching(raw["orders"].select("order_id", column), changed.distinct(), column).select(
+                "order_id", F.lit(name).alias("by")
+            )
+        )
+    every = reduce(DataFrame.unionAll, parts)
+    return every.groupBy("order_id").agg(
+        F.bool_or(F.col("by") == "orders").alias("by_order"),
+        F.bool_or(F.col("by") == "order_statuses").alias("by_status"),
+    )
+
+
+def history_of(raw: DataFrame, ids: DataFrame) -> DataFrame:
+    """All raw rows of the orders, found in two steps: a scan of ids and partitions alone says
+    which partitions have any, and only those are read whole."""
+    hits = matching(raw.select("order_id", *DATE_PARTITIONS), ids, "order_id")
+    # At most one row per partition folder of the table.
+    found = hits.select(*DATE_PARTITIONS).distinct().collect()
+    folders = sorted(partition_path(row, DATE_PARTITIONS) for row in found)
+    return matching(raw.where(partition_folder().isin(folders)), ids, "order_id")
+
+
 def build_marts(
     spark: SparkSession,
     lake: str,
     start: datetime,
     end: datetime,
-    lookback: timedelta | None = None,
     salt: str | None = None,
     validate: bool = True,
     keep_dropped_items: bool = False,
+    status_grain: str | None = None,
 ) -> None:
     """Rebuild in every mart the orders touched in the interval, from their whole history.
 
-    An order is touched by a version or a status event in the interval. `lookback` bounds
-    how far before the interval the history is read; set it only where no order lives
-    longer, since an older event would be missed. `keep_dropped_items` leaves items in the
-    mart that the newest version of their order no longer has.
+    An order is touched by a version, a status event, or a new row of its consumer or restaurant in
+    the interval. What the marts get is checked before it is written. `keep_dropped_items` leaves
+    items in the mart that the newest version of their order no longer has. `status_grain` splits
+    the lists of events by a unit of time. Orders with an unknown zone are listed in
+    `rejected/order_zones`.
     """
     with job_settings(spark), scratch_folder(spark, "marts") as scratch:
         raw = {name: read_raw(spark, lake, name) for name in DATASETS}
-        new = {
-            name: _rows_of_interval(raw[name], name, start, end)
-            for name in ("orders", "order_statuses")
-        }
         # The touched ids serve every mart, so they are written once and read back.
-        ids = [
-            rows.select("order_id", F.lit(name == "orders").alias("by_order"))
-            for name, rows in new.items()
-        ]
-        ids[0].unionAll(ids[1]).groupBy("order_id").agg(
-            F.bool_or("by_order").alias("by_order"),
-            F.bool_or(~F.col("by_order")).alias("by_status"),
-        ).write.parquet(f"{scratch}/ids")
+        touched_orders(raw, start, end).write.parquet(f"{scratch}/ids")
         ids = spark.read.parquet(f"{scratch}/ids")
         touched = ids.select("order_id")
         by_order = ids.where("by_order").select("order_id")
@@ -184,14 +276,12 @@ def build_marts(
 
         # So does their history: the raw tables are searched for it once, not per mart.
         def collect_history(name: str) -> None:
-            rows = raw[name]
-            if lookback is not None:
-                rows = in_partition_window(rows, start - lookback, datetime.max)
-            matching(rows, touched, "order_id").write.parquet(f"{scratch}/{name}")
+            history_of(raw[name], touched).write.parquet(f"{scratch}/{name}")
 
-        _together(spark, (partial(collect_history, name) for name in new))
+        kinds = ("orders", "order_statuses")
+        _together(spark, (partial(collect_history, name) for name in kinds))
         history = {
-            name: spark.read.schema(raw[name].schema).parquet(f"{scratch}/{name}") for name in new
+            name: spark.read.schema(raw[name].schema).parquet(f"{scratch}/{name}") for name in kinds
         }
         orders = orders_mart(
             history["orders"],
@@ -199,52 +289,92 @@ def build_marts(
             raw["consumers"],
             raw["restaurants"],
             salt=salt,
-            heavy_customers=heavy_keys(history["orders"], "customer_id"),
-            heavy_merchants=heavy_keys(history["orders"], "merchant_id"),
         )
         items = order_items_mart(matching(history["orders"], by_order, "order_id"))
         events = matching(history["order_statuses"], by_status, "order_id")
-        statuses, times = order_statuses_mart(events), order_status_times_mart(events)
+        statuses = order_statuses_mart(events, grain=status_grain)
+        times = order_status_times_mart(events)
+        status_keys = ["order_id"] if status_grain is None else ["order_id", "period"]
+
+        # Old rows stand where some version or event of the order would put them.
+        places = {
+            "orders": orders_partitions(history["orders"]),
+            "order_items": history["orders"].select(*DATE_PARTITIONS),
+            "order_statuses": history["order_statuses"].select(*DATE_PARTITIONS),
+            "order_status_times": history["order_statuses"].select(*DATE_PARTITIONS),
+        }
 
         def write(name: str, mart: DataFrame, keys: list[str], replaced: DataFrame) -> None:
-            path = trusted_path(lake, name)
-            if name == "order_items" and keep_dropped_items:
-                upsert(spark, path, mart, keys)
-            else:
+            options = {"candidates": places[name]}
+            if validate:
+                options["not_null"] = ["order_id"]
+            if name != "order_items" or not keep_dropped_items:
                 # Old rows go by order: an item a newer version no longer has goes too.
-                upsert(spark, path, mart, keys, replaced=replaced, replaced_keys=["order_id"])
-            if validate and table_exists(spark, path):
-                written = read_table(spark, path).join(replaced, "order_id", "left_semi")
-                require_keys(written, unique=keys, not_null=["order_id"])
+                options |= {"replaced": replaced, "replaced_keys": ["order_id"]}
+            upsert(spark, trusted_path(lake, name), mart, keys, **options)
 
         _together(
             spark,
             (
                 partial(write, "orders", orders, ["order_id"], touched),
                 partial(write, "order_items", items, ["order_id", "item.sequence"], by_order),
-                partial(write, "order_statuses", statuses, ["order_id", "part"], by_status),
+                partial(write, "order_statuses", statuses, status_keys, by_status),
                 partial(write, "order_status_times", times, ["order_id"], by_status),
+                partial(_keep_unknown_zones, spark, lake, history["orders"], start, end),
             ),
         )
 
 
+def _keep_unknown_zones(
+    spark: SparkSession, lake: str, orders: DataFrame, start: datetime, end: datetime
+) -> None:
+    """Orders of the interval whose zone is given but not known."""
+    rows = unknown_zones(in_interval(orders, "order_created_at", start, end), "merchant_timezone")
+    folder = f"{rejected_path(lake, 'order_zones')}/interval={start:%Y%m%dT%H%M%S}-{end:%Y%m%dT%H%M%S}"
+    before = list_folders(spark, folder)
+    rows.select("order_id", "order_created_at", "merchant_timezone").write.parquet(
+        f"{folder}/run={uuid.uuid4().hex}"
+    )
+    delete_paths(spark, [f"{folder}/{name}" for name in before])
+
+
+def skew_report(spark: SparkSession, lake: str) -> DataFrame:
+    """How evenly the rows of each mart lie over its partitions: one row per mart."""
+    reports = []
+    for name in ("orders", "order_items", "order_statuses", "order_status_times"):
+        path = trusted_path(lake, name)
+        if table_exists(spark, path):
+            report = partition_skew(read_table(spark, path))
+            reports.append(report.select(F.lit(name).alias("mart"), "*"))
+    if not reports:
+        empty = spark.createDataFrame([], ", ".join(f"{c} string" for c in DATE_PARTITIONS))
+        return partition_skew(empty).select(F.lit("").alias("mart"), "*").limit(0)
+    return reduce(DataFrame.unionAll, reports)
+
+
 def run_interval(
     spark: SparkSession,
     sources: Mapping[str, str | DataFrame],
     lake: str,
     start: datetime,
     end: datetime,
+    reading: Mapping[str, Mapping] | None = None,
     **mart_options,
-) -> None:
-    """Ingest every dataset, check each against its source, and build the marts."""
+) -> DataFrame:
+    """Ingest every dataset, check each against its source, and build the marts.
+
+    reading: options of `read_text` by dataset. Returns the skew report.
+    """
 
     def load(name: str) -> None:
-        ingest(spark, name, sources[name], lake, start, end)
-        check_ingest(spark, name, sources[name], lake, start, end)
+        options = (reading or {}).get(name, {})
+        ingest(spark, name, sources[name], lake, start, end, **options)
+        check_ingest(spark, name, sources[name], lake, start, end, **options)
 
     with job_settings(spark):
         _together(spark, (partial(load, name) for name in sources))
         build_marts(spark, lake, start, end, **mart_options)
+        return skew_report(spark, lake)
 
 
 def backfill(
@@ -254,19 +384,23 @@ def backfill(
     start: datetime,
     stop: datetime,
     step: str | timedelta = "year",
+    reading: Mapping[str, Mapping] | None = None,
     **mart_options,
-) -> None:
+) -> DataFrame:
     """Run consecutive half-open intervals in order; the same tables as one long interval.
 
-    The source files are read twice in all, however many intervals there are: once to land
-    their rows by date, and once more for the check of the whole span against the files.
+    The source files are read a fixed number of times, however many intervals there are: to land
+    their rows by date, and for the check of the whole span against the files. Returns the skew
+    report.
     """
     landed: dict[str, DataFrame] = {}
+    reading = reading or {}
 
     with job_settings(spark), scratch_folder(spark, "landed") as scratch:
 
         def load(name: str) -> None:
-            landed[name] = land(spark, name, sources[name], f"{scratch}/{name}")
+            options = reading.get(name, {})
+            landed[name] = land(spark, name, sources[name], f"{scratch}/{name}", lake, **options)
 
         _together(spark, (partial(load, name) for name in sources))
         for interval in intervals(start, stop, step):
@@ -278,7 +412,8 @@ def backfill(
         _together(
             spark,
             (
-                partial(check_ingest, spark, name, path, lake, start, stop)
+                partial(check_ingest, spark, name, path, lake, start, stop, **reading.get(name, {}))
                 for name, path in sources.items()
             ),
         )
+        return skew_report(spark, lake)

@@ -6,14 +6,15 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakemart.functions.dates import to_local, with_date_partitions
 from lakemart.functions.privacy import mask
 from lakemart.operators.items import explode_items
 from lakemart.operators.joins import lookup
 from lakemart.operators.latest import dedup, latest
-from lakemart.operators.statuses import MAX_EVENTS, status_pivot, status_timeline
-from lakemart.schemas import DATE_PARTITIONS, SENSITIVE, STATUS_EVENTS
+from lakemart.operators.statuses import status_pivot, status_timeline
+from lakemart.schemas import DATE_PARTITIONS, ITEMS, SENSITIVE, STATUS_EVENTS
 
 
 def orders_mart(
@@ -23,15 +24,13 @@ def orders_mart(
     restaurants: DataFrame,
     sensitive: Sequence[str] = SENSITIVE,
     salt: str | None = None,
-    heavy_customers: DataFrame | None = None,
-    heavy_merchants: DataFrame | None = None,
     ties: str = "one",
 ) -> DataFrame:
     """One row per order with its consumer, restaurant and last status, masked.
 
     `order_created_at` becomes the wall clock of the restaurant's zone and gives the date
-    partition; the instant stays in `order_created_at_utc`. `consumers` and `restaurants`
-    are unique by their ids. `heavy_*` list the ids with very many orders, if known.
+    partition; the instant stays in `order_created_at_utc` and gives it where the zone is
+    missing or unknown. `consumers` and `restaurants` are unique by their ids.
     ties="all" keeps every version and every status that shares the newest instant, and
     with them more than one row for such an order.
     """
@@ -51,11 +50,9 @@ def orders_mart(
         status, F.col("order_id") == F.col("_status_order"), "left"
     ).drop("_status_order")
     joined = lookup(
-        joined, consumers, ("customer_id", "customer_id"), "consumers", ["order_id"], heavy_customers
-    )
-    joined = lookup(
-        joined, restaurants, ("merchant_id", "id"), "restaurants", ["order_id"], heavy_merchants
+        joined, consumers, ("customer_id", "customer_id"), "consumers", ["order_id"]
     )
+    joined = lookup(joined, restaurants, ("merchant_id", "id"), "restaurants", ["order_id"])
     local = joined.withColumns(
         {
             "order_created_at_utc": F.col("order_created_at"),
@@ -65,27 +62,41 @@ def orders_mart(
     # The parts of a row come in the order the joins do not give: sources first, status last.
     packed = ["consumers", "restaurants", "status"]
     plain = [name for name in local.columns if name not in packed]
-    return with_date_partitions(local.select(*plain, *packed), "order_created_at")
+    dated = F.coalesce("order_created_at", "order_created_at_utc")
+    return with_date_partitions(local.select(*plain, *packed), dated)
+
+
+def orders_partitions(orders: DataFrame) -> DataFrame:
+    """The date partitions in which some version of the orders may stand in the orders mart."""
+    utc = F.col("order_created_at")
+    local = F.coalesce(to_local("order_created_at", "merchant_timezone"), utc)
+    return with_date_partitions(orders.drop(*DATE_PARTITIONS), local).select(*DATE_PARTITIONS)
 
 
 def order_items_mart(orders: DataFrame, ties: str = "one") -> DataFrame:
-    """One row per order and item sequence, from the newest version of each order."""
+    """One row per order and item sequence, from the newest version of each order.
+
+    `items` may still be JSON text: then only the newest versions are parsed.
+    """
     newest = latest(
         orders.select("order_id", "order_created_at", "items"),
         ["order_id"],
         ["order_created_at"],
         ties,
     )
+    if isinstance(newest.schema["items"].dataType, T.StringType):
+        newest = newest.withColumn("items", F.from_json("items", ITEMS))
     items = explode_items(newest).withColumn("_sequence", F.col("item.sequence"))
     # All items of an order are in one task already, so this needs no further shuffle.
     items = dedup(items, ["order_id", "_sequence"]).drop("_sequence")
     return with_date_partitions(items, "order_created_at")
 
 
-def order_statuses_mart(statuses: DataFrame, max_events: int = MAX_EVENTS) -> DataFrame:
-    """One row per order with the list of its events, on the date of the first one."""
+def order_statuses_mart(statuses: DataFrame, grain: str | None = None) -> DataFrame:
+    """One row per order with the list of its events, on the date of the first one; with a grain,
+    one per order and period."""
     needed = [name for name in statuses.columns if name not in DATE_PARTITIONS]
-    timeline = status_timeline(statuses.select(*needed), max_events=max_events)
+    timeline = status_timeline(statuses.select(*needed), grain=grain)
     return with_date_partitions(timeline, "date_partition")
 
 

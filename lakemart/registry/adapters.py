@@ -42,6 +42,23 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderdate").alias("order_created_at"),
         F.col("o_totalprice").alias("order_total_amount"),
         F.col("o_orderpriority").alias("origin_platform"),
+        F.concat(F.lit("name "), text("o_custkey")).alias("customer_name"),
+        *(
+            F.concat(F.lit(f"{part} "), (F.col("o_custkey") % 50).cast("string")).alias(f"delivery_address_{part}")
+            for part in ("city", "country", "district", "external_id", "state", "zip_code")
+        ),
+        (F.col("o_custkey") % 90 + 0.5).cast("double").alias("delivery_address_latitude"),
+        (F.col("o_custkey") % 180 - 90.5).cast("double").alias("delivery_address_longitude"),
+        (F.col("o_orderkey") % 120 / 4).cast("double").alias("merchant_latitude"),
+        (F.col("o_orderkey") % 120 / -8).cast("double").alias("merchant_longitude"),
+        (F.col("o_orderkey") % 2 == 0).alias("order_scheduled"),
+        F.when(F.col("o_orderkey") % 2 == 0, F.col("o_orderdate")).alias("order_scheduled_date"),
+        F.transform(
+            F.sequence(F.lit(1), (F.col("o_orderkey") % 3 + 1).cast("int")),
+            lambda i: F.struct(
+                F.concat(F.lit("item "), i.cast("string")).alias("name"), i.alias("sequence")
+            ),
+        ).alias("items"),
     )
 
 
@@ -93,11 +110,13 @@ def money(amount: Column) -> Column:
 
 
 def item_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each line item as one order version holding its item as JSON text.
+    """Line items grouped into order versions, their items as JSON text.
 
-    The item has a garnish item for its discount and one for its tax where they are not
-    zero, so the nested list has none, one or two elements; a line of quantity 1 has no
-    items at all.
+    The return flag tells the versions of an order apart, up to three of them; a version is as old
+    as its last shipping date, and some seconds that differ by flag, so that no two are equal. Its
+    array holds all its lines but those of quantity 1, up to 13 of them, with line numbers that
+    repeat. An item has a garnish item for its discount and one for its tax where they are not
+    zero, so that list has none, one or two elements.
     """
     garnish = F.filter(
         F.array(
@@ -128,10 +147,14 @@ def item_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         text("l_suppkey").alias("externalId"),
         garnish.alias("garnishItems"),
     )
-    items = F.when(F.col("l_quantity") > 1, F.to_json(F.array(item))).otherwise("[]")
-    return table(spark, sf_dir, "lineitem").select(
+    lines = table(spark, sf_dir, "lineitem").withColumn("item", F.when(F.col("l_quantity") > 1, item))
+    versions = lines.groupBy("l_orderkey", "l_returnflag").agg(
+        F.max("l_shipdate").alias("shipped"), F.array_sort(F.collect_list("item")).alias("items")
+    )
+    later = F.make_dt_interval(secs=F.ascii("l_returnflag").cast("decimal(18,6)"))
+    return versions.select(
         text("l_orderkey").alias("order_id"),
-        F.col("l_shipdate").alias("order_created_at"),
-        items.alias("items"),
-        F.col("l_linenumber").alias("line"),
+        (F.col("shipped") + later).alias("order_created_at"),
+        F.to_json("items").alias("items"),
+        F.col("l_returnflag").alias("version"),
     )

@@ -11,7 +11,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.functions.dates import in_interval, in_partition_window, with_date_partitions
+from lakemart.functions.dates import in_partition_window, with_date_partitions
 from lakemart.operators.latest import dedup
 from lakemart.operators.upsert import upsert
 from lakemart.plans import jobs
@@ -19,12 +19,29 @@ from lakemart.registry import adapters
 from lakemart.registry.adapters import table, text
 from lakemart.registry.catalog import query
 from lakemart.registry.marts import DATE_SQL, flat_orders
-from lakemart.registry.transforms import ZONE_SQL
-from lakemart.schemas import DATASETS
+from lakemart.registry.transforms import TIMELINE_TEXT_SQL, ZONE_SQL, timeline_text
+from lakemart.schemas import DATASETS, DATE_PARTITIONS
 from lakemart.session import scratch_path
 from lakemart.sources.tables import read_table, table_files, write_table
 from lakemart.streaming.landing import land_new_files
 
+# Columns of the orders mart that the sources of the backfill queries leave empty.
+NO_VALUES_SQL = ", ".join(
+    [
+        f"NULL::{kind} AS {name}"
+        for kind, names in {
+            "VARCHAR": "origin_platform order_customer_name delivery_address_city"
+            " delivery_address_country delivery_address_district delivery_address_external_id"
+            " delivery_address_state delivery_address_zip_code delivery_address_latitude"
+            " delivery_address_longitude",
+            "DOUBLE": "merchant_latitude merchant_longitude",
+            "BOOLEAN": "order_scheduled",
+            "TIMESTAMP": "order_scheduled_date",
+        }.items()
+        for name in names.split()
+    ]
+)
+
 JANUARY = datetime(2024, 1, 1), datetime(2024, 2, 1)
 
 
@@ -55,8 +72,8 @@ def ingest_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     f"""
-    SELECT cast(event_id AS VARCHAR) AS status_id, event_type AS value, ts AS created_at,
-           {DATE_SQL.format(t="ts")}
+    SELECT cast(user_id AS VARCHAR) AS order_id, cast(event_id AS VARCHAR) AS status_id,
+           event_type AS value, ts AS created_at, {DATE_SQL.format(t="ts")}
     FROM events
     """
 )
@@ -69,7 +86,7 @@ def land_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     for lot in (lines.where(odd), lines.where(~odd)):
         lot.write.mode("append").json(f"{path}/source")
         landed = land_new_files(spark, "order_statuses", f"{path}/source", f"{path}/landed")
-    return landed.drop("order_id")
+    return landed
 
 
 CREATED_SQL = "TIMESTAMP '2018-01-01 10:00:00' + to_days(CAST(c_custkey % 40 AS INTEGER))"
@@ -164,7 +181,7 @@ def layout_file_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         SELECT * REPLACE (l_quantity + 100 AS l_quantity,
                           CASE WHEN sequence = 1 THEN 'Z' ELSE l_returnflag END AS l_returnflag)
         FROM line WHERE l_orderkey % 3 = 0),
-    target AS (SELECT * FROM line WHERE l_orderkey % 4 > 0)
+    target AS (SELECT * FROM line WHERE l_orderkey % 3 > 0 OR l_orderkey % 4 > 0)
     SELECT t.* FROM target t ANTI JOIN source s
         ON t.l_orderkey = s.l_orderkey AND t.sequence IS NOT DISTINCT FROM s.sequence
     UNION ALL SELECT * FROM source
@@ -181,21 +198,127 @@ def upsert_composite(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_returnflag",
     )
     keys, partitions = ["l_orderkey", "sequence"], ["l_returnflag"]
-    lines = dedup(lines, keys)
+    # Written once: the upserts below read it several times.
+    dedup(lines, keys).write.parquet(f"{path}__lines")
+    lines = spark.read.parquet(f"{path}__lines")
     moved = F.when(F.col("sequence") == 1, "Z").otherwise(F.col("l_returnflag"))
     source = lines.where(F.col("l_orderkey") % 3 == 0).withColumns(
         {"l_quantity": F.col("l_quantity") + 100, "l_returnflag": moved}
     )
-    upsert(spark, path, lines.where(F.col("l_orderkey") % 4 > 0), keys, partitions=partitions)
+    # Every key is in the table, in the batch, or in both.
+    first = lines.where((F.col("l_orderkey") % 3 > 0) | (F.col("l_orderkey") % 4 > 0))
+    upsert(spark, path, first, keys, partitions=partitions)
     upsert(spark, path, source, keys, partitions=partitions)
     upsert(spark, path, source, keys, partitions=partitions)
     return read_table(spark, path, partitions)
 
 
+FIRST_HALF = datetime(2024, 1, 1), datetime(2024, 1, 15)
+SECOND_HALF = datetime(2024, 1, 15), datetime(2024, 2, 1)
+
+
+@query(
+    f"""
+    SELECT cast(user_id AS VARCHAR) AS order_id, cast(event_id AS VARCHAR) AS status_id,
+           event_type AS value, ts AS created_at,
+           CASE WHEN ts >= TIMESTAMP '2024-01-15' THEN 'by ' || event_type END AS channel,
+           {DATE_SQL.format(t="ts")}
+    FROM events
+    """
+)
+def ingest_undeclared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A column that is not declared, and that the source has from the second interval on."""
+    path = scratch_path(spark, "ingest_undeclared")
+    lines = adapters.event_statuses(spark, sf_dir).withColumn("created_at", utc_text("created_at"))
+    lines.write.json(f"{path}/source/1")
+    lines.withColumn("channel", F.concat(F.lit("by "), "value")).write.json(f"{path}/source/2")
+    for lot, interval in (("1", FIRST_HALF), ("2", SECOND_HALF)):
+        jobs.ingest(spark, "order_statuses", f"{path}/source/{lot}", path, *interval)
+        jobs.check_ingest(spark, "order_statuses", f"{path}/source/{lot}", path, *interval)
+    return read_table(spark, jobs.raw_path(path, "order_statuses"))
+
+
+REJECTED_SQL = """CASE WHEN event_id % 13 = 0 THEN 'line:malformed,order_id:null,status_id:null,created_at:null'
+    ELSE concat_ws(',', CASE WHEN event_id % 11 = 0 THEN 'order_id:null' END,
+                   CASE WHEN event_id % 7 = 0 THEN 'created_at:unreadable' END) END"""
+
+
+@query(
+    f"""
+    SELECT reject_reasons, count(*) AS row_count
+    FROM (SELECT {REJECTED_SQL} AS reject_reasons FROM events) WHERE reject_reasons <> '' GROUP BY 1
+    UNION ALL SELECT '', count(*) FROM (SELECT {REJECTED_SQL} AS r FROM events) WHERE r = ''
+    """
+)
+def ingest_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that are cut short, ids that are missing, times that cannot be read: each line of the
+    source is in the raw table (no reason) or among the rejected rows."""
+    path = scratch_path(spark, "ingest_rejected")
+    events = adapters.event_statuses(spark, sf_dir)
+    number = F.col("status_id").cast("long")
+    time = F.when(number % 7 == 0, "yesterday").otherwise(utc_text("created_at"))
+    id = F.when(number % 11 != 0, F.col("order_id"))
+    line = F.to_json(F.struct(id.alias("order_id"), "status_id", "value", time.alias("created_at")))
+    cut = F.when(number % 13 == 0, F.expr("substr(line, 1, length(line) - 9)")).otherwise(F.col("line"))
+    events.withColumn("line", line).select(cut).write.text(f"{path}/source")
+    jobs.ingest(spark, "order_statuses", f"{path}/source", path, *JANUARY)
+    jobs.check_ingest(spark, "order_statuses", f"{path}/source", path, *JANUARY)
+    kept = jobs.read_rejected_rows(spark, path, "order_statuses").select("reject_reasons")
+    taken = read_table(spark, jobs.raw_path(path, "order_statuses"))
+    every = kept.unionAll(taken.select(F.lit("").alias("reject_reasons")))
+    return every.groupBy("reject_reasons").agg(F.count("*").alias("row_count"))
+
+
+@query(
+    """
+    SELECT cast(c_custkey AS VARCHAR) AS customer_id, c_name AS customer_name, true AS taken
+    FROM customer WHERE c_custkey % 5 > 0
+    UNION ALL
+    SELECT cast(c_custkey AS VARCHAR), 'Silva', false FROM customer WHERE c_custkey % 5 = 0
+    """
+)
+def ingest_csv_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every fifth line has a comma in its name that no quotes protect, so its columns shift: it is
+    rejected, not taken with parts of the name under other columns."""
+    path = scratch_path(spark, "ingest_csv_malformed")
+    names = DATASETS["consumers"].schema.names
+    people = adapters.consumers(spark, sf_dir).withColumn("created_at", F.lit("2018-01-01 10:00:00"))
+    number = F.col("customer_id").cast("long")
+    comma = F.when(number % 5 == 0, "Silva, Joao").otherwise(F.col("customer_name"))
+    people = people.withColumn("customer_name", comma)
+    line = F.concat_ws(",", *(F.col(name).cast("string") for name in names))
+    # The first line of each file is the header.
+    begins = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1) == 0
+    lines = F.when(begins, F.array(F.lit(",".join(names)), line)).otherwise(F.array(line))
+    people.select(F.explode(lines)).write.text(f"{path}/source")
+    year = datetime(2018, 1, 1), datetime(2019, 1, 1)
+    jobs.ingest(spark, "consumers", f"{path}/source", path, *year)
+    jobs.check_ingest(spark, "consumers", f"{path}/source", path, *year)
+    taken = read_table(spark, jobs.raw_path(path, "consumers"))
+    kept = jobs.read_rejected_rows(spark, path, "consumers").where("reject_reasons = 'line:malformed'")
+    return taken.select("customer_id", "customer_name", F.lit(True).alias("taken")).unionAll(
+        kept.select("customer_id", "customer_name", F.lit(False))
+    )
+
+
+@query(
+    f"""
+    SELECT event_id, ts, user_id, event_type, value, props, {DATE_SQL.format(t="ts")} FROM events
+    """
+)
+def empty_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch without rows leaves the table as it is."""
+    path = scratch_path(spark, "empty_batch") + "/events"
+    events = with_date_partitions(table(spark, sf_dir, "events"), "ts")
+    upsert(spark, path, events, ["event_id"])
+    upsert(spark, path, events.where("event_id < 0"), ["event_id"])
+    return read_table(spark, path)
+
+
 @query(
     f"""
     WITH people AS (
-        SELECT *, 'Customer ' || user_id AS name,
+        SELECT *,
                {ZONE_SQL.format(key="user_id")} AS zone FROM events),
     newest AS (
         SELECT * FROM people QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) = 1),
@@ -203,28 +326,93 @@ def upsert_composite(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT cast(user_id AS VARCHAR) AS order_id, sha1(md5('cpf-' || user_id)) AS cpf,
            cast(user_id AS VARCHAR) AS customer_id, cast(event_id % 120 AS VARCHAR) AS merchant_id,
            local_at AS order_created_at, ts AS order_created_at_utc, value AS order_total_amount,
+           {NO_VALUES_SQL}, zone AS merchant_timezone,
+           (SELECT string_agg(event_type || ' ' || i, ',' ORDER BY i) FROM range(event_id % 3 + 1) r(i)) AS item_names,
            c_custkey IS NOT NULL AS has_consumer, sha1(md5(c_name)) AS customer_name,
            sha1(md5(cast(c_acctbal AS VARCHAR))) AS customer_phone_number,
-           c_mktsegment AS language, cast(s_suppkey AS VARCHAR) AS restaurant_id,
-           s_name AS restaurant_city, true AS has_status, event_type AS last_status,
-           ts AS last_status_at, {DATE_SQL.format(t="local_at")}
+           CASE WHEN c_custkey % 3 = 0 THEN 'later ' ELSE '' END || c_mktsegment AS language,
+           cast(s_suppkey AS VARCHAR) AS restaurant_id,
+           s_name || CASE WHEN s_suppkey % 2 = 0 THEN ' II' ELSE '' END AS restaurant_city, true AS has_status, event_type AS last_status,
+           ts AS last_status_at, {DATE_SQL.format(t="coalesce(local_at, ts)")}
     FROM local
     LEFT JOIN customer ON c_custkey = user_id
     LEFT JOIN supplier ON s_suppkey = event_id % 120
     """
 )
 def backfill_equals_full(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The orders mart after three intervals in turn; the SQL has all of January at once."""
-    path = scratch_path(spark, "backfill")
-    sources = write_sources(spark, sf_dir, path)
-    jobs.backfill(spark, sources, path, *JANUARY, step=timedelta(days=11))
-    return flat_orders(read_table(spark, jobs.trusted_path(path, "orders")))
+    """The orders mart after three intervals in turn; the SQL has all of January at once.
+
+    Consumers and restaurants begin on all days of the month, some have a second version later, so
+    their rows reach orders of earlier intervals.
+    """
+    return flat_orders(backfilled(spark, sf_dir, "orders"))
+
+
+@query(
+    f"""
+    WITH newest AS (
+        SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) = 1)
+    SELECT cast(user_id AS VARCHAR) AS order_id, ts AS order_created_at,
+           event_type || ' ' || i AS name, i::INTEGER AS sequence, {DATE_SQL.format(t="ts")}
+    FROM (SELECT *, unnest(range(event_id % 3 + 1)) AS i FROM newest)
+    """
+)
+def backfill_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The items mart after three intervals: the items of each order's newest version."""
+    return backfilled(spark, sf_dir, "order_items").select(
+        "order_id", "order_created_at", "item.name", "item.sequence", *DATE_PARTITIONS
+    )
+
+
+@query(
+    f"""
+    SELECT cast(user_id AS VARCHAR) AS order_id, {TIMELINE_TEXT_SQL} AS status,
+           min(ts) AS date_partition, {DATE_SQL.format(t="min(ts)")}
+    FROM events GROUP BY user_id
+    """
+)
+def backfill_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The statuses mart after three intervals: the whole list of events of each order."""
+    return backfilled(spark, sf_dir, "order_statuses").withColumn("status", timeline_text())
+
+
+BACKFILLED: dict[tuple[str, str], str] = {}
+
+
+def backfilled(spark: SparkSession, sf_dir: str, mart: str) -> DataFrame:
+    """A mart of the lake that one backfill per session and set of tables has built."""
+    key = spark.sparkContext.applicationId, sf_dir
+    if key not in BACKFILLED:
+        path = scratch_path(spark, "backfill")
+        sources = write_sources(spark, sf_dir, path)
+        jobs.backfill(spark, sources, path, *JANUARY, step=timedelta(days=11))
+        BACKFILLED[key] = path
+    return read_table(spark, jobs.trusted_path(BACKFILLED[key], mart))
+
+
+def versions(people: DataFrame, key: str, renewed_every: int, name: str, value) -> DataFrame:
+    """Rows that begin on some day of January, and a second version of some six days later."""
+    days = F.col(key).cast("int") % 24
+    begin = F.lit("2024-01-01 06:00:00").cast("timestamp_ntz") + F.make_dt_interval(days)
+    first = people.withColumn("created_at", begin)
+    again = people.where(F.col(key).cast("int") % renewed_every == 0).withColumn(name, value)
+    again = again.withColumn("created_at", begin + F.make_dt_interval(F.lit(6)))
+    return first.unionByName(again).withColumn("created_at", utc_text("created_at"))
 
 
 def write_sources(spark: SparkSession, sf_dir: str, path: str) -> dict[str, str]:
     """Every event as a version of its user's order and as a status of it, with both sides."""
-    events = in_interval(table(spark, sf_dir, "events"), "ts", *JANUARY)
-    created = F.lit("2024-01-01T00:00:00.000Z")
+    events = table(spark, sf_dir, "events")
+    items = F.transform(
+        F.sequence(F.lit(0), (F.col("event_id") % 3).cast("int")),
+        lambda i: F.struct(
+            F.concat_ws(" ", F.col("event_type"), i.cast("string")).alias("name"),
+            i.alias("sequence"),
+            adapters.money(F.col("value")).alias("unitPrice"),
+        ),
+    )
+    later = F.concat(F.lit("later "), "language")
+    second = F.concat("merchant_city", F.lit(" II"))
     frames = {
         "orders": events.select(
             text("user_id").alias("order_id"),
@@ -234,21 +422,13 @@ def write_sources(spark: SparkSession, sf_dir: str, path: str) -> dict[str, str]
             adapters.zone_of("user_id").alias("merchant_timezone"),
             utc_text("ts").alias("order_created_at"),
             F.col("value").alias("order_total_amount"),
-            F.to_json(
-                F.array(
-                    F.struct(
-                        F.col("event_type").alias("name"),
-                        (F.col("event_id") % 3).alias("sequence"),
-                        adapters.money(F.col("value")).alias("unitPrice"),
-                    )
-                )
-            ).alias("items"),
+            F.to_json(items).alias("items"),
         ),
         "order_statuses": adapters.event_statuses(spark, sf_dir).withColumn(
             "created_at", utc_text("created_at")
         ),
-        "consumers": adapters.consumers(spark, sf_dir).withColumn("created_at", created),
-        "restaurants": adapters.restaurants(spark, sf_dir).withColumn("created_at", created),
+        "consumers": versions(adapters.consumers(spark, sf_dir), "customer_id", 3, "language", later),
+        "restaurants": versions(adapters.restaurants(spark, sf_dir), "id", 2, "merchant_city", second),
     }
     sources = {}
     for name, frame in frames.items():

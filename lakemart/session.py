@@ -46,6 +46,10 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below one folder per application, so it can be dropped as a whole."""
-    application = spark.sparkContext.applicationId
-    return f"{shared_dir(spark)}/lakemart-{application}/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh path below one folder per application, which goes when the session's process ends."""
+    root = f"{shared_dir(spark)}/lakemart-{spark.sparkContext.applicationId}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    file_system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    file_system.mkdirs(path)
+    file_system.deleteOnExit(path)
+    return f"{root}/{name}-{uuid.uuid4().hex[:12]}"

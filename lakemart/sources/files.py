@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakemart.functions.typing import CORRUPT, accepted, rejected
+from lakemart.functions.typing import CORRUPT, REASONS, accepted, rejected
 from lakemart.schemas import Dataset
 
 
@@ -17,13 +18,13 @@ def _text_schema(names: Sequence[str]) -> T.StructType:
 
 def _spread_gzip(df: DataFrame, path: str) -> DataFrame:
     """A gzip file is read by one task; hand its rows to all of them before any work."""
-    return df.hint("rebalance") if path.endswith(".gz") else df
+    files = df.inputFiles()
+    return df.hint("rebalance") if any(name.endswith(".gz") for name in files) else df
 
 
 def _json_names(spark: SparkSession, dataset: Dataset, path: str, undeclared: bool) -> list[str]:
     names = list(dataset.schema.names)
     if undeclared:
-        # Costs one more pass over the files: only they know their other columns.
         found = spark.read.option("primitivesAsString", "true").json(path).columns
         names += [name for name in found if name not in names and name != CORRUPT]
     return names
@@ -33,12 +34,14 @@ def read_text(
     spark: SparkSession,
     dataset: Dataset,
     path: str,
-    undeclared: bool = False,
+    undeclared: bool = True,
     multiline: bool = False,
     stream: bool = False,
 ) -> DataFrame:
     """The source with every column as text, plus the raw line where it could not be split.
 
+    Columns that are not declared pass through as text. For JSON files that costs one more pass, as
+    only they know their other columns; `undeclared=False` saves it and leaves such columns out.
     With `stream` the rows of files not seen before, to be run by a streaming query.
     """
     reader = spark.readStream if stream else spark.read
@@ -52,6 +55,8 @@ def read_text(
             return spark.createDataFrame([], _text_schema(dataset.schema.names))
         # Every file has to prove that its header is the same as that of the first.
         options["enforceSchema"] = "false"
+        # A parser that skips columns would not see that a line has too many or too few.
+        options["columnPruning"] = "false"
     else:
         raise ValueError(f"unknown source format {dataset.format!r}")
     text = (
@@ -75,6 +80,17 @@ def read_source(spark: SparkSession, dataset: Dataset, path: str, **options) ->
     return accepted(read_text(spark, dataset, path, **options), dataset.schema, required(dataset))
 
 
+def source_counts(spark: SparkSession, dataset: Dataset, path: str, **options) -> dict[str, int]:
+    """Lines of the source, how many are accepted, and how many rejected; one scan for each."""
+    text = read_text(spark, dataset, path, **options)
+    needed = required(dataset)
+    return {
+        "read": text.count(),
+        "accepted": accepted(text, dataset.schema, needed).count(),
+        "rejected": rejected(text, dataset.schema, needed).where(F.col(REASONS) != "").count(),
+    }
+
+
 def read_rejected(spark: SparkSession, dataset: Dataset, path: str, **options) -> DataFrame:
     """The source rows `read_source` leaves out, as text, with the reasons."""
     return rejected(read_text(spark, dataset, path, **options), dataset.schema, required(dataset))

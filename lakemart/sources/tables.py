@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
@@ -35,7 +36,13 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 def read_table(
     spark: SparkSession, path: str, partitions: Sequence[str] = DATE_PARTITIONS
 ) -> DataFrame:
-    """Scan a table; partition values stay the strings they are ('01', not 1)."""
+    """Scan a table; partition values stay the strings they are ('01', not 1).
+
+    A table that has gained columns has its schema beside its files: files from before lack some.
+    """
+    schema = stored_schema(spark, path)
+    if schema is not None:
+        return spark.read.schema(schema).parquet(path)
     df = spark.read.parquet(path)
     if all(isinstance(df.schema[name].dataType, T.StringType) for name in partitions):
         return df
@@ -55,6 +62,56 @@ def write_table(
     df.hint("rebalance", *partitions).write.mode(mode).partitionBy(*partitions).parquet(path)
 
 
+SCHEMA_FILE = "_schema.json"
+
+
+def stored_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    text = read_file(spark, f"{path}/{SCHEMA_FILE}")
+    return None if text is None else T.StructType.fromJson(json.loads(text))
+
+
+def read_file(spark: SparkSession, path: str) -> str | None:
+    """A small file, or None where it is not there."""
+    if not exists(spark, path):
+        return None
+    fs, hadoop_path = file_system(spark, path)
+    stream = fs.open(hadoop_path)
+    try:
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+    finally:
+        stream.close()
+
+
+def write_file(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, in one step where the store closes files in one step."""
+    fs, hadoop_path = file_system(spark, path)
+    stream = fs.create(hadoop_path, True)
+    stream.write(text.encode())
+    stream.close()
+
+
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """The files directly below a folder; none where it is not there."""
+    fs, hadoop_path = file_system(spark, path)
+    if not fs.exists(hadoop_path):
+        return []
+    return [str(s.getPath().getName()) for s in fs.listStatus(hadoop_path) if s.isFile()]
+
+
+def list_folders(spark: SparkSession, path: str) -> list[str]:
+    """The folders directly below a folder; none where it is not there."""
+    fs, hadoop_path = file_system(spark, path)
+    if not fs.exists(hadoop_path):
+        return []
+    return [str(s.getPath().getName()) for s in fs.listStatus(hadoop_path) if s.isDirectory()]
+
+
+def delete_paths(spark: SparkSession, paths: Sequence[str]) -> None:
+    for path in paths:
+        fs, hadoop_path = file_system(spark, path)
+        fs.delete(hadoop_path, True)
+
+
 @contextmanager
 def scratch_folder(spark: SparkSession, name: str) -> Iterator[str]:
     """A fresh folder in shared storage that goes when the block ends, however it ends."""

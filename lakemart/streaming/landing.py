@@ -3,36 +3,50 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lakemart.functions.dates import with_date_partitions
-from lakemart.functions.typing import accepted
+from lakemart.functions.typing import accepted, rejected
 from lakemart.schemas import DATASETS, DATE_PARTITIONS, Dataset
 from lakemart.sources.files import read_text, required
 from lakemart.sources.tables import read_table
 
 
+# Files of one date and micro-batch, at most: enough tasks for a large day, few files for a small one.
+FILES_PER_DATE = 8
+
+
 def land_new_files(
-    spark: SparkSession, dataset: Dataset | str, source: str, path: str, **options
+    spark: SparkSession,
+    dataset: Dataset | str,
+    source: str,
+    path: str,
+    rejected_path: str | None = None,
+    **options,
 ) -> DataFrame:
     """Append the typed rows of the files not seen before to a date-partitioned landing table.
 
     Returns the whole landing table, which the interval jobs take in place of a source path
     and read only the days of. A streaming query over everything available keeps track of
-    the files and commits each exactly once; a run that is cut short is taken up by the next.
+    the files and commits each exactly once; a run that is cut short is taken up by the next. The
+    rows that cannot be taken are appended, with the reasons, at `rejected_path`.
     """
     dataset = DATASETS[dataset] if isinstance(dataset, str) else dataset
     text = read_text(spark, dataset, source, stream=True, **options)
+    if not text.isStreaming:
+        # CSV files without so much as a header: no columns, nothing to land
+        return with_date_partitions(accepted(text, dataset.schema, required(dataset)), dataset.time)
     typed = with_date_partitions(
         accepted(text, dataset.schema, required(dataset)), dataset.time
     )
-    if not typed.isStreaming:
-        return typed  # CSV files without so much as a header: no columns, nothing to land
-    query = (
-        typed.writeStream.format("parquet")
-        .partitionBy(*DATE_PARTITIONS)
-        .option("checkpointLocation", f"{path}__progress")
-        .trigger(availableNow=True)
-        .start(path)
-    )
-    query.awaitTermination()
+    share = F.pmod(F.xxhash64(*dataset.keys), F.lit(FILES_PER_DATE))
+    _append(typed.repartition(*DATE_PARTITIONS, share), path, DATE_PARTITIONS)
+    if rejected_path is not None:
+        _append(rejected(text, dataset.schema, required(dataset)), rejected_path)
     return read_table(spark, path)
+
+
+def _append(rows: DataFrame, path: str, partitions=()) -> None:
+    writer = rows.writeStream.format("parquet").partitionBy(*partitions)
+    writer = writer.option("checkpointLocation", f"{path}__progress").trigger(availableNow=True)
+    writer.start(path).awaitTermination()

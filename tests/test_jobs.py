@@ -1,7 +1,8 @@
 """Marts and jobs on small hand-written orders."""
 
 import json
-from datetime import datetime
+import random
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -119,8 +120,11 @@ def test_intervals_in_turn_equal_one_interval(spark, sources, tmp_path, rows):
     # Two events at one instant still give one row; missing sides are null, not empty.
     assert two.status.status_id == "s4" and two.consumers is None and two.restaurants is None
     assert two.order_created_at_utc == datetime(2019, 2, 1, 12)
-    # A zone nobody knows gives no local time, and does not stop the job.
-    assert three.order_created_at is None and three.year_partition is None and three.status is None
+    # A zone nobody knows gives no local time; the row stands at its UTC date, and is listed.
+    assert three.order_created_at is None and three.status is None
+    assert (three.year_partition, three.month_partition, three.day_partition) == ("2019", "01", "01")
+    zones = jobs.read_rejected_rows(spark, parts, "order_zones")
+    assert rows(zones, "order_id", "merchant_timezone") == [("3", "Mars/Base")]
     assert three.order_created_at_utc == Y2019
 
     items = read_table(spark, jobs.trusted_path(parts, "order_items"))
@@ -130,7 +134,7 @@ def test_intervals_in_turn_equal_one_interval(spark, sources, tmp_path, rows):
 
     lists = {r.order_id: r for r in read_table(spark, jobs.trusted_path(parts, "order_statuses")).collect()}
     assert [s.event for s in lists["1"].status] == ["PLACED", "CONCLUDED"]
-    assert lists["1"].year_partition == "2018" and lists["1"].part == 0
+    assert lists["1"].year_partition == "2018"
     times = {r.order_id: r for r in read_table(spark, jobs.trusted_path(parts, "order_status_times")).collect()}
     assert times["1"].concluded == datetime(2019, 1, 1, 0, 10) and times["1"].cancelled is None
 
@@ -148,9 +152,82 @@ def test_check_finds_what_the_raw_table_lacks(spark, sources, lake):
 
 
 def test_rejected_rows_are_kept(spark, sources, lake, rows):
-    jobs.ingest(spark, "orders", sources["orders"], lake, Y2018, Y2019, keep_rejected=True)
-    kept = spark.read.parquet(f"{lake}/rejected/orders")
-    assert rows(kept, "order_id", "reject_reasons") == [("4", "order_created_at:unreadable")]
+    for _ in range(2):
+        jobs.ingest(spark, "orders", sources["orders"], lake, Y2018, Y2019)
+        kept = jobs.read_rejected_rows(spark, lake, "orders")
+        assert rows(kept, "order_id", "reject_reasons") == [("4", "order_created_at:unreadable")]
+
+
+def test_a_lost_row_fails_the_check(spark, sources, lake, tmp_path):
+    jobs.ingest(spark, "orders", sources["orders"], lake, Y2018, Y2020)
+    jobs.check_ingest(spark, "orders", sources["orders"], lake, Y2018, Y2020)
+    with open(sources["orders"], "a") as f:
+        f.write("{cut short\n")
+    with pytest.raises(QualityError, match="1 rejected rows kept"):
+        jobs.check_ingest(spark, "orders", sources["orders"], lake, Y2018, Y2020)
+
+
+def test_backfill_keeps_rejected_rows_and_reports_skew(spark, sources, lake, rows):
+    report = jobs.backfill(spark, sources, lake, Y2018, Y2020)
+    assert rows(jobs.read_rejected_rows(spark, lake, "orders"), "order_id") == [("4",)]
+    assert rows(report, "mart") == [("order_items",), ("order_status_times",), ("order_statuses",), ("orders",)]
+
+
+def test_later_dimension_rows_reach_earlier_orders(spark, sources, tmp_path, rows):
+    """The consumer comes after the order, the restaurant is renewed after it."""
+    with open(sources["consumers"], "a") as f:
+        f.write("nobody,en,2019-03-01T00:00:00Z,true,Bob,11,7\n")
+    with open(sources["restaurants"], "a") as f:
+        f.write("m1,2019-06-01T00:00:00Z,true,3,50.0,10,20,30.0,01000,NEW,SP,BR\n")
+    whole, parts = str(tmp_path / "whole"), str(tmp_path / "parts")
+    jobs.run_interval(spark, sources, whole, Y2018, Y2020)
+    jobs.backfill(spark, sources, parts, Y2018, Y2020, step="month")
+    assert tables(spark, whole, rows) == tables(spark, parts, rows)
+    trusted = {r.order_id: r for r in read_table(spark, jobs.trusted_path(parts, "orders")).collect()}
+    assert trusted["2"].consumers.language == "en"
+    assert trusted["1"].restaurants.merchant_city == "NEW"
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_any_cuts_give_the_tables_of_one_interval(spark, tmp_path, rows, seed):
+    rng = random.Random(seed)
+    days = [datetime(2018, 1, 1) + timedelta(days=d) for d in range(0, 60)]
+    text = lambda t: t.strftime("%Y-%m-%dT%H:%M:%SZ")
+    at = lambda: text(rng.choice(days) + timedelta(hours=rng.randrange(24)))
+    zones = ["Asia/Tokyo", "America/Sao_Paulo", None, "Mars/Base"]
+    content = {
+        "orders": [
+            json.dumps(order(str(rng.randrange(8)), at(), zone=rng.choice(zones), items=item(*range(rng.randrange(4))), customer_id=str(rng.randrange(4)), merchant_id=str(rng.randrange(3))))
+            for _ in range(25)
+        ],
+        "order_statuses": [json.dumps(status(str(rng.randrange(8)), f"s{i}", at(), rng.choice(["PLACED", "CONCLUDED"]))) for i in range(30)],
+        "restaurants": [RESTAURANTS[0], *(f"{rng.randrange(3)},{at()},true,3,50.0,10,20,30.0,01000,city {i},SP,BR" for i in range(6))],
+        "consumers": [CONSUMERS[0], *(f"{rng.randrange(4)},lang {i},{at()},true,Ana,11,5555" for i in range(8))],
+    }
+    paths = {}
+    for name, lines in content.items():
+        path = tmp_path / f"{name}.{DATASETS[name].format}"
+        path.write_text("\n".join(lines) + "\n")
+        paths[name] = str(path)
+    whole, parts = str(tmp_path / "whole"), str(tmp_path / "parts")
+    start, end = days[0], days[-1] + timedelta(days=1)
+    jobs.run_interval(spark, paths, whole, start, end)
+    cuts = sorted({start, end, *(rng.choice(days) + timedelta(hours=rng.randrange(24)) for _ in range(3))})
+    for interval in zip(cuts, cuts[1:], strict=False):
+        jobs.run_interval(spark, paths, parts, *interval)
+    assert tables(spark, whole, rows) == tables(spark, parts, rows)
+
+
+def test_incremental_reads_prune_partitions(spark, sources, lake, conf):
+    conf(spark__sql__maxMetadataStringLength="100000")
+    jobs.run_interval(spark, sources, lake, Y2018, Y2020)
+    raw = jobs.read_raw(spark, lake, "orders")
+    ids = spark.createDataFrame([("2",)], "order_id string")
+    history = jobs.history_of(raw, ids)
+    scans = [line for line in plan_of(history).splitlines() if "FileScan" in line]
+    whole = [line for line in scans if "items" in line.split("ReadSchema")[1]]
+    assert whole and all("PartitionFilters: []" not in line for line in whole)
+    assert history.count() == 2
 
 
 def test_newest_row_of_a_merge_key(spark, sources, lake, rows):

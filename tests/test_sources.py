@@ -10,7 +10,7 @@ from conftest import plan_of
 from lakemart.functions.dates import in_partition_window, with_date_partitions
 from lakemart.schemas import DATASETS, Dataset
 from lakemart.session import scratch_path, shared_dir
-from lakemart.sources.files import read_rejected, read_source, read_text
+from lakemart.sources.files import read_rejected, read_source, read_text, source_counts
 from lakemart.sources.tables import (
     exists,
     read_table,
@@ -50,22 +50,22 @@ def test_json_lines(spark, tmp_path, rows, name):
         "{not json",
     )
     good = read_source(spark, STATUSES, path)
-    assert good.schema.names == STATUSES.schema.names
-    assert [f.dataType for f in good.schema] == [f.dataType for f in STATUSES.schema]
+    assert good.schema.names == [*STATUSES.schema.names, "extra"]
+    assert [f.dataType for f in good.drop("extra").schema] == [f.dataType for f in STATUSES.schema]
     assert rows(good, "order_id") == [("7",), ("o",)]
     bad = read_rejected(spark, STATUSES, path).orderBy("reject_reasons").collect()
     assert [row.reject_reasons for row in bad] == [
         "created_at:unreadable",
-        "order_id:null,status_id:null,created_at:null",
+        "line:malformed,order_id:null,status_id:null,created_at:null",
         "status_id:null",
     ]
     assert bad[1]._corrupt_record == "{not json" and bad[0].created_at == "soon"
 
 
-def test_undeclared_json_columns_pass_on_request(spark, tmp_path, rows):
+def test_undeclared_json_columns_pass_unless_left_out(spark, tmp_path, rows):
     path = write(tmp_path / "s.json", status(extra=1), status(order_id="p"))
-    assert "extra" not in read_text(spark, STATUSES, path).columns
-    assert rows(read_source(spark, STATUSES, path, undeclared=True), "order_id", "extra") == [
+    assert "extra" not in read_text(spark, STATUSES, path, undeclared=False).columns
+    assert rows(read_source(spark, STATUSES, path), "order_id", "extra") == [
         ("o", "1"), ("p", None)
     ]
 
@@ -107,6 +107,26 @@ def test_csv_with_line_breaks_and_other_columns(spark, tmp_path, rows):
     assert rows(people, "customer_name", "extra") == [("two\nlines", "more")]
 
 
+def test_csv_lines_of_the_wrong_width_are_rejected(spark, tmp_path, rows):
+    path = write(
+        tmp_path / "c.csv", HEADER, "pt,1,2018-01-01,true,Ana,11,99",
+        "pt,2,2018-01-01,true,Silva, Joao,11,99", "pt,3,2018-01-01,true,Ana",
+    )
+    good = read_source(spark, CONSUMERS, path)
+    assert rows(good, "customer_id", "customer_phone_number") == [("1", "99")]
+    # The same where only some columns are asked for.
+    assert good.select("customer_id").count() == 1
+    bad = read_rejected(spark, CONSUMERS, path)
+    assert rows(bad, "customer_id", "reject_reasons") == [("2", "line:malformed"), ("3", "line:malformed")]
+    assert source_counts(spark, CONSUMERS, path) == {"read": 3, "accepted": 1, "rejected": 2}
+
+
+def test_a_folder_of_gzip_files_is_spread(spark, tmp_path):
+    write(tmp_path / "c" / "a.json.gz", status())
+    text = read_text(spark, STATUSES, str(tmp_path / "c"))
+    assert "RebalancePartitions" in text._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_empty_csv(spark, tmp_path):
     people = read_source(spark, CONSUMERS, write(tmp_path / "c.csv"))
     assert people.schema.names == CONSUMERS.schema.names and people.isEmpty()

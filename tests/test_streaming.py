@@ -21,17 +21,19 @@ def write(folder, name, *ids, day=1):
 def test_each_file_lands_once_and_feeds_the_interval_jobs(spark, tmp_path, rows):
     source, landing, lake = tmp_path / "in", str(tmp_path / "landing"), str(tmp_path / "lake")
     write(source, "1.json", "a", "b")
-    first = land_new_files(spark, "order_statuses", str(source), landing)
+    bad = str(tmp_path / "bad")
+    first = land_new_files(spark, "order_statuses", str(source), landing, bad)
     assert rows(first, "order_id", "day_partition") == [("a", "01"), ("b", "01")]
     write(source, "2.json", "b", "c", day=2)
-    second = land_new_files(spark, "order_statuses", str(source), landing)
+    second = land_new_files(spark, "order_statuses", str(source), landing, bad)
     assert rows(second, "order_id", "day_partition") == [
         ("a", "01"), ("b", "01"), ("b", "02"), ("c", "02")
     ]
     assert land_new_files(spark, "order_statuses", str(source), landing).count() == 4
 
     jobs.ingest(spark, "order_statuses", second, lake, START, END)
-    jobs.check_ingest(spark, "order_statuses", str(source), lake, START, END)
+    jobs.check_ingest(spark, "order_statuses", second, lake, START, END)
+    assert [r["_corrupt_record"] for r in spark.read.parquet(bad).collect()] == ["{broken"] * 2
     raw = read_table(spark, jobs.raw_path(lake, "order_statuses"))
     assert sorted(raw.columns) == sorted(
         [*DATASETS["order_statuses"].schema.names, "year_partition", "month_partition", "day_partition"]
