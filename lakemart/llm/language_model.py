@@ -35,6 +35,7 @@ SLICE_BYTES = 4 << 20
 END, START, FIRST_WORD = np.uint64(1 << 16), np.uint64(2 << 16), np.uint64(3 << 16)
 LOW = np.uint64(16)  # second words are known by the upper 48 bits of their hashes
 SAMPLE_DOCS = 2000
+WORD_SHARE = 8  # shards of pairs for one shard of words, which are far fewer
 HEAVY_SHARE = 1e-3  # first words at least this frequent in the sample are spread over all shards
 PAIR_FILE = ["<u8", "u1", "<u8", "<u8"]
 WORD_FILE = ["<u8", "<u8", "<u8", "<u8", "<u8", "<u8"]
@@ -141,6 +142,7 @@ class Model:
 
     path: str
     shards: int
+    word_shards: int
     heavy: np.ndarray
     tokens: int = 0
     words: int = 0
@@ -171,6 +173,7 @@ def count(docs: DataFrame, text: str = "text", shards: int | None = None) -> Mod
     """Count all pairs of all given documents and store the model."""
     spark = docs.sparkSession
     shards = shards or 2 * shuffle_partitions(spark)
+    word_shards = -(-shards // WORD_SHARE)
     path = scratch_path(spark, "model")
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
@@ -210,10 +213,10 @@ def count(docs: DataFrame, text: str = "text", shards: int | None = None) -> Mod
         second, types = np.unique(token, return_counts=True)
         out = {c: [] for c in ("shard", "kind", "keys", "a", "b", "c", "d")}
         for kind, keys, values in ((0, context[first], sums), (1, second, [types])):
-            to = word_shard(keys, shards)
+            to = word_shard(keys, word_shards)
             order = np.argsort(to, kind="stable")
-            bounds = np.searchsorted(to[order], np.arange(shards + 1, dtype=np.uint64))
-            for s in range(shards):
+            bounds = np.searchsorted(to[order], np.arange(word_shards + 1, dtype=np.uint64))
+            for s in range(word_shards):
                 of = order[bounds[s] : bounds[s + 1]]
                 if len(of):
                     out["shard"].append(s)
@@ -270,7 +273,7 @@ def count(docs: DataFrame, text: str = "text", shards: int | None = None) -> Mod
     counts = np.zeros(5, np.int64)
     for row in gathered.where("kind = 2").select("a").toLocalIterator():  # five numbers per shard
         counts += unpack64(row["a"])
-    model = Model(path, shards, heavy)
+    model = Model(path, shards, word_shards, heavy)
     if total["documents"]:
         model.documents = total["documents"]
         model.tokens = total["tokens"] + total["documents"]
@@ -324,10 +327,10 @@ class Lookup:
                 self.files[name] = [np.zeros(0, kind) for kind in kinds]
         return self.files[name]
 
-    def by_shard(self, shard: np.ndarray):
+    def by_shard(self, shard: np.ndarray, shards: int):
         order = np.argsort(shard, kind="stable")
-        bounds = np.searchsorted(shard[order], np.arange(self.model.shards + 1, dtype=np.uint64))
-        for s in range(self.model.shards):
+        bounds = np.searchsorted(shard[order], np.arange(shards + 1, dtype=np.uint64))
+        for s in range(shards):
             of = order[bounds[s] : bounds[s + 1]]
             if len(of):
                 yield s, of
@@ -335,7 +338,7 @@ class Lookup:
     def words(self, keys: np.ndarray) -> np.ndarray:
         """Rows: count, continuations, and followers seen once, twice, more often, by sorted key."""
         out = np.zeros((5, len(keys)), np.int64)
-        for s, of in self.by_shard(word_shard(keys, self.model.shards)):
+        for s, of in self.by_shard(word_shard(keys, self.model.word_shards), self.model.word_shards):
             known, *values = self.opened(f"words-{s}", WORD_FILE)
             at, found = positions(known, keys[of])
             for row, value in zip(out, values, strict=True):
@@ -345,7 +348,8 @@ class Lookup:
     def pairs(self, context: np.ndarray, token: np.ndarray) -> np.ndarray:
         out = np.zeros(len(context), np.int64)
         hashes = pair_hash(context, token)
-        for s, of in self.by_shard(pair_shard(context, token, self.model.shards, self.model.heavy)):
+        shards = self.model.shards
+        for s, of in self.by_shard(pair_shard(context, token, shards, self.model.heavy), shards):
             of = of[np.argsort(hashes[of])]
             known, small, large, size = self.opened(f"pairs-{s}", PAIR_FILE)
             at, found = positions(known, hashes[of])
