@@ -126,6 +126,11 @@ class RangeHash:
     def __call__(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
         return mixed((self.sums[stop] - self.sums[start]) * self.back[start])
 
+    def runs(self, length: int) -> np.ndarray:
+        """Hashes of all runs of so many bytes, by where they start."""
+        n = len(self.sums) - length
+        return mixed((self.sums[length:] - self.sums[:n]) * self.back[:n])
+
 
 def slide(values: np.ndarray, width: int, pick) -> np.ndarray:
     """pick (np.minimum or np.maximum) over each run of width values; len - width + 1 results."""

@@ -34,7 +34,7 @@ from lakemart.llm.common import (
 
 NO_HASH = np.uint64(2**64 - 1)
 SYMBOLS = 7  # bytes in the first rank: nine bits each, zero past the end
-BUCKET_BYTES = 2 << 20  # text of one suffix array, about
+BUCKET_BYTES = 1 << 20  # text of one suffix array, about
 MOST_CONTEXTS = 500  # pieces of one hash in a suffix array; more are compared window by window
 PIECES = "key long, c1 long, c2 long, chunk long, start int, size int, own boolean"
 
@@ -51,16 +51,21 @@ class Suffixes:
     def __init__(self, text: np.ndarray, stop: np.ndarray, depth: int):
         n = len(text)
         self.text, self.stop, self.depth, self.ranks = text, stop, depth, []
-        symbol = np.concatenate((text.astype(np.uint64) + np.uint64(1), np.zeros(SYMBOLS, np.uint64)))
-        key = np.zeros(n, np.uint64)
-        place = np.arange(n)
+        place = np.arange(n, dtype=stop.dtype)
+        room = stop - place
+        symbol = np.zeros(n + SYMBOLS, np.int64)
+        symbol[:n] = text
+        symbol[:n] += 1
+        key = np.zeros(n, np.int64)
         for j in range(SYMBOLS):
-            key = key << np.uint64(9) | np.where(place + j < stop, symbol[j : j + n], np.uint64(0))
+            key <<= 9
+            key |= np.where(room > j, symbol[j : j + n], 0)
         length = SYMBOLS
         self.ranks.append((length, ranked(key)))
         while 2 * length <= depth:
             rank = self.ranks[-1][1]
-            key = rank.astype(np.int64) * (n + 1) + self.later(rank, place, length)
+            np.multiply(rank, n + 1, out=key, dtype=np.int64)
+            key[: n - length] += np.where(room[: n - length] > length, rank[length:], 0)
             length *= 2
             self.ranks.append((length, ranked(key)))
 
@@ -70,13 +75,15 @@ class Suffixes:
         inside = at < self.stop[place]
         return np.where(inside, rank[np.where(inside, at, 0)], 0).astype(np.int64)
 
-    def order(self, places: np.ndarray) -> np.ndarray:
-        """The places sorted by the first `depth` bytes from there, ties by place."""
+    def order(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The sorted places by the first `depth` bytes from there, ties by place; and numbers that
+        are equal for places where these bytes are."""
         length, rank = self.ranks[-1]
         key = rank[places].astype(np.int64) * (len(rank) + 1)
         if length < self.depth:
             key += self.later(rank, places, self.depth - length)
-        return places[np.lexsort((places, key))]
+        order = np.argsort(key, kind="stable")
+        return places[order], key[order]
 
     def common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Length of the common beginning at two places, up to `depth`; -1 is no place."""
@@ -102,10 +109,11 @@ class Suffixes:
 def ranked(keys: np.ndarray) -> np.ndarray:
     """1 for the smallest key, and so on."""
     order = np.argsort(keys)
+    ordered = keys[order]
     new = np.ones(len(keys), np.int32)
-    new[1:] = keys[order][1:] != keys[order][:-1]
+    new[1:] = ordered[1:] != ordered[:-1]
     out = np.empty(len(keys), np.int32)
-    out[order] = np.cumsum(new)
+    out[order] = np.cumsum(new, dtype=np.int32)
     return out
 
 
@@ -121,27 +129,40 @@ def nearest_smaller(values: np.ndarray) -> np.ndarray:
     return before
 
 
-def factors(suffixes: Suffixes, ordered: np.ndarray, rank: np.ndarray) -> np.ndarray:
-    """For each place, in suffix order, the longest match with a place of smaller rank: it lies at
-    the previous or at the next such place in suffix order."""
+def neighbours(rank: np.ndarray) -> list[np.ndarray]:
+    """For each entry of a suffix order, where the previous and the next entry of smaller rank
+    stand, -1 if there is none: the longest match with such an entry is at one of the two."""
     before = nearest_smaller(rank)
     after = len(rank) - 1 - nearest_smaller(rank[::-1])[::-1]
-    after = np.where(after < len(rank), after, -1)
-    matches = [
-        suffixes.common(ordered, np.where(x >= 0, ordered[x], -1)) for x in (before, after)
-    ]
-    return np.maximum(*matches)
+    return [before, np.where(after < len(rank), after, -1)]
 
 
 def factor_arrays(suffixes: Suffixes, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Longest previous and longest next factor of each of the sorted places, up to the depth: the
     longest match that begins at a smaller, and at a larger, one of them."""
-    ordered = suffixes.order(places)
-    at = np.searchsorted(places, ordered)
+    ordered, _ = suffixes.order(places)
     out = []
     for rank in (ordered, len(suffixes.stop) - ordered):
+        matches = [
+            suffixes.common(ordered, np.where(x >= 0, ordered[x], -1)) for x in neighbours(rank)
+        ]
         found = np.empty(len(places), np.int64)
-        found[at] = factors(suffixes, ordered, rank)
+        found[np.searchsorted(places, ordered)] = np.maximum(*matches)
+        out.append(found)
+    return out[0], out[1]
+
+
+def full_factors(suffixes: Suffixes, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether the longest previous, and the longest next, factor of each of the sorted places
+    reaches the depth: the same neighbours, compared by number instead of by length."""
+    ordered, number = suffixes.order(places)
+    out = []
+    for rank in (ordered, len(suffixes.stop) - ordered):
+        hit = np.zeros(len(places), bool)
+        for x in neighbours(rank):
+            hit |= (x >= 0) & (number[x] == number)
+        found = np.empty(len(places), bool)
+        found[np.searchsorted(places, ordered)] = hit
         out.append(found)
     return out[0], out[1]
 
@@ -156,8 +177,9 @@ def pieces_of(buffer: np.ndarray, sizes: np.ndarray, window: int, gram: int):
     ends = np.cumsum(sizes)
     room = np.repeat(ends, sizes) - np.arange(n)
     hashes = np.full(n, NO_HASH)
-    fits = np.flatnonzero(room >= gram)
-    hashes[fits] = RangeHash(buffer)(fits, fits + gram)
+    if n >= gram:
+        hashes[: n - gram + 1] = RangeHash(buffer).runs(gram)
+        hashes[room < gram] = NO_HASH
     span = window - gram + 1
     least = slide(hashes, span, np.minimum)
     starts = np.flatnonzero(room[: len(least)] >= window)
@@ -295,13 +317,15 @@ def copies_in(rows: list[dict], window: int, keep_first: bool) -> tuple[list[int
     sizes = counts - 1 + window
     ends = np.cumsum(sizes)
     stop = np.repeat(ends, sizes)
+    if len(stop) < 2**31:
+        stop = stop.astype(np.int32)
     suffixes = Suffixes(np.frombuffer(text, np.uint8), stop, window)
     begin = ends - sizes
     within = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
     places = np.repeat(begin, counts) + within
     # Places are in order of chunk and start, so earlier in this text is earlier in the corpus.
-    earlier, later = factor_arrays(suffixes, places)
-    hit = earlier >= window if keep_first else np.maximum(earlier, later) >= window
+    earlier, later = full_factors(suffixes, places)
+    hit = earlier if keep_first else earlier | later
     real = np.repeat(np.concatenate(starts), counts) + within
     bounds = np.cumsum([0, *[int(np.frombuffer(r["counts"], np.int64).sum()) for r in rows]])
     out = ([], [])

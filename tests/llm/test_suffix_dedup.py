@@ -57,7 +57,9 @@ def test_factor_arrays_equal_brute_force(alphabet, depth):
     earlier, later = S.factor_arrays(suffixes, places)
     assert earlier.tolist() == brute_factors(text, stop, places.tolist(), depth, 1)
     assert later.tolist() == brute_factors(text, stop, places.tolist(), depth, -1)
-    order = suffixes.order(places).tolist()
+    assert S.full_factors(suffixes, places)[0].tolist() == (earlier >= depth).tolist()
+    assert S.full_factors(suffixes, places)[1].tolist() == (later >= depth).tolist()
+    order = suffixes.order(places)[0].tolist()
     assert order == sorted(places.tolist(), key=lambda p: (text[p : p + depth], p))
 
 
