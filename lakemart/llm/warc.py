@@ -27,6 +27,7 @@ VERSION = b"WARC/1.1"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2000-01-01T00:00:00Z"
 LEAST_REVISIT = 1000
+ARCHIVE_ROWS = 4096
 DICTIONARY_BYTES = 64 << 10
 SAMPLE_ROWS, SAMPLE_BYTES = 2000, 16 << 10
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n"
@@ -177,7 +178,8 @@ def linked(pages: DataFrame, key: str, text: str, least: int) -> DataFrame:
 def write(
     pages: DataFrame, path: str, key: str = "page_id", text: str = "html", least: int = LEAST_REVISIT
 ) -> None:
-    """Archives of all rows below the path, one per task, each with the dictionary in front.
+    """Archives of all rows below the path, of about ARCHIVE_ROWS records each and no fewer than
+    there are cores, each with the dictionary in front.
 
     The dictionary is trained on the beginnings of at most SAMPLE_ROWS rows.
     """
@@ -200,7 +202,10 @@ def write(
                 lead = b""
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["frame"])
 
-    archives = linked(pages, key, text, least).mapInArrow(compress, "frame binary")
+    context = pages.sparkSession.sparkContext
+    tasks = max(-(-pages.count() // ARCHIVE_ROWS), context.defaultParallelism)
+    rows = linked(pages, key, text, least).coalesce(tasks)
+    archives = rows.mapInArrow(compress, "frame binary")
     # The cast keeps the bytes as they are, and the writer writes them as they are.
     archives.select(F.col("frame").cast("string").alias("value")).write.option(
         "lineSep", SEPARATOR
