@@ -144,6 +144,13 @@ def slide(values: np.ndarray, width: int, pick) -> np.ndarray:
     return out
 
 
+def covering(values: np.ndarray, width: int) -> np.ndarray:
+    """For each place the largest value of the windows of this width that hold it; a window's value
+    stands at its start, and there are len(values) + width - 1 places."""
+    edge = np.zeros(width - 1, values.dtype)
+    return slide(np.concatenate((edge, values, edge)), width, np.maximum)
+
+
 def squeeze(numbers: np.ndarray) -> bytes:
     """Non-negative, mostly rising numbers below 2^31 as few bytes: gaps by byte plane, zstd."""
     gaps = np.diff(numbers.astype(np.int32), prepend=np.int32(0))

@@ -21,6 +21,7 @@ from lakemart.llm.common import (
     RangeHash,
     Words,
     chunk_rows,
+    covering,
     packed,
     repeated,
     send,
@@ -46,8 +47,9 @@ def anchors(words: Words, length: int, window: int):
     span = window - length + 1
     least = slide(hashes, span, np.minimum)
     least = np.where(words.room[: len(least)] >= window, least, np.uint64(0))
-    most = slide(np.concatenate((np.zeros(span - 1, np.uint64), least)), span, np.maximum)
-    return hashes, least, np.flatnonzero(most == hashes[: len(most)])
+    if not len(least):
+        return hashes, least, np.zeros(0, np.int64)
+    return hashes, least, np.flatnonzero(covering(least, span) == hashes)
 
 
 def levels(window: int, start: int) -> list[int]:

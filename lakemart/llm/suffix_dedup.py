@@ -22,6 +22,7 @@ from lakemart.llm.common import (
     RangeHash,
     chunk_rows,
     count_repeats,
+    covering,
     packed,
     places_table,
     send,
@@ -193,8 +194,7 @@ def pieces_of(buffer: np.ndarray, sizes: np.ndarray, window: int, gram: int):
     # Places of hashes that are the smallest of some window, and how often a piece's own is there.
     shown = np.zeros(len(least), np.uint64)
     shown[starts] = of
-    most = slide(np.concatenate((np.zeros(span - 1, np.uint64), shown)), span, np.maximum)
-    at = np.flatnonzero(most == hashes[: len(most)])
+    at = np.flatnonzero(covering(shown, span) == hashes)
     left = np.searchsorted(at, start)
     right = np.searchsorted(at, start + count - 1 + span)
     seen = np.zeros(len(key), np.int64)
