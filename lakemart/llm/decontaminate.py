@@ -21,7 +21,7 @@ PLAIN = bytes(
     for c in range(256)
 )
 SHINGLE = 5
-BLOCK_BYTES = 8 << 20  # item text that is sent to the tasks at a time
+BLOCK_BYTES = 2 << 20  # item text that is sent to the tasks at a time
 
 
 def plain(text: bytes | None) -> bytes:

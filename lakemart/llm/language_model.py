@@ -35,6 +35,7 @@ SLICE_BYTES = 4 << 20
 END, START, FIRST_WORD = np.uint64(1 << 16), np.uint64(2 << 16), np.uint64(3 << 16)
 LOW = np.uint64(16)  # second words are known by the upper 48 bits of their hashes
 SAMPLE_DOCS = 2000
+OPEN_FILES = 400  # mapped files that a task keeps open
 WORD_SHARE = 8  # shards of pairs for one shard of words, which are far fewer
 HEAVY_SHARE = 1e-3  # first words at least this frequent in the sample are spread over all shards
 PAIR_FILE = ["<u8", "u1", "<u8", "<u8"]
@@ -314,18 +315,22 @@ def summed(rows: list[dict], names: str):
 
 
 class Lookup:
-    """Mapped files of a model, opened when first asked for."""
+    """Mapped files of a model, opened when first asked for; the OPEN_FILES last used stay open."""
 
     def __init__(self, model: Model):
         self.model, self.files = model, {}
 
     def opened(self, name: str, kinds: list[str]) -> list[np.ndarray]:
-        if name not in self.files:
+        found = self.files.pop(name, None)
+        if found is None:
             try:
-                self.files[name] = map_arrays(f"{self.model.path}/{name}", kinds)
+                found = map_arrays(f"{self.model.path}/{name}", kinds)
             except FileNotFoundError:  # no pair or word fell into this shard
-                self.files[name] = [np.zeros(0, kind) for kind in kinds]
-        return self.files[name]
+                found = [np.zeros(0, kind) for kind in kinds]
+        self.files[name] = found
+        if len(self.files) > OPEN_FILES:
+            del self.files[next(iter(self.files))]
+        return found
 
     def by_shard(self, shard: np.ndarray, shards: int):
         order = np.argsort(shard, kind="stable")
