@@ -238,9 +238,12 @@ def one_per_group(
     with the smallest key; of equal rows one stays."""
     prints = stored(fingerprints(docs, shingle, key, text), "fingerprints")
     kept = grouped(prints, radius, key).select("first").distinct()
-    kept = kept.select(F.col("first.id").alias("_id"), F.col("first.text_hash").alias("_hash"))
-    rows = docs.withColumn("_text_hash", F.xxhash64(text))
-    rows = rows.join(
-        kept, (rows[key].eqNullSafe(kept["_id"])) & (rows["_text_hash"] == kept["_hash"]), "left_semi"
+    kept = kept.select(F.col("first.id").alias("kept_id"), F.col("first.text_hash").alias("kept_hash"))
+    rows = docs.select(
+        *[F.col(c).alias(f"c{i}") for i, c in enumerate(docs.columns)],
+        F.col(key).alias("id"),
+        F.xxhash64(text).alias("text_hash"),
     )
-    return rows.dropDuplicates([key, "_text_hash"]).select(*docs.columns)
+    same = F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("text_hash") == F.col("kept_hash"))
+    rows = rows.join(kept, same, "left_semi").dropDuplicates(["id", "text_hash"])
+    return rows.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])

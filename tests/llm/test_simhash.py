@@ -97,5 +97,7 @@ def test_null_keys_repeated_rows_and_empty_tables(spark, rows):
     got = rows(simhash.near_duplicates(docs), "doc_id", "component_id")
     assert got == sorted([(None, 4), (4, 4), (4, 4), (None, None)], key=repr)
     assert rows(simhash.one_per_group(docs)) == sorted([(4, text, "q"), (None, "only one", "r")], key=repr)
+    clashing = docs.selectExpr("doc_id", "text", "root as id", "1 as text_hash", "2 as kept_id", "3 as c0")
+    assert rows(simhash.one_per_group(clashing)) == sorted([(4, text, "q", 1, 2, 3), (None, "only one", "r", 1, 2, 3)], key=repr)
     assert simhash.near_duplicates(docs.limit(0)).count() == 0
     assert simhash.one_per_group(docs.limit(0)).count() == 0
