@@ -1,26 +1,29 @@
 """SimHash near-dedup: fingerprints, exact tiled comparison, components of linked fingerprints.
 
-Distinct fingerprints are put into classes by the bit counts of their four quarters. Two
-fingerprints within the radius lie in classes whose counts differ by no more than the radius in
-all, so other pairs of tiles are skipped; the rest are compared whole, by exclusive-or and bit
-counts.
+Distinct fingerprints are put into classes by the bit counts of their equal parts, four or eight of
+them. Two fingerprints within the radius lie in classes whose counts differ by no more than the
+radius in all, so other pairs of tiles are skipped; the rest are compared whole, by exclusive-or and
+bit counts.
 """
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import product
+from operator import or_
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakemart.llm.common import Words, as_bytes, plain_line, shuffle_partitions, slices, stored
 from lakemart.llm.components import components
 
-QUARTERS, QUARTER_BITS = 4, 16
-SIDE = QUARTER_BITS + 1  # bit counts of a quarter
+# Four parts make at most 17^4 classes; beyond so many fingerprints eight make the classes, and so
+# the work for each fingerprint, some forty times smaller. What is linked is the same.
+FOUR_PARTS_UP_TO = 40_000_000
 TILE = 4096  # fingerprints of one class that are compared at a time
 HASH_SEED = 42
 BIT_ROWS = 1 << 17  # shingles whose bits are held at a time
@@ -97,36 +100,49 @@ def tree_links(left: np.ndarray, right: np.ndarray | None, radius: int):
     return both, out
 
 
-def near_pairs(prints: DataFrame, radius: int = 2) -> DataFrame:
+def near_pairs(prints: DataFrame, radius: int = 2, parts: int | None = None) -> DataFrame:
     """Links (a, b) between distinct fingerprints: exactly the connections of all pairs within the
-    radius, as spanning forests of the tile pairs."""
+    radius, as spanning forests of the tile pairs.
+
+    parts: of a fingerprint whose bits are counted, 4 or 8; by default as their number asks for.
+    """
+    prints = prints.select("fingerprint").distinct()
+    if parts is None:
+        parts = 4 if prints.count() <= FOUR_PARTS_UP_TO else 8
+    bits = 64 // parts
+    side = bits + 1  # bit counts that a part can have
     count = [
-        F.bit_count(F.shiftrightunsigned("fingerprint", 16 * q).bitwiseAND(0xFFFF))
-        for q in range(QUARTERS)
+        F.bit_count(F.shiftrightunsigned("fingerprint", bits * q).bitwiseAND((1 << bits) - 1))
+        for q in range(parts)
     ]
-    kind = sum((c * SIDE**q for q, c in enumerate(count)), F.lit(0)).cast("int")
-    prints = prints.select("fingerprint").distinct().withColumn("kind", kind)
-    # At most 17^4 rows, whatever the number of documents.
+    kind = sum((c * side**q for q, c in enumerate(count)), F.lit(0)).cast("int")
+    prints = prints.withColumn("kind", kind)
     sizes = prints.groupBy("kind").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles"))
     sizes = stored(sizes, "tiles")
 
     steps = [
         s
-        for s in product(range(-radius, radius + 1), repeat=QUARTERS)
-        if sum(map(abs, s)) <= radius and s >= (0,) * QUARTERS
-    ]
-    quarter = [(F.col("kind") / SIDE**q).cast("int") % SIDE for q in range(QUARTERS)]
-    moves = [
-        F.when(
-            # A step that leaves 0..16 in some quarter would reach another class's number.
-            sum((F.when((c + d >= 0) & (c + d < SIDE), 0).otherwise(1) for c, d in zip(quarter, s, strict=True)), F.lit(0)) == 0,
-            F.col("kind") + sum(d * SIDE**q for q, d in enumerate(s)),
-        )
-        for s in steps
+        for s in product(range(-radius, radius + 1), repeat=parts)
+        if sum(map(abs, s)) <= radius and s >= (0,) * parts
     ]
+    part = [(F.col("kind") / side**q).cast("int") % side for q in range(parts)]
+
+    def reached(step) -> Column:
+        """The class so many counts away; none where a count would leave its range."""
+        outside = [
+            (c + d < 0) | (c + d >= side) for c, d in zip(part, step, strict=True) if d
+        ]
+        number = F.col("kind") + sum(d * side**q for q, d in enumerate(step))
+        return F.when(~reduce(or_, outside), number) if outside else number
+
     pairs = sizes.select(
-        F.col("kind").alias("l"), F.col("tiles").alias("ls"), F.explode(F.array_compact(F.array(*moves))).alias("r")
-    ).join(F.broadcast(sizes.select(F.col("kind").alias("r"), F.col("tiles").alias("rs"))), "r")
+        F.col("kind").alias("l"),
+        F.col("tiles").alias("ls"),
+        F.explode(F.array_compact(F.array(*map(reached, steps)))).alias("r"),
+    )
+    other = sizes.select(F.col("kind").alias("r"), F.col("tiles").alias("rs"))
+    # Four parts make at most 17^4 classes, whatever the number of documents.
+    pairs = pairs.join(F.broadcast(other) if parts == 4 else other, "r")
     pairs = stored(pairs, "tile_pairs")
     roles = pairs.select(F.col("l").alias("kind"), "l", "r", "ls", "rs", F.lit(0).alias("role")).union(
         pairs.select(F.col("r").alias("kind"), "l", "r", "ls", "rs", F.lit(1).alias("role"))
@@ -157,8 +173,8 @@ def near_pairs(prints: DataFrame, radius: int = 2) -> DataFrame:
             "fingerprint",
         )
     )
-    parts = shuffle_partitions(prints.sparkSession)
-    tiled = tiled.repartition(parts, "l", "r", "i", "j").sortWithinPartitions("l", "r", "i", "j", "role")
+    tasks = shuffle_partitions(prints.sparkSession)
+    tiled = tiled.repartition(tasks, "l", "r", "i", "j").sortWithinPartitions("l", "r", "i", "j", "role")
 
     def compare(batches):
         for tile in tile_pairs(batches):

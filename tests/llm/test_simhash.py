@@ -51,8 +51,8 @@ def test_fingerprints_and_components_equal_brute_force(spark):
     assert {i: r["component_id"] for i, r in got.items()} == brute_groups(prints, 2)
 
 
-@pytest.mark.parametrize("tile", [4096, 3])
-def test_links_of_all_pairs_whatever_the_tiles(spark, monkeypatch, tile):
+@pytest.mark.parametrize("tile, parts", [(4096, 4), (3, 4), (4096, 8), (2, 8)])
+def test_links_of_all_pairs_whatever_the_tiles(spark, monkeypatch, tile, parts):
     monkeypatch.setattr(simhash, "TILE", tile)
     rng = np.random.default_rng(7)
     centres = rng.integers(0, 2**63, 12, dtype=np.int64)
@@ -63,7 +63,7 @@ def test_links_of_all_pairs_whatever_the_tiles(spark, monkeypatch, tile):
             x ^= 1 << int(rng.integers(0, 63))
             values.add(x)
     prints = spark.createDataFrame([(v,) for v in values], "fingerprint long")
-    links = simhash.near_pairs(prints, 2)
+    links = simhash.near_pairs(prints, 2, parts)
     got = {r["node"]: r["root"] for r in components(links).collect()}
     wanted = brute_groups({v: v % 2**64 for v in values}, 2)
     groups = {}
