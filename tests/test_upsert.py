@@ -1,4 +1,5 @@
 import re
+import shutil
 
 import pytest
 
@@ -148,13 +149,15 @@ STEPS = ("delete", "save", "finish", "drop")
 
 
 def stop_at(monkeypatch, call, torn=False):
-    """Let `call` file operations work, then stop; torn: with half of a record on disk."""
-    count = [0]
+    """Let `call` file operations work, then stop; torn: with half of a record on disk. Returns
+    the names of the operations as they come."""
+    count, names = [0], []
 
     def wrap(name):
         real = getattr(upserts._Run, name)
 
         def step(self, *args):
+            names.append(name)
             if count[0] == call:
                 if torn and name == "save":
                     upserts.write_file(self.spark, args[0], '{"create": fal')
@@ -169,6 +172,7 @@ def stop_at(monkeypatch, call, torn=False):
     real_write = upserts.write_table
 
     def write(df, path, *args, **options):
+        names.append("write")
         if count[0] == call:
             raise Stop
         count[0] += 1
@@ -177,7 +181,12 @@ def stop_at(monkeypatch, call, torn=False):
             raise Stop
 
     monkeypatch.setattr(upserts, "write_table", write)
-    return count
+    return names
+
+
+def small(frame):
+    """One partition, as these tests run very many small jobs."""
+    return lambda data: frame(data).coalesce(1)
 
 
 def put_stopped(spark, path, df, monkeypatch, call, torn=False):
@@ -191,23 +200,29 @@ def put_stopped(spark, path, df, monkeypatch, call, torn=False):
     return False
 
 
-@pytest.mark.parametrize("torn", [False, True])
-def test_a_run_that_stops_at_any_file_operation_is_made_good(spark, tmp_path, frame, rows, monkeypatch, torn):
-    for call in range(40):
-        path = str(tmp_path / f"table{call}")
-        put(spark, path, frame(FIRST))
-        stopped = put_stopped(spark, path, frame(SECOND), monkeypatch, call, torn)
-        recover(spark, path)
-        assert not exists(spark, f"{path}__staging")
-        assert content(spark, path, rows) in (sorted(FIRST, key=repr), sorted(AFTER, key=repr))
-        put(spark, path, frame(SECOND))
-        assert content(spark, path, rows) == sorted(AFTER, key=repr)
-        if not stopped:
-            break
-    assert 5 < call < 39
+def test_a_run_that_stops_at_any_file_operation_is_made_good(spark, tmp_path, frame, rows, monkeypatch):
+    frame = small(frame)
+    made = str(tmp_path / "made")
+    put(spark, made, frame(FIRST))
+    shutil.copytree(made, tmp_path / "whole")
+    with monkeypatch.context() as patch:
+        steps = stop_at(patch, -1)
+        put(spark, str(tmp_path / "whole"), frame(SECOND))
+    assert steps.count("save") == 2 and "write" in steps and len(steps) > 8
+    for call, name in enumerate(steps):
+        for torn in (False, True) if name == "save" else (False,):
+            path = str(tmp_path / f"table{call}-{torn}")
+            shutil.copytree(made, path)
+            put_stopped(spark, path, frame(SECOND), monkeypatch, call, torn)
+            recover(spark, path)
+            assert not exists(spark, f"{path}__staging")
+            assert content(spark, path, rows) in (sorted(FIRST, key=repr), sorted(AFTER, key=repr))
+            put(spark, path, frame(SECOND))
+            assert content(spark, path, rows) == sorted(AFTER, key=repr)
 
 
 def test_creation_that_stops_at_any_file_operation_is_made_good(spark, tmp_path, frame, rows, monkeypatch):
+    frame = small(frame)
     for call in range(40):
         path = str(tmp_path / f"table{call}")
         stopped = put_stopped(spark, path, frame(FIRST), monkeypatch, call)
@@ -219,10 +234,13 @@ def test_creation_that_stops_at_any_file_operation_is_made_good(spark, tmp_path,
 
 
 def test_a_recovery_that_stops_is_taken_up(spark, tmp_path, frame, rows, monkeypatch):
-    for first in (1, 2, 4, 6):
+    frame = small(frame)
+    made = str(tmp_path / "made")
+    put(spark, made, frame(FIRST))
+    for first in (2, 4):
         for call in range(12):
             path = str(tmp_path / f"table{first}-{call}")
-            put(spark, path, frame(FIRST))
+            shutil.copytree(made, path)
             put_stopped(spark, path, frame(SECOND), monkeypatch, first)
             with monkeypatch.context() as patch:
                 stop_at(patch, call)
