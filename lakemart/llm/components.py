@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from lakemart.llm.common import stored
 
+LINKS_PER_FILE = 500_000
+
 
 def components(links: DataFrame) -> DataFrame:
     """(node, root) for every node of the links (a, b); nodes of a component share their root.
@@ -18,14 +20,17 @@ def components(links: DataFrame) -> DataFrame:
     of links.
     """
     links = stored(links.select("a", "b").where("a <> b").distinct(), "links")
-    moved, step = None, 0
-    while not links.isEmpty():
+    moved, step, total = None, 0, 1
+    while left := links.count():
         step += 1
+        # As many files as the graph that is left asks for.
+        files = 1 + left // LINKS_PER_FILE
         ends = links.union(links.select(F.col("b"), F.col("a")))
         rank = F.struct(F.xxhash64("b", F.lit(step)).alias("rank"), F.col("b").alias("to"))
         own = F.struct(F.xxhash64("node", F.lit(step)).alias("rank"), F.col("node").alias("to"))
         best = ends.groupBy(F.col("a").alias("node")).agg(F.min(rank).alias("best"))
-        move = stored(best.select("node", F.least("best", own)["to"].alias("to")), "moves")
+        move = best.select("node", F.least("best", own)["to"].alias("to"))
+        move = stored(move.coalesce(files), "moves")
         moved = (
             move.select("node", F.col("to").alias("root"))
             if moved is None
@@ -33,11 +38,12 @@ def components(links: DataFrame) -> DataFrame:
                 "node", F.coalesce("to", "root").alias("root")
             )
         )
-        left = move.select(F.col("node").alias("a"), F.col("to").alias("x"))
-        right = move.select(F.col("node").alias("b"), F.col("to").alias("y"))
-        links = links.join(left, "a").join(right, "b")
+        one = move.select(F.col("node").alias("a"), F.col("to").alias("x"))
+        other = move.select(F.col("node").alias("b"), F.col("to").alias("y"))
+        links = links.join(one, "a").join(other, "b")
         links = links.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-        links = stored(links.where("a <> b").distinct(), "links")
+        links = stored(links.where("a <> b").distinct().coalesce(files), "links")
+        total = max(total, files)
     if moved is None:
         return links.select(F.col("a").alias("node"), F.col("b").alias("root"))
-    return stored(moved, "components")
+    return stored(moved.coalesce(total), "components")

@@ -118,7 +118,8 @@ def near_pairs(prints: DataFrame, radius: int = 2, parts: int | None = None) ->
     kind = sum((c * side**q for q, c in enumerate(count)), F.lit(0)).cast("int")
     prints = prints.withColumn("kind", kind)
     sizes = prints.groupBy("kind").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles"))
-    sizes = stored(sizes, "tiles")
+    # Four parts make at most 17^4 classes, whatever the number of documents.
+    sizes = stored(sizes.coalesce(1) if parts == 4 else sizes, "tiles")
 
     steps = [
         s
@@ -141,7 +142,6 @@ def near_pairs(prints: DataFrame, radius: int = 2, parts: int | None = None) ->
         F.explode(F.array_compact(F.array(*map(reached, steps)))).alias("r"),
     )
     other = sizes.select(F.col("kind").alias("r"), F.col("tiles").alias("rs"))
-    # Four parts make at most 17^4 classes, whatever the number of documents.
     pairs = pairs.join(F.broadcast(other) if parts == 4 else other, "r")
     pairs = stored(pairs, "tile_pairs")
     roles = pairs.select(F.col("l").alias("kind"), "l", "r", "ls", "rs", F.lit(0).alias("role")).union(
