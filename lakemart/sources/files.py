@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakemart.functions.typing import CORRUPT, REASONS, accepted, rejected
+from lakemart.functions.typing import CORRUPT, accepted, reject_reasons, rejected
 from lakemart.schemas import Dataset
 
 
@@ -81,14 +81,13 @@ def read_source(spark: SparkSession, dataset: Dataset, path: str, **options) ->
 
 
 def source_counts(spark: SparkSession, dataset: Dataset, path: str, **options) -> dict[str, int]:
-    """Lines of the source, how many are accepted, and how many rejected; one scan for each."""
+    """Lines of the source and how many are rejected, in one scan; how many are accepted, in one
+    more, by the way that takes them."""
     text = read_text(spark, dataset, path, **options)
     needed = required(dataset)
-    return {
-        "read": text.count(),
-        "accepted": accepted(text, dataset.schema, needed).count(),
-        "rejected": rejected(text, dataset.schema, needed).where(F.col(REASONS) != "").count(),
-    }
+    wrong = reject_reasons(text, dataset.schema, needed) != ""
+    row = text.agg(F.count("*").alias("read"), F.count_if(wrong).alias("rejected")).first()
+    return row.asDict() | {"accepted": accepted(text, dataset.schema, needed).count()}
 
 
 def read_rejected(spark: SparkSession, dataset: Dataset, path: str, **options) -> DataFrame:
