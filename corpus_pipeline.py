@@ -10,13 +10,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from lakemart.llm import decontaminate, packing, quality, secrets, simhash
-from lakemart.llm.common import stored
+from lakemart.llm.common import importable, stored
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the co-trained classifier keeps; all columns."""
+    importable(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     options = quality.Settings()
     model = quality.train(docs, labels, options=options)
@@ -30,6 +31,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any window of a benchmark item; all columns."""
+    importable(spark)
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return decontaminate.uncontaminated(docs, items, window=10)
 
@@ -41,6 +43,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token ids with their sequence and offset."""
+    importable(spark)
     return packing.pack_documents(docs, TOKENIZER)
 
 

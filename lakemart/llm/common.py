@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +20,17 @@ CHUNK_BYTES = 2 << 20  # text that one task holds as arrays at a time; a longer
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
+def importable(spark: SparkSession) -> None:
+    """Let the workers find this package where the driver did, for what is broadcast as its classes.
+
+    On a cluster without a shared folder for code, ship the package with the job instead.
+    """
+    root = str(Path(__file__).resolve().parents[2])
+    environment = spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    environment["PYTHONPATH"] = os.pathsep.join(dict.fromkeys([root, *filter(None, paths)]))
+
+
 def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
     """The frame, written once to the shared folder and read back; the folder goes with the session.
 

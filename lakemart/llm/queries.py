@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemart.llm import decontaminate, kdtree, language_model, packing, quality, secrets, simhash, substring_dedup, suffix_dedup, warc
+from lakemart.llm.common import importable
 
 QUERIES = {}
 ORACLES = {}
@@ -24,6 +25,7 @@ def query(sql: str | None = None):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
