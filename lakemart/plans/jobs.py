@@ -296,7 +296,8 @@ def build_marts(
         times = order_status_times_mart(events)
         status_keys = ["order_id"] if status_grain is None else ["order_id", "period"]
 
-        # Old rows stand where some version or event of the order would put them.
+        # Old rows stand where some version or event of the order would put them, an order in
+        # any zone: raw versions keep their time, but not the zone they came with at first.
         places = {
             "orders": orders_partitions(history["orders"]),
             "order_items": history["orders"].select(*DATE_PARTITIONS),

@@ -188,6 +188,18 @@ def test_later_dimension_rows_reach_earlier_orders(spark, sources, tmp_path, row
     assert trusted["1"].restaurants.merchant_city == "NEW"
 
 
+def test_a_version_that_comes_again_in_another_zone_moves(spark, sources, lake, rows):
+    """The old row is found where the zone put it that the raw table no longer has."""
+    days = {"America/Sao_Paulo": "30", "-18:00": "30"}
+    zones = ["America/Sao_Paulo", "Asia/Tokyo", "-18:00", None, "America/Sao_Paulo", "Mars/Base"]
+    for zone in zones:
+        with open(sources["orders"], "w") as f:
+            f.write(json.dumps(order("9", "2018-05-01T01:00:00.000Z", zone=zone)) + "\n")
+        jobs.run_interval(spark, sources, lake, Y2018, Y2019)
+        trusted = read_table(spark, jobs.trusted_path(lake, "orders")).where("order_id = '9'")
+        assert rows(trusted, "merchant_timezone", "day_partition") == [(zone, days.get(zone, "01"))]
+
+
 @pytest.mark.parametrize("seed", range(1))
 def test_any_cuts_give_the_tables_of_one_interval(spark, tmp_path, rows, seed):
     rng = random.Random(seed)
