@@ -33,11 +33,11 @@ from lakemart.session import scratch_path
 SLICE_BYTES = 4 << 20
 # Hashes of what is no word: the end of a text, which is a token, and its beginning, which is not.
 END, START, FIRST_WORD = np.uint64(1 << 16), np.uint64(2 << 16), np.uint64(3 << 16)
+ALL_WORDS = np.uint64(0)  # what the number of all pairs is counted under
 LOW = np.uint64(16)  # second words are known by the upper 48 bits of their hashes
-SAMPLE_DOCS = 2000
 OPEN_FILES = 400  # mapped files that a task keeps open
 WORD_SHARE = 8  # shards of pairs for one shard of words, which are far fewer
-HEAVY_SHARE = 1e-3  # first words at least this frequent in the sample are spread over all shards
+HEAVY_SHARE = 1e-3  # first words at least this frequent are spread over all shards
 PAIR_FILE = ["<u8", "u1", "<u8", "<u8"]
 WORD_FILE = ["<u8", "<u8", "<u8", "<u8", "<u8", "<u8"]
 
@@ -128,13 +128,28 @@ def send_pairs(lines: list[bytes], shards: int, heavy: np.ndarray) -> pa.RecordB
 
 
 def heavy_words(docs: DataFrame, text: str) -> np.ndarray:
-    """Frequent words of a bounded sample. Only where pairs are kept depends on it, no count."""
-    begin = F.substring(F.col(text).cast("string"), 1, 5000)
-    sample = docs.where(F.col(text).isNotNull()).select(begin.alias("b")).limit(SAMPLE_DOCS).toArrow()
-    lines = [plain_line(x.encode(), True) for x in sample.column("b").to_pylist()]
-    context, _, _ = tokens(lines)
-    words, n = np.unique(context, return_counts=True)
-    return words[n >= HEAVY_SHARE * max(len(context), 1)]
+    """First words of at least HEAVY_SHARE of all pairs of all documents, so 1 / HEAVY_SHARE at most.
+    Only where pairs are kept depends on them, no count."""
+
+    def count(batches):
+        for batch in batches:
+            lines = [plain_line(x, True) for x in as_bytes(batch.column("body"))]
+            for a, b in slices(lines, SLICE_BYTES):
+                context, _, _ = tokens(lines[a:b])
+                words, n = np.unique(np.append(context, ALL_WORDS), return_counts=True)
+                n[words == ALL_WORDS] = len(context)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(words.view(np.int64)), pa.array(n, pa.int64())], names=["word", "n"]
+                )
+
+    found = docs.select(F.col(text).cast("string").alias("body")).mapInArrow(count, "word long, n long")
+    counts = stored(found.groupBy("word").agg(F.sum("n").alias("n")), "first_words")
+    everything = F.col("word") == int(ALL_WORDS)
+    total = counts.where(everything).first()
+    if total is None:
+        return np.zeros(0, np.uint64)
+    heavy = counts.where(~everything & (F.col("n") >= HEAVY_SHARE * total["n"])).toArrow()
+    return np.sort(heavy.column("word").to_numpy().view(np.uint64))
 
 
 @dataclass

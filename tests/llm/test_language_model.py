@@ -83,6 +83,16 @@ def test_equals_a_model_of_dictionaries(spark, monkeypatch, heavy_share):
         assert r["score"] == pytest.approx(said, rel=1e-9)
 
 
+def test_heavy_words_are_those_of_all_documents(spark):
+    """Words that only late documents have, or only the ends of long ones, are heavy as any other."""
+    late = ["x " * 6000 + "end " * 3000, *["frequent " * 40] * 300]
+    texts = ["early words alone"] * 2500 + late + [f"rare{i}" for i in range(200)] + [None]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1)
+    context, _, _ = language_model.tokens([b"early words alone x end frequent"])
+    heavy = language_model.heavy_words(docs, "text")
+    assert heavy.tolist() == sorted(context.tolist())
+
+
 def test_probabilities_sum_to_one():
     brute = Brute(texts_of(4, 50))
     for a in ("<s>", *list(brute.unigram)[:10], "unknown"):
