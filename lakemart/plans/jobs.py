@@ -262,7 +262,8 @@ def build_marts(
     An order is touched by a version, a status event, or a new row of its consumer or restaurant in
     the interval. What the marts get is checked before it is written. `keep_dropped_items` leaves
     items in the mart that the newest version of their order no longer has. `status_grain` splits
-    the lists of events by a unit of time. Orders with an unknown zone are listed in
+    the lists of events by a unit of time, the same one in every run over a lake; None is for orders
+    with few events, since one order's list is one row. Orders with an unknown zone are listed in
     `rejected/order_zones`.
     """
     with job_settings(spark), scratch_folder(spark, "marts") as scratch:

@@ -200,6 +200,19 @@ def test_a_version_that_comes_again_in_another_zone_moves(spark, sources, lake,
         assert rows(trusted, "merchant_timezone", "day_partition") == [(zone, days.get(zone, "01"))]
 
 
+def test_a_hot_order_is_split_by_the_status_grain_over_intervals(spark, sources, lake, rows):
+    """No list is longer than a period's events, and an interval leaves the other periods' lists."""
+    start = datetime(2018, 12, 30)
+    hours = [start + timedelta(hours=h) for h in range(96)]
+    with open(sources["order_statuses"], "w") as f:
+        for i, at in enumerate(hours):
+            f.write(json.dumps(status("1", f"s{i}", f"{at:%Y-%m-%dT%H:%M:%SZ}", "PLACED")) + "\n")
+    jobs.backfill(spark, sources, lake, Y2018, Y2020, status_grain="day")
+    lists = read_table(spark, jobs.trusted_path(lake, "order_statuses"))
+    days = [start + timedelta(days=d) for d in range(4)]
+    assert rows(lists, "order_id", "period", F.size("status")) == [("1", day, 24) for day in days]
+
+
 @pytest.mark.parametrize("seed", range(1))
 def test_any_cuts_give_the_tables_of_one_interval(spark, tmp_path, rows, seed):
     rng = random.Random(seed)
