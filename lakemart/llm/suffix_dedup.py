@@ -3,8 +3,9 @@
 Windows of fixed length are cut into pieces that share the smallest hash of the short strings
 inside them; equal windows have equal smallest hashes, so only pieces that share theirs can hold
 copies. Pieces equal as a whole are settled by their digests. The others meet in one text per
-bucket, whose suffix array gives, for each position, the longest match that begins at an earlier
-(or a later) position: the previous and next smaller positions in suffix order.
+bucket, whose suffix array tells, for each position, whether the longest match that begins at an
+earlier (or a later) position reaches the window: the previous and next smaller positions in
+suffix order. Where very many different pieces share a hash, each window goes by its digest.
 """
 
 from __future__ import annotations
@@ -140,7 +141,8 @@ def neighbours(rank: np.ndarray) -> list[np.ndarray]:
 
 def factor_arrays(suffixes: Suffixes, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Longest previous and longest next factor of each of the sorted places, up to the depth: the
-    longest match that begins at a smaller, and at a larger, one of them."""
+    longest match that begins at a smaller, and at a larger, one of them. For users of the arrays;
+    `remove_copies` asks only whether a factor reaches the depth, by `full_factors`."""
     ordered, _ = suffixes.order(places)
     out = []
     for rank in (ordered, len(suffixes.stop) - ordered):
