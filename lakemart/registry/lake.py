@@ -376,18 +376,12 @@ def backfill_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return backfilled(spark, sf_dir, "order_statuses").withColumn("status", timeline_text())
 
 
-BACKFILLED: dict[tuple[str, str], str] = {}
-
-
 def backfilled(spark: SparkSession, sf_dir: str, mart: str) -> DataFrame:
-    """A mart of the lake that one backfill per session and set of tables has built."""
-    key = spark.sparkContext.applicationId, sf_dir
-    if key not in BACKFILLED:
-        path = scratch_path(spark, "backfill")
-        sources = write_sources(spark, sf_dir, path)
-        jobs.backfill(spark, sources, path, *JANUARY, step=timedelta(days=11))
-        BACKFILLED[key] = path
-    return read_table(spark, jobs.trusted_path(BACKFILLED[key], mart))
+    """A mart of a lake that a backfill of its own has built."""
+    path = scratch_path(spark, "backfill")
+    sources = write_sources(spark, sf_dir, path)
+    jobs.backfill(spark, sources, path, *JANUARY, step=timedelta(days=11))
+    return read_table(spark, jobs.trusted_path(path, mart))
 
 
 def versions(people: DataFrame, key: str, renewed_every: int, name: str, value) -> DataFrame:

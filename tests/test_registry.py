@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from lakemart.registry import lake
 
 # The operators for text corpora register more; they have tests of their own.
 NAMES = [name for name, run in contract.queries().items() if run.__module__.startswith("lakemart.registry")]
@@ -41,5 +42,16 @@ def test_query_equals_sql(spark, oracle, rows, name):
     assert rows(df, *names) == expected
 
 
+def test_every_backfill_query_runs_a_backfill(spark, monkeypatch):
+    """Also after another one of the same session, and when it is repeated."""
+    built = []
+    monkeypatch.setattr(lake, "write_sources", lambda spark, sf_dir, path: {"of": path})
+    monkeypatch.setattr(lake.jobs, "backfill", lambda spark, sources, path, *args, **options: built.append(path))
+    monkeypatch.setattr(lake, "read_table", lambda spark, path: path)
+    for mart in ("orders", "order_items", "order_statuses", "orders"):
+        assert lake.backfilled(spark, SF_DIR, mart) == lake.jobs.trusted_path(built[-1], mart)
+    assert len(set(built)) == 4
+
+
 def test_entry(spark):
     assert contract.entry(spark).count() == 1500
