@@ -11,6 +11,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from lakemart.session import scratch_path
 
@@ -325,3 +326,22 @@ def repeated(sent: DataFrame) -> DataFrame:
         return places_table(*count_repeats(table.to_pylist()))
 
     return sent.groupBy("bucket").applyInArrow(count, "chunk long, places binary")
+
+
+def numbered(df: DataFrame, order: list, name: str) -> DataFrame:
+    """The frame with its rows' places, from 0, in the order of the columns; written once.
+
+    Rows are dealt by ranges of the order, so one value may hold any share of them; each task counts
+    its own rows, and what stands before it is added from one row per task.
+    """
+    ranged = df.repartitionByRange(shuffle_partitions(df.sparkSession), *order)
+    ranged = ranged.sortWithinPartitions(*order)
+    placed = stored(ranged.withColumn("in_task", F.monotonically_increasing_id()), name)
+    task = F.shiftright("in_task", 33)
+    sizes = placed.groupBy(task.alias("task")).agg(F.count("*").alias("n"))
+    before = Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    # One row per task that wrote: the bound of this broadcast is the number of partitions.
+    places = placed.withColumn("task", task).join(F.broadcast(offsets), "task")
+    within = F.col("in_task").bitwiseAND((1 << 33) - 1)
+    return places.withColumn("place", F.col("offset") + within).drop("task", "offset", "in_task")
