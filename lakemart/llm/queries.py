@@ -7,7 +7,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.llm import decontaminate, kdtree, language_model, packing, quality, secrets, simhash, substring_dedup, suffix_dedup, warc
+from lakemart.llm import (
+    decontaminate,
+    kdtree,
+    language_model,
+    merkle,
+    ngram_join,
+    packing,
+    quality,
+    secrets,
+    simhash,
+    spelling,
+    substring_dedup,
+    suffix_dedup,
+    warc,
+)
 from lakemart.llm.common import importable
 
 QUERIES = {}
@@ -269,3 +283,161 @@ def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
     )
+
+
+OP11_SQL = r"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, row_number() OVER () AS r, list_filter(string_split_regex(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT r, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM docs
+), sizes AS (
+  SELECT r, count(*) AS n FROM shingles GROUP BY r
+), links AS (
+  SELECT a.r AS x, b.r AS y FROM shingles a JOIN shingles b ON a.s = b.s AND a.r <> b.r
+    JOIN sizes m ON m.r = a.r JOIN sizes n ON n.r = b.r
+  GROUP BY a.r, b.r HAVING 100 * count(*) >= 80 * (any_value(m.n) + any_value(n.n) - count(*))
+), reach AS (
+  SELECT r AS x, r AS y FROM docs UNION SELECT reach.x, links.y FROM reach JOIN links ON links.x = reach.y
+), components AS (
+  SELECT x AS r, min(doc_id) AS component_id FROM reach JOIN docs ON docs.r = reach.y GROUP BY x
+), degrees AS (
+  SELECT x AS r, count(*) AS n_links FROM links GROUP BY x
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, coalesce(n_links, 0) AS n_links
+FROM docs LEFT JOIN sizes USING (r) LEFT JOIN components USING (r) LEFT JOIN degrees USING (r)
+"""
+
+
+@query(OP11_SQL)
+def op11_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents whose sets of 5-word shingles are 0.8 alike: components, and links of each."""
+    return ngram_join.jaccard_join(table(spark, sf_dir, "documents"), width=5, percent=80)
+
+
+# The crc32 of a text in DuckDB: a table of 256 entries, made by its rule, and a fold over the bytes.
+CRC_SQL = """crc_steps AS (
+  SELECT range AS i, 0 AS k, range AS c FROM range(256)
+  UNION ALL
+  SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM crc_steps WHERE k < 8
+), crc AS (SELECT list(c ORDER BY i) AS entries FROM crc_steps WHERE k = 8)"""
+
+
+def crc_sql(text: str) -> str:
+    """For texts of code points below 2048, beside the table crc."""
+    byte_list = f"""flatten(list_transform(string_split({text}, ''), lambda s: CASE WHEN s = '' THEN []
+      WHEN unicode(s) < 128 THEN [unicode(s)::BIGINT]
+      ELSE [(192 | (unicode(s) >> 6))::BIGINT, (128 | (unicode(s) & 63))::BIGINT] END))"""
+    return f"""xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, {byte_list}),
+      lambda a, b: xor(a >> 8, entries[(xor(a, b) & 255) + 1])))"""
+
+
+OP12_SQL = rf"""
+WITH RECURSIVE {CRC_SQL}, runs AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS key, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')) AS raw FROM documents
+), lowered AS (
+  SELECT key, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n
+  FROM runs GROUP BY ALL
+), coded AS (
+  SELECT run, n, {crc_sql("key || ':' || run")} AS h FROM lowered, crc
+), typed AS (
+  SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n
+  FROM coded
+), words AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n, length(word) AS size FROM typed WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3
+), gaps AS (
+  SELECT word, size, i, substr(word, 1, i - 1) AS a, substr(word, i + 1) AS b
+  FROM (SELECT *, unnest(range(1, size + 1)) AS i FROM words)
+), pairs AS (
+  SELECT DISTINCT x.word AS word, y.word AS near FROM gaps x JOIN gaps y ON x.i = y.i AND x.a = y.a AND x.b = y.b AND x.word <> y.word
+  UNION SELECT DISTINCT g.word, w.word FROM gaps g JOIN words w ON w.word = g.a || g.b
+  UNION SELECT DISTINCT w.word, g.word FROM gaps g JOIN words w ON w.word = g.a || g.b
+), near AS (
+  SELECT p.word, count(*) AS n_near, max(w.n) AS best_n FROM pairs p JOIN words w ON w.word = p.near GROUP BY p.word
+), best AS (
+  SELECT p.word, min(encode(p.near)) AS best FROM pairs p JOIN words w ON w.word = p.near JOIN near m ON m.word = p.word AND m.best_n = w.n
+  GROUP BY p.word
+), known AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 2 * n THEN decode(best) END AS form,
+         CASE WHEN best_n >= 2 * n THEN best_n END AS form_n
+  FROM words LEFT JOIN near USING (word) LEFT JOIN best USING (word)
+), ways AS (
+  SELECT word, word AS root, form AS next FROM known
+  UNION ALL SELECT w.word, k.word, k.form FROM ways w JOIN known k ON k.word = w.next
+)
+SELECT k.word, form, root, n, n_near, form_n FROM known k JOIN ways w ON w.word = k.word AND w.next IS NULL
+"""
+
+
+@query(OP12_SQL)
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents, with typos put in by rule, grouped with their near words."""
+    return spelling.variant_groups(spelling.vocabulary(spelling.with_typos(table(spark, sf_dir, "documents"))))
+
+
+def op13_sql(levels: int = 14) -> str:
+    """Levels of the trees one after another, for at most 3^14 documents of a source.
+
+    s: trees of the sources, c: the tree above them. s3 holds the nodes of level 3, sp3 the digests
+    that stand before and after each of them in its run; a tree of one node stays as it is.
+    """
+
+    def field(name, value):
+        text = f"CAST({value} AS VARCHAR)"
+        return f"CASE WHEN {name} IS NULL THEN '-' ELSE strlen({text}) || ':' || {text} END"
+
+    def leaf(text):
+        plain = [field(c, c) for c in ("doc_id", "source", "lang", "n_chars")]
+        return f"sha256({' || '.join([*plain, field('text', text)])})"
+
+    steps, joins, proofs, sides, folds, previous = [], [], [], [], [], "gathered"
+    for tree, spot in (("s", "d.spot"), ("c", "c0.spot")):
+        if tree == "c":
+            place = "row_number() OVER (ORDER BY encode(source) NULLS FIRST) - 1"
+            steps.append(f"c0 AS (SELECT '' AS source, source AS name, {place} AS spot, h FROM s{levels})")
+        for i in range(levels):
+            steps.append(f"""{tree}{i + 1} AS (
+  SELECT source, spot // 3 AS spot, CASE WHEN n = 1 THEN any_value(h) ELSE sha256(string_agg(h, '' ORDER BY spot)) END AS h
+  FROM (SELECT source, spot, h, count(*) OVER (PARTITION BY source) AS n FROM {tree}{i}) GROUP BY source, spot // 3, n
+), {tree}p{i} AS (
+  SELECT source, spot, count(*) OVER (PARTITION BY source) AS n,
+         CASE spot % 3 WHEN 0 THEN '' WHEN 1 THEN lag(h, 1) OVER w ELSE lag(h, 2) OVER w || lag(h, 1) OVER w END AS a,
+         CASE spot % 3 WHEN 2 THEN '' WHEN 1 THEN coalesce(lead(h, 1) OVER w, '')
+              ELSE coalesce(lead(h, 1) OVER w, '') || coalesce(lead(h, 2) OVER w, '') END AS b
+  FROM {tree}{i} WINDOW w AS (PARTITION BY source ORDER BY spot)
+)""")
+            p, key = f"{tree}p{i}", f"{tree}{i}"
+            of = "d.source" if tree == "s" else "''"
+            joins.append(f"JOIN {p} ON {p}.spot = {spot} // {3**i} AND {p}.source IS NOT DISTINCT FROM {of}")
+            proofs.append(f"CASE WHEN {p}.n = 1 THEN '' ELSE {p}.a || {p}.b END")
+            sides.append(f"{p}.n AS n_{key}, {p}.a AS a_{key}, {p}.b AS b_{key}")
+            folds.append(f"""f_{key} AS (SELECT * REPLACE (CASE WHEN n_{key} = 1 THEN changed
+  ELSE sha256(a_{key} || changed || b_{key}) END AS changed) FROM {previous})""")
+            previous = f"f_{key}"
+    parity = crc_sql("CAST(doc_id AS VARCHAR)") + " % 2"
+    return f"""
+WITH RECURSIVE {CRC_SQL}, leaves AS (
+  SELECT doc_id, source, {leaf("text")} AS h,
+         {leaf(f"CASE WHEN {parity} = 0 THEN replace(text, chr(10), '') ELSE text END")} AS changed
+  FROM documents, crc
+), s0 AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, h) - 1 AS spot FROM leaves
+), {", ".join(steps)}, gathered AS (
+  SELECT d.doc_id, d.h AS leaf, d.changed, c0.h AS subroot, (SELECT h FROM c{levels}) AS root,
+         sha256({" || ".join(proofs)}) AS proof_sha256, {", ".join(sides)}
+  FROM s0 d JOIN c0 ON c0.name IS NOT DISTINCT FROM d.source {" ".join(joins)}
+), {", ".join(folds)}
+SELECT doc_id, leaf, subroot, root, proof_sha256, changed AS folded_root, changed = root AS verified FROM {previous}
+"""
+
+
+@query(op13_sql())
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots and proof of every document, and whether it verifies after tampering by rule."""
+    docs = table(spark, sf_dir, "documents")
+    even = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    changed = F.when(even, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    return merkle.manifest(docs, claimed={"text": changed})

@@ -19,6 +19,9 @@ COLUMNS = {
     8: "doc_id n_assign n_access n_hex base_sha256 spans",
     9: "query_id rank vec_id score",
     10: "doc_id fingerprint component_id",
+    11: "doc_id n_shingles component_id n_links",
+    12: "word form root n n_near form_n",
+    13: "doc_id leaf subroot root proof_sha256 folded_root verified",
 }
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
@@ -34,7 +37,7 @@ def oracle():
 
 def test_one_query_per_operator_and_the_pipeline():
     numbers = sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES if name != "pipeline")
-    assert numbers == list(range(1, 11)) and "pipeline" in queries.QUERIES
+    assert numbers == list(range(1, 14)) and "pipeline" in queries.QUERIES
 
 
 @pytest.mark.parametrize("name", list(queries.QUERIES))
