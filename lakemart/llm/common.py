@@ -8,6 +8,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,6 +67,16 @@ def slices(texts: list, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
+def runs_of(lengths: np.ndarray, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
+    """Ranges of consecutive texts of at most the limit together, at least one text each."""
+    ends, start = np.cumsum(lengths, dtype=np.int64), 0
+    while start < len(ends):
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + limit, "right")))
+        yield start, stop
+        start = stop
+
+
 class Words:
     """The words of some texts in one buffer: a blank after each word, a line end after a text.
 
@@ -191,11 +202,14 @@ def packed(df: DataFrame, key: str, text: str, as_words: bool, name: str) -> Dat
     def pack(batches):
         compressor = zstandard.ZstdCompressor(level=3)
         for batch in batches:
-            texts = as_bytes(batch.column("body"))
-            texts = [plain_line(x) for x in texts] if as_words else [x or b"" for x in texts]
-            for a, b in slices(texts):
-                body = b"\n".join(texts[a:b]) + b"\n" if as_words else b"".join(texts[a:b])
-                sizes = np.fromiter(map(len, texts[a:b]), np.int64, b - a)
+            column = batch.column("body")
+            lengths = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+            for a, b in runs_of(lengths):
+                # Only the texts of one chunk are copied out of the batch at a time.
+                texts = [plain_line(x) if as_words else x or b"" for x in as_bytes(column[a:b])]
+                body = b"\n".join(texts) + b"\n" if as_words else b"".join(texts)
+                sizes = np.fromiter(map(len, texts), np.int64, b - a)
+                del texts
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("row")[a : a + 1],
