@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from lakemart.functions.dates import parse_utc
 
 CORRUPT = "_corrupt_record"
+EXTRA = "extra"
 REASONS = "reject_reasons"
 
 
@@ -29,7 +30,7 @@ def typed(value: Column, dtype: T.DataType) -> Column:
 
 
 def enforce(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Give every declared column its type; undeclared columns pass through."""
+    """Give every declared column its type; other columns pass through."""
     missing = [name for name in schema.names if name not in df.columns]
     if missing:
         raise ValueError(f"declared columns missing from the source: {missing}")

@@ -9,7 +9,11 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-UNORDERED = (T.MapType, T.VariantType)
+
+def _newest_first(df: DataFrame, name: str):
+    """A variant has no order; its JSON text, with keys sorted, has one."""
+    variant = name in df.columns and isinstance(df.schema[name].dataType, T.VariantType)
+    return (F.to_json(name) if variant else F.col(name)).desc_nulls_last()
 
 
 def latest(
@@ -36,10 +40,10 @@ def latest(
         tie_breakers = [
             field.name
             for field in df.schema
-            if field.name not in {*keys, *order} and not isinstance(field.dataType, UNORDERED)
+            if field.name not in {*keys, *order} and not isinstance(field.dataType, T.MapType)
         ]
     # A frame of nothing but keys has equal rows per key, so any order will do.
-    newest_first = [F.col(name).desc_nulls_last() for name in [*order, *tie_breakers] or keys]
+    newest_first = [_newest_first(df, name) for name in [*order, *tie_breakers] or keys]
     window = W.partitionBy(*keys).orderBy(*newest_first)
     return (
         df.withColumn("_place", F.row_number().over(window)).where("_place = 1").drop("_place")

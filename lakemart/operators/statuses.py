@@ -4,12 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakemart.schemas import STATUS_EVENTS
 
 
+def period_start(time: str, grain: str) -> Column:
+    """The start of the unit of time that a zone-free time lies in, by its date and clock alone:
+    truncating a time as such would go through the session time zone."""
+    if grain in ("year", "quarter", "month", "week"):
+        return F.trunc(time, grain).cast("timestamp_ntz")
+    day = F.col(time).cast("date").cast("timestamp_ntz")
+    if grain == "day":
+        return day
+    hour, minute = F.hour(time), F.minute(time) if grain == "minute" else F.lit(0)
+    if grain not in ("hour", "minute"):
+        raise ValueError(f"unknown grain {grain!r}: use year, quarter, month, week, day, hour or minute")
+    return day + F.make_dt_interval(F.lit(0), hour, minute)
+
+
 def status_timeline(
     statuses: DataFrame,
     key: str = "order_id",
@@ -26,7 +40,7 @@ def status_timeline(
     """
     by = [F.col(key)]
     if grain is not None:
-        by.append(F.date_trunc(grain, time).cast("timestamp_ntz").alias("period"))
+        by.append(period_start(time, grain).alias("period"))
     events = F.struct(F.col(time).alias("created_at"), F.col(event).alias("event"))
     grouped = statuses.groupBy(*by).agg(
         F.sort_array(F.collect_list(events)).alias("status"), F.min(time).alias("date_partition")

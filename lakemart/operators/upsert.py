@@ -298,12 +298,12 @@ def _upsert(
     kept_side = target.where(partition_folder(partitions).isin(folders))
     record = {"create": False, "old": run.files(folders)}
     if schema != target.schema:
-        record["schema"] = _plain(schema).json()
+        record["schema"] = nullable(schema).json()
     result = merged(kept_side, batch, match, gone)
     _write(run, result.select(*schema.names), record, partitions)
 
 
-def _plain(schema: T.StructType) -> T.StructType:
+def nullable(schema: T.StructType) -> T.StructType:
     """A schema to read files of any age with: every column may be missing."""
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema])
 

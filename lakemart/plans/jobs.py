@@ -34,9 +34,10 @@ from lakemart.plans.marts import (
     orders_mart,
     orders_partitions,
 )
+from lakemart.plans.staging import Watched, stage
 from lakemart.schemas import DATASETS, DATE_PARTITIONS, Dataset
 from lakemart.session import job_settings
-from lakemart.sources.files import read_rejected, read_source, source_counts
+from lakemart.sources.files import read_source, source_counts
 from lakemart.sources.tables import (
     delete_paths,
     exists,
@@ -87,6 +88,20 @@ def batch_of(
     return in_interval(rows, dataset.time, start, end)
 
 
+def _merge_batch(
+    spark: SparkSession, dataset: Dataset, batch: DataFrame, lake: str
+) -> None:
+    upsert(
+        spark,
+        raw_path(lake, dataset.name),
+        dedup(batch, dataset.keys, [dataset.time]),
+        dataset.keys,
+        key_fixes_partition=dataset.key_fixes_partition,
+        # With the time in the key there is no older version that could come back.
+        newest_by=None if dataset.key_fixes_partition else dataset.time,
+    )
+
+
 def ingest(
     spark: SparkSession,
     dataset: Dataset | str,
@@ -99,41 +114,37 @@ def ingest(
     """Upsert one interval of a source into its raw table, the newest row of each key.
 
     Intervals may come in any order, and again: a newer row of the table is not replaced.
-    `source` is the path of the source files, or their typed rows as `land` gives them. Of files,
-    the rows that cannot be taken are written to `rejected/<dataset>`, with the reasons.
+    `source` is the path of the source files, or their typed rows as `land` gives them. Files are
+    read once: the same scan gives the rows of the batch and those that cannot be taken, which are
+    written to `rejected/<dataset>`, with the reasons.
     """
     dataset = _dataset(dataset)
-    with job_settings(spark):
-        batch = batch_of(spark, dataset, source, start, end, **options)
-        upsert(
-            spark,
-            raw_path(lake, dataset.name),
-            dedup(batch, dataset.keys, [dataset.time]),
-            dataset.keys,
-            key_fixes_partition=dataset.key_fixes_partition,
-            # With the time in the key there is no older version that could come back.
-            newest_by=None if dataset.key_fixes_partition else dataset.time,
-        )
-        if not isinstance(source, DataFrame):
-            _keep_rejected(spark, dataset, source, lake, **options)
+    with job_settings(spark), scratch_folder(spark, "ingest") as scratch:
+        if isinstance(source, DataFrame):
+            _merge_batch(spark, dataset, batch_of(spark, dataset, source, start, end), lake)
+            return
+        staged = stage(spark, dataset, source, f"{scratch}/staged", **options)
+        rows = with_date_partitions(staged.taken, dataset.time)
+        _merge_batch(spark, dataset, in_interval(rows, dataset.time, start, end), lake)
+        _keep_rejected(dataset, source, lake, staged.rejected)
 
 
 def rejected_path(lake: str, name: str) -> str:
     return f"{lake}/rejected/{name}"
 
 
-def _keep_rejected(
-    spark: SparkSession, dataset: Dataset, source: str, lake: str, **options
-) -> None:
+def _rejected_folder(dataset: Dataset, source: str, lake: str) -> str:
+    return f"{rejected_path(lake, dataset.name)}/source={hashlib.sha256(source.encode()).hexdigest()[:12]}"
+
+
+def _keep_rejected(dataset: Dataset, source: str, lake: str, rows: DataFrame) -> None:
     """The rejected rows of a source, in a folder of its own; the last reading of a source counts.
 
     A row without a readable time is of no interval, so these are the rows of the whole source. The
     new rows are complete before the old ones go.
     """
-    of_source = hashlib.sha256(source.encode()).hexdigest()[:12]
-    folder = f"{rejected_path(lake, dataset.name)}/source={of_source}"
+    spark, folder = rows.sparkSession, _rejected_folder(dataset, source, lake)
     before = list_folders(spark, folder)
-    rows = read_rejected(spark, dataset, source, **options)
     rows.write.parquet(f"{folder}/run={uuid.uuid4().hex}")
     delete_paths(spark, [f"{folder}/{name}" for name in before])
 
@@ -159,11 +170,11 @@ def land(
     With a lake, the rows that cannot be taken are kept there.
     """
     dataset = _dataset(dataset)
-    with job_settings(spark):
-        rows = read_source(spark, dataset, source, **options)
-        write_table(with_date_partitions(rows, dataset.time), path)
+    with job_settings(spark), scratch_folder(spark, "land") as scratch:
+        staged = stage(spark, dataset, source, f"{scratch}/staged", **options)
+        write_table(with_date_partitions(staged.taken, dataset.time), path)
         if lake is not None:
-            _keep_rejected(spark, dataset, source, lake, **options)
+            _keep_rejected(dataset, source, lake, staged.rejected)
         return read_table(spark, path)
 
 
@@ -177,21 +188,30 @@ def check_ingest(
     **options,
 ) -> None:
     """Raise when a key of the interval is in the source but not in the raw table, or when some
-    line of the source files is neither taken nor among the rejected rows."""
+    line of the source files is neither taken nor among the rejected rows.
+
+    Files are read once: the lines count themselves in the comparison of the keys. Where the counts
+    do not add up they are taken once more by themselves, as a stage that was run again after a lost
+    executor may have counted twice.
+    """
     dataset = _dataset(dataset)
     with job_settings(spark):
         table = read_raw(spark, lake, dataset.name)
         if dataset.key_fixes_partition:
             table = in_partition_window(table, start, end)
-        batch = batch_of(spark, dataset, source, start, end, **options)
+        if isinstance(source, DataFrame):
+            require_complete(batch_of(spark, dataset, source, start, end), table, dataset.keys)
+            return
+        watched = Watched(spark, dataset, source, **options)
+        batch = in_interval(watched.rows, dataset.time, start, end)
         require_complete(batch, table, dataset.keys)
-        if not isinstance(source, DataFrame):
+        folder = _rejected_folder(dataset, source, lake)
+        kept = spark.read.parquet(folder).count() if exists(spark, folder) else 0
+        counts = watched.counts()
+        if counts["read"] != counts["accepted"] + kept:
             counts = source_counts(spark, dataset, source, **options)
-            of_source = hashlib.sha256(source.encode()).hexdigest()[:12]
-            folder = f"{rejected_path(lake, dataset.name)}/source={of_source}"
-            kept = spark.read.parquet(folder).count() if exists(spark, folder) else 0
-            if counts["read"] != counts["accepted"] + kept:
-                raise QualityError(f"{dataset.name}: {counts} lines, but {kept} rejected rows kept")
+        if counts["read"] != counts["accepted"] + kept:
+            raise QualityError(f"{dataset.name}: {counts} lines, but {kept} rejected rows kept")
 
 
 def read_raw(spark: SparkSession, lake: str, name: str) -> DataFrame:
@@ -365,7 +385,8 @@ def run_interval(
 ) -> DataFrame:
     """Ingest every dataset, check each against its source, and build the marts.
 
-    reading: options of `read_text` by dataset. Returns the skew report.
+    Nothing is built where a check fails. reading: options of `read_text` by dataset. Returns the
+    skew report.
     """
 
     def load(name: str) -> None:
@@ -391,9 +412,9 @@ def backfill(
 ) -> DataFrame:
     """Run consecutive half-open intervals in order; the same tables as one long interval.
 
-    The source files are read a fixed number of times, however many intervals there are: to land
-    their rows by date, and for the check of the whole span against the files. Returns the skew
-    report.
+    The source files are read twice, however many intervals there are: to land their rows by date,
+    and for the check of the whole span against the files. Each interval is checked against the
+    landed rows before its marts are built. Returns the skew report.
     """
     landed: dict[str, DataFrame] = {}
     reading = reading or {}
@@ -406,10 +427,13 @@ def backfill(
 
         _together(spark, (partial(load, name) for name in sources))
         for interval in intervals(start, stop, step):
-            _together(
-                spark,
-                (partial(ingest, spark, name, rows, lake, *interval) for name, rows in landed.items()),
-            )
+
+            def take(name: str, rows: DataFrame, interval=interval) -> None:
+                ingest(spark, name, rows, lake, *interval)
+                check_ingest(spark, name, rows, lake, *interval)
+
+            # Nothing is published of an interval whose rows are not all there.
+            _together(spark, (partial(take, name, rows) for name, rows in landed.items()))
             build_marts(spark, lake, *interval, **mart_options)
         _together(
             spark,

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from lakemart.functions.dates import in_partition_window, with_date_partitions
 from lakemart.operators.latest import dedup
 from lakemart.operators.upsert import upsert
-from lakemart.plans import jobs
+from lakemart.plans import jobs, marts
 from lakemart.registry import adapters
 from lakemart.registry.adapters import table, text
 from lakemart.registry.catalog import query
@@ -67,7 +67,7 @@ def ingest_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     start, end = datetime(2024, 1, 5), datetime(2024, 1, 21, 18)
     jobs.ingest(spark, "order_statuses", f"{path}/source", path, start, end)
     jobs.check_ingest(spark, "order_statuses", f"{path}/source", path, start, end)
-    return read_table(spark, jobs.raw_path(path, "order_statuses"))
+    return read_table(spark, jobs.raw_path(path, "order_statuses")).drop("extra")
 
 
 @query(
@@ -86,7 +86,39 @@ def land_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     for lot in (lines.where(odd), lines.where(~odd)):
         lot.write.mode("append").json(f"{path}/source")
         landed = land_new_files(spark, "order_statuses", f"{path}/source", f"{path}/landed")
-    return landed
+    return landed.drop("extra")
+
+
+@query(
+    f"""
+    SELECT cast(event_id AS VARCHAR) AS status_id, ts AS created_at,
+           CASE WHEN event_id % 3 > 0 THEN 'by ' || event_type END AS channel,
+           CASE WHEN event_id % 3 = 2 THEN user_id END AS device_user, {DATE_SQL.format(t="ts")}
+    FROM events
+    """
+)
+def land_undeclared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields that are not declared and come with the second and the third lot of files only."""
+    path = scratch_path(spark, "land_undeclared")
+    lines = adapters.event_statuses(spark, sf_dir).withColumn("created_at", utc_text("created_at"))
+    third = F.col("status_id").cast("long") % 3
+    channel = F.concat(F.lit("by "), "value")
+    device = F.struct(F.col("order_id").cast("long").alias("user"))
+    lots = [
+        lines.where(third == 0),
+        lines.where(third == 1).withColumn("channel", channel),
+        lines.where(third == 2).withColumns({"channel": channel, "device.info": device}),
+    ]
+    for lot in lots:
+        lot.write.mode("append").json(f"{path}/source")
+        landed = land_new_files(spark, "order_statuses", f"{path}/source", f"{path}/landed")
+    return landed.select(
+        "status_id",
+        "created_at",
+        F.variant_get("extra", "$.channel", "string").alias("channel"),
+        F.variant_get("extra", "$['device.info'].user", "long").alias("device_user"),
+        *DATE_PARTITIONS,
+    )
 
 
 CREATED_SQL = "TIMESTAMP '2018-01-01 10:00:00' + to_days(CAST(c_custkey % 40 AS INTEGER))"
@@ -123,7 +155,7 @@ def ingest_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     start, end = datetime(2017, 1, 1), datetime(2019, 1, 1)
     jobs.ingest(spark, "consumers", f"{path}/source", path, start, end)
     jobs.check_ingest(spark, "consumers", f"{path}/source", path, start, end)
-    return read_table(spark, jobs.raw_path(path, "consumers"))
+    return read_table(spark, jobs.raw_path(path, "consumers")).drop("extra")
 
 
 def events_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -227,7 +259,7 @@ SECOND_HALF = datetime(2024, 1, 15), datetime(2024, 2, 1)
     """
 )
 def ingest_undeclared(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A column that is not declared, and that the source has from the second interval on."""
+    """A field that is not declared, and that the source has from the second interval on."""
     path = scratch_path(spark, "ingest_undeclared")
     lines = adapters.event_statuses(spark, sf_dir).withColumn("created_at", utc_text("created_at"))
     lines.write.json(f"{path}/source/1")
@@ -235,7 +267,80 @@ def ingest_undeclared(spark: SparkSession, sf_dir: str) -> DataFrame:
     for lot, interval in (("1", FIRST_HALF), ("2", SECOND_HALF)):
         jobs.ingest(spark, "order_statuses", f"{path}/source/{lot}", path, *interval)
         jobs.check_ingest(spark, "order_statuses", f"{path}/source/{lot}", path, *interval)
-    return read_table(spark, jobs.raw_path(path, "order_statuses"))
+    raw = read_table(spark, jobs.raw_path(path, "order_statuses"))
+    channel = F.variant_get("extra", "$.channel", "string").alias("channel")
+    return raw.select("order_id", "status_id", "value", "created_at", channel, *DATE_PARTITIONS)
+
+
+# Names that break a schema: dots, names that differ in case, and names the library uses itself.
+ODD_NAMES = ("utm.source", "Value", "year_partition", "_place", "extra", "a`b'c")
+
+
+@query(
+    f"""
+    SELECT 'json' AS format, cast(event_id AS VARCHAR) AS id, event_type AS declared,
+           'utm ' || user_id AS field_0, cast(value AS VARCHAR) AS field_1, '1999' AS field_2,
+           CASE WHEN event_id % 2 = 0 THEN 'place' END AS field_3, 'more' AS field_4, 'quoted' AS field_5,
+           {DATE_SQL.format(t="ts")}
+    FROM events
+    UNION ALL
+    SELECT 'csv', cast(c_custkey AS VARCHAR), c_mktsegment, 'utm ' || c_nationkey, cast(c_acctbal AS VARCHAR), '1999',
+           CASE WHEN c_custkey % 2 = 0 THEN 'place' END, 'more', 'quoted', '2018', '01', '01'
+    FROM customer
+    """
+)
+def ingest_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON lines and CSV files with fields of odd names beside the declared ones."""
+    path = scratch_path(spark, "ingest_names")
+
+    def odd(source, amount, number):
+        values = [
+            F.concat(F.lit("utm "), source), amount, F.lit("1999"),
+            F.when(number.cast("long") % 2 == 0, "place"), F.lit("more"), F.lit("quoted"),
+        ]
+        return list(zip(ODD_NAMES, values, strict=True))
+
+    events = table(spark, sf_dir, "events").select(
+        text("user_id").alias("order_id"), text("event_id").alias("status_id"),
+        F.col("event_type").alias("value"), utc_text("ts").alias("created_at"), text("value").alias("amount"),
+    )
+    declared = ["order_id", "status_id", "value", "created_at"]
+    fields = odd(F.col("order_id"), F.col("amount"), F.col("status_id"))
+    # Written by hand: no frame can hold `value` and `Value` side by side.
+    pairs = [(name, F.col(name)) for name in declared] + fields
+    cells = [F.when(v.isNotNull(), F.concat(F.lit(f'"{n}":"'), v, F.lit('"'))) for n, v in pairs]
+    line = F.concat(F.lit("{"), F.concat_ws(",", *cells), F.lit("}"))
+    events.select(line).write.text(f"{path}/json")
+    people = adapters.consumers(spark, sf_dir).withColumn("created_at", F.lit("2018-01-01 10:00:00"))
+    columns = DATASETS["consumers"].schema.names
+    fields = odd(F.col("customer_phone_area"), F.col("customer_phone_number"), F.col("customer_id"))
+    names = [*columns, "LANGUAGE", *[name for name, _ in fields]]
+    cells = [*(text(c) for c in columns), F.lit("other"), *[v for _, v in fields]]
+    line = F.concat_ws(",", *[F.coalesce(cell, F.lit("")) for cell in cells])
+    begins = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1) == 0
+    lines = F.when(begins, F.array(F.lit(",".join(names)), line)).otherwise(F.array(line))
+    people.select(F.explode(lines)).write.text(f"{path}/csv")
+    both = None
+    for kind, name, id, value, span in (
+        ("json", "order_statuses", "status_id", "value", JANUARY),
+        ("csv", "consumers", "customer_id", "language", (datetime(2018, 1, 1), datetime(2019, 1, 1))),
+    ):
+        jobs.ingest(spark, name, f"{path}/{kind}", path, *span)
+        jobs.check_ingest(spark, name, f"{path}/{kind}", path, *span)
+        rows = read_table(spark, jobs.raw_path(path, name)).select(
+            F.lit(kind).alias("format"),
+            F.col(id).alias("id"),
+            F.col(value).alias("declared"),
+            *[field(name).alias(f"field_{i}") for i, name in enumerate(ODD_NAMES)],
+            *DATE_PARTITIONS,
+        )
+        both = rows if both is None else both.unionAll(rows)
+    return both
+
+
+def field(name: str):
+    """A field of `extra` as text, by any name; null where a row has none."""
+    return F.element_at(F.from_json(F.to_json("extra"), "map<string,string>"), name)
 
 
 REJECTED_SQL = """CASE WHEN event_id % 13 = 0 THEN 'line:malformed,order_id:null,status_id:null,created_at:null'
@@ -433,3 +538,30 @@ def write_sources(spark: SparkSession, sf_dir: str, path: str) -> dict[str, str]
         writer = frame.write.mode("overwrite").option("header", True).option("escape", '"')
         writer.format(dataset.format).save(sources[name])
     return sources
+
+
+# January 2024 laid over October to November 2018, when a day in Sao Paulo began at one o'clock.
+SHIFT_DAYS = 1898
+
+
+@query(
+    f"""
+    WITH shifted AS (SELECT user_id, event_type, ts - to_days({SHIFT_DAYS}) AS ts FROM events)
+    SELECT cast(user_id AS VARCHAR) AS order_id, date_trunc('day', ts)::TIMESTAMP AS period,
+           {TIMELINE_TEXT_SQL} AS status, min(ts) AS date_partition, {DATE_SQL.format(t="min(ts)")}
+    FROM shifted GROUP BY user_id, date_trunc('day', ts)
+    """
+)
+def status_periods_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The statuses mart by day, written by a session of a zone that skips a midnight."""
+    path = scratch_path(spark, "status_periods_zone")
+    events = adapters.event_statuses(spark, sf_dir)
+    events = events.withColumn("created_at", F.col("created_at") - F.make_dt_interval(F.lit(SHIFT_DAYS)))
+    zone = "spark.sql.session.timeZone"
+    before = spark.conf.get(zone)
+    spark.conf.set(zone, "America/Sao_Paulo")
+    try:
+        write_table(marts.order_statuses_mart(events, grain="day"), path)
+    finally:
+        spark.conf.set(zone, before)
+    return read_table(spark, path).withColumn("status", timeline_text())

@@ -1,33 +1,119 @@
-"""Reading JSON-lines and CSV sources as text columns under their declared names."""
+"""Reading JSON-lines and CSV sources: declared columns as text, all other fields in one VARIANT."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakemart.functions.typing import CORRUPT, accepted, reject_reasons, rejected
+from lakemart.functions.typing import CORRUPT, EXTRA, accepted, reject_reasons, rejected
 from lakemart.schemas import Dataset
 
+BLANKS = " \t\r\n\f\v"
+# The text of a line whose other fields no variant can hold, say with a key twice in one object.
+WHOLE_LINE = "_line"
+
 
 def _text_schema(names: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(name, T.StringType()) for name in [*names, CORRUPT]])
 
 
-def _spread_gzip(df: DataFrame, path: str) -> DataFrame:
+def _spread_gzip(df: DataFrame) -> DataFrame:
     """A gzip file is read by one task; hand its rows to all of them before any work."""
     files = df.inputFiles()
     return df.hint("rebalance") if any(name.endswith(".gz") for name in files) else df
 
 
-def _json_names(spark: SparkSession, dataset: Dataset, path: str, undeclared: bool) -> list[str]:
-    names = list(dataset.schema.names)
+def _with_other_fields(lines: DataFrame, declared: Sequence[str]) -> DataFrame:
+    """JSON lines with the fields that are not declared as a VARIANT object, null if there are none.
+
+    Keys are taken as they are, dots and all; of a key that comes twice the last value counts. Each
+    step is a column of its own, so a line is taken apart once.
+    """
+    lines = lines.withColumn("_fields", F.from_json("value", "map<string,variant>"))
+    others = F.filter(F.map_entries("_fields"), lambda e: ~e["key"].isin(*declared))
+    lines = lines.withColumn("_others", others)
+    lines = lines.withColumn("_names", F.transform("_others", lambda e: e["key"]))
+
+    def last_of_key(entry, place):
+        from_behind = F.array_position(F.reverse("_names"), entry["key"])
+        return from_behind == F.size("_names") - place
+
+    known = F.to_variant_object(F.map_from_entries(F.filter("_others", last_of_key)))
+    whole = F.map_from_arrays(F.array(F.lit(WHOLE_LINE)), F.array("value"))
+    unheld = F.col("_fields").isNull() & F.col(f"fields.{CORRUPT}").isNull()
+    extra = F.when(unheld, F.to_variant_object(whole)).when(F.size("_others") > 0, known)
+    return lines.withColumn(EXTRA, extra).drop("_fields", "_others", "_names")
+
+
+def _json_text(reader, dataset: Dataset, path: str, undeclared: bool, stream: bool) -> DataFrame:
+    lines = reader.text(path)
+    lines = lines if stream else _spread_gzip(lines)
+    lines = lines.where(F.btrim("value", F.lit(BLANKS)) != "")
+    declared = dataset.schema.names
+    parsed = F.from_json("value", _text_schema(declared), {"columnNameOfCorruptRecord": CORRUPT})
+    lines = lines.withColumn("fields", parsed)
     if undeclared:
-        found = spark.read.option("primitivesAsString", "true").json(path).columns
-        names += [name for name in found if name not in names and name != CORRUPT]
-    return names
+        lines = _with_other_fields(lines, declared)
+    columns = [F.col(f"fields.{name}").alias(name) for name in declared]
+    columns += [EXTRA] if undeclared else []
+    return lines.select(*columns, F.col(f"fields.{CORRUPT}").alias(CORRUPT))
+
+
+def csv_header(spark: SparkSession, path: str, options: dict[str, str]) -> list[str]:
+    """The names in the first line of a file; none where there is no line at all."""
+    first = spark.read.options(**options, header="false").csv(path).first()
+    return [] if first is None else [name or "" for name in first]
+
+
+def _csv_text(
+    spark: SparkSession, reader, dataset: Dataset, path: str, undeclared: bool, multiline: bool, stream: bool
+) -> DataFrame:
+    options = {"escape": '"', "multiLine": str(multiline).lower()}
+    names = csv_header(spark, path, options)
+    declared = dataset.schema.names
+    if not names:
+        empty = spark.createDataFrame([], _text_schema(declared))
+        return empty.withColumn(EXTRA, F.lit(None).cast("variant")) if undeclared else empty
+    # A parser that skips columns would not see that a line has too many or too few.
+    options |= {"columnPruning": "false", "columnNameOfCorruptRecord": CORRUPT}
+    places = [f"_c{i}" for i in range(len(names))]
+    lower = {name.lower() for name in [*names, CORRUPT]}
+    if "" not in lower and len(lower) == len(names) + 1:
+        # Every file has to prove that its header is the same as that of the first.
+        options |= {"header": "true", "enforceSchema": "false"}
+        text = reader.schema(_text_schema(names)).options(**options).csv(path).toDF(*places, CORRUPT)
+    else:
+        # Names that no schema can hold side by side: columns go by place, header lines by their text.
+        if stream:
+            raise ValueError(f"names of the header clash, so files cannot be landed one by one: {names}")
+        text = reader.schema(_text_schema(places)).options(**options, header="false").csv(path)
+        is_header = reduce(
+            Column.__and__, [F.col(c).eqNullSafe(F.lit(n or None)) for c, n in zip(places, names, strict=True)]
+        )
+        headers, files = text.where(is_header).count(), len(text.inputFiles())
+        if headers < files:
+            raise ValueError(f"{files} files, but {headers} have the header {names}")
+        text = text.where(~is_header)
+    text = text if stream else _spread_gzip(text)
+    by_name: dict[str, list[str]] = {}
+    for place, name in zip(places, names, strict=True):
+        by_name.setdefault(name or place, []).append(place)
+    columns = [F.col(by_name[name].pop(0)).alias(name) for name in declared if name in by_name]
+    others = {name: found for name, found in by_name.items() if found}
+    if undeclared:
+        extra = F.lit(None).cast("variant")
+        if others:
+            # Of a name that comes twice the last value counts; an empty cell is no field.
+            values = [F.coalesce(*(F.col(c) for c in reversed(found))) for found in others.values()]
+            fields = F.map_from_arrays(F.array(*map(F.lit, others)), F.array(*values))
+            fields = F.map_filter(fields, lambda _, value: value.isNotNull())
+            extra = F.when(F.size(fields) > 0, F.to_variant_object(fields))
+        columns.append(extra.alias(EXTRA))
+    return text.select(*columns, CORRUPT)
 
 
 def read_text(
@@ -38,37 +124,20 @@ def read_text(
     multiline: bool = False,
     stream: bool = False,
 ) -> DataFrame:
-    """The source with every column as text, plus the raw line where it could not be split.
+    """The declared columns as text, the other fields, and the raw line where it could not be split.
 
-    Columns that are not declared pass through as text. For JSON files that costs one more pass, as
-    only they know their other columns; `undeclared=False` saves it and leaves such columns out.
-    With `stream` the rows of files not seen before, to be run by a streaming query.
+    Fields that are not declared lie in the VARIANT column `extra`, under their own names whatever
+    these are: `variant_get(extra, "$['utm.source']", 'string')`. It is null where a line has none;
+    `undeclared=False` leaves it out. Values of CSV files are text, those of JSON what JSON says.
+    A line is read once and no names are searched for; of a CSV source the first line is. With
+    `stream` the rows of files not seen before, to be run by a streaming query.
     """
     reader = spark.readStream if stream else spark.read
     if dataset.format == "json":
-        names = _json_names(spark, dataset, path, undeclared)
-        options = {}
-    elif dataset.format == "csv":
-        options = {"header": "true", "escape": '"', "multiLine": str(multiline).lower()}
-        names = spark.read.options(**options).csv(path).columns
-        if not names:
-            return spark.createDataFrame([], _text_schema(dataset.schema.names))
-        # Every file has to prove that its header is the same as that of the first.
-        options["enforceSchema"] = "false"
-        # A parser that skips columns would not see that a line has too many or too few.
-        options["columnPruning"] = "false"
-    else:
-        raise ValueError(f"unknown source format {dataset.format!r}")
-    text = (
-        reader.format(dataset.format)
-        .schema(_text_schema(names))
-        .options(**options, columnNameOfCorruptRecord=CORRUPT)
-        .load(path)
-    )
-    declared = [name for name in dataset.schema.names if name in names]
-    others = [name for name in names if name not in declared] if undeclared else []
-    text = text.select(*declared, *others, CORRUPT)
-    return text if stream else _spread_gzip(text, path)
+        return _json_text(reader, dataset, path, undeclared, stream)
+    if dataset.format == "csv":
+        return _csv_text(spark, reader, dataset, path, undeclared, multiline, stream)
+    raise ValueError(f"unknown source format {dataset.format!r}")
 
 
 def required(dataset: Dataset) -> list[str]:

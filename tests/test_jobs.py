@@ -1,5 +1,6 @@
 """Marts and jobs on small hand-written orders."""
 
+import gzip
 import json
 import random
 from datetime import datetime, timedelta
@@ -366,3 +367,94 @@ def test_plans_have_no_python_and_no_needless_shuffles(spark, conf):
     items = plan_of(marts.order_items_mart(made["orders"]))
     assert items.count("Exchange hashpartitioning") == 1 and "Python" not in items
     assert plan_of(marts.order_status_times_mart(made["order_statuses"])).count("Exchange") == 1
+
+
+def bytes_read(spark):
+    """Bytes that this session has read from local files so far."""
+    every = spark._jvm.org.apache.hadoop.fs.FileSystem.getAllStatistics()
+    return sum(s.getBytesRead() for s in every if s.getScheme() == "file")
+
+
+@pytest.mark.parametrize("kind", ["json", "json.gz", "csv"])
+def test_ingest_and_check_read_a_source_once_each(spark, tmp_path, kind):
+    name = "consumers" if kind == "csv" else "order_statuses"
+    # Random text, so that the source is much larger than all that is written of it in between.
+    noise = random.Random(1)
+    pad = lambda: "%x" % noise.getrandbits(4 * 900)
+    at = "2018-01-01T00:00:00Z"
+    if kind == "csv":
+        lines = ["customer_id,language,created_at,active,customer_name,customer_phone_area,customer_phone_number"]
+        lines += [f"{i},{pad()},{at},true,Ana,1{',' * (i % 1000 == 0)},2" for i in range(3000)]
+    else:
+        lines = [json.dumps(dict(order_id=str(i), status_id="s", value="x", created_at=at, pad=pad())) for i in range(3000)]
+        lines += ["{bad"] * 3
+    source = tmp_path / f"in.{kind}"
+    text = ("\n".join(lines) + "\n").encode()
+    source.write_bytes(gzip.compress(text) if kind.endswith("gz") else text)
+    options = {"undeclared": False}
+    jobs.check_ingest(spark, name, *ingested(spark, name, source, tmp_path / "warm", options), **options)
+    before = bytes_read(spark)
+    arguments = ingested(spark, name, source, tmp_path / "lake", options)
+    once = bytes_read(spark)
+    jobs.check_ingest(spark, name, *arguments, **options)
+    again = bytes_read(spark)
+    size = source.stat().st_size
+    written = 2 * size if kind == "csv" else 0  # the long column itself, staged and merged
+    assert once - before < 1.25 * size + written and again - once < 1.25 * size
+    assert jobs.read_rejected_rows(spark, str(tmp_path / "lake"), name).count() == 3
+
+
+def ingested(spark, name, source, lake, options):
+    arguments = (str(source), str(lake), Y2018, Y2019)
+    jobs.ingest(spark, name, *arguments, **options)
+    return arguments
+
+
+def test_counts_of_a_stage_that_ran_twice_are_taken_again(spark, sources, lake, monkeypatch):
+    jobs.ingest(spark, "orders", sources["orders"], lake, Y2018, Y2019)
+    counts = jobs.Watched.counts
+    doubled = lambda self: {k: 2 * v if k == "read" else v for k, v in counts(self).items()}
+    monkeypatch.setattr(jobs.Watched, "counts", doubled)
+    jobs.check_ingest(spark, "orders", sources["orders"], lake, Y2018, Y2019)
+    monkeypatch.setattr(jobs, "source_counts", lambda *_, **__: {"read": 9, "accepted": 1})
+    with pytest.raises(QualityError, match="lines"):
+        jobs.check_ingest(spark, "orders", sources["orders"], lake, Y2018, Y2019)
+
+
+def test_a_backfill_publishes_nothing_of_an_interval_that_lacks_rows(spark, sources, lake, monkeypatch):
+    upsert = jobs.upsert
+
+    def lossy(spark, path, rows, keys, **options):
+        if path.endswith("raw/orders"):
+            rows = rows.where("order_id <> '3'")
+        upsert(spark, path, rows, keys, **options)
+
+    monkeypatch.setattr(jobs, "upsert", lossy)
+    with pytest.raises(QualityError, match="missing"):
+        jobs.backfill(spark, sources, lake, Y2018, Y2020)
+    mart = read_table(spark, jobs.trusted_path(lake, "orders"))
+    # Order 3 is of the second interval; the first one had been published.
+    assert mart.where("order_created_at_utc >= '2019-01-01'").count() == 0 and mart.count() == 2
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/Sao_Paulo", "Asia/Tokyo"])
+def test_periods_do_not_depend_on_the_session_zone(spark, conf, rows, zone):
+    """In Sao Paulo the day 2018-11-04 begins at one o'clock."""
+    conf(spark__sql__session__timeZone=zone)
+    times = ["2018-11-04 00:00:00", "2018-11-04 00:30:07", "2018-11-03 23:59:59.999999", "2018-12-31 05:06:07"]
+    events = spark.createDataFrame([("o", "s", "x", t) for t in times], "order_id string, status_id string, value string, at string")
+    events = events.select("order_id", "status_id", "value", F.col("at").cast("timestamp_ntz").alias("created_at"))
+    starts = {
+        "minute": ["2018-11-03 23:59", "2018-11-04 00:00", "2018-11-04 00:30", "2018-12-31 05:06"],
+        "hour": ["2018-11-03 23:00", "2018-11-04 00:00", "2018-12-31 05:00"],
+        "day": ["2018-11-03 00:00", "2018-11-04 00:00", "2018-12-31 00:00"],
+        "week": ["2018-10-29 00:00", "2018-12-31 00:00"],
+        "month": ["2018-11-01 00:00", "2018-12-01 00:00"],
+        "quarter": ["2018-10-01 00:00"],
+        "year": ["2018-01-01 00:00"],
+    }
+    for grain, expected in starts.items():
+        mart = marts.order_statuses_mart(events, grain=grain)
+        assert rows(mart, "period") == [(datetime.fromisoformat(p),) for p in expected]
+    with pytest.raises(ValueError, match="unknown grain"):
+        marts.order_statuses_mart(events, grain="decade")

@@ -65,9 +65,75 @@ def test_json_lines(spark, tmp_path, rows, name):
 def test_undeclared_json_columns_pass_unless_left_out(spark, tmp_path, rows):
     path = write(tmp_path / "s.json", status(extra=1), status(order_id="p"))
     assert "extra" not in read_text(spark, STATUSES, path, undeclared=False).columns
-    assert rows(read_source(spark, STATUSES, path), "order_id", "extra") == [
-        ("o", "1"), ("p", None)
+    assert others(rows, read_source(spark, STATUSES, path), "order_id") == [("o", {"extra": 1}), ("p", None)]
+
+
+def others(rows, df, *columns):
+    """Some columns of the rows, and their other fields as JSON says them."""
+    found = rows(df.withColumn("extra", F.to_json("extra")), *columns, "extra")
+    return [(*row[:-1], None if row[-1] is None else json.loads(row[-1])) for row in found]
+
+
+def test_json_fields_of_any_name_and_kind(spark, tmp_path, rows):
+    odd = {
+        "utm.source": "u", "Value": 1, "VALUE": [1, {"a.b": None}], "year_partition": "1999", "_place": True,
+        "_corrupt_record": "x", "extra": {"extra": 1.5}, "a`b'c\"$": "q", "": "empty", "é": -7, "fields": None, "_line": 0,
+    }
+    path = write(tmp_path / "s.json", status(**odd), status(order_id="p"), "", "  \t", status(order_id="q", channel="c"))
+    good = with_date_partitions(read_source(spark, STATUSES, path), "created_at")
+    assert others(rows, good, "order_id", "value", "year_partition") == [
+        ("o", "PLACED", "2018", odd), ("p", "PLACED", "2018", None), ("q", "PLACED", "2018", {"channel": "c"})
     ]
+    assert source_counts(spark, STATUSES, path) == {"read": 3, "accepted": 3, "rejected": 0}
+
+
+def test_json_keys_that_come_twice_and_lines_that_are_no_objects(spark, tmp_path, rows):
+    start = status()[:-1]
+    lines = [
+        start + ', "x": 1, "order_id": "last", "y": 0, "x": 2}',
+        start + ', "order_id": "nested", "n": {"d": 1, "d": 2}}',
+        f"[{status()}, {status()}]", '"text"', "17", "{}", start,
+    ]
+    path = write(tmp_path / "s.json", *lines)
+    good = others(rows, read_source(spark, STATUSES, path), "order_id")
+    assert good == [("last", {"x": 2, "y": 0}), ("nested", {"_line": lines[1]})]
+    bad = read_rejected(spark, STATUSES, path)
+    assert rows(bad.where("reject_reasons LIKE 'line:malformed%'"), "_corrupt_record") == sorted(
+        [(lines[2],), (lines[3],), (lines[4],), (lines[6],)], key=repr
+    )
+    assert bad.count() == 5 and bad.where("extra IS NOT NULL").count() == 0
+
+
+ODD_HEADER = f"utm.source,LANGUAGE,{HEADER},Language,year_partition,,x`y,x`y,_corrupt_record"
+
+
+@pytest.mark.parametrize("suffix", ["csv", "csv.gz"])
+def test_csv_headers_of_any_names(spark, tmp_path, rows, suffix):
+    line = "u,1,pt,{},2018-01-01,true,Ana,11,99,2,1999,none,first,second,c"
+    write(tmp_path / "c" / f"a.{suffix}", ODD_HEADER, line.format("p"), line.format("q") + ",too wide")
+    write(tmp_path / "c" / f"b.{suffix}", ODD_HEADER, ",,pt,r,2018-01-01,true,Ana,11,99,,,,,,", line.format(""))
+    path = str(tmp_path / "c")
+    fields = {
+        "utm.source": "u", "LANGUAGE": "1", "Language": "2", "year_partition": "1999", "_c11": "none",
+        "x`y": "second", "_corrupt_record": "c",
+    }
+    good = others(rows, read_source(spark, CONSUMERS, path), "customer_id", "language", "customer_phone_number")
+    assert good == [("p", "pt", "99", fields), ("r", "pt", "99", None)]
+    assert rows(read_rejected(spark, CONSUMERS, path), "customer_id", "reject_reasons") == sorted(
+        [("q", "line:malformed"), (None, "customer_id:null")], key=repr
+    )
+    write(tmp_path / "c" / f"d.{suffix}", HEADER, "pt,1,2018-01-01,true,Ana,11,99")
+    with pytest.raises(ValueError, match="3 files, but 2"):
+        read_text(spark, CONSUMERS, path)
+
+
+def test_csv_names_with_dots_alone_keep_the_check_of_headers(spark, tmp_path, rows):
+    write(tmp_path / "c" / "a.csv", f"utm.source,{HEADER}", "u,pt,1,2018-01-01,true,Ana,11,99")
+    path = str(tmp_path / "c")
+    assert others(rows, read_source(spark, CONSUMERS, path), "customer_id") == [("1", {"utm.source": "u"})]
+    write(tmp_path / "c" / "b.csv", f"utm,{HEADER}", "u,pt,1,2018-01-01,true,Ana,11,99")
+    with pytest.raises(Exception, match="CSV header does not conform|CSV_HEADER|header"):
+        read_source(spark, CONSUMERS, path).collect()
 
 
 def test_nested_items_come_as_text_or_as_json(spark, tmp_path):
@@ -94,7 +160,7 @@ def test_csv_files_each_with_a_header(spark, tmp_path, rows):
         )
     path = str(tmp_path / "c")
     good = read_source(spark, CONSUMERS, path)
-    assert good.schema.names == CONSUMERS.schema.names
+    assert good.schema.names == [*CONSUMERS.schema.names, "extra"]
     assert rows(good, "customer_id", "customer_name", "active") == [
         ("0", 'Silva, "Ana"', True), ("1", 'Silva, "Ana"', True)
     ]
@@ -104,7 +170,7 @@ def test_csv_files_each_with_a_header(spark, tmp_path, rows):
 def test_csv_with_line_breaks_and_other_columns(spark, tmp_path, rows):
     path = write(tmp_path / "c.csv", f"{HEADER},extra", 'pt,1,2018-01-01,true,"two\nlines",11,99,more')
     people = read_source(spark, CONSUMERS, path, multiline=True, undeclared=True)
-    assert rows(people, "customer_name", "extra") == [("two\nlines", "more")]
+    assert others(rows, people, "customer_name") == [("two\nlines", {"extra": "more"})]
 
 
 def test_csv_lines_of_the_wrong_width_are_rejected(spark, tmp_path, rows):
@@ -129,7 +195,7 @@ def test_a_folder_of_gzip_files_is_spread(spark, tmp_path):
 
 def test_empty_csv(spark, tmp_path):
     people = read_source(spark, CONSUMERS, write(tmp_path / "c.csv"))
-    assert people.schema.names == CONSUMERS.schema.names and people.isEmpty()
+    assert people.schema.names == [*CONSUMERS.schema.names, "extra"] and people.isEmpty()
     assert read_source(spark, CONSUMERS, write(tmp_path / "d.csv", HEADER)).isEmpty()
 
 
