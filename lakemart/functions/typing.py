@@ -39,9 +39,12 @@ def enforce(df: DataFrame, schema: T.StructType) -> DataFrame:
     )
 
 
-def reject_reasons(df: DataFrame, schema: T.StructType, required: Iterable[str]) -> Column:
+def reject_reasons(
+    df: DataFrame, schema: T.StructType, required: Iterable[str], typed_as: str | None = None
+) -> Column:
     """Comma-separated names of what is wrong with a text row; empty text when it is good.
 
+    typed_as: where the typed values are columns already, their names with `{}` for the column's.
     A line that could not be split into its columns is wrong as a whole: its parts may stand under
     each other's names.
     """
@@ -51,10 +54,9 @@ def reject_reasons(df: DataFrame, schema: T.StructType, required: Iterable[str])
         reasons.append(F.when(F.col(CORRUPT).isNotNull(), "line:malformed"))
     for name in required:
         value = F.col(name)
+        as_type = typed(value, types[name]) if typed_as is None else F.col(typed_as.format(name))
         reasons.append(
-            F.when(value.isNull(), f"{name}:null").when(
-                typed(value, types[name]).isNull(), f"{name}:unreadable"
-            )
+            F.when(value.isNull(), f"{name}:null").when(as_type.isNull(), f"{name}:unreadable")
         )
     return F.concat_ws(",", *reasons)
 

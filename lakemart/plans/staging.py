@@ -12,6 +12,7 @@ from lakemart.schemas import Dataset
 from lakemart.sources.files import read_text, required
 
 LINE = "_line_as_read"
+TYPED = "_typed_{}"
 
 
 @dataclass(frozen=True)
@@ -36,17 +37,17 @@ def stage(spark: SparkSession, dataset: Dataset, source: str, path: str, **optio
     that got the lines dealt), and of a task that is run again only one result counts.
     """
     text = read_text(spark, dataset, source, **options)
-    reasons = reject_reasons(text, dataset.schema, required(dataset))
+    rows = text.withColumns({TYPED.format(f.name): typed(F.col(f.name), f.dataType) for f in dataset.schema})
+    reasons = reject_reasons(text, dataset.schema, required(dataset), typed_as=TYPED)
+    refused = F.col(REASONS) != ""
     observed = Observation()
-    rows = text.withColumn(REASONS, reasons).observe(
-        observed, F.count(F.lit(1)).alias("read"), F.count_if(F.col(REASONS) != "").alias("refused")
+    rows = rows.withColumn(REASONS, reasons).observe(
+        observed, F.count(F.lit(1)).alias("read"), F.count_if(refused).alias("refused")
     )
-    refused = F.col(REASONS) != ""
     line = F.when(refused, F.struct(*text.columns, REASONS))
     others = [name for name in text.columns if name not in {*dataset.schema.names, CORRUPT}]
-    rows = rows.select(
-        *[typed(F.col(f.name), f.dataType).alias(f.name) for f in dataset.schema], *others, line.alias(LINE)
-    )
+    values = [F.col(TYPED.format(name)).alias(name) for name in dataset.schema.names]
+    rows = rows.select(*values, *others, line.alias(LINE))
     rows.write.parquet(path)
     counts = observed.get
     written = spark.read.schema(rows.schema).parquet(path)
@@ -68,7 +69,8 @@ class Watched:
 
     def __init__(self, spark: SparkSession, dataset: Dataset, source: str, **options):
         self._read, self._taken = Observation(), Observation()
-        text = read_text(spark, dataset, source, **options)
+        # Other fields have no say in what is taken.
+        text = read_text(spark, dataset, source, **options | {"undeclared": False})
         text = text.observe(self._read, F.count(F.lit(1)).alias("read"))
         rows = accepted(text, dataset.schema, required(dataset))
         self.rows = rows.observe(self._taken, F.count(F.lit(1)).alias("accepted"))

@@ -33,20 +33,23 @@ def _with_other_fields(lines: DataFrame, declared: Sequence[str]) -> DataFrame:
     Keys are taken as they are, dots and all; of a key that comes twice the last value counts. Each
     step is a column of its own, so a line is taken apart once.
     """
-    lines = lines.withColumn("_fields", F.from_json("value", "map<string,variant>"))
-    others = F.filter(F.map_entries("_fields"), lambda e: ~e["key"].isin(*declared))
-    lines = lines.withColumn("_others", others)
-    lines = lines.withColumn("_names", F.transform("_others", lambda e: e["key"]))
+    lines = lines.withColumn("_all", F.from_json("value", "map<string,variant>"))
+    lines = lines.withColumn("_others", F.map_filter("_all", lambda key, _: ~key.isin(*declared)))
+    lines = lines.withColumn("_names", F.map_keys("_others"))
 
     def last_of_key(entry, place):
         from_behind = F.array_position(F.reverse("_names"), entry["key"])
         return from_behind == F.size("_names") - place
 
-    known = F.to_variant_object(F.map_from_entries(F.filter("_others", last_of_key)))
+    single = F.size(F.array_distinct("_names")) == F.size("_names")
+    last = F.map_from_entries(F.filter(F.map_entries("_others"), last_of_key))
     whole = F.map_from_arrays(F.array(F.lit(WHOLE_LINE)), F.array("value"))
-    unheld = F.col("_fields").isNull() & F.col(f"fields.{CORRUPT}").isNull()
-    extra = F.when(unheld, F.to_variant_object(whole)).when(F.size("_others") > 0, known)
-    return lines.withColumn(EXTRA, extra).drop("_fields", "_others", "_names")
+    unheld = F.col("_all").isNull() & F.col(f"fields.{CORRUPT}").isNull()
+    extra = F.when(unheld, F.to_variant_object(whole)).when(
+        F.size("_names") > 0,
+        F.when(single, F.to_variant_object("_others")).otherwise(F.to_variant_object(last)),
+    )
+    return lines.withColumn(EXTRA, extra).drop("_all", "_others", "_names")
 
 
 def _json_text(reader, dataset: Dataset, path: str, undeclared: bool, stream: bool) -> DataFrame:
