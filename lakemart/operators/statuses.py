@@ -6,7 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from lakemart.operators.ranking import ranked
 from lakemart.schemas import STATUS_EVENTS
 
 
@@ -30,6 +32,7 @@ def status_timeline(
     event: str = "value",
     time: str = "created_at",
     grain: str | None = None,
+    segment: int | None = None,
 ) -> DataFrame:
     """One row per order: its events as a list sorted by time, and the first instant.
 
@@ -37,10 +40,38 @@ def status_timeline(
     there is one row per order and period, its start in the column `period`, for every order
     alike. What comes out never depends on how many events there are. A row holds its list, so
     choose a grain in which one order has a list of bearable length.
+
+    segment: the most events of a list. Row n, in the column `part`, holds the events of the places
+    from n * segment on, in the order of time and event, for every order (and period) alike: most
+    have a part 0 alone. Those with more events are ranked over many tasks, so no task holds all
+    events of an order; this reads the events several times and writes those of such orders once.
     """
-    by = [F.col(key)]
+    by = [key]
     if grain is not None:
-        by.append(period_start(time, grain).alias("period"))
+        statuses = statuses.withColumn("period", period_start(time, grain))
+        by.append("period")
+    if segment is None:
+        return _lists(statuses, by, event, time)
+    if segment < 1:
+        raise ValueError("a segment holds at least one event")
+    hashed = [f.name for f in statuses.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    statuses = statuses.select(*by, event, time, F.xxhash64(*hashed).alias("_row"))
+    busy = statuses.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > segment)
+    busy = busy.select(*(F.col(c).alias(f"_by_{i}") for i, c in enumerate(by)))
+    if busy.isEmpty():
+        return _lists(statuses.withColumn("part", F.lit(0).cast("long")), [*by, "part"], event, time)
+    same = F.lit(True)
+    for i, c in enumerate(by):
+        same = same & F.col(c).eqNullSafe(F.col(f"_by_{i}"))
+    few = statuses.join(busy, same, "left_anti").withColumn("part", F.lit(0).cast("long"))
+    many = statuses.join(busy, same, "left_semi").withColumn("_by", F.struct(*by))
+    many = ranked(many, "_by", [time, event], "_place")
+    many = many.withColumn("part", F.floor(F.col("_place") / segment)).drop("_by", "_place")
+    lists = [_lists(rows, [*by, "part"], event, time) for rows in (few, many)]
+    return lists[0].unionByName(lists[1])
+
+
+def _lists(statuses: DataFrame, by: Sequence[str], event: str, time: str) -> DataFrame:
     events = F.struct(F.col(time).alias("created_at"), F.col(event).alias("event"))
     grouped = statuses.groupBy(*by).agg(
         F.sort_array(F.collect_list(events)).alias("status"), F.min(time).alias("date_partition")

@@ -38,11 +38,11 @@ from lakemart.plans.staging import Watched, stage
 from lakemart.schemas import DATASETS, DATE_PARTITIONS, Dataset
 from lakemart.session import job_settings
 from lakemart.sources.files import read_source, source_counts
+from lakemart.sources.keyindex import KeyIndex, in_folders
 from lakemart.sources.tables import (
     delete_paths,
     exists,
     list_folders,
-    partition_folder,
     partition_path,
     read_table,
     scratch_folder,
@@ -51,6 +51,10 @@ from lakemart.sources.tables import (
 )
 
 
+# Events of a list in the statuses mart; orders have a handful, a key of another kind may have more.
+STATUS_SEGMENT = 10_000
+
+
 def raw_path(lake: str, name: str) -> str:
     return f"{lake}/raw/{name}"
 
@@ -88,9 +92,24 @@ def batch_of(
     return in_interval(rows, dataset.time, start, end)
 
 
+def key_index(spark: SparkSession, lake: str, name: str) -> KeyIndex | None:
+    """The index of a raw table; built from the table where it has none, or has it in too many files.
+    None where the dataset has no indexed columns."""
+    dataset = DATASETS.get(name)
+    if dataset is None or not dataset.indexed:
+        return None
+    index = KeyIndex(spark, f"{lake}/index/{name}", dataset.indexed)
+    if not index.exists() or index.crowded():
+        index.rebuild(read_raw(spark, lake, name))
+    return index
+
+
 def _merge_batch(
     spark: SparkSession, dataset: Dataset, batch: DataFrame, lake: str
 ) -> None:
+    index = key_index(spark, lake, dataset.name)
+    if index is not None:
+        index.add(batch)
     upsert(
         spark,
         raw_path(lake, dataset.name),
@@ -229,12 +248,16 @@ def _rows_of_interval(raw: DataFrame, name: str, start: datetime, end: datetime)
 
 
 def touched_orders(
-    raw: Mapping[str, DataFrame], start: datetime, end: datetime
+    raw: Mapping[str, DataFrame],
+    start: datetime,
+    end: datetime,
+    index: KeyIndex | None = None,
 ) -> DataFrame:
     """(order_id, by_order, by_status): orders that a version or status event of the interval
     touches, and those whose consumer or restaurant has a row of the interval.
 
-    The latter are found in the order tables by two narrow columns.
+    The latter are found in the order tables by two narrow columns: with an index of the orders, of
+    the partitions alone that have orders of such a consumer or restaurant.
     """
     parts = []
     for name in ("orders", "order_statuses"):
@@ -245,8 +268,11 @@ def touched_orders(
         ("restaurants", "id", "merchant_id"),
     ):
         changed = _rows_of_interval(raw[name], name, start, end).select(F.col(key).alias(column))
+        orders = raw["orders"]
+        if index is not None:
+            orders = in_folders(orders, index.folders(column, changed))
         parts.append(
-            matching(raw["orders"].select("order_id", column), changed.distinct(), column).select(
+            matching(orders.select("order_id", column), changed.distinct(), column).select(
                 "order_id", F.lit(name).alias("by")
             )
         )
@@ -257,14 +283,16 @@ def touched_orders(
     )
 
 
-def history_of(raw: DataFrame, ids: DataFrame) -> DataFrame:
-    """All raw rows of the orders, found in two steps: a scan of ids and partitions alone says
-    which partitions have any, and only those are read whole."""
+def history_of(raw: DataFrame, ids: DataFrame, index: KeyIndex | None = None) -> DataFrame:
+    """All raw rows of the orders, found in two steps: the index says which partitions have any, and
+    only those are read. Without an index a scan of ids and partitions alone says it."""
+    if index is not None:
+        return matching(in_folders(raw, index.folders("order_id", ids)), ids, "order_id")
     hits = matching(raw.select("order_id", *DATE_PARTITIONS), ids, "order_id")
     # At most one row per partition folder of the table.
     found = hits.select(*DATE_PARTITIONS).distinct().collect()
     folders = sorted(partition_path(row, DATE_PARTITIONS) for row in found)
-    return matching(raw.where(partition_folder().isin(folders)), ids, "order_id")
+    return matching(in_folders(raw, folders), ids, "order_id")
 
 
 def build_marts(
@@ -276,20 +304,24 @@ def build_marts(
     validate: bool = True,
     keep_dropped_items: bool = False,
     status_grain: str | None = None,
+    status_segment: int | None = STATUS_SEGMENT,
 ) -> None:
     """Rebuild in every mart the orders touched in the interval, from their whole history.
 
     An order is touched by a version, a status event, or a new row of its consumer or restaurant in
     the interval. What the marts get is checked before it is written. `keep_dropped_items` leaves
     items in the mart that the newest version of their order no longer has. `status_grain` splits
-    the lists of events by a unit of time, the same one in every run over a lake; None is for orders
-    with few events, since one order's list is one row. Orders with an unknown zone are listed in
+    the lists of events by a unit of time, `status_segment` after so many events (in `part`, from 0);
+    both the same in every run over a lake. No list is longer than a segment, so an order may have
+    any number of events; without one, an order's list (in a period) is one row. Orders with an unknown zone are listed in
     `rejected/order_zones`.
     """
     with job_settings(spark), scratch_folder(spark, "marts") as scratch:
         raw = {name: read_raw(spark, lake, name) for name in DATASETS}
+        indexes = {name: key_index(spark, lake, name) for name in ("orders", "order_statuses")}
         # The touched ids serve every mart, so they are written once and read back.
-        touched_orders(raw, start, end).write.parquet(f"{scratch}/ids")
+        touched = touched_orders(raw, start, end, indexes["orders"])
+        touched.write.parquet(f"{scratch}/ids")
         ids = spark.read.parquet(f"{scratch}/ids")
         touched = ids.select("order_id")
         by_order = ids.where("by_order").select("order_id")
@@ -297,7 +329,7 @@ def build_marts(
 
         # So does their history: the raw tables are searched for it once, not per mart.
         def collect_history(name: str) -> None:
-            history_of(raw[name], touched).write.parquet(f"{scratch}/{name}")
+            history_of(raw[name], touched, indexes[name]).write.parquet(f"{scratch}/{name}")
 
         kinds = ("orders", "order_statuses")
         _together(spark, (partial(collect_history, name) for name in kinds))
@@ -313,9 +345,11 @@ def build_marts(
         )
         items = order_items_mart(matching(history["orders"], by_order, "order_id"))
         events = matching(history["order_statuses"], by_status, "order_id")
-        statuses = order_statuses_mart(events, grain=status_grain)
+        statuses = order_statuses_mart(events, grain=status_grain, segment=status_segment)
         times = order_status_times_mart(events)
-        status_keys = ["order_id"] if status_grain is None else ["order_id", "period"]
+        status_keys = ["order_id"]
+        status_keys += [] if status_grain is None else ["period"]
+        status_keys += [] if status_segment is None else ["part"]
 
         # Old rows stand where some version or event of the order would put them, an order in
         # any zone: raw versions keep their time, but not the zone they came with at first.

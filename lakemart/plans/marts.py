@@ -94,11 +94,13 @@ def order_items_mart(orders: DataFrame, ties: str = "one") -> DataFrame:
     return with_date_partitions(items, "order_created_at")
 
 
-def order_statuses_mart(statuses: DataFrame, grain: str | None = None) -> DataFrame:
+def order_statuses_mart(
+    statuses: DataFrame, grain: str | None = None, segment: int | None = None
+) -> DataFrame:
     """One row per order with the list of its events, on the date of the first one; with a grain,
-    one per order and period."""
+    one per order and period; with a segment, one per so many events."""
     needed = [name for name in statuses.columns if name not in DATE_PARTITIONS]
-    timeline = status_timeline(statuses.select(*needed), grain=grain)
+    timeline = status_timeline(statuses.select(*needed), grain=grain, segment=segment)
     return with_date_partitions(timeline, "date_partition")
 
 

@@ -478,7 +478,7 @@ def backfill_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def backfill_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The statuses mart after three intervals: the whole list of events of each order."""
-    return backfilled(spark, sf_dir, "order_statuses").withColumn("status", timeline_text())
+    return backfilled(spark, sf_dir, "order_statuses").withColumn("status", timeline_text()).drop("part")
 
 
 def backfilled(spark: SparkSession, sf_dir: str, mart: str) -> DataFrame:
@@ -565,3 +565,42 @@ def status_periods_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
     finally:
         spark.conf.set(zone, before)
     return read_table(spark, path).withColumn("status", timeline_text())
+
+
+FOLDER_SQL = """'year_partition=' || strftime(ts, '%Y') || '/month_partition=' || strftime(ts, '%m')
+    || '/day_partition=' || strftime(ts, '%d')"""
+
+
+@query(
+    f"""
+    SELECT DISTINCT 'order_id' AS kind, cast(user_id AS VARCHAR) AS key, {FOLDER_SQL} AS folder FROM events
+    """
+)
+def key_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The index that two ingests keep, the second with some rows of the first."""
+    path = scratch_path(spark, "key_index")
+    index_two_lots(spark, sf_dir, path)
+    return jobs.key_index(spark, path, "order_statuses").pairs()
+
+
+@query(
+    f"""
+    SELECT cast(user_id AS VARCHAR) AS order_id, cast(event_id AS VARCHAR) AS status_id,
+           event_type AS value, ts AS created_at, {DATE_SQL.format(t="ts")}
+    FROM events WHERE user_id IN (SELECT user_id FROM events WHERE ts >= TIMESTAMP '2024-01-29' AND user_id % 7 = 0)
+    """
+)
+def history_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole history of some keys of the last days, from the partitions that the index names."""
+    path = scratch_path(spark, "history_lookup")
+    index_two_lots(spark, sf_dir, path)
+    raw = jobs.read_raw(spark, path, "order_statuses")
+    late = raw.where("created_at >= '2024-01-29' AND cast(order_id AS bigint) % 7 = 0")
+    index = jobs.key_index(spark, path, "order_statuses")
+    return jobs.history_of(raw, late.select("order_id").distinct(), index)
+
+
+def index_two_lots(spark: SparkSession, sf_dir: str, path: str) -> None:
+    rows = with_date_partitions(adapters.event_statuses(spark, sf_dir), "created_at")
+    for lot in ("created_at < '2024-01-20'", "created_at >= '2024-01-15'"):
+        jobs.ingest(spark, "order_statuses", rows.where(lot), path, *JANUARY)

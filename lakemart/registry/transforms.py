@@ -352,6 +352,23 @@ def status_timeline_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return timeline.withColumn("status", timeline_text())
 
 
+SEGMENT = 25
+
+
+@query(
+    f"""
+    WITH placed AS (
+        SELECT *, (row_number() OVER (PARTITION BY user_id ORDER BY ts, event_type) - 1) // {SEGMENT} AS part FROM events)
+    SELECT cast(user_id AS VARCHAR) AS order_id, part, {TIMELINE_TEXT_SQL} AS status, min(ts) AS date_partition
+    FROM placed GROUP BY user_id, part
+    """
+)
+def status_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lists of at most so many events, by rank alone."""
+    timeline = status_timeline(adapters.event_statuses(spark, sf_dir), segment=SEGMENT)
+    return timeline.withColumn("status", timeline_text())
+
+
 @query(
     """
     SELECT cast(user_id AS VARCHAR) AS order_id,

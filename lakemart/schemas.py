@@ -124,13 +124,17 @@ SENSITIVE = (
 
 @dataclass(frozen=True)
 class Dataset:
-    """One source: its file format, declared columns, row keys and time column."""
+    """One source: its file format, declared columns, row keys and time column.
+
+    indexed: columns by whose values the marts look up rows of the whole history.
+    """
 
     name: str
     format: str
     schema: T.StructType
     keys: tuple[str, ...]
     time: str
+    indexed: tuple[str, ...] = ()
 
     @property
     def key_fixes_partition(self) -> bool:
@@ -141,13 +145,21 @@ class Dataset:
 DATASETS = {
     dataset.name: dataset
     for dataset in (
-        Dataset("orders", "json", ORDERS, ("order_id", "order_created_at"), "order_created_at"),
+        Dataset(
+            "orders",
+            "json",
+            ORDERS,
+            ("order_id", "order_created_at"),
+            "order_created_at",
+            indexed=("order_id", "customer_id", "merchant_id"),
+        ),
         Dataset(
             "order_statuses",
             "json",
             ORDER_STATUSES,
             ("order_id", "status_id", "created_at"),
             "created_at",
+            indexed=("order_id",),
         ),
         Dataset("restaurants", "csv", RESTAURANTS, ("id",), "created_at"),
         Dataset("consumers", "csv", CONSUMERS, ("customer_id",), "created_at"),

@@ -1,4 +1,5 @@
-from datetime import datetime
+import random
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from lakemart.operators.quality import (
     require_keys,
     unknown_zones,
 )
+from lakemart.operators.ranking import ranked
 from lakemart.operators.statuses import status_pivot, status_timeline
 from lakemart.schemas import ITEMS
 
@@ -244,3 +246,50 @@ def test_partition_skew(spark):
 def test_unknown_zones(spark, rows):
     df = spark.createDataFrame([("UTC",), ("Mars/Base",), (None,)], "zone string")
     assert rows(unknown_zones(df, "zone")) == [("Mars/Base",)]
+
+
+def brute_segments(events, size):
+    """(key, part, list) by sorting each key's events."""
+    lists = {}
+    for key, value, at in events:
+        lists.setdefault(key, []).append((at, value))
+    out = []
+    for key, some in lists.items():
+        some.sort()
+        out += [(key, i // size, some[i : i + size]) for i in range(0, len(some), size)]
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("size", [1, 7, 100, 10_000])
+def test_segments_are_cut_by_rank(spark, rows, size):
+    """A third of all events on one key, many at the same instant, some equal in all."""
+    noise = random.Random(size)
+    start = datetime(2018, 1, 1)
+    events = [
+        ("hot" if i % 3 == 0 else None if i % 50 == 1 else f"k{i % 40}", noise.choice("abc"), start + timedelta(seconds=noise.randrange(60)))
+        for i in range(3000)
+    ]
+    df = spark.createDataFrame(events, "order_id string, value string, created_at timestamp_ntz").repartition(7)
+    got = status_timeline(df, segment=size)
+    found = rows(got.withColumn("status", F.transform("status", lambda s: F.struct(s["created_at"], s["event"]))), "order_id", "part", "status")
+    assert sorted([(k, p, [tuple(e) for e in s]) for k, p, s in found], key=repr) == brute_segments(events, size)
+    firsts = {(r["order_id"], r["part"]): r["date_partition"] for r in got.collect()}
+    assert all(firsts[k, p] == some[0][0] for k, p, some in brute_segments(events, size))
+
+
+def test_a_hot_key_is_ranked_over_many_tasks(spark, conf):
+    conf(spark__sql__adaptive__enabled="false", spark__sql__shuffle__partitions="8")
+    df = spark.range(0, 40_000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("key"),
+        F.pmod(F.xxhash64("id"), F.lit(5)).alias("v"),  # few values: rows of the same place are dealt out as well
+        "id",
+    )
+    out = ranked(df, "key", ["v"])
+    hot = out.where("key = 'hot'")
+    assert hot.agg(F.count_distinct("rank"), F.min("rank"), F.max("rank")).first() == (13_334, 0, 13_333)
+    # The order holds: ranks and values rise together.
+    bounds = hot.groupBy("v").agg(F.min("rank").alias("a"), F.max("rank").alias("b")).orderBy("v").collect()
+    assert all(x["b"] + 1 == y["a"] for x, y in zip(bounds, bounds[1:]))
+    written = spark.read.parquet(*out.inputFiles()).groupBy(F.input_file_name()).agg(F.count("*").alias("n"))
+    sizes = [r["n"] for r in written.collect()]
+    assert len(sizes) == 8 and max(sizes) < 2 * 40_000 / 8
