@@ -305,6 +305,7 @@ def build_marts(
     keep_dropped_items: bool = False,
     status_grain: str | None = None,
     status_segment: int | None = STATUS_SEGMENT,
+    hot_share: float | None = None,
 ) -> None:
     """Rebuild in every mart the orders touched in the interval, from their whole history.
 
@@ -313,7 +314,9 @@ def build_marts(
     items in the mart that the newest version of their order no longer has. `status_grain` splits
     the lists of events by a unit of time, `status_segment` after so many events (in `part`, from 0);
     both the same in every run over a lake. No list is longer than a segment, so an order may have
-    any number of events; without one, an order's list (in a period) is one row. Orders with an unknown zone are listed in
+    any number of events; without one, an order's list (in a period) is one row. `hot_share`: plan the
+    lookups of consumers and restaurants with this share of the orders, instead of leaving the skew to
+    the adaptive split. Orders with an unknown zone are listed in
     `rejected/order_zones`.
     """
     with job_settings(spark), scratch_folder(spark, "marts") as scratch:
@@ -342,6 +345,7 @@ def build_marts(
             raw["consumers"],
             raw["restaurants"],
             salt=salt,
+            hot_share=hot_share,
         )
         items = order_items_mart(matching(history["orders"], by_order, "order_id"))
         events = matching(history["order_statuses"], by_status, "order_id")

@@ -25,6 +25,7 @@ def orders_mart(
     sensitive: Sequence[str] = SENSITIVE,
     salt: str | None = None,
     ties: str = "one",
+    hot_share: float | None = None,
 ) -> DataFrame:
     """One row per order with its consumer, restaurant and last status, masked.
 
@@ -32,8 +33,10 @@ def orders_mart(
     partition; the instant stays in `order_created_at_utc` and gives it where the zone is
     missing or unknown. `consumers` and `restaurants` are unique by their ids.
     ties="all" keeps every version and every status that shares the newest instant, and
-    with them more than one row for such an order.
+    with them more than one row for such an order. hot_share: orders of a consumer or restaurant
+    with this share of the rows of `orders` meet it by a broadcast; see `lookup`.
     """
+    versions = orders
     orders = latest(orders.drop(*DATE_PARTITIONS), ["order_id"], ["order_created_at"], ties)
     status = latest(statuses.drop(*DATE_PARTITIONS), ["order_id"], ["created_at"], ties)
     # Masking goes before the joins: only then do all sensitive columns stay, and masked.
@@ -49,10 +52,9 @@ def orders_mart(
     joined = orders.join(
         status, F.col("order_id") == F.col("_status_order"), "left"
     ).drop("_status_order")
-    joined = lookup(
-        joined, consumers, ("customer_id", "customer_id"), "consumers", ["order_id"]
-    )
-    joined = lookup(joined, restaurants, ("merchant_id", "id"), "restaurants", ["order_id"])
+    split = {"spread_by": ["order_id"], "hot_share": hot_share, "counted": versions}
+    joined = lookup(joined, consumers, ("customer_id", "customer_id"), "consumers", **split)
+    joined = lookup(joined, restaurants, ("merchant_id", "id"), "restaurants", **split)
     local = joined.withColumns(
         {
             "order_created_at_utc": F.col("order_created_at"),

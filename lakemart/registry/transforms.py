@@ -19,6 +19,7 @@ from lakemart.operators.items import explode_garnish, explode_items
 from lakemart.operators.joins import lookup
 from lakemart.operators.latest import dedup, latest
 from lakemart.operators.quality import (
+    hot_keys,
     duplicate_keys,
     id_counts,
     missing_keys,
@@ -267,16 +268,15 @@ def explode_garnish_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(
-    """
+LOOKUP_SQL = """
     SELECT cast(l_orderkey AS VARCHAR) AS order_id, l_partkey, l_quantity,
            s_suppkey IS NOT NULL AS found, s_name AS supplier_name, s_acctbal AS supplier_balance
     FROM lineitem LEFT JOIN supplier
         ON s_suppkey = CASE WHEN l_linenumber < 7 THEN l_suppkey % 40 + l_linenumber % 2 * 90 END
     """
-)
-def lookup_heavy_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Suppliers of lines: some keys busy, some unmatched, and null on every line 7."""
+
+
+def suppliers_of_lines(spark: SparkSession, sf_dir: str, hot_share: float | None = None) -> DataFrame:
     few = F.col("l_suppkey") % 40 + F.col("l_linenumber") % 2 * 90
     lines = table(spark, sf_dir, "lineitem").select(
         text("l_orderkey").alias("order_id"),
@@ -291,6 +291,7 @@ def lookup_heavy_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("suppkey", "s_suppkey"),
         "supplier",
         ["order_id", "l_partkey", "l_quantity"],
+        hot_share=hot_share,
     )
     return found.select(
         "order_id",
@@ -302,6 +303,32 @@ def lookup_heavy_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(LOOKUP_SQL)
+def lookup_heavy_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers of lines: some keys busy, some unmatched, and null on every line 7."""
+    return suppliers_of_lines(spark, sf_dir)
+
+
+@query(LOOKUP_SQL)
+def lookup_hot_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, the keys with an eightieth of the lines or more met by a broadcast of their rows."""
+    return suppliers_of_lines(spark, sf_dir, hot_share=1 / 80)
+
+
+@query(
+    """
+    WITH keyed AS (SELECT CASE WHEN l_linenumber < 7 THEN l_suppkey % 40 + l_linenumber % 2 * 90 END AS key FROM lineitem)
+    SELECT key, count(*) AS row_count, count(*) / (SELECT count(*) FROM lineitem) AS row_share
+    FROM keyed GROUP BY key HAVING count(*) >= 0.0125 * (SELECT count(*) FROM lineitem)
+    """
+)
+def key_skew(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The keys with an eightieth of all lines or more, null among them."""
+    few = F.col("l_suppkey") % 40 + F.col("l_linenumber") % 2 * 90
+    lines = table(spark, sf_dir, "lineitem").select(F.when(F.col("l_linenumber") < 7, few).alias("suppkey"))
+    return hot_keys(lines, "suppkey", 0.0125)
+
+
 EVENT_KINDS = ("view", "click", "purchase", "signup", "error")
 
 TIMELINE_TEXT_SQL = """string_agg(strftime(ts, '%Y-%m-%d %H:%M:%S.%f') || ' ' || event_type, ';'

@@ -11,6 +11,7 @@ from lakemart.operators.latest import dedup, latest
 from lakemart.operators.quality import (
     QualityError,
     duplicate_keys,
+    hot_keys,
     id_counts,
     missing_keys,
     null_keys,
@@ -109,6 +110,58 @@ def test_lookup_spreads_null_keys(spark, conf):
     assert max(sizes) < 4000 / 4
 
 
+@pytest.mark.parametrize("broadcast, share", [("-1", 0.3), ("10MB", 0.3), ("-1", 0.0001), ("-1", 1.0)])
+def test_a_planned_split_equals_a_left_join(spark, conf, rows, broadcast, share):
+    conf(spark__sql__autoBroadcastJoinThreshold=broadcast)
+    left, right = skewed(spark), people(spark)
+    found = lookup(left, right, ("customer_id", "customer_id"), "person", ["order_id"], hot_share=share)
+    plain = left.join(right, "customer_id", "left").select("order_id", "customer_id", "name")
+    assert found.columns == ["order_id", "customer_id", "person"]
+    assert rows(found.select("order_id", "customer_id", "person.name")) == rows(plain)
+    # What is counted elsewhere has no say in the result.
+    other = spark.createDataFrame([("1",), ("nobody",)], "customer_id string")
+    found = lookup(left, right, ("customer_id", "customer_id"), "person", ["order_id"], hot_share=0.5, counted=other)
+    assert rows(found.select("order_id", "customer_id", "person.name")) == rows(plain)
+
+
+def test_a_planned_split_keeps_a_hot_key_out_of_the_shuffle(spark, conf):
+    conf(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__enabled="false",
+        spark__sql__shuffle__partitions="8",
+    )
+    left = spark.range(0, 30_000, 1, 8).select(
+        F.col("id").alias("order_id"),
+        F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 2000).cast("string")).alias("customer_id"),
+    )
+    right = spark.range(2000).select(F.col("id").cast("string").alias("customer_id"), F.lit("n").alias("name"))
+    right = right.unionAll(spark.createDataFrame([("hot", "h")], "customer_id string, name string"))
+    found = lookup(left, right, ("customer_id", "customer_id"), "person", ["order_id"], hot_share=0.1)
+    assert found.where("person IS NOT NULL").count() == 30_000
+    plan = plan_of(found)
+    assert plan.count("SortMergeJoin") == 1 and plan.count("BroadcastHashJoin") == 1
+    sizes = sorted(n for _, n in found.groupBy(F.spark_partition_id()).count().collect())
+    assert sizes[-1] < 2 * sizes[len(sizes) // 2]
+
+
+@pytest.mark.parametrize("share", [0.3, 0.05, 0.005, 0.001])
+def test_hot_keys_are_counted_exactly(spark, rows, share):
+    """Keys of all frequencies, those at the bound too, among thousands of rare ones."""
+    n = 20_000
+    kinds = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 20 == 1, None).when(F.col("id") % 200 == 2, "bound")
+    df = spark.range(0, n, 1, 7).select(
+        kinds.when(F.col("id") % 1000 == 4, F.concat(F.lit("rare"), F.col("id") % 7)).otherwise(F.col("id").cast("string")).alias("k")
+    )
+    wanted = df.groupBy("k").count().where(F.col("count") >= share * n)
+    assert rows(hot_keys(df, "k", share), "key", "row_count") == rows(wanted)
+    numbers = df.select(F.xxhash64("k").alias("k"))
+    wanted = numbers.groupBy("k").count().where(F.col("count") >= share * n)
+    assert rows(hot_keys(numbers, "k", share), "key", "row_count") == rows(wanted)
+    assert hot_keys(df.limit(0), "k", share).count() == 0
+    with pytest.raises(ValueError, match="share"):
+        hot_keys(df, "k", 0)
+
+
 def test_adaptive_skew_split_keeps_all_rows(spark, conf, rows):
     conf(
         spark__sql__autoBroadcastJoinThreshold="-1",
