@@ -12,6 +12,7 @@ from conftest import plan_of
 from lakemart.functions.typing import enforce
 from lakemart.operators.quality import QualityError
 from lakemart.plans import jobs, marts
+from lakemart.plans.ledger import fingerprints
 from lakemart.schemas import DATASETS, SENSITIVE
 from lakemart.sources.tables import read_table, table_exists
 
@@ -458,3 +459,67 @@ def test_periods_do_not_depend_on_the_session_zone(spark, conf, rows, zone):
         assert rows(mart, "period") == [(datetime.fromisoformat(p),) for p in expected]
     with pytest.raises(ValueError, match="unknown grain"):
         marts.order_statuses_mart(events, grain="decade")
+
+
+def built_intervals(monkeypatch):
+    """The intervals of the mart builds that run from now on."""
+    seen, build = [], jobs.build_marts
+
+    def noted(spark, lake, start, end, **options):
+        seen.append((start, end))
+        build(spark, lake, start, end, **options)
+
+    monkeypatch.setattr(jobs, "build_marts", noted)
+    return seen
+
+
+def test_a_backfill_goes_on_where_it_stopped_and_repeats_what_changed(spark, sources, lake, rows, monkeypatch, tmp_path):
+    seen = built_intervals(monkeypatch)
+    year_1, year_2 = (Y2018, Y2019), (Y2019, Y2020)
+    with monkeypatch.context() as stopped:
+        stopped.setattr(jobs, "check_ingest", lambda spark, name, source, lake, start, end, **_: 1 / (start < Y2019))
+        with pytest.raises(ZeroDivisionError):
+            jobs.backfill(spark, sources, lake, Y2018, Y2020)
+    assert seen == [year_1]
+    seen.clear()
+    jobs.backfill(spark, sources, lake, Y2018, Y2020)
+    assert seen == [year_2]
+    whole = {name: rows(read_table(spark, jobs.trusted_path(lake, name)).drop("extra", "consumers", "restaurants", "status")) for name in ("orders", "order_status_times")}
+    seen.clear()
+    jobs.backfill(spark, sources, lake, Y2018, Y2020)
+    assert seen == []
+    # A new event of the second year touches an order of the first: its interval alone is built.
+    with open(sources["order_statuses"], "a") as file:
+        file.write(json.dumps(status("2", "s9", "2019-05-05T00:00:00Z", "CONCLUDED")) + "\n")
+    jobs.backfill(spark, sources, lake, Y2018, Y2020)
+    assert seen == [year_2]
+    times = rows(read_table(spark, jobs.trusted_path(lake, "order_status_times")), "order_id", "concluded")
+    assert ("2", datetime(2019, 5, 5)) in times
+    other = str(tmp_path / "other")
+    jobs.backfill(spark, sources, other, Y2018, Y2020, resume=False)
+    for name in whole:
+        again = [rows(read_table(spark, jobs.trusted_path(x, name)).drop("extra", "consumers", "restaurants", "status")) for x in (lake, other)]
+        assert again[0] == again[1]
+    seen.clear()
+    # Other options, an ingest by hand, and no resumption each start anew.
+    jobs.backfill(spark, sources, lake, Y2018, Y2020, salt="s")
+    assert seen == [year_1, year_2]
+    jobs.ingest(spark, "orders", sources["orders"], lake, Y2018, Y2019)
+    jobs.backfill(spark, sources, lake, Y2018, Y2020, salt="s")
+    assert seen[2:] == [year_1]
+    jobs.backfill(spark, sources, lake, Y2018, Y2020, salt="s", resume=False)
+    assert seen[3:] == [year_1, year_2]
+
+
+def test_fingerprints_know_rows_but_not_their_order(spark):
+    df = spark.createDataFrame([(1, "a", '{"x":1,"y":2}'), (2, None, None), (2, None, None)], "i int, s string, j string")
+    df = df.withColumn("j", F.parse_json("j"))
+    (base,) = fingerprints({"t": df}).values()
+    assert base[0] == "3"
+    same = df.orderBy(F.desc("i")).repartition(3)
+    turned = df.withColumn("j", F.when(F.col("i") == 1, F.parse_json(F.lit('{"y":2,"x":1}'))))
+    others = [df.where("i = 1"), df.unionAll(df.limit(1)), df.withColumn("s", F.coalesce("s", F.lit(""))), df.limit(0), df.where("i = 2")]
+    found = fingerprints({"same": same, "turned": turned, **{str(i): x for i, x in enumerate(others)}})
+    assert found["same"] == base == found["turned"]
+    assert all(found[str(i)] != base for i in range(len(others)))
+    assert found["3"] == ["0", "0", "0"] and fingerprints({}) == {}
