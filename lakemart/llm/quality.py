@@ -1,12 +1,15 @@
 """Quality classifier by co-training: what a page says and what is known about it.
 
 Two linear classifiers, one on the words and shape of the text, one on the metadata columns, are
-fitted on a bounded sample of labelled rows. In each round either one labels the unlabelled rows
-it is sure of for the other. Both are calibrated on labelled rows kept apart, and combined.
+fitted on a bounded sample of labelled rows. In each round either one labels all unlabelled rows it
+is sure of for the other: the tasks count how often each feature goes with either pseudo-label, and
+these sums, bounded by the number of features, choose the other one's features and are the prior of
+its weights. Both are calibrated on labelled rows kept apart, and combined.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -14,8 +17,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from lakemart.llm.common import RangeHash, Words, as_bytes, slices
+from lakemart.llm.common import RangeHash, Words, as_bytes, slices, stored
 
 FEATURE_BITS = 20
 PREFIXES = (4, 6)  # bytes of a word's beginning that are features, beside the whole word
@@ -29,13 +33,14 @@ PLAIN = bytes(
 
 @dataclass(frozen=True)
 class Settings:
-    """labelled, pool: rows that fitting may use at most, about; they are drawn by a hash of the
+    """labelled: labelled rows that fitting may use at most, about; they are drawn by a hash of the
     key. The rest are usual values: rounds of exchange, how sure a pseudo-label has to be, how
-    clearly a feature must go with the label, and the most features of a view."""
+    clearly a feature must go with the label, the most features of a view, and how far the weights
+    begin at what the pseudo-labels say."""
 
     labelled: int = 6000
-    pool: int = 2000
     rounds: int = 3
+    prior: float = 0.2
     sure: float = 0.97
     least_z: float = 4.0
     most_features: int = 2000
@@ -129,7 +134,7 @@ class View:
         docs, feature, counts = triples
         at = self.column[feature]
         keep = at >= 0
-        return docs[keep], at[keep], np.log1p(counts[keep])
+        return docs[keep], at[keep], np.log1p(counts[keep].astype(float))
 
     def raw(self, n: int, triples) -> np.ndarray:
         docs, at, values = self.entries(triples)
@@ -143,19 +148,20 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def logistic(entries, columns: int, y: np.ndarray, decay: float = 1e-3, steps: int = 200):
+def logistic(entries, columns: int, y: np.ndarray, prior=0.0, decay: float = 1e-3, steps: int = 200):
     """Weights and bias of a logistic model, by gradient steps with momentum and scaling.
 
-    entries: row, column and value of what is not zero; y: the label of each row.
+    entries: row, column and value of what is not zero; y: the label of each row; prior: weights to
+    begin at and to stay near.
     """
     rows, cols, values = entries
-    w = np.zeros(columns + 1)
+    w = np.append(np.zeros(columns) + prior, 0.0)
     first, second = np.zeros_like(w), np.zeros_like(w)
     for i in range(1, steps + 1):
         raw = np.bincount(rows, w[cols] * values, minlength=len(y)) + w[-1]
         error = (sigmoid(raw) - y) / len(y)
         gradient = np.append(np.bincount(cols, error[rows] * values, minlength=columns), error.sum())
-        gradient[:-1] += decay * w[:-1]
+        gradient[:-1] += decay * (w[:-1] - prior)
         first = 0.9 * first + 0.1 * gradient
         second = 0.99 * second + 0.01 * gradient**2
         w -= 0.1 * (first / (1 - 0.9**i)) / (np.sqrt(second / (1 - 0.99**i)) + 1e-8)
@@ -168,13 +174,45 @@ def dense(x: np.ndarray):
     return rows.ravel(), cols.ravel(), x.ravel()
 
 
-def fit_view(n: int, triples, rows: np.ndarray, y: np.ndarray, options: Settings) -> View:
-    """Choose features that go with the label beyond chance, then fit on the given rows."""
+@dataclass
+class Lesson:
+    """What pseudo-labels tell a view: rows of each class, and of these the rows with each feature."""
+
+    rows: np.ndarray
+    have: np.ndarray
+
+    @classmethod
+    def none(cls) -> Lesson:
+        return cls(np.zeros(2, np.int64), np.zeros((2, 1 << FEATURE_BITS), np.int64))
+
+    def add(self, docs: np.ndarray, feature: np.ndarray, label: np.ndarray) -> None:
+        """label: 1, 0 or -1 (not sure) of each row."""
+        for k in (0, 1):
+            self.rows[k] += int((label == k).sum())
+            self.have[k] += np.bincount(feature[label[docs] == k], minlength=1 << FEATURE_BITS)
+
+
+def pseudo_labels(logits: np.ndarray, sure: float) -> np.ndarray:
+    p = sigmoid(logits)
+    return np.where(p >= sure, 1, np.where(p <= 1 - sure, 0, -1))
+
+
+def teach(lessons: list[Lesson], views: list[View], n: int, triples: list, asked: np.ndarray, sure: float) -> None:
+    """Add n rows to the lessons: each view learns what the other is sure of, of the rows asked."""
+    for k in (0, 1):
+        label = np.where(asked, pseudo_labels(views[1 - k].logit(n, triples[1 - k]), sure), -1)
+        lessons[k].add(triples[k][0], triples[k][1], label)
+
+
+def fit_view(n: int, triples, rows: np.ndarray, y: np.ndarray, options: Settings, lesson: Lesson | None = None) -> View:
+    """Choose features that go with the label, or pseudo-label, beyond chance, then fit on the given
+    rows, from weights that the pseudo-labels give."""
     docs, feature, _ = triples
+    lesson = lesson or Lesson.none()
     label = np.full(n, -1, np.int8)
     label[rows] = y
-    total = [max(int((y == k).sum()), 1) for k in (0, 1)]
-    have = [np.bincount(feature[label[docs] == k], minlength=1 << FEATURE_BITS) for k in (0, 1)]
+    total = [max(int((y == k).sum()) + int(lesson.rows[k]), 1) for k in (0, 1)]
+    have = [np.bincount(feature[label[docs] == k], minlength=1 << FEATURE_BITS) + lesson.have[k] for k in (0, 1)]
     share = (have[0] + have[1]) / (total[0] + total[1])
     spread = np.sqrt(share * (1 - share) * (1 / total[0] + 1 / total[1])) + 1e-12
     z = np.abs(have[1] / total[1] - have[0] / total[0]) / spread
@@ -189,7 +227,9 @@ def fit_view(n: int, triples, rows: np.ndarray, y: np.ndarray, options: Settings
     place[rows] = np.arange(len(rows))
     keep = place[at] >= 0
     entries = place[at[keep]], cols[keep], values[keep]
-    view.weights, view.bias = logistic(entries, len(chosen), y.astype(float))
+    good, bad = ((lesson.have[k][chosen] + 1) / (lesson.rows[k] + 2) for k in (1, 0))
+    prior = options.prior * np.log(good / bad) if lesson.rows.all() else 0.0
+    view.weights, view.bias = logistic(entries, len(chosen), y.astype(float), prior)
     return view
 
 
@@ -209,9 +249,15 @@ class Model:
     bias: float = 30.0
 
 
-def co_train(triples: list, label: np.ndarray, options: Settings) -> Model:
+def co_train(
+    triples: list,
+    label: np.ndarray,
+    options: Settings,
+    lessons_of: Callable[[list[View]], list[Lesson]] | None = None,
+) -> Model:
     """triples: of the text and of the metadata; label: 1 good, 0 bad, -1 unknown, one per row;
-    without rows of both classes, all is good."""
+    without rows of both classes, all is good. lessons_of: what the views say of all unlabelled rows;
+    by default of the rows given without a label."""
     n = len(label)
     known = np.flatnonzero(label >= 0)
     if len(np.unique(label[known])) < 2:
@@ -225,58 +271,30 @@ def co_train(triples: list, label: np.ndarray, options: Settings) -> Model:
         apart[known] = True
     held = np.flatnonzero(apart)
     base = known[~apart[known]] if (~apart[known]).any() else known
-    pool = np.flatnonzero(label < 0)
-    lessons = [dict(zip(base.tolist(), label[base].tolist(), strict=True)) for _ in (0, 1)]
+
+    def of_rows_given(views: list[View]) -> list[Lesson]:
+        lessons = [Lesson.none(), Lesson.none()]
+        teach(lessons, views, n, triples, label < 0, options.sure)
+        return lessons
+
+    lessons: list = [None, None]
     views: list[View] = []
     for turn in range(options.rounds + 1):
+        if turn:
+            lessons = (lessons_of or of_rows_given)(views)
         views = []
         for k in (0, 1):
-            rows = np.array(list(lessons[k]), np.int64)
-            view = fit_view(n, triples[k], rows, np.array(list(lessons[k].values())), options)
+            view = fit_view(n, triples[k], base, label[base], options, lessons[k])
             calibrate(view, n, triples[k], held, label[held])
             views.append(view)
-        if turn == options.rounds or not len(pool):
-            break
-        for k in (0, 1):
-            p = sigmoid(views[k].logit(n, triples[k])[pool])
-            for rows, y in ((pool[p >= options.sure], 1), (pool[p <= 1 - options.sure], 0)):
-                for i in rows.tolist():
-                    lessons[1 - k].setdefault(i, y)
     logits = np.stack([v.logit(n, t) for v, t in zip(views, triples, strict=True)], 1)
     blend, bias = logistic(dense(logits[held]), 2, label[held].astype(float))
     return Model(views[0], views[1], np.maximum(blend, 0), bias)
 
 
-def train(
-    docs: DataFrame,
-    labels: DataFrame,
-    key: str = "doc_id",
-    text: str = "text",
-    columns=METADATA,
-    options: Settings | None = None,
-) -> Model:
-    """Fit on at most about options.labelled labelled and options.pool unlabelled documents.
-
-    A label is bad if quality is 0 or toxic is 1, good if quality is 1 and toxic is not 1; labels
-    of the same document that differ count as bad; labels without a known quality are not used.
-    """
-    options = options or Settings()
-    bad = F.max(F.when((F.col("quality") == 0) | (F.col("toxic") == 1), 1).otherwise(0))
-    known = labels.where(F.col(key).isNotNull() & F.col("quality").isNotNull())
-    known = known.groupBy(key).agg((1 - bad).alias("label"))
-    share = min(1.0, options.labelled / max(known.count(), 1))
-    place = F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(1 << 20)) / (1 << 20)
-    chosen = known.where(place < share).select(key, "label")
-    rest = docs.select(key).where(F.col(key).isNotNull()).distinct().join(known, key, "left_anti")
-    share = min(1.0, options.pool / max(rest.count(), 1))
-    chosen = chosen.union(rest.where(place < share).select(key, F.lit(-1).alias("label")))
-    rows = docs.select(
-        key,
-        F.col(text).cast("string").alias("body"),
-        metadata(docs, columns).alias("meta"),
-    )
-    # The chosen keys are bounded by the settings, whatever the tables hold.
-    rows = rows.join(F.broadcast(chosen), key).dropDuplicates([key])
+def feature_rows(rows: DataFrame) -> DataFrame:
+    """(id, label, meta, feature, counts) of rows (id, label, meta, body): the text's features as
+    packed arrays."""
 
     def extract(batches):
         for batch in batches:
@@ -288,26 +306,103 @@ def train(
                 pairs = list(zip(bounds, bounds[1:], strict=False))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column("id")[a:b],
-                        batch.column("label")[a:b],
-                        batch.column("meta")[a:b],
+                        *[batch.column(c)[a:b] for c in ("id", "label", "meta")],
                         pa.array([feature[i:j].tobytes() for i, j in pairs], pa.binary()),
                         pa.array([counts[i:j].tobytes() for i, j in pairs], pa.binary()),
                     ],
                     names=["id", "label", "meta", "feature", "counts"],
                 )
 
-    found = rows.select(F.col(key).alias("id"), "label", "meta", F.col("body").alias("body"))
-    id_sql = docs.schema[key].dataType.simpleString()
+    id_sql = rows.schema["id"].dataType.simpleString()
     schema = f"id {id_sql}, label int, meta array<string>, feature binary, counts binary"
-    table = found.mapInArrow(extract, schema).toArrow().sort_by("id")
+    return rows.select("id", "label", "meta", "body").mapInArrow(extract, schema)
+
+
+def triples_of(table) -> list:
+    """The triples of the rows of an Arrow table or batch, as `feature_rows` gives them."""
     words = [np.frombuffer(x, "<i4") for x in table.column("feature").to_pylist()]
     counts = [np.frombuffer(x, np.uint8) for x in table.column("counts").to_pylist()]
     of = np.repeat(np.arange(len(words), dtype=np.int32), [len(x) for x in words])
     none = np.zeros(0, np.int32)
-    text_triples = of, np.concatenate([none, *words]), np.concatenate([none, *counts]).astype(np.uint8)
-    triples = [text_triples, metadata_features(table.column("meta").to_pylist())]
-    return co_train(triples, table.column("label").to_numpy().astype(int), options)
+    text = of, np.concatenate([none, *words]), np.concatenate([none, *counts]).astype(np.uint8)
+    return [text, metadata_features(table.column("meta").to_pylist())]
+
+
+def lessons_of_all(features: DataFrame, views: list[View], options: Settings) -> list[Lesson]:
+    """What the views say of all unlabelled rows: sums taken in the tasks, one row per feature."""
+    sent = features.sparkSession.sparkContext.broadcast(views)
+
+    def count(batches):
+        lessons = [Lesson.none(), Lesson.none()]
+        for batch in batches:
+            asked = np.ones(batch.num_rows, bool)
+            teach(lessons, sent.value, batch.num_rows, triples_of(batch), asked, options.sure)
+        for k, lesson in enumerate(lessons):
+            some = np.flatnonzero(lesson.have.any(axis=0))
+            # The rows of each class go as one more feature.
+            number, have = np.append(some, -1), np.column_stack((lesson.have[:, some], lesson.rows))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(number), k, np.int32)), pa.array(number), pa.array(have[0]), pa.array(have[1])],
+                names=["view", "feature", "bad", "good"],
+            )
+
+    schema = "view int, feature long, bad long, good long"
+    sums = features.where("label IS NULL").select("meta", "feature", "counts").mapInArrow(count, schema)
+    sums = sums.groupBy("view", "feature").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+    # At most two views of 2^20 features each.
+    table = sums.toArrow()
+    lessons = [Lesson.none(), Lesson.none()]
+    view, number, bad, good = (table.column(c).to_numpy() for c in ("view", "feature", "bad", "good"))
+    for k, lesson in enumerate(lessons):
+        of = (view == k) & (number >= 0)
+        lesson.have[0, number[of]], lesson.have[1, number[of]] = bad[of], good[of]
+        rows = (view == k) & (number < 0)
+        lesson.rows[:] = bad[rows].sum(), good[rows].sum()
+    return lessons
+
+
+def train(
+    docs: DataFrame,
+    labels: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    columns=METADATA,
+    options: Settings | None = None,
+) -> Model:
+    """Fit on at most about options.labelled labelled documents, and on what the views say of all
+    unlabelled ones.
+
+    A label is bad if quality is 0 or toxic is 1, good if quality is 1 and toxic is not 1; labels
+    of the same document that differ count as bad; labels without a known quality are not used. Of
+    labelled documents with the same key the one smallest by text and metadata is taken; each
+    unlabelled row counts, those with a null key too.
+    """
+    options = options or Settings()
+    bad = F.max(F.when((F.col("quality") == 0) | (F.col("toxic") == 1), 1).otherwise(0))
+    known = labels.where(F.col(key).isNotNull() & F.col("quality").isNotNull())
+    known = stored(known.groupBy(F.col(key).alias("id")).agg((1 - bad).alias("label")), "labels")
+    share = min(1.0, options.labelled / max(known.count(), 1))
+    place = F.pmod(F.xxhash64("id", F.lit("sample")), F.lit(1 << 20)) / (1 << 20)
+    chosen = known.where(place < share)
+    rows = docs.select(
+        F.col(key).alias("id"),
+        F.lit(None).cast("int").alias("label"),
+        F.col(text).cast("string").alias("body"),
+        metadata(docs, columns).alias("meta"),
+    )
+    # The chosen keys are bounded by the settings, whatever the tables hold.
+    sample = rows.drop("label").join(F.broadcast(chosen), "id")
+    first = Window.partitionBy("id").orderBy("body", "meta")
+    sample = sample.withColumn("n", F.row_number().over(first)).where("n = 1").drop("n")
+    table = feature_rows(sample).toArrow().sort_by("id")
+    label = table.column("label").to_numpy().astype(int)
+    if len(np.unique(label)) < 2:
+        return Model()
+    features = feature_rows(rows).drop("label").join(known, "id", "left")
+    features = stored(features.where("label IS NULL"), "features")
+    return co_train(
+        triples_of(table), label, options, lambda views: lessons_of_all(features, views, options)
+    )
 
 
 def rated(docs: DataFrame, model: Model, names: list[str], text: str, columns) -> DataFrame:

@@ -44,7 +44,7 @@ def test_views_agree_and_odd_rows_are_scored(spark):
     extra = [(None, None, None, None, None), (900, "", "", "", 0), (900, "", "", "", 0), (901, "nasty w1", "en", "forum", 0), (902, "w1 " * 100_000, None, "book", 0)]
     docs = spark.createDataFrame(rows + extra, SCHEMA)
     table = spark.createDataFrame(labels[:200] + [(None, 1, 1), (7, None, None)], "doc_id long, quality int, toxic int")
-    options = quality.Settings(pool=500)
+    options = quality.Settings()
     got = {}
     for r in quality.classify(docs, table, options).collect():
         got.setdefault(r["doc_id"], []).append(r)
@@ -77,3 +77,56 @@ def test_without_labels_all_is_kept(spark):
     assert [r["keep"] for r in quality.classify(docs, none).collect()] == [True] * 5
     assert quality.classify(docs.limit(0), none).count() == 0
     assert quality.keep_good(docs, quality.Model()).columns == docs.columns
+
+
+def test_training_in_tasks_equals_training_on_all_rows_at_once(spark):
+    """The model of the Spark job, and its scores, against one pass over everything in memory."""
+    rows, labels = make(300, seed=5)
+    rows += [(None, "nasty words", "en", "forum", 0), (None, None, None, None, None), (299, "w1 w2", "en", "book", 1), (3, "aaa first by text", "en", "forum", 1)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(7)
+    known = spark.createDataFrame(labels[:60], "doc_id long, quality int, toxic int")
+    options = quality.Settings(sure=0.8)
+    model = quality.train(docs, known, options=options)
+
+    def meta(r):
+        return [f"lang={r[2] or 'none'}", f"source={r[3] or 'none'}"]
+
+    order = lambda r: (r[0], (r[1] or "").encode(), meta(r))
+    labelled = {}
+    for r in sorted((r for r in rows if r[0] is not None and r[0] < 60), key=order):
+        labelled.setdefault(r[0], r)
+    every = [*labelled.values(), *[r for r in rows if r[0] is None or r[0] >= 60]]
+    triples = [quality.text_features([(r[1] or "").encode() for r in every]), quality.metadata_features([meta(r) for r in every])]
+    label = np.array([int(r[0] % 4 != 0) if r[0] is not None and r[0] < 60 else -1 for r in every])
+    whole = quality.co_train(triples, label, options)
+    assert len(whole.text.weights) and len(whole.meta.weights)
+    for one, other in ((model.text, whole.text), (model.meta, whole.meta)):
+        assert (one.column == other.column).all()
+        assert np.allclose(one.weights, other.weights) and np.allclose(one.bias, other.bias)
+    assert np.allclose(model.blend, whole.blend) and np.allclose(model.bias, whole.bias)
+    # Scores by hand, row by row.
+    for r in quality.score(docs, model, threshold=0.5).collect():
+        said = []
+        matches = [x for x in rows if x[0] == r["doc_id"]]
+        for x in matches:
+            logits = [model.text.bias, model.meta.bias]
+            parts = [quality.text_features([(x[1] or "").encode()]), quality.metadata_features([meta(x)])]
+            for k, view in enumerate((model.text, model.meta)):
+                for feature, n in zip(parts[k][1], parts[k][2]):
+                    if view.column[feature] >= 0:
+                        logits[k] += view.weights[view.column[feature]] * np.log1p(n)
+                logits[k] = view.slope * logits[k] + view.shift
+            said.append(1 / (1 + np.exp(-(model.blend @ logits + model.bias))))
+        assert any(abs(x - r["score"]) < 1e-9 for x in said) and r["keep"] == (r["score"] >= 0.5)
+
+
+def test_pseudo_labels_come_from_all_rows(spark):
+    """A word that the labelled rows lack, in few of many thousand unlabelled rows, is learned."""
+    rows, labels = make(400, seed=1)
+    more = [(1000 + i, f"w{i % 200} w{i % 7} " + ("rareword" if i % 250 == 0 else "plain"), "en", "forum" if i % 250 == 0 else "book", 1) for i in range(6000)]
+    docs = spark.createDataFrame(rows + more, SCHEMA).repartition(5)
+    known = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    model = quality.train(docs, known, options=quality.Settings(sure=0.9, least_z=4.0))
+    plain = set(quality.text_features([b"w1"])[1].tolist())
+    rare = set(quality.text_features([b"w1 rareword"])[1].tolist()) - plain
+    assert any(model.text.column[f] >= 0 and model.text.weights[model.text.column[f]] < 0 for f in rare)
