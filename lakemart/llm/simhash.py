@@ -17,6 +17,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from lakemart.llm.common import Words, as_bytes, plain_line, shuffle_partitions, slices, stored
 from lakemart.llm.components import components
@@ -247,11 +249,18 @@ def near_duplicates(
     )
 
 
+def in_order(name: str, kind: T.DataType) -> Column:
+    """A column to sort by, whatever its type."""
+    sortable = not any(t in kind.simpleString() for t in ("map<", "variant"))
+    return F.col(name) if sortable else F.to_json(F.struct(name))
+
+
 def one_per_group(
     docs: DataFrame, shingle: int = 3, radius: int = 2, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """The rows of docs, all columns, without all but one of each group of near copies: the one
-    with the smallest key; of equal rows one stays."""
+    with the smallest key; of rows of the same key and text the smallest by its other columns, in
+    their order (those that have an order; variants and maps by their JSON text)."""
     prints = stored(fingerprints(docs, shingle, key, text), "fingerprints")
     kept = grouped(prints, radius, key).select("first").distinct()
     kept = kept.select(F.col("first.id").alias("kept_id"), F.col("first.text_hash").alias("kept_hash"))
@@ -261,5 +270,7 @@ def one_per_group(
         F.xxhash64(text).alias("text_hash"),
     )
     same = F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("text_hash") == F.col("kept_hash"))
-    rows = rows.join(kept, same, "left_semi").dropDuplicates(["id", "text_hash"])
+    order = [in_order(f"c{i}", field.dataType) for i, field in enumerate(docs.schema)]
+    first = Window.partitionBy("id", "text_hash").orderBy(*order)
+    rows = rows.join(kept, same, "left_semi").withColumn("n", F.row_number().over(first)).where("n = 1")
     return rows.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])

@@ -101,3 +101,13 @@ def test_null_keys_repeated_rows_and_empty_tables(spark, rows):
     assert rows(simhash.one_per_group(clashing)) == sorted([(4, text, "q", 1, 2, 3), (None, "only one", "r", 1, 2, 3)], key=repr)
     assert simhash.near_duplicates(docs.limit(0)).count() == 0
     assert simhash.one_per_group(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("parts", [1, 3, 5])
+def test_which_of_equal_rows_stays_does_not_depend_on_their_order(spark, rows, parts):
+    docs = [(1, "same text here", i, None if i == 2 else f"s{i}") for i in (4, 2, 3, 2, 5, 6)] + [(0, "other words", 1, "z")]
+    docs = spark.createDataFrame(docs, "doc_id long, text string, n int, s string")
+    docs = docs.withColumn("m", F.create_map(F.lit("k"), F.col("n"))).withColumn("v", F.parse_json(F.to_json(F.struct("n"))))
+    kept = simhash.one_per_group(docs.repartition(parts))
+    assert kept.columns == docs.columns
+    assert rows(kept, "doc_id", "n", "s") == [(0, 1, "z"), (1, 2, None)]
