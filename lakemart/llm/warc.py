@@ -27,7 +27,7 @@ VERSION = b"WARC/1.1"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2000-01-01T00:00:00Z"
 LEAST_REVISIT = 1000
-ARCHIVE_ROWS = 4096
+ARCHIVE_ROWS, ARCHIVE_BYTES = 4096, 16 << 20  # an archive is closed at either
 DICTIONARY_BYTES = 64 << 10
 SAMPLE_ROWS, SAMPLE_BYTES = 2000, 16 << 10
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n"
@@ -178,8 +178,9 @@ def linked(pages: DataFrame, key: str, text: str, least: int) -> DataFrame:
 def write(
     pages: DataFrame, path: str, key: str = "page_id", text: str = "html", least: int = LEAST_REVISIT
 ) -> None:
-    """Archives of all rows below the path, of about ARCHIVE_ROWS records each and no fewer than
-    there are cores, each with the dictionary in front.
+    """Archives of all rows below the path, each with the dictionary in front. A task closes an archive
+    after ARCHIVE_ROWS records, or ARCHIVE_BYTES of them as compressed, and begins another: however
+    few tasks there are and however large the payloads, no archive is larger by more than one record.
 
     The dictionary is trained on the beginnings of at most SAMPLE_ROWS rows.
     """
@@ -193,31 +194,39 @@ def write(
         known = zstandard.ZstdCompressionDict(sent.value) if sent.value else None
         compressor = zstandard.ZstdCompressor(level=6, dict_data=known, write_checksum=True)
         lead = struct.pack("<II", DICTIONARY_FRAME, len(sent.value)) + sent.value
+        separator, frames, size = SEPARATOR.encode(), [], 0
+
+        def archive():
+            return pa.RecordBatch.from_arrays([pa.array([lead + separator.join(frames)], pa.binary())], names=["archive"])
+
         for batch in batches:
             payloads = as_bytes(batch.column("payload"))
             columns = [batch.column(c).to_pylist() for c in ("page_id", "url", "digest", "refers_to")]
-            out = []
             for payload, page_id, url, digest, refers in zip(payloads, *columns, strict=True):
-                out.append(lead + compressor.compress(record(page_id, url, payload, digest, refers)))
-                lead = b""
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["frame"])
+                frames.append(compressor.compress(record(page_id, url, payload, digest, refers)))
+                size += len(frames[-1])
+                if size >= ARCHIVE_BYTES or len(frames) >= ARCHIVE_ROWS:
+                    yield archive()
+                    frames, size = [], 0
+        if frames:
+            yield archive()
 
     context = pages.sparkSession.sparkContext
+    # Few rows need few files; more tasks than this are joined, fewer stay as they are.
     tasks = max(-(-pages.count() // ARCHIVE_ROWS), context.defaultParallelism)
     rows = linked(pages, key, text, least).coalesce(tasks)
-    archives = rows.mapInArrow(compress, "frame binary")
-    # The cast keeps the bytes as they are, and the writer writes them as they are.
-    archives.select(F.col("frame").cast("string").alias("value")).write.option(
+    archives = rows.mapInArrow(compress, "archive binary")
+    # The cast keeps the bytes as they are, and the writer writes them as they are, a file for each.
+    archives.select(F.col("archive").cast("string").alias("value")).write.option(
         "lineSep", SEPARATOR
-    ).text(path)
+    ).option("maxRecordsPerFile", 1).text(path)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
     """The pages of all archives below the path: (page_id, url, record_type, payload_bytes,
     payload_digest, refers_to, payload); a record that is not sound fails the job.
 
-    A whole archive is in memory while it is read: the size of archives is that of the tasks that
-    wrote them.
+    A whole archive is in memory while it is read, which ARCHIVE_BYTES bounds.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
 

@@ -3,6 +3,7 @@ import hashlib
 import io
 import struct
 
+import numpy as np
 import pytest
 import zstandard
 
@@ -99,3 +100,25 @@ def test_compressed_dictionary():
     frame = zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(raw)).compress(b"record")
     lead = struct.pack("<II", warc.DICTIONARY_FRAME, len(body)) + body
     assert list(warc.frames(lead + frame)) == [b"record"]
+
+
+@pytest.mark.parametrize("parts, rows_at_most, bytes_at_most", [("1", 50, 1 << 30), ("4", 10**6, 30_000), ("2", 7, 20_000)])
+def test_archives_are_closed_by_rows_and_bytes_whatever_the_tasks(
+    spark, tmp_path, conf, monkeypatch, parts, rows_at_most, bytes_at_most
+):
+    conf(spark__sql__shuffle__partitions=parts)
+    monkeypatch.setattr(warc, "ARCHIVE_ROWS", rows_at_most)
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", bytes_at_most)
+    noise = np.random.default_rng(3)
+    html = [noise.bytes(int(noise.integers(0, 4000))).hex() for _ in range(300)] + [noise.bytes(200_000).hex()]
+    pages = spark.createDataFrame([(i, None, x) for i, x in enumerate(html)], "page_id long, url string, html string")
+    warc.write(pages.coalesce(1), str(tmp_path / "w"))
+    files = sorted((tmp_path / "w").glob("part-*"))
+    for file in files:
+        frames = list(warc.frames(file.read_bytes()))
+        assert 0 < len(frames) <= rows_at_most
+        # Without its last record, and the dictionary, an archive is below the limit.
+        assert sum(map(len, frames[:-1])) // 2 <= bytes_at_most + 70_000
+    assert len(files) >= (301 / rows_at_most if rows_at_most < 10**6 else sum(map(len, html)) / 2 / (bytes_at_most + 210_000))
+    got = {r["page_id"]: bytes(r["payload"]).decode() for r in warc.read(spark, str(tmp_path / "w")).collect()}
+    assert got == dict(enumerate(html))
