@@ -33,6 +33,7 @@ from lakemart.llm.common import (
 )
 
 NO_HASH = np.uint64(2**64 - 1)
+CHUNKS_PER_BUCKET = 16  # of each chunk a bucket gets its even share of the hashes
 
 
 def anchors(words: Words, length: int, window: int):
@@ -70,7 +71,9 @@ def repeated_windows(
     chooses candidates): at 10^12 candidates fewer than one wrong match is to be expected in 10^4
     runs.
     """
-    buckets = buckets or 2 * shuffle_partitions(chunks.sparkSession)
+    if buckets is None:
+        # As many as the text asks for, so that what meets in one task does not grow with it.
+        buckets = max(2 * shuffle_partitions(chunks.sparkSession), -(-chunks.count() // CHUNKS_PER_BUCKET))
     lengths = levels(window, start or -(-window // 2))
     first = lengths[0]
 
