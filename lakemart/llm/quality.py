@@ -329,7 +329,7 @@ def triples_of(table) -> list:
 
 
 def lessons_of_all(features: DataFrame, views: list[View], options: Settings) -> list[Lesson]:
-    """What the views say of all unlabelled rows: sums taken in the tasks, one row per feature."""
+    """What the views say of all rows of features: sums taken in the tasks, one row per feature."""
     sent = features.sparkSession.sparkContext.broadcast(views)
 
     def count(batches):
@@ -347,7 +347,7 @@ def lessons_of_all(features: DataFrame, views: list[View], options: Settings) ->
             )
 
     schema = "view int, feature long, bad long, good long"
-    sums = features.where("label IS NULL").select("meta", "feature", "counts").mapInArrow(count, schema)
+    sums = features.mapInArrow(count, schema)
     sums = sums.groupBy("view", "feature").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
     # At most two views of 2^20 features each.
     table = sums.toArrow()
@@ -370,20 +370,20 @@ def train(
     options: Settings | None = None,
 ) -> Model:
     """Fit on at most about options.labelled labelled documents, and on what the views say of all
-    unlabelled ones.
+    others, those with a label that was not drawn among them.
 
     A label is bad if quality is 0 or toxic is 1, good if quality is 1 and toxic is not 1; labels
     of the same document that differ count as bad; labels without a known quality are not used. Of
-    labelled documents with the same key the one smallest by text and metadata is taken; each
-    unlabelled row counts, those with a null key too.
+    labelled documents with the same key the one smallest by text and metadata is taken; each other
+    row counts, those with a null key too.
     """
     options = options or Settings()
     bad = F.max(F.when((F.col("quality") == 0) | (F.col("toxic") == 1), 1).otherwise(0))
     known = labels.where(F.col(key).isNotNull() & F.col("quality").isNotNull())
-    known = stored(known.groupBy(F.col(key).alias("id")).agg((1 - bad).alias("label")), "labels")
+    known = known.groupBy(F.col(key).alias("id")).agg((1 - bad).alias("label"))
     share = min(1.0, options.labelled / max(known.count(), 1))
     place = F.pmod(F.xxhash64("id", F.lit("sample")), F.lit(1 << 20)) / (1 << 20)
-    chosen = known.where(place < share)
+    chosen = stored(known.where(place < share).coalesce(1), "labels")
     rows = docs.select(
         F.col(key).alias("id"),
         F.lit(None).cast("int").alias("label"),
@@ -398,8 +398,8 @@ def train(
     label = table.column("label").to_numpy().astype(int)
     if len(np.unique(label)) < 2:
         return Model()
-    features = feature_rows(rows).drop("label").join(known, "id", "left")
-    features = stored(features.where("label IS NULL"), "features")
+    others = rows.join(F.broadcast(chosen.select("id")), "id", "left_anti")
+    features = stored(feature_rows(others).select("meta", "feature", "counts"), "features")
     return co_train(
         triples_of(table), label, options, lambda views: lessons_of_all(features, views, options)
     )
