@@ -97,9 +97,10 @@ def _csv_text(
         is_header = reduce(
             Column.__and__, [F.col(c).eqNullSafe(F.lit(n or None)) for c, n in zip(places, names, strict=True)]
         )
-        headers, files = text.where(is_header).count(), len(text.inputFiles())
-        if headers < files:
-            raise ValueError(f"{files} files, but {headers} have the header {names}")
+        per_file = text.groupBy("_metadata.file_path").agg(F.count_if(is_header).alias("headers"))
+        without = per_file.where("headers = 0").count()
+        if without:
+            raise ValueError(f"{without} files do not have the header {names}")
         text = text.where(~is_header)
     text = text if stream else _spread_gzip(text)
     by_name: dict[str, list[str]] = {}

@@ -123,10 +123,16 @@ def test_csv_headers_of_any_names(spark, tmp_path, rows, suffix):
         [("q", "line:malformed"), (None, "customer_id:null")], key=repr
     )
     write(tmp_path / "c" / f"d.{suffix}", HEADER, "pt,1,2018-01-01,true,Ana,11,99")
-    with pytest.raises(ValueError, match="3 files, but 2"):
+    with pytest.raises(ValueError, match="1 files do not have the header"):
         read_text(spark, CONSUMERS, path)
 
 
+def test_an_empty_file_needs_no_header(spark, tmp_path, rows):
+    write(tmp_path / "c" / "a.csv", f"LANGUAGE,{HEADER}", "u,pt,1,2018-01-01,true,Ana,11,99")
+    write(tmp_path / "c" / "b.csv")
+    assert others(rows, read_source(spark, CONSUMERS, str(tmp_path / "c")), "customer_id") == [("1", {"LANGUAGE": "u"})]
+
+
 def test_csv_names_with_dots_alone_keep_the_check_of_headers(spark, tmp_path, rows):
     write(tmp_path / "c" / "a.csv", f"utm.source,{HEADER}", "u,pt,1,2018-01-01,true,Ana,11,99")
     path = str(tmp_path / "c")
