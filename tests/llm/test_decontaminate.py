@@ -50,3 +50,27 @@ def test_no_items_no_documents_and_whole_rows(spark, rows):
     clean = decontaminate.uncontaminated(docs, items)
     assert clean.columns == docs.columns and rows(clean) == [(None, None, None)]
     assert decontaminate.contamination(docs.limit(0), items).count() == 0
+
+
+def test_a_hot_text_a_long_item_and_shared_shingles(spark):
+    rng = np.random.default_rng(7)
+    long = " ".join(rng.choice(["a", "b", "c"], 12_000))
+    parts = long.split()
+    items = [(1, long), (2, "a a a a a a a a a a a a"), (3, "a b c a b c a b c a b c"), (4, "c"), (5, "q r s t u v")]
+    texts = [" ".join(parts[5_000:5_030])] * 300 + ["a " * 50, "b a b c a b c a b c a b c b", "x q r s t u v x", "", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(6)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    out = decontaminate.contamination(docs, bench, block_bytes=1000).collect()
+    want = {t: brute(t, items) for t in set(texts)}
+    assert len(out) == len(texts)
+    for r in out:
+        assert (r["n_words"], r["n_hit"], r["items"], r["contaminated"]) == want[texts[r["doc_id"]]]
+
+
+def test_places_near_the_edges_have_no_room(spark):
+    items = [(1, "one two three four five six seven eight nine ten")]
+    texts = ["two three four five six seven eight nine ten", "one two three four five six seven eight nine",
+             "x " + items[0][1], items[0][1] + " x", "one two three four five x six seven eight nine ten"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = decontaminate.contamination(docs, spark.createDataFrame(items, "item_id long, text string"))
+    assert {r["doc_id"]: r["n_hit"] for r in out.collect()} == {0: 0, 1: 0, 2: 10, 3: 10, 4: 0}
