@@ -191,10 +191,15 @@ def recover(spark: SparkSession, path: str) -> None:
     run.drop()
 
 
-def _write(run: _Run, rows: DataFrame, record: dict, partitions: Sequence[str]) -> None:
-    """Record, write, record, delete; each can be repeated."""
+def _write(
+    run: _Run, rows: DataFrame, record: dict, partitions: Sequence[str], keys: Sequence[str]
+) -> None:
+    """Record, write, record, delete; each can be repeated. Files are sorted by the first key."""
     run.save(run.begun, record)
-    write_table(rows, run.table, partitions, mode="append")
+    types = {field.name: field.dataType for field in rows.schema}
+    looked_up = isinstance(types.get(keys[0]), (T.StringType, T.IntegerType, T.LongType))
+    sort_by = keys[0] if looked_up and keys[0] not in partitions else None
+    write_table(rows, run.table, partitions, mode="append", sort_by=sort_by)
     if record.get("schema"):
         write_file(run.spark, f"{run.table}/{SCHEMA_FILE}", record["schema"])
     run.save(run.holds, {"holds": True})
@@ -268,7 +273,7 @@ def _upsert(
     if not table_exists(spark, run.table):
         if rows:
             _folders(batch, partitions)
-            _write(run, batch, {"create": True, "old": {}}, partitions)
+            _write(run, batch, {"create": True, "old": {}}, partitions, keys)
         return
     gone = batch
     if replaced is not None or match != keys:
@@ -300,7 +305,7 @@ def _upsert(
     if schema != target.schema:
         record["schema"] = nullable(schema).json()
     result = merged(kept_side, batch, match, gone)
-    _write(run, result.select(*schema.names), record, partitions)
+    _write(run, result.select(*schema.names), record, partitions, keys)
 
 
 def nullable(schema: T.StructType) -> T.StructType:

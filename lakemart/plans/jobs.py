@@ -38,7 +38,7 @@ from lakemart.plans.marts import (
 )
 from lakemart.plans.staging import Watched, stage
 from lakemart.schemas import DATASETS, DATE_PARTITIONS, Dataset
-from lakemart.session import job_settings
+from lakemart.session import MOST_LISTED, job_settings
 from lakemart.sources.files import read_source, source_counts
 from lakemart.sources.keyindex import KeyIndex, in_folders
 from lakemart.sources.tables import (
@@ -288,7 +288,14 @@ def touched_orders(
 
 def history_of(raw: DataFrame, ids: DataFrame, index: KeyIndex | None = None) -> DataFrame:
     """All raw rows of the orders, found in two steps: the index says which partitions have any, and
-    only those are read. Without an index a scan of ids and partitions alone says it."""
+    only those are read. Without an index a scan of ids and partitions alone says it. A few orders go
+    to the scan by their ids, which passes over the row groups and pages that have none of them."""
+    few = ids.select("order_id").distinct().limit(MOST_LISTED + 1).collect()
+    if len(few) <= MOST_LISTED:
+        listed = [row["order_id"] for row in few if row["order_id"] is not None]
+        if index is not None:
+            raw = in_folders(raw, index.folders("order_id", ids))
+        return raw.where(F.col("order_id").isin(listed))
     if index is not None:
         return matching(in_folders(raw, index.folders("order_id", ids)), ids, "order_id")
     hits = matching(raw.select("order_id", *DATE_PARTITIONS), ids, "order_id")

@@ -623,6 +623,24 @@ def history_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.history_of(raw, late.select("order_id").distinct(), index)
 
 
+@query(
+    f"""
+    SELECT cast(user_id AS VARCHAR) AS order_id, cast(event_id AS VARCHAR) AS status_id,
+           event_type AS value, ts AS created_at, {DATE_SQL.format(t="ts")}
+    FROM events WHERE user_id IN (SELECT user_id FROM events WHERE ts = (SELECT max(ts) FROM events))
+    """
+)
+def history_of_newest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole history of the keys with the newest event: few, so row groups without them are not read."""
+    path = scratch_path(spark, "history_of_newest")
+    index_two_lots(spark, sf_dir, path)
+    raw = jobs.read_raw(spark, path, "order_statuses")
+    newest = raw.agg(F.max("created_at").alias("newest"))
+    late = raw.join(newest, F.col("created_at") == F.col("newest"))
+    index = jobs.key_index(spark, path, "order_statuses")
+    return jobs.history_of(raw, late.select("order_id").distinct(), index)
+
+
 def index_two_lots(spark: SparkSession, sf_dir: str, path: str) -> None:
     rows = with_date_partitions(adapters.event_statuses(spark, sf_dir), "created_at")
     for lot in ("created_at < '2024-01-20'", "created_at >= '2024-01-15'"):

@@ -9,6 +9,10 @@ from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+# Keys that are looked up by value go to the scan as a list of so many at most, each of them tried on
+# the statistics and Bloom filters of row groups; more keys are a join.
+MOST_LISTED = 256
+
 # The adaptive settings are Spark's defaults, named because the joins count on them to split
 # a partition that one key has made too large. Partition values are strings: without type
 # inference a table is listed once, not twice.
@@ -16,6 +20,7 @@ JOB_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
+    "spark.sql.parquet.filterPushdown.inFilterThreshold": str(MOST_LISTED),
 }
 
 

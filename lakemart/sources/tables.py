@@ -56,10 +56,36 @@ def read_table(
 
 
 def write_table(
-    df: DataFrame, path: str, partitions: Sequence[str] = DATE_PARTITIONS, mode: str = "overwrite"
+    df: DataFrame,
+    path: str,
+    partitions: Sequence[str] = DATE_PARTITIONS,
+    mode: str = "overwrite",
+    sort_by: str | None = None,
 ) -> None:
-    """Write few, evenly sized files: rows gather by partition, a large one is split."""
-    df.hint("rebalance", *partitions).write.mode(mode).partitionBy(*partitions).parquet(path)
+    """Write few, evenly sized files: rows gather by partition, a large one is split.
+
+    sort_by: a key column that rows are looked up by. Files are sorted by it, so the statistics of
+    row groups and pages tell where a value may be, and its Bloom filters tell which row groups
+    have it; these take as many bytes as the group has values. Its order changes no row.
+    """
+    options = {}
+    if sort_by is not None:
+        # Named as the folder will be: a partition column that may be null is rewritten by the
+        # writer, which then sorts again, by the partitions alone.
+        named = {
+            name: F.coalesce(F.nullif(F.col(name), F.lit("")), F.lit(NULL_PARTITION))
+            for name in partitions
+            if isinstance(df.schema[name].dataType, T.StringType)
+        }
+        df = df.withColumns(named)
+    rows = df.hint("rebalance", *partitions)
+    if sort_by is not None:
+        rows = rows.sortWithinPartitions(*partitions, sort_by)
+        options = {
+            f"parquet.bloom.filter.enabled#{sort_by}": "true",
+            "parquet.bloom.filter.adaptive.enabled": "true",
+        }
+    rows.write.mode(mode).options(**options).partitionBy(*partitions).parquet(path)
 
 
 SCHEMA_FILE = "_schema.json"
