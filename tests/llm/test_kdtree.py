@@ -53,3 +53,47 @@ def test_boxes_bound_scores_and_pruning_prunes():
 def test_empty_table(spark):
     none = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert kdtree.top_k(none).count() == 0
+
+
+def clustered(n, seed=9):
+    """A third of the rows one vector, the others around 12 centres."""
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(0, 8, (12, 5))
+    rows = centres[rng.integers(0, 12, n)] + rng.normal(0, 0.3, (n, 5))
+    rows[::3] = centres[0]
+    return [(i, v.tolist()) for i, v in enumerate(rows)]
+
+
+@pytest.mark.parametrize("sampled", [1 << 21, 600])
+def test_regions_from_a_sample_and_a_hot_vector(spark, rows, monkeypatch, sampled):
+    monkeypatch.setattr(kdtree, "SAMPLE_VALUES", sampled)
+    monkeypatch.setattr(kdtree, "SAMPLE_ROWS", 8)
+    data = clustered(900)
+    frame = spark.createDataFrame(data, "vec_id long, embedding array<double>").repartition(5)
+    sent = []
+    reach = kdtree.reachable
+    monkeypatch.setattr(kdtree, "reachable", lambda q, boxes: sent.append((reach(q, boxes), len(boxes))) or sent[-1][0])
+    got = kdtree.top_k(frame, k=4, every=10, shard_rows=50, block_queries=7)
+    assert rows(got, "query_id", "rank", "vec_id", "score") == sorted(brute(data, 4, 10), key=repr)
+    ((reached, regions),) = sent
+    pairs = sum(len(r["regions"]) for r in reached.select("regions").collect())
+    assert regions > 4 and pairs < 90 * regions / 2
+
+
+def test_cuts_deal_every_row_to_one_region():
+    data = np.array([v for _, v in clustered(600)])
+    parts = kdtree.Cuts(data, 6000.0, 500)
+    region = kdtree.region_of(data, parts.parts())
+    assert set(region) == set(range(parts.regions)) and parts.regions > 4
+    same = np.zeros((300, 2))
+    assert kdtree.Cuts(same, 3e6, 10).regions == 1 and not kdtree.region_of(same, kdtree.Cuts(same, 3e6, 10).parts()).any()
+    two = np.repeat([[1.0], [2.0]], [299, 1], axis=0)
+    assert kdtree.Cuts(two, 300.0, 10).regions == 2
+
+
+def test_blocks_of_queries_follow_the_regions():
+    boxes = [{"dims": d, "region": r, "n": n, "asked": q} for d, r, n, q in
+             [(2, 0, 10, 3), (2, 1, 10, 3), (2, 2, 100, 25), (2, 3, 5, 0), (2, 4, 10, 9), (3, 0, 1, 1)]]
+    assert kdtree.plan_of(boxes, 50, 10) == [
+        (2, 0, 1, 0, 1), (2, 1, 1, 0, 1), (2, 2, 2, 1, 3), (2, 3, 1, 3, 1), (2, 4, 1, 4, 1), (3, 0, 1, 0, 1)
+    ]
