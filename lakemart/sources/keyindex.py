@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from lakemart.schemas import DATE_PARTITIONS
 from lakemart.sources.tables import (
     delete_paths,
-    list_files,
+    file_sizes,
     list_folders,
     partition_folder,
     read_file,
@@ -28,6 +28,8 @@ from lakemart.sources.tables import (
 STATE = "_index.json"
 PAIRS_PER_BUCKET = 2_000_000
 LEAST_BUCKETS = 4
+# Pairs are counted once the files have so many bytes a bucket: a pair takes half a byte at least.
+SMALL_BUCKET = PAIRS_PER_BUCKET
 # Each ingest adds up to one file per bucket; after so many per bucket the index is built anew.
 FILES_PER_BUCKET = 32
 
@@ -83,19 +85,29 @@ class KeyIndex:
         delete_paths(self.spark, [f"{self.path}/{folder}" for folder in before])
 
     def add(self, rows: DataFrame) -> None:
-        """Add the pairs of some rows that the index does not have; before the rows are published."""
+        """Add the pairs of some rows that the index does not have; before the rows are published.
+
+        They are compared with the pairs of their folders alone: files of other folders are passed over
+        by their statistics."""
         state = self._state()
         name = self._table(state)
-        known = self.spark.table(name)
+        found = rows.select(partition_folder().alias("folder")).distinct().collect()
+        known = self.spark.table(name).where(F.col("folder").isin([row["folder"] for row in found]))
         same = [F.col(f"new.{c}") == F.col(f"known.{c}") for c in ("key", "kind", "folder")]
         new = self.pairs_of(rows).alias("new").join(known.alias("known"), same, "left_anti")
         self._append(state, new)
 
     def crowded(self) -> bool:
-        """Whether so many files have come together that the index should be built anew."""
+        """Whether so many files or pairs have come together that the index should be built anew, with
+        more buckets where the pairs ask for them."""
         state = self._state()
-        files = list_files(self.spark, f"{self.path}/{state['generation']}")
-        return len([f for f in files if f.startswith("part-")]) > FILES_PER_BUCKET * state["buckets"]
+        sizes = file_sizes(self.spark, f"{self.path}/{state['generation']}")
+        parts = [size for name, size in sizes.items() if name.startswith("part-")]
+        if len(parts) > FILES_PER_BUCKET * state["buckets"]:
+            return True
+        return sum(parts) > SMALL_BUCKET * state["buckets"] and (
+            self.pairs().count() > 2 * PAIRS_PER_BUCKET * state["buckets"]
+        )
 
     def places(self, kind: str, keys: DataFrame) -> DataFrame:
         """(key, folder) of the keys asked for, a frame of one column."""

@@ -118,10 +118,15 @@ def write_file(spark: SparkSession, path: str, text: str) -> None:
 
 def list_files(spark: SparkSession, path: str) -> list[str]:
     """The files directly below a folder; none where it is not there."""
+    return list(file_sizes(spark, path))
+
+
+def file_sizes(spark: SparkSession, path: str) -> dict[str, int]:
+    """The same with their bytes."""
     fs, hadoop_path = file_system(spark, path)
     if not fs.exists(hadoop_path):
-        return []
-    return [str(s.getPath().getName()) for s in fs.listStatus(hadoop_path) if s.isFile()]
+        return {}
+    return {str(s.getPath().getName()): s.getLen() for s in fs.listStatus(hadoop_path) if s.isFile()}
 
 
 def list_folders(spark: SparkSession, path: str) -> list[str]:

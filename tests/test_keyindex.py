@@ -133,3 +133,28 @@ def test_marts_read_no_partition_without_touched_orders(spark, tmp_path, rows):
     marts = read_table(spark, jobs.trusted_path(lake, "order_statuses")).where("order_id = '1'")
     ((status,),) = rows(marts, F.transform("status", lambda s: F.date_format(s["created_at"], "MM-dd")))
     assert status == ["01-01", "01-05", "04-02"]
+
+
+def test_new_pairs_meet_those_of_their_folders_alone(spark, tmp_path, rows, monkeypatch):
+    lake = str(tmp_path / "lake")
+    jobs.ingest(spark, "order_statuses", events(spark, ("1", "s", "01-01"), ("2", "s", "02-02")), lake, *YEAR)
+    index = jobs.key_index(spark, lake, "order_statuses")
+    plans = []
+    monkeypatch.setattr(KeyIndex, "_append", lambda self, state, pairs: plans.append((plan_of(pairs), rows(pairs))))
+    index.add(events(spark, ("1", "t", "01-01"), ("3", "s", "02-02"), ("1", "u", "02-02")))
+    plan, added = plans[0]
+    filters = [line for line in plan.splitlines() if "FileScan" in line and "In(folder" in line.replace("EqualTo", "In")]
+    assert filters and added == [("order_id", "1", folder("02-02")), ("order_id", "3", folder("02-02"))]
+
+
+def test_an_index_with_too_many_pairs_gets_more_buckets(spark, tmp_path, rows, monkeypatch):
+    lake = str(tmp_path / "lake")
+    many = [(str(i), "s", f"01-0{i % 9 + 1}") for i in range(50)]
+    jobs.ingest(spark, "order_statuses", events(spark, *many), lake, *YEAR)
+    index = jobs.key_index(spark, lake, "order_statuses")
+    before, wanted = index._state()["buckets"], rows(index.pairs())
+    assert before == keyindex.LEAST_BUCKETS and len(wanted) == 50
+    monkeypatch.setattr(keyindex, "PAIRS_PER_BUCKET", 5)
+    monkeypatch.setattr(keyindex, "SMALL_BUCKET", 5)
+    assert rows(jobs.key_index(spark, lake, "order_statuses").pairs()) == wanted
+    assert index._state()["buckets"] == 10 and not index.crowded()
