@@ -49,6 +49,8 @@ def in_partition_window(df: DataFrame, start: datetime, end: datetime) -> DataFr
 
 # A date with perhaps a time of day, and nothing after it that could name a zone.
 WITHOUT_ZONE = r"^\d{4}-[\d-]*([T ][\d:.]*)?$"
+# A date and a time of day in UTC, as most sources write it.
+IN_UTC = r"^\d{4}-\d\d-\d\d[T ][\d:.]+Z$"
 # Text of a time of day alone would be read as of today; it has to start with a date.
 STARTS_WITH_DATE = r"^\d{4}-\d"
 
@@ -65,7 +67,9 @@ def parse_utc(text: Column) -> Column:
         trimmed.endswith("z"), F.regexp_replace(trimmed, r"(\d)z$", "$1Z")
     ).otherwise(trimmed)
     instant = F.when(trimmed.rlike(STARTS_WITH_DATE), marked).try_cast("timestamp")
-    return F.when(trimmed.rlike(WITHOUT_ZONE), trimmed.try_cast("timestamp_ntz")).otherwise(
+    # The zone-free type leaves the zone out, which changes nothing where that is UTC.
+    plain = trimmed.rlike(IN_UTC) | trimmed.rlike(WITHOUT_ZONE)
+    return F.when(plain, trimmed.try_cast("timestamp_ntz")).otherwise(
         F.timestamp_add("MICROSECOND", F.unix_micros(instant), epoch)
     )
 

@@ -55,7 +55,8 @@ def _with_other_fields(lines: DataFrame, declared: Sequence[str]) -> DataFrame:
 def _json_text(reader, dataset: Dataset, path: str, undeclared: bool, stream: bool) -> DataFrame:
     lines = reader.text(path)
     lines = lines if stream else _spread_gzip(lines)
-    lines = lines.where(F.btrim("value", F.lit(BLANKS)) != "")
+    # A line of blanks alone ends at its first other character; trimming both ends would walk them all.
+    lines = lines.where(F.ltrim("value", F.lit(BLANKS)) != "")
     declared = dataset.schema.names
     parsed = F.from_json("value", _text_schema(declared), {"columnNameOfCorruptRecord": CORRUPT})
     lines = lines.withColumn("fields", parsed)

@@ -180,3 +180,12 @@ def test_accepted_and_rejected_cover_all_rows(spark, rows):
         (None, "id:null"),
         (None, "id:null,t:null"),
     ]
+
+
+def test_text_in_utc_reads_as_text_with_any_other_zone(spark):
+    times = ["2024-01-01T10:00:00", "2018-11-04 00:30:00.1234567", "2024-02-30T10:00:00", "2024-01-01T24:00:00", "2024-01-01T1:2:3"]
+    df = spark.createDataFrame([(t,) for t in times], "t string")
+    utc, other = (parse_utc(F.concat("t", F.lit(zone))).alias(name) for zone, name in (("Z", "utc"), ("+00:00", "other")))
+    read = df.select(utc, other).collect()
+    assert all(r["utc"] == r["other"] for r in read)
+    assert sum(r["utc"] is not None for r in read) == 3
