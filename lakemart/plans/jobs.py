@@ -291,18 +291,20 @@ def history_of(raw: DataFrame, ids: DataFrame, index: KeyIndex | None = None) ->
     only those are read. Without an index a scan of ids and partitions alone says it. A few orders go
     to the scan by their ids, which passes over the row groups and pages that have none of them."""
     few = ids.select("order_id").distinct().limit(MOST_LISTED + 1).collect()
-    if len(few) <= MOST_LISTED:
-        listed = [row["order_id"] for row in few if row["order_id"] is not None]
-        if index is not None:
-            raw = in_folders(raw, index.folders("order_id", ids))
-        return raw.where(F.col("order_id").isin(listed))
+    listed = [row["order_id"] for row in few if row["order_id"] is not None]
+
+    def of_orders(rows: DataFrame) -> DataFrame:
+        if len(few) <= MOST_LISTED:
+            return rows.where(F.col("order_id").isin(listed))
+        return matching(rows, ids, "order_id")
+
     if index is not None:
-        return matching(in_folders(raw, index.folders("order_id", ids)), ids, "order_id")
-    hits = matching(raw.select("order_id", *DATE_PARTITIONS), ids, "order_id")
+        return of_orders(in_folders(raw, index.folders("order_id", ids)))
+    hits = of_orders(raw.select("order_id", *DATE_PARTITIONS))
     # At most one row per partition folder of the table.
     found = hits.select(*DATE_PARTITIONS).distinct().collect()
     folders = sorted(partition_path(row, DATE_PARTITIONS) for row in found)
-    return matching(in_folders(raw, folders), ids, "order_id")
+    return of_orders(in_folders(raw, folders))
 
 
 def build_marts(
