@@ -219,6 +219,7 @@ def upsert(
     newest_by: str | None = None,
     candidates: DataFrame | None = None,
     not_null: Sequence[str] = (),
+    stored_rows: int | None = None,
 ) -> None:
     """Create the table from the source, or update it by key.
 
@@ -231,6 +232,8 @@ def upsert(
     candidates           frame of partition values outside which no old row of a replaced key can
                          stand; only those partitions are searched
     not_null             columns that must not be null in the source
+    stored_rows          the rows of a source that is a scan of files which stay while this runs, and
+                         whose keys have been found unique: it is neither written nor counted again
 
     An empty source leaves the table alone. Running the same upsert again changes nothing. Columns
     that the table lacks are added to it; those that the source lacks are null in its rows. The
@@ -239,12 +242,14 @@ def upsert(
     recover(spark, path)
     run = _Run(spark, path)
     match = list(replaced_keys or keys)
+    if stored_rows is not None and not_null:
+        raise ValueError("a stored source is not checked again, so not for nulls either")
     if newest_by is not None and (replaced is not None or match != list(keys)):
         raise ValueError("newest_by compares rows of one key, so it takes no replaced keys")
     try:
         _upsert(
             run, source, list(keys), match, list(partitions), replaced, key_fixes_partition,
-            newest_by, candidates, not_null,
+            newest_by, candidates, not_null, stored_rows,
         )
     except QualityError:
         run.drop()
@@ -263,13 +268,16 @@ def _upsert(
     newest_by: str | None,
     candidates: DataFrame | None,
     not_null: Sequence[str],
+    stored_rows: int | None,
 ) -> None:
     spark = run.spark
-    # The batch is written once and read back: it is used several times below, and what
-    # was written survives the loss of any executor.
-    source.write.mode("overwrite").parquet(run.source)
-    batch = spark.read.schema(source.schema).parquet(run.source)
-    rows = require_keys(batch, unique=keys, not_null=not_null)
+    batch, rows = source, stored_rows
+    if rows is None:
+        # The batch is written once and read back: it is used several times below, and what
+        # was written survives the loss of any executor.
+        source.write.mode("overwrite").parquet(run.source)
+        batch = spark.read.schema(source.schema).parquet(run.source)
+        rows = require_keys(batch, unique=keys, not_null=not_null)
     if not table_exists(spark, run.table):
         if rows:
             _folders(batch, partitions)

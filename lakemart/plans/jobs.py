@@ -17,12 +17,14 @@ from functools import partial, reduce
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakemart.functions.dates import in_interval, in_partition_window, intervals, with_date_partitions
 from lakemart.operators.joins import matching
-from lakemart.operators.latest import dedup
+from lakemart.operators.latest import dedup, latest
 from lakemart.operators.quality import (
     QualityError,
+    key_summary,
     partition_skew,
     require_complete,
     unknown_zones,
@@ -36,7 +38,7 @@ from lakemart.plans.marts import (
     orders_mart,
     orders_partitions,
 )
-from lakemart.plans.staging import Watched, stage
+from lakemart.plans.staging import Staged, Watched, stage
 from lakemart.schemas import DATASETS, DATE_PARTITIONS, Dataset
 from lakemart.session import MOST_LISTED, job_settings
 from lakemart.sources.files import read_source, source_counts
@@ -49,7 +51,6 @@ from lakemart.sources.tables import (
     read_table,
     scratch_folder,
     table_exists,
-    write_table,
 )
 
 
@@ -107,19 +108,24 @@ def key_index(spark: SparkSession, lake: str, name: str) -> KeyIndex | None:
 
 
 def _merge_batch(
-    spark: SparkSession, dataset: Dataset, batch: DataFrame, lake: str
+    spark: SparkSession, dataset: Dataset, batch: DataFrame, lake: str, stored: bool = False
 ) -> None:
+    """stored: the batch is a scan of files that stay. Where none of its keys repeats, it is the
+    newest row of each as it is, and is merged from there."""
     index = key_index(spark, lake, dataset.name)
     if index is not None:
         index.add(batch)
+    counted = key_summary(batch, dataset.keys) if stored else None
+    unique = counted is not None and counted["max_rows_per_key"] <= 1
     upsert(
         spark,
         raw_path(lake, dataset.name),
-        dedup(batch, dataset.keys, [dataset.time]),
+        batch if unique else dedup(batch, dataset.keys, [dataset.time]),
         dataset.keys,
         key_fixes_partition=dataset.key_fixes_partition,
         # With the time in the key there is no older version that could come back.
         newest_by=None if dataset.key_fixes_partition else dataset.time,
+        stored_rows=counted["row_count"] if unique else None,
     )
 
 
@@ -130,6 +136,7 @@ def ingest(
     lake: str,
     start: datetime,
     end: datetime,
+    stored: bool = False,
     **options,
 ) -> None:
     """Upsert one interval of a source into its raw table, the newest row of each key.
@@ -137,17 +144,18 @@ def ingest(
     Intervals may come in any order, and again: a newer row of the table is not replaced.
     `source` is the path of the source files, or their typed rows as `land` gives them. Files are
     read once: the same scan gives the rows of the batch and those that cannot be taken, which are
-    written to `rejected/<dataset>`, with the reasons.
+    written to `rejected/<dataset>`, with the reasons. stored: the typed rows are a scan of files that
+    stay as they are while this runs.
     """
     dataset = _dataset(dataset)
     Ledger(spark, lake).forget(start, end)
     with job_settings(spark), scratch_folder(spark, "ingest") as scratch:
         if isinstance(source, DataFrame):
-            _merge_batch(spark, dataset, batch_of(spark, dataset, source, start, end), lake)
+            _merge_batch(spark, dataset, batch_of(spark, dataset, source, start, end), lake, stored)
             return
         staged = stage(spark, dataset, source, f"{scratch}/staged", **options)
         rows = with_date_partitions(staged.taken, dataset.time)
-        _merge_batch(spark, dataset, in_interval(rows, dataset.time, start, end), lake)
+        _merge_batch(spark, dataset, in_interval(rows, dataset.time, start, end), lake, stored=True)
         _keep_rejected(dataset, source, lake, staged.rejected)
 
 
@@ -187,17 +195,23 @@ def land(
     lake: str | None = None,
     **options,
 ) -> DataFrame:
-    """Type a whole source once and keep it by date, so that intervals read only their days.
+    """Type a whole source once and keep it by date, so that intervals read only their days: one
+    write, with the rows that cannot be taken beside the others.
 
     With a lake, the rows that cannot be taken are kept there.
     """
+    return _land(spark, dataset, source, path, lake, **options).taken
+
+
+def _land(
+    spark: SparkSession, dataset: Dataset | str, source: str, path: str, lake: str | None, **options
+) -> Staged:
     dataset = _dataset(dataset)
-    with job_settings(spark), scratch_folder(spark, "land") as scratch:
-        staged = stage(spark, dataset, source, f"{scratch}/staged", **options)
-        write_table(with_date_partitions(staged.taken, dataset.time), path)
+    with job_settings(spark):
+        staged = stage(spark, dataset, source, path, by_date=True, **options)
         if lake is not None:
             _keep_rejected(dataset, source, lake, staged.rejected)
-        return read_table(spark, path)
+        return staged
 
 
 def check_ingest(
@@ -260,7 +274,8 @@ def touched_orders(
     touches, and those whose consumer or restaurant has a row of the interval.
 
     The latter are found in the order tables by two narrow columns: with an index of the orders, of
-    the partitions alone that have orders of such a consumer or restaurant.
+    the partitions alone that have orders of such a consumer or restaurant, and by value where the
+    index knows of a few such consumers or restaurants only.
     """
     parts = []
     for name in ("orders", "order_statuses"):
@@ -271,14 +286,13 @@ def touched_orders(
         ("restaurants", "id", "merchant_id"),
     ):
         changed = _rows_of_interval(raw[name], name, start, end).select(F.col(key).alias(column))
-        orders = raw["orders"]
+        orders, few = raw["orders"], None
         if index is not None:
-            orders = in_folders(orders, index.folders(column, changed))
-        parts.append(
-            matching(orders.select("order_id", column), changed.distinct(), column).select(
-                "order_id", F.lit(name).alias("by")
-            )
-        )
+            folders, few = index.found(column, changed, MOST_LISTED)
+            orders = in_folders(orders, folders)
+        orders = orders.select("order_id", column)
+        theirs = matching(orders, changed.distinct(), column) if few is None else orders.where(F.col(column).isin(few))
+        parts.append(theirs.select("order_id", F.lit(name).alias("by")))
     every = reduce(DataFrame.unionAll, parts)
     return every.groupBy("order_id").agg(
         F.bool_or(F.col("by") == "orders").alias("by_order"),
@@ -286,25 +300,41 @@ def touched_orders(
     )
 
 
+def _found(
+    raw: DataFrame, ids: DataFrame, index: KeyIndex | None
+) -> tuple[list[str], list[str] | None]:
+    """The partition folders with rows of the orders, and the orders as a list where they are few."""
+    few = ids.select("order_id").distinct().limit(MOST_LISTED + 1).collect()
+    listed = [row["order_id"] for row in few if row["order_id"] is not None]
+    listed = listed if len(few) <= MOST_LISTED else None
+    if index is not None:
+        return index.folders("order_id", ids), listed
+    hits = _of_orders(raw.select("order_id", *DATE_PARTITIONS), ids, listed)
+    # At most one row per partition folder of the table.
+    found = hits.select(*DATE_PARTITIONS).distinct().collect()
+    return sorted(partition_path(row, DATE_PARTITIONS) for row in found), listed
+
+
+def _of_orders(rows: DataFrame, ids: DataFrame, listed: list[str] | None) -> DataFrame:
+    return matching(rows, ids, "order_id") if listed is None else rows.where(F.col("order_id").isin(listed))
+
+
 def history_of(raw: DataFrame, ids: DataFrame, index: KeyIndex | None = None) -> DataFrame:
     """All raw rows of the orders, found in two steps: the index says which partitions have any, and
     only those are read. Without an index a scan of ids and partitions alone says it. A few orders go
     to the scan by their ids, which passes over the row groups and pages that have none of them."""
-    few = ids.select("order_id").distinct().limit(MOST_LISTED + 1).collect()
-    listed = [row["order_id"] for row in few if row["order_id"] is not None]
+    folders, listed = _found(raw, ids, index)
+    return _of_orders(in_folders(raw, folders), ids, listed)
 
-    def of_orders(rows: DataFrame) -> DataFrame:
-        if len(few) <= MOST_LISTED:
-            return rows.where(F.col("order_id").isin(listed))
-        return matching(rows, ids, "order_id")
 
-    if index is not None:
-        return of_orders(in_folders(raw, index.folders("order_id", ids)))
-    hits = of_orders(raw.select("order_id", *DATE_PARTITIONS))
-    # At most one row per partition folder of the table.
-    found = hits.select(*DATE_PARTITIONS).distinct().collect()
-    folders = sorted(partition_path(row, DATE_PARTITIONS) for row in found)
-    return of_orders(in_folders(raw, folders))
+def _flagged(rows: DataFrame, ids: DataFrame, flag: str, spread: bool) -> DataFrame:
+    """The rows of the orders in `ids`, unique there, with a flag of theirs: the semi join and the
+    later ones by that flag in one. spread: by key and hash, as `matching` joins."""
+    listed = ids.select(F.col("order_id").alias("_id"), F.xxhash64("order_id").alias("_id_hash"), flag)
+    same = F.col("order_id") == F.col("_id")
+    if spread:
+        same = same & (F.xxhash64("order_id") == F.col("_id_hash"))
+    return rows.join(listed, same).drop("_id", "_id_hash")
 
 
 def build_marts(
@@ -341,16 +371,34 @@ def build_marts(
         touched = ids.select("order_id")
         by_order = ids.where("by_order").select("order_id")
         by_status = ids.where("by_status").select("order_id")
-
-        # So does their history: the raw tables are searched for it once, not per mart.
-        def collect_history(name: str) -> None:
-            history_of(raw[name], touched, indexes[name]).write.parquet(f"{scratch}/{name}")
-
-        kinds = ("orders", "order_statuses")
-        _together(spark, (partial(collect_history, name) for name in kinds))
-        history = {
-            name: spark.read.schema(raw[name].schema).parquet(f"{scratch}/{name}") for name in kinds
+        searched: dict[str, DataFrame] = {}
+
+        # So does what the marts need of their history: the raw tables are searched for it once. Of
+        # the versions of an order that is the newest, which a task finds before it sends any; the
+        # rows of the orders that are not touched go afterwards, so no more than those travel.
+        def collect_orders() -> None:
+            folders, listed = _found(raw["orders"], touched, indexes["orders"])
+            searched["orders"] = in_folders(raw["orders"], folders)
+            versions = searched["orders"] if listed is None else _of_orders(searched["orders"], touched, listed)
+            newest = latest(versions, ["order_id"], ["order_created_at"])
+            _flagged(newest, ids, "by_order", spread=False).write.parquet(f"{scratch}/orders")
+
+        def collect_statuses() -> None:
+            folders, listed = _found(raw["order_statuses"], touched, indexes["order_statuses"])
+            searched["order_statuses"] = in_folders(raw["order_statuses"], folders)
+            events = searched["order_statuses"]
+            events = events if listed is None else _of_orders(events, touched, listed)
+            _flagged(events, ids, "by_status", spread=True).write.parquet(f"{scratch}/order_statuses")
+
+        _together(spark, (collect_orders, collect_statuses))
+        flags = {"orders": "by_order", "order_statuses": "by_status"}
+        flagged = {
+            name: spark.read.schema(T.StructType([*raw[name].schema, T.StructField(flag, T.BooleanType())])).parquet(
+                f"{scratch}/{name}"
+            )
+            for name, flag in flags.items()
         }
+        history = {name: flagged[name].drop(flag) for name, flag in flags.items()}
         orders = orders_mart(
             history["orders"],
             history["order_statuses"],
@@ -359,8 +407,8 @@ def build_marts(
             salt=salt,
             hot_share=hot_share,
         )
-        items = order_items_mart(matching(history["orders"], by_order, "order_id"))
-        events = matching(history["order_statuses"], by_status, "order_id")
+        items = order_items_mart(flagged["orders"].where("by_order").drop("by_order"))
+        events = flagged["order_statuses"].where("by_status").drop("by_status")
         statuses = order_statuses_mart(events, grain=status_grain, segment=status_segment)
         times = order_status_times_mart(events)
         status_keys = ["order_id"]
@@ -369,12 +417,14 @@ def build_marts(
 
         # Old rows stand where some version or event of the order would put them, an order in
         # any zone: raw versions keep their time, but not the zone they came with at first.
+        # The partitions searched have all their rows.
         places = {
-            "orders": orders_partitions(history["orders"]),
-            "order_items": history["orders"].select(*DATE_PARTITIONS),
-            "order_statuses": history["order_statuses"].select(*DATE_PARTITIONS),
-            "order_status_times": history["order_statuses"].select(*DATE_PARTITIONS),
+            "orders": orders_partitions(searched["orders"]),
+            "order_items": searched["orders"].select(*DATE_PARTITIONS),
+            "order_statuses": searched["order_statuses"].select(*DATE_PARTITIONS),
+            "order_status_times": searched["order_statuses"].select(*DATE_PARTITIONS),
         }
+        changed = _rows_of_interval(raw["orders"], "orders", start, end)
 
         def write(name: str, mart: DataFrame, keys: list[str], replaced: DataFrame) -> None:
             options = {"candidates": places[name]}
@@ -392,7 +442,7 @@ def build_marts(
                 partial(write, "order_items", items, ["order_id", "item.sequence"], by_order),
                 partial(write, "order_statuses", statuses, status_keys, by_status),
                 partial(write, "order_status_times", times, ["order_id"], by_status),
-                partial(_keep_unknown_zones, spark, lake, history["orders"], start, end),
+                partial(_keep_unknown_zones, spark, lake, changed, start, end),
             ),
         )
 
@@ -400,8 +450,8 @@ def build_marts(
 def _keep_unknown_zones(
     spark: SparkSession, lake: str, orders: DataFrame, start: datetime, end: datetime
 ) -> None:
-    """Orders of the interval whose zone is given but not known."""
-    rows = unknown_zones(in_interval(orders, "order_created_at", start, end), "merchant_timezone")
+    """Orders of the interval, `orders`, whose zone is given but not known."""
+    rows = unknown_zones(orders, "merchant_timezone")
     folder = f"{rejected_path(lake, 'order_zones')}/interval={start:%Y%m%dT%H%M%S}-{end:%Y%m%dT%H%M%S}"
     before = list_folders(spark, folder)
     rows.select("order_id", "order_created_at", "merchant_timezone").write.parquet(
@@ -473,30 +523,30 @@ def backfill(
     order's marts are built from its whole history, so an interval that has not changed needs
     nothing when another one has. An ingest by hand takes back what is noted of its span.
     """
-    landed: dict[str, DataFrame] = {}
+    landed: dict[str, Staged] = {}
     reading = reading or {}
 
     with job_settings(spark), scratch_folder(spark, "landed") as scratch:
 
         def load(name: str) -> None:
             options = reading.get(name, {})
-            landed[name] = land(spark, name, sources[name], f"{scratch}/{name}", lake, **options)
+            landed[name] = _land(spark, name, sources[name], f"{scratch}/{name}", lake, **options)
 
         _together(spark, (partial(load, name) for name in sources))
         ledger = Ledger(spark, lake)
         settings = json.dumps(mart_options, sort_keys=True, default=str)
         for interval in intervals(start, stop, step):
-            rows_of = {name: batch_of(spark, _dataset(name), rows, *interval) for name, rows in landed.items()}
+            rows_of = {name: batch_of(spark, _dataset(name), rows.stored, *interval) for name, rows in landed.items()}
             entry = {"options": settings, "rows": fingerprints(rows_of)}
             if resume and ledger.holds(*interval, entry):
                 continue
 
             def take(name: str, rows: DataFrame, interval=interval) -> None:
-                ingest(spark, name, rows, lake, *interval)
+                ingest(spark, name, rows, lake, *interval, stored=True)
                 check_ingest(spark, name, rows, lake, *interval)
 
             # Nothing is published of an interval whose rows are not all there.
-            _together(spark, (partial(take, name, rows) for name, rows in landed.items()))
+            _together(spark, (partial(take, name, rows.taken) for name, rows in landed.items()))
             build_marts(spark, lake, *interval, **mart_options)
             ledger.note(*interval, entry)
         _together(

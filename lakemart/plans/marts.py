@@ -72,9 +72,9 @@ def orders_partitions(orders: DataFrame) -> DataFrame:
     """The date partitions in which the orders may stand in the orders mart: the UTC date of every
     version and the days beside it, whatever zone a version has now or had before it came again.
     No zone is a day away from UTC."""
-    day = F.col("order_created_at").cast("date")
-    days = F.explode(F.array(F.date_sub(day, 1), day, F.date_add(day, 1)))
-    return with_date_partitions(orders.select(days.alias("day")), "day").select(*DATE_PARTITIONS)
+    days = orders.select(F.col("order_created_at").cast("date").alias("day")).distinct()
+    beside = F.explode(F.array(F.date_sub("day", 1), F.col("day"), F.date_add("day", 1)))
+    return with_date_partitions(days.select(beside.alias("day")), "day").select(*DATE_PARTITIONS)
 
 
 def order_items_mart(orders: DataFrame, ties: str = "one") -> DataFrame:

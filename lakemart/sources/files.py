@@ -15,6 +15,8 @@ from lakemart.schemas import Dataset
 BLANKS = " \t\r\n\f\v"
 # The text of a line whose other fields no variant can hold, say with a key twice in one object.
 WHOLE_LINE = "_line"
+# No number in so short a line has more digits than the parser takes, a thousand.
+PLAIN_LENGTH = 1000
 
 
 def _text_schema(names: Sequence[str]) -> T.StructType:
@@ -31,9 +33,16 @@ def _with_other_fields(lines: DataFrame, declared: Sequence[str]) -> DataFrame:
     """JSON lines with the fields that are not declared as a VARIANT object, null if there are none.
 
     Keys are taken as they are, dots and all; of a key that comes twice the last value counts. Each
-    step is a column of its own, so a line is taken apart once.
+    step is a column of its own, so a line is taken apart once. A line whose keys are all declared
+    has none, and no variant is made of it where any could hold it: no key can come twice in an object
+    within, and no number is too long.
     """
-    lines = lines.withColumn("_all", F.from_json("value", "map<string,variant>"))
+    inner = F.substring("value", 2, PLAIN_LENGTH)
+    nested = [inner.contains("{" + after) for after in ('"', "'", " ", "\t")]
+    undeclared = F.array_except(F.json_object_keys("value"), F.array(*map(F.lit, declared)))
+    plain = (F.length("value") <= PLAIN_LENGTH) & ~reduce(Column.__or__, nested) & (F.size(undeclared) == 0)
+    lines = lines.withColumn("_plain", F.coalesce(plain, F.lit(False)))
+    lines = lines.withColumn("_all", F.when(~F.col("_plain"), F.from_json("value", "map<string,variant>")))
     lines = lines.withColumn("_others", F.map_filter("_all", lambda key, _: ~key.isin(*declared)))
     lines = lines.withColumn("_names", F.map_keys("_others"))
 
@@ -44,12 +53,12 @@ def _with_other_fields(lines: DataFrame, declared: Sequence[str]) -> DataFrame:
     single = F.size(F.array_distinct("_names")) == F.size("_names")
     last = F.map_from_entries(F.filter(F.map_entries("_others"), last_of_key))
     whole = F.map_from_arrays(F.array(F.lit(WHOLE_LINE)), F.array("value"))
-    unheld = F.col("_all").isNull() & F.col(f"fields.{CORRUPT}").isNull()
+    unheld = ~F.col("_plain") & F.col("_all").isNull() & F.col(f"fields.{CORRUPT}").isNull()
     extra = F.when(unheld, F.to_variant_object(whole)).when(
         F.size("_names") > 0,
         F.when(single, F.to_variant_object("_others")).otherwise(F.to_variant_object(last)),
     )
-    return lines.withColumn(EXTRA, extra).drop("_all", "_others", "_names")
+    return lines.withColumn(EXTRA, extra).drop("_plain", "_all", "_others", "_names")
 
 
 def _json_text(reader, dataset: Dataset, path: str, undeclared: bool, stream: bool) -> DataFrame:

@@ -91,7 +91,7 @@ class KeyIndex:
         by their statistics."""
         state = self._state()
         name = self._table(state)
-        found = rows.select(partition_folder().alias("folder")).distinct().collect()
+        found = rows.select(*DATE_PARTITIONS).distinct().select(partition_folder().alias("folder")).collect()
         known = self.spark.table(name).where(F.col("folder").isin([row["folder"] for row in found]))
         same = [F.col(f"new.{c}") == F.col(f"known.{c}") for c in ("key", "kind", "folder")]
         new = self.pairs_of(rows).alias("new").join(known.alias("known"), same, "left_anti")
@@ -116,8 +116,17 @@ class KeyIndex:
 
     def folders(self, kind: str, keys: DataFrame) -> list[str]:
         """The partition folders that may hold rows of the keys: at most all folders of the table."""
-        found = self.places(kind, keys).select("folder").distinct().collect()
-        return sorted(row["folder"] for row in found)
+        return self.found(kind, keys, 0)[0]
+
+    def found(self, kind: str, keys: DataFrame, most: int) -> tuple[list[str], list[str] | None]:
+        """The same, and those of the keys that may have rows where they are so many at most."""
+        places = self.places(kind, keys)
+        per_folder = places.groupBy("folder").count().collect()
+        folders = sorted(row["folder"] for row in per_folder)
+        if any(row["count"] > most for row in per_folder):
+            return folders, None
+        few = places.select("key").distinct().limit(most + 1).collect()
+        return folders, [row["key"] for row in few] if len(few) <= most else None
 
 
 def in_folders(table: DataFrame, folders: Sequence[str]) -> DataFrame:

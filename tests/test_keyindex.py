@@ -158,3 +158,43 @@ def test_an_index_with_too_many_pairs_gets_more_buckets(spark, tmp_path, rows, m
     monkeypatch.setattr(keyindex, "SMALL_BUCKET", 5)
     assert rows(jobs.key_index(spark, lake, "order_statuses").pairs()) == wanted
     assert index._state()["buckets"] == 10 and not index.crowded()
+
+
+def test_marts_are_given_the_newest_version_of_an_order_alone(spark, tmp_path, rows, monkeypatch):
+    lake = str(tmp_path / "lake")
+    versions = [("1", "c1", "m1", "01-01"), ("1", "c1", "m1", "01-05"), ("1", "c2", "m1", "02-05"), ("2", "c3", "m2", "02-01")]
+    jobs.ingest(spark, "orders", orders(spark, *versions), lake, *YEAR)
+    jobs.ingest(spark, "order_statuses", events(spark, ("1", "a", "01-01"), ("3", "b", "01-02")), lake, *YEAR)
+    given, real = [], jobs.orders_mart
+    monkeypatch.setattr(jobs, "orders_mart", lambda of, *a, **k: given.append(rows(of, "order_id")) or real(of, *a, **k))
+    jobs.build_marts(spark, lake, *YEAR)
+    assert given == [[("1",), ("2",)]]
+    mart = read_table(spark, jobs.trusted_path(lake, "orders"))
+    assert rows(mart, "order_id", "customer_id") == [("1", "c2"), ("2", "c3")]
+    assert rows(read_table(spark, jobs.trusted_path(lake, "order_statuses")), "order_id") == [("1",), ("3",)]
+
+
+def test_a_stored_batch_without_repeated_keys_is_merged_from_where_it_lies(spark, tmp_path, rows, monkeypatch):
+    lake, real, given = str(tmp_path / "lake"), jobs.upsert, []
+    monkeypatch.setattr(jobs, "upsert", lambda *a, **k: given.append(k.get("stored_rows")) or real(*a, **k))
+    source = str(tmp_path / "statuses")
+    line = '{{"order_id":"{}","status_id":"s","value":"v","created_at":"2018-01-0{}T00:00:00Z"}}'
+    once = [line.format(i, 1 + i % 2) for i in range(4)]
+    for lines in (once, [*once, *once, line.format(9, 3)]):
+        spark.createDataFrame([(x,) for x in lines], "value string").write.mode("overwrite").text(source)
+        jobs.ingest(spark, "order_statuses", source, lake, *YEAR)
+    assert given == [4, None]
+    raw = read_table(spark, jobs.raw_path(lake, "order_statuses"))
+    assert rows(raw, "order_id") == [(str(i),) for i in (0, 1, 2, 3, 9)]
+
+
+def test_landed_rows_are_written_once_and_typed_where_they_are_read(spark, tmp_path, rows):
+    source, path = str(tmp_path / "orders"), str(tmp_path / "landed")
+    items = '[{\\"name\\":\\"a\\",\\"sequence\\":1}]'
+    lines = [f'{{"order_id":"1","order_created_at":"2018-01-01T00:00:00Z","items":"{items}","more":1}}', '{"order_id":"2"}']
+    spark.createDataFrame([(x,) for x in lines], "value string").write.text(source)
+    landed = jobs.land(spark, "orders", source, path, str(tmp_path / "lake"))
+    assert "items: string" in spark.read.parquet(path)._jdf.schema().treeString()
+    assert rows(landed, "order_id", "items.name", "day_partition") == [("1", ["a"], "01")]
+    assert rows(landed.selectExpr("to_json(extra)")) == [('{"more":1}',)]
+    assert rows(jobs.read_rejected_rows(spark, str(tmp_path / "lake"), "orders"), "order_id") == [("2",)]
